@@ -1,0 +1,70 @@
+"""A full run: every dataset built once, stored, and copied to the other format."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Collection, Mapping
+
+from pyspark.sql import DataFrame
+
+from pulse.operators.profile import observed, require_rows
+from pulse.plans.datasets import DATASETS, build_dataset
+from pulse.plans.params import Params
+from pulse.sinks.files import remove_path, write_dataset
+
+FOLDERS = {"parquet": "etl_parquet", "csv": "etl_csv"}
+
+
+def run(
+    tables: Mapping[str, DataFrame],
+    params: Params,
+    out: str,
+    formats: Collection[str] = ("parquet", "csv"),
+    only: Collection[str] | None = None,
+    *,
+    single_file: bool = False,
+) -> dict[str, dict[str, str]]:
+    """Write the datasets below `out` and return their paths by dataset and format.
+
+    A dataset is computed once, into Parquet. The CSV copy and the datasets built on it read
+    that table, so a lost executor costs no recomputation of the joins and nothing is cached.
+    """
+    unknown = set(formats) - set(FOLDERS) | set(only or ()) - set(DATASETS)
+    if unknown:
+        raise ValueError(f"unknown formats or datasets: {sorted(unknown)}")
+    spark = next(iter(tables.values())).sparkSession
+    out = out.rstrip("/")
+    staging = f"{out}/_staging_{uuid.uuid4().hex}"
+    stored: dict[str, DataFrame] = {}
+    paths: dict[str, dict[str, str]] = {}
+    try:
+        for name, dataset in DATASETS.items():
+            if only is not None and name not in only:
+                continue
+            df, rows = observed(build_dataset(name, tables, params, stored), name)
+            keep = "parquet" in formats
+            path = write_dataset(
+                df,
+                f"{out}/{FOLDERS['parquet']}" if keep else staging,
+                dataset.file,
+                "parquet",
+                single_file=single_file and keep,
+                order_by=dataset.order_by,
+            )
+            require_rows(rows.get["n_rows"], name)
+            stored[name] = spark.read.schema(df.schema).parquet(path)
+            paths[name] = {"parquet": path} if keep else {}
+            if "csv" in formats:
+                # Part files are read back in no set order.
+                copy = stored[name].sort(*dataset.order_by) if dataset.order_by else stored[name]
+                paths[name]["csv"] = write_dataset(
+                    copy,
+                    f"{out}/{FOLDERS['csv']}",
+                    dataset.file,
+                    "csv",
+                    single_file=single_file,
+                    order_by=dataset.order_by,
+                )
+    finally:
+        remove_path(spark, staging)
+    return paths
