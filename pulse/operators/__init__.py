@@ -1,7 +1,7 @@
 from pulse.operators.access import flag_owner, keep_members, split_counts
 from pulse.operators.classify import class_ladder
 from pulse.operators.compare import read_any, row_diff, schema_diff, shape
-from pulse.operators.enrich import attach_many, lookup, require, require_chain
+from pulse.operators.enrich import attach_many, cover, lookup, require, require_chain
 from pulse.operators.labels import translate_labels
 from pulse.operators.latest import first_per_key
 from pulse.operators.links import link_state, link_status, open_links
@@ -15,7 +15,7 @@ from pulse.operators.rollups import (
 
 __all__ = [
     "attach_many", "attach_metrics", "class_ladder", "column_profile", "column_values",
-    "conditional_counts", "distinct_by", "distinct_split", "first_per_key", "flag_owner",
+    "conditional_counts", "cover", "distinct_by", "distinct_split", "first_per_key", "flag_owner",
     "keep_members", "link_state", "link_status", "lookup", "observed", "open_links", "read_any",
     "recency_flag", "recent", "recent_distinct", "require", "require_chain", "require_rows",
     "row_diff", "sample_rows", "schema_diff", "shape", "split_counts", "translate_labels",

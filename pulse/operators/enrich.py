@@ -60,13 +60,27 @@ def lookup(left: DataFrame, right: DataFrame, on: Keys, prefix: str = "") -> Dat
     return _join(left, right, on, "left")
 
 
+def _alone(left: DataFrame, rows: DataFrame, on: Keys) -> DataFrame:
+    """Rows of `left` without a partner. The keys of `rows` are reduced to their distinct values
+    before they are shuffled."""
+    present = rows.select(*key_pairs(on).values()).distinct()
+    return _join(left, present, on, "left_anti")
+
+
 def attach_many(spine: DataFrame, rows: DataFrame, on: Keys) -> DataFrame:
     """Left join for a right side with many rows per key, any key of which may be hot.
 
-    Same rows as a left join, written as the inner join (a hot key of `rows` can be split) plus
-    the spine rows without a partner, found against the distinct keys, which are reduced before
-    the shuffle.
+    Same rows as a left join, written as the inner join, where a hot key of `rows` can be split,
+    plus the spine rows without a partner.
     """
-    present = rows.select(*key_pairs(on).values()).distinct()
-    alone = _join(spine, present, on, "left_anti")
+    alone = _alone(spine, rows, on)
     return require(spine, rows, on).unionByName(alone, allowMissingColumns=True)
+
+
+def cover(rows: DataFrame, spine: DataFrame, key: str) -> DataFrame:
+    """`rows` plus one row, null but for its key, for every key of `spine` they lack.
+
+    An inner join with covered rows keeps the whole spine. Several such sides can be joined to
+    one spine without a left join, in which a hot key of theirs could not be split.
+    """
+    return rows.unionByName(_alone(spine.select(key), rows, key), allowMissingColumns=True)

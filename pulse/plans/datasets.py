@@ -16,9 +16,9 @@ from pulse.functions import (
     as_boolean, as_long, as_timestamp, month_key, not_before, shift_hours, stamp,
 )
 from pulse.operators import (
-    attach_many, attach_metrics, class_ladder, conditional_counts, distinct_by, distinct_split,
-    first_per_key, flag_owner, keep_members, link_state, link_status, lookup, open_links,
-    recency_flag, require, require_chain, split_counts, translate_labels,
+    attach_many, attach_metrics, class_ladder, conditional_counts, cover, distinct_by,
+    distinct_split, first_per_key, flag_owner, keep_members, link_state, link_status, lookup,
+    open_links, recency_flag, require, require_chain, split_counts, translate_labels,
 )
 from pulse.plans.params import Params
 
@@ -207,7 +207,8 @@ def site_state(tables: Tables, params: Params) -> DataFrame:
     """D5: one row per farm, company and portfolio, with the farm's profile and counts.
 
     The profile has one row per farm. Companies and portfolios, of which a farm may have any
-    number, are attached to the bare farm keys, and the profile is joined to that.
+    number, are covered for all farms and joined to each other and to the profile; the three
+    share one partitioning by farm.
     """
     farms = tables["farms"]
     farms = farms.filter(as_long(farms, "code") > 0)
@@ -250,8 +251,10 @@ def site_state(tables: Tables, params: Params) -> DataFrame:
     )
     portfolios = lookup(portfolios, people, "responsible_id").drop("responsible_id")
 
-    owned = attach_many(pick(farms, farm_id="id"), companies, "farm_id")
-    owned = attach_many(owned, portfolios, "farm_id")
+    farm_keys = pick(farms, farm_id="id")
+    owned = require(
+        cover(companies, farm_keys, "farm_id"), cover(portfolios, farm_keys, "farm_id"), "farm_id"
+    )
     return require(owned, profile, "farm_id").select(
         "code", F.col("farm_id").alias("id"), "contract_status", "deleted_at",
         "colares_contratados", "cowbaby_contratados", "cenvs_contradados", "plan",
