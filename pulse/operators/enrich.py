@@ -1,9 +1,10 @@
 """Equi joins by column name.
 
 No join carries a broadcast hint: Spark broadcasts a side whose estimated or measured size is
-under `spark.sql.autoBroadcastJoinThreshold` and shuffles otherwise. A hot key on the left of
-`require` or `lookup` is split by adaptive execution. It cannot split the right side of a left
-join, so rows that may pile up on one key there go through `attach_many`.
+under `spark.sql.autoBroadcastJoinThreshold` and shuffles otherwise. A hot key on the left is
+split by adaptive execution where both sides come straight from a shuffle; `split_hot` makes
+them do so. The right side of a left join cannot be split, so rows that may pile up on one key
+there go through `attach_many` or `cover`.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # One column name for both sides, several of them, or {left name: right name}.
 Keys = str | Iterable[str] | Mapping[str, str]
@@ -27,9 +29,24 @@ def key_pairs(on: Keys) -> dict[str, str]:
     return {name: name for name in on}
 
 
-def _join(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFrame:
+def _key_hash(df: DataFrame, keys: Iterable[str]) -> Column:
+    """A hash that is equal for equal keys of any integer width."""
+    integral = {name for name in keys if isinstance(df.schema[name].dataType, T.IntegralType)}
+    return F.xxhash64(
+        *(F.col(name).cast("bigint") if name in integral else F.col(name) for name in keys)
+    )
+
+
+def _join(
+    left: DataFrame, right: DataFrame, on: Keys, how: str, split_hot: bool = False
+) -> DataFrame:
     """Join and drop the right keys. `=` semantics: a null key matches nothing."""
     pairs = key_pairs(on)
+    if split_hot:
+        # The hash says nothing the keys do not say, but no side is partitioned by it yet.
+        left = left.withColumn("__hash", _key_hash(left, pairs))
+        right = right.withColumn("__hash", _key_hash(right, pairs.values()))
+        return _join(left, right, {**pairs, "__hash": "__hash"}, how).drop("__hash")
     taken = {right_key: f"__right_{right_key}" for right_key in pairs.values()}
     right = right.withColumnsRenamed(taken)
     if how in ("inner", "left"):
@@ -40,9 +57,16 @@ def _join(left: DataFrame, right: DataFrame, on: Keys, how: str) -> DataFrame:
     return left.join(right, reduce(and_, conditions), how).drop(*taken.values())
 
 
-def require(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
-    """Inner join: rows of `left` without a partner are dropped."""
-    return _join(left, right, on, "inner")
+def require(
+    left: DataFrame, right: DataFrame, on: Keys, *, split_hot: bool = False
+) -> DataFrame:
+    """Inner join: rows of `left` without a partner are dropped.
+
+    With `split_hot` both sides are shuffled for this join alone, even where the right side is
+    partitioned by the key already, being the result of a join or a grouping on it. The key
+    must have one type, up to the width of integers.
+    """
+    return _join(left, right, on, "inner", split_hot)
 
 
 def require_chain(df: DataFrame, steps: Iterable[tuple[DataFrame, Keys]]) -> DataFrame:
@@ -50,14 +74,17 @@ def require_chain(df: DataFrame, steps: Iterable[tuple[DataFrame, Keys]]) -> Dat
     return reduce(lambda acc, step: require(acc, *step), steps, df)
 
 
-def lookup(left: DataFrame, right: DataFrame, on: Keys, prefix: str = "") -> DataFrame:
-    """Left join; `prefix` names the role of the right side in its columns."""
+def lookup(
+    left: DataFrame, right: DataFrame, on: Keys, *, prefix: str = "", split_hot: bool = False
+) -> DataFrame:
+    """Left join; `prefix` names the role of the right side in its columns. `split_hot` as in
+    `require`."""
     if prefix:
         keep = set(key_pairs(on).values())
         right = right.withColumnsRenamed(
             {name: f"{prefix}{name}" for name in right.columns if name not in keep}
         )
-    return _join(left, right, on, "left")
+    return _join(left, right, on, "left", split_hot)
 
 
 def _alone(left: DataFrame, rows: DataFrame, on: Keys) -> DataFrame:

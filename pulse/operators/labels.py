@@ -22,6 +22,6 @@ def translate_labels(
     if mapping is None:
         return df.withColumn(out, F.col(column))
     unique = mapping.groupBy(F.col(source).alias("__source")).agg(F.min(target).alias(out))
-    return lookup(df, unique, {column: "__source"}).withColumn(
+    return lookup(df, unique, {column: "__source"}, split_hot=True).withColumn(
         out, F.coalesce(F.col(out), F.col(column))
     )

@@ -95,12 +95,12 @@ def linked_devices(tables: Tables, params: Params) -> DataFrame:
         as_timestamp(collars, "last_read").alias("ultima_leitura"),
         device_flag(collars, "last_read", params).alias("status_coleira"),
     )
-    # The two joins on the animal come first and share one shuffle of the links.
-    linked = require(
-        links, pick(tables["animals"], "farm_id", animal_id="id", brinco="earring"), "animal_id"
-    )
-    linked = lookup(linked, top_breed(tables["animal_breed"]), "animal_id")
-    linked = require(linked, pick(tables["farms"], farm_id="id", farm="code"), "farm_id")
+    # Farm and breed are looked up per animal, so the links are shuffled by animal and by collar
+    # only.
+    herd = pick(tables["animals"], "farm_id", animal_id="id", brinco="earring")
+    herd = lookup(herd, top_breed(tables["animal_breed"]), "animal_id")
+    herd = require(herd, pick(tables["farms"], farm_id="id", farm="code"), "farm_id")
+    linked = require(links, herd, "animal_id", split_hot=True)
     return require(linked, collars, "collar_id").select(
         "animal_id", "collar_id", "data_vinculacao", "data_remocao", "brinco", "farm",
         "serial_coleira", "ultima_leitura", "breed", "status_vinculo", "status_coleira",
@@ -207,8 +207,7 @@ def site_state(tables: Tables, params: Params) -> DataFrame:
     """D5: one row per farm, company and portfolio, with the farm's profile and counts.
 
     The profile has one row per farm. Companies and portfolios, of which a farm may have any
-    number, are covered for all farms and joined to each other and to the profile; the three
-    share one partitioning by farm.
+    number, are covered for all farms, joined to each other, and then to the profile.
     """
     farms = tables["farms"]
     farms = farms.filter(as_long(farms, "code") > 0)
@@ -255,7 +254,7 @@ def site_state(tables: Tables, params: Params) -> DataFrame:
     owned = require(
         cover(companies, farm_keys, "farm_id"), cover(portfolios, farm_keys, "farm_id"), "farm_id"
     )
-    return require(owned, profile, "farm_id").select(
+    return require(owned, profile, "farm_id", split_hot=True).select(
         "code", F.col("farm_id").alias("id"), "contract_status", "deleted_at",
         "colares_contratados", "cowbaby_contratados", "cenvs_contradados", "plan",
         "sistema_ventilacao", "system", "city", "state", "state_abbreviation", "country",

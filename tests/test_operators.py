@@ -42,6 +42,15 @@ def test_require_on_two_keys(spark):
     assert rows(op.require(left, right, ["a", "b"])) == [(1, 1, 10), (1, 1, 11)]
 
 
+def test_split_hot_changes_no_row(spark, sites):
+    visits = table(spark, site=pa.array([1, 1, 9, None], pa.int32()), who=["x", "y", "z", "n"])
+    for join in (op.require, op.lookup):
+        plain = join(visits, sites, {"site": "site_id"})
+        split = join(visits, sites, {"site": "site_id"}, split_hot=True)
+        assert split.columns == plain.columns
+        assert rows(split) == rows(plain)
+
+
 def test_lookup_keeps_rows_and_prefixes_the_role(spark, sites):
     visits = table(spark, site_id=[1, 9, None])
     joined = op.lookup(visits, sites, "site_id", prefix="visited_")

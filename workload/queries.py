@@ -95,7 +95,7 @@ def many_links(part, lineitem, orders):
 def composite_join(lineitem):
     first = lineitem.groupBy("l_partkey", "l_suppkey").agg(F.min("l_shipdate").alias("first_ship"))
     lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return op.require(lines, first, ["l_partkey", "l_suppkey"])
+    return op.require(lines, first, ["l_partkey", "l_suppkey"], split_hot=True)
 
 
 @over("lineitem")
