@@ -7,9 +7,11 @@ line items, accesses are events, sensors are suppliers. Every table grows with t
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from datetime import datetime
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.plans import Params
@@ -22,6 +24,9 @@ NATION_PORTFOLIO = 1_000_000_000
 PAGE_LABELS = [("click", "clique"), ("view", "visualizacao"), ("purchase", "compra")]
 
 
+Base = Callable[[str], DataFrame]
+
+
 def label_table(spark: SparkSession) -> DataFrame:
     pairs = ", ".join(f"('{source}', '{target}')" for source, target in PAGE_LABELS)
     return spark.sql(f"select * from values {pairs} as pairs(source, target)")
@@ -34,17 +39,9 @@ def last_reads(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def farm_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def base(name: str) -> DataFrame:
-        return load_table(spark, name, folder=sf_dir)
-
-    customer, nation, region = base("customer"), base("nation"), base("region")
-    orders, lineitem, part = base("orders"), base("lineitem"), base("part")
-    supplier, events = base("supplier"), base("events")
-    segment, status = F.col("c_mktsegment"), F.col("o_orderstatus")
-    priority, shipped = F.col("o_orderpriority"), F.col("l_shipdate")
-
-    farms = customer.select(
+def farms(base: Base) -> DataFrame:
+    segment = F.col("c_mktsegment")
+    return base("customer").select(
         F.col("c_custkey").alias("id"),
         F.col("c_custkey").alias("code"),
         F.when(segment == "BUILDING", "true")
@@ -61,7 +58,11 @@ def farm_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.substring("c_name", 1, 8).alias("ventilation_system"),
         F.col("c_name").alias("system"),
     )
-    animals = orders.select(
+
+
+def animals(base: Base) -> DataFrame:
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    return base("orders").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("farm_id"),
         priority.alias("earring"),
@@ -86,15 +87,21 @@ def farm_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .alias("production_status"),
         F.nullif(F.col("o_custkey") % 4, F.lit(3)).alias("total_deliveries"),
     )
-    collars = part.join(
-        last_reads(lineitem), F.col("device_id") == F.col("p_partkey"), "left"
-    ).select(
+
+
+def collars(base: Base) -> DataFrame:
+    reads = last_reads(base("lineitem"))
+    return base("part").join(reads, F.col("device_id") == F.col("p_partkey"), "left").select(
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("code"),
         F.when(F.col("p_type") != "SMALL", F.col("last_read")).alias("last_read"),
         F.expr("p_partkey div 2").alias("farm_id"),
     )
-    links = lineitem.select(
+
+
+def animal_collar(base: Base) -> DataFrame:
+    shipped = F.col("l_shipdate")
+    return base("lineitem").select(
         # Small lines point at an animal that does not exist.
         F.when(F.col("l_quantity") < 3, -1 - F.col("l_orderkey"))
         .otherwise(F.col("l_orderkey"))
@@ -105,98 +112,161 @@ def farm_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .alias("removal"),
         shipped.alias("created_at"),
     )
-    breeds = lineitem.select(
+
+
+def animal_breed(base: Base) -> DataFrame:
+    return base("lineitem").select(
         F.col("l_orderkey").alias("animal_id"),
         F.col("l_partkey").cast("string").alias("breed"),
         F.nullif(F.col("l_quantity"), F.lit(50.0)).alias("numerator"),
     )
-    groups = customer.groupBy(F.expr("c_custkey div 30").alias("id")).agg(
-        F.count_if(segment == "BUILDING").alias("n_building")
+
+
+def user_activities(base: Base) -> DataFrame:
+    return base("events").select(
+        "user_id",
+        (F.col("user_id") * 10 + F.col("event_id") % 20).alias("context_id"),
+        F.lit("farm").alias("context_type"),
+        F.col("ts").alias("timestamp"),
+        F.col("event_type").alias("page"),
+        F.col("props").alias("source"),
     )
-    portfolios = groups.select(
+
+
+def users(base: Base) -> DataFrame:
+    return base("customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("name"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "2020-01-01 00:00:00").alias("deleted_at"),
+    )
+
+
+def farm_user(base: Base) -> DataFrame:
+    return base("orders").filter(F.col("o_orderstatus") == "P").select(
+        F.expr("o_custkey div 10").alias("user_id"),
+        F.col("o_custkey").alias("farm_id"),
+        F.col("o_orderpriority").alias("through_system"),
+        (F.col("o_totalprice") >= 250000).alias("active"),
+    )
+
+
+def company_user(base: Base) -> DataFrame:
+    people = base("customer").filter(F.col("c_mktsegment") == "AUTOMOBILE")
+    return people.select(
+        F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("company_id")
+    ).union(base("supplier").select("s_suppkey", "s_nationkey"))
+
+
+def farm_addresses(base: Base) -> DataFrame:
+    return base("customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("city_id")
+    )
+
+
+def cities(base: Base) -> DataFrame:
+    return base("nation").select(
+        F.col("n_nationkey").alias("id"),
+        F.col("n_name").alias("name"),
+        F.col("n_regionkey").alias("state_id"),
+    )
+
+
+def states(base: Base) -> DataFrame:
+    return base("region").select(
+        F.col("r_regionkey").alias("id"),
+        F.col("r_name").alias("name"),
+        F.substring("r_name", 1, 2).alias("abbreviation"),
+        F.col("r_regionkey").alias("country_id"),
+    )
+
+
+def countries(base: Base) -> DataFrame:
+    return base("region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("code"))
+
+
+def company_farm(base: Base) -> DataFrame:
+    sites = base("customer").filter(F.col("c_mktsegment") != "BUILDING")
+    return sites.select(
+        F.col("c_custkey").alias("farm_id"), F.col("c_nationkey").alias("company_id")
+    ).union(base("supplier").select("s_suppkey", "s_nationkey"))
+
+
+def companies(base: Base) -> DataFrame:
+    return base("nation").filter(F.col("n_regionkey") != 0).select(
+        F.col("n_nationkey").alias("id"), F.lower("n_name").alias("slug")
+    )
+
+
+def nation_portfolio(column: str) -> Column:
+    return F.col(column) + F.lit(NATION_PORTFOLIO).cast("bigint")
+
+
+def company_portfolio_farm(base: Base) -> DataFrame:
+    customer = base("customer")
+    return customer.select(
+        F.col("c_custkey").alias("farm_id"),
+        F.expr("c_custkey div 30").alias("company_portfolio_id"),
+    ).union(
+        customer.filter(F.col("c_mktsegment") == "MACHINERY").select(
+            "c_custkey", nation_portfolio("c_nationkey")
+        )
+    )
+
+
+def company_portfolios(base: Base) -> DataFrame:
+    """One per thirty customers, without a responsible user where many are builders, and one per
+    nation."""
+    groups = base("customer").groupBy(F.expr("c_custkey div 30").alias("id")).agg(
+        F.count_if(F.col("c_mktsegment") == "BUILDING").alias("n_building")
+    )
+    return groups.select(
         "id",
         F.concat(F.lit("P"), F.col("id").cast("string")).alias("name"),
         F.when(F.col("n_building") < 8, F.col("id") * 3).alias("responsible_id"),
-    ).unionByName(
-        nation.select(
-            (F.col("n_nationkey") + F.lit(NATION_PORTFOLIO).cast("bigint")).alias("id"),
-            F.col("n_name").alias("name"),
-            F.col("n_regionkey").cast("bigint").alias("responsible_id"),
+    ).union(
+        base("nation").select(
+            nation_portfolio("n_nationkey"), "n_name", F.col("n_regionkey").cast("bigint")
         )
     )
-    portfolio_farms = customer.select(
-        F.col("c_custkey").alias("farm_id"),
-        F.expr("c_custkey div 30").alias("company_portfolio_id"),
-    ).unionByName(
-        customer.filter(segment == "MACHINERY").select(
-            F.col("c_custkey").alias("farm_id"),
-            (F.col("c_nationkey") + F.lit(NATION_PORTFOLIO).cast("bigint")).alias(
-                "company_portfolio_id"
-            ),
-        )
+
+
+def collar_farm(base: Base) -> DataFrame:
+    lines = base("lineitem").select("l_orderkey", F.col("l_partkey").alias("collar_id"))
+    return base("orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("farm_id"), "collar_id"
+    )
+
+
+def c_envs(base: Base) -> DataFrame:
+    return base("supplier").select(
+        F.col("s_suppkey").alias("id"), (F.col("s_suppkey") * 16).alias("farm_id")
+    )
+
+
+def page_labels(base: Base) -> DataFrame:
+    return label_table(SparkSession.active())
+
+
+FARM_TABLES: dict[str, Callable[[Base], DataFrame]] = {
+    table.__name__: table
+    for table in (
+        animals, farms, collars, animal_collar, animal_breed, user_activities, users, farm_user,
+        company_user, farm_addresses, cities, states, countries, company_farm, companies,
+        company_portfolio_farm, company_portfolios, collar_farm, c_envs, page_labels,
     )
-    by_supplier = supplier.select("s_suppkey", "s_nationkey")
-    return {
-        "farms": farms,
-        "animals": animals,
-        "collars": collars,
-        "animal_collar": links,
-        "animal_breed": breeds,
-        "user_activities": events.select(
-            "user_id",
-            (F.col("user_id") * 10 + F.col("event_id") % 20).alias("context_id"),
-            F.lit("farm").alias("context_type"),
-            F.col("ts").alias("timestamp"),
-            F.col("event_type").alias("page"),
-            F.col("props").alias("source"),
-        ),
-        "users": customer.select(
-            F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("name"),
-            F.when(segment == "HOUSEHOLD", "2020-01-01 00:00:00").alias("deleted_at"),
-        ),
-        "farm_user": orders.filter(status == "P").select(
-            F.expr("o_custkey div 10").alias("user_id"),
-            F.col("o_custkey").alias("farm_id"),
-            priority.alias("through_system"),
-            (F.col("o_totalprice") >= 250000).alias("active"),
-        ),
-        "company_user": customer.filter(segment == "AUTOMOBILE")
-        .select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("company_id"))
-        .union(by_supplier),
-        "farm_addresses": customer.select(
-            F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("city_id")
-        ),
-        "cities": nation.select(
-            F.col("n_nationkey").alias("id"),
-            F.col("n_name").alias("name"),
-            F.col("n_regionkey").alias("state_id"),
-        ),
-        "states": region.select(
-            F.col("r_regionkey").alias("id"),
-            F.col("r_name").alias("name"),
-            F.substring("r_name", 1, 2).alias("abbreviation"),
-            F.col("r_regionkey").alias("country_id"),
-        ),
-        "countries": region.select(
-            F.col("r_regionkey").alias("id"), F.col("r_name").alias("code")
-        ),
-        "company_farm": customer.filter(segment != "BUILDING")
-        .select(F.col("c_custkey").alias("farm_id"), F.col("c_nationkey").alias("company_id"))
-        .union(by_supplier),
-        "companies": nation.filter(F.col("n_regionkey") != 0).select(
-            F.col("n_nationkey").alias("id"), F.lower("n_name").alias("slug")
-        ),
-        "company_portfolio_farm": portfolio_farms,
-        "company_portfolios": portfolios,
-        "collar_farm": orders.join(lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").alias("farm_id"), F.col("l_partkey").alias("collar_id")
-        ),
-        "c_envs": supplier.select(
-            F.col("s_suppkey").alias("id"), (F.col("s_suppkey") * 16).alias("farm_id")
-        ),
-        "page_labels": label_table(spark),
-    }
+}
+
+
+def farm_tables(
+    spark: SparkSession, sf_dir: str, names: Iterable[str] | None = None
+) -> dict[str, DataFrame]:
+    """The named tables, or all of them."""
+
+    @cache
+    def base(name: str) -> DataFrame:
+        return load_table(spark, name, folder=sf_dir)
+
+    return {name: FARM_TABLES[name](base) for name in names or FARM_TABLES}
 
 
 FARM_SQL = {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulse import operators as op
 from pulse.functions import as_boolean, as_timestamp, month_key, not_before, shift_hours, stamp
-from pulse.plans import DATASETS, build_dataset
+from pulse.plans import DATASETS, build_dataset, source_tables
 from pulse.session import configure
 from pulse.sources import load_table, load_tables
 from workload.farm_tables import PARAMS, farm_tables, label_table, last_reads
@@ -290,7 +290,8 @@ def row_diff(orders, lineitem):
 def dataset_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
-        return build_dataset(name, farm_tables(spark, sf_dir), PARAMS)
+        must, may = source_tables([name])
+        return build_dataset(name, farm_tables(spark, sf_dir, must + may), PARAMS)
 
     return query
 
