@@ -7,8 +7,8 @@ from pulse.session import build_session
 def spark():
     session = build_session(
         "tests",
-        master="local[4]",
-        shuffle_partitions=4,
+        master="local[8]",
+        shuffle_partitions=2,
         settings={"spark.ui.enabled": "false", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")

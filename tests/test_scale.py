@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from farm_fixture import PARAMS, farm_tables
 from pulse import operators as op
-from pulse.plans import build_dataset
+from pulse.plans import build_dataset, run
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -173,3 +173,23 @@ def test_site_state_reads_each_metric_table_once(spark):
     scans = [line for line in plan_of(df).split("\n") if "FileScan" in line]
     assert sum("o_orderpriority" in line for line in scans) == 1
     assert sum("p_partkey" in line for line in scans) == 1
+
+
+def test_a_sorted_list_spreads_a_hot_farm(spark, skewed):
+    sensors = spark.range(0, N, 1, 8).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 300 + 2)
+        .cast("long").alias("farm_id")
+    )
+    with settings(spark, AT_SCALE):
+        df = build_dataset("c_env_list", skewed | {"c_envs": sensors}, PARAMS)
+        sizes = df.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in sizes) == N
+    assert max(row["count"] for row in sizes) < N / 4
+
+
+def test_the_full_run_holds_under_skew(spark, skewed, tmp_path):
+    with settings(spark, AT_SCALE):
+        paths = run(skewed, PARAMS, str(tmp_path), ["parquet"], ["users_active", "contagem_acessos"])
+        stored = spark.read.parquet(paths["contagem_acessos"]["parquet"])
+    planned = build_dataset("contagem_acessos", skewed, PARAMS)
+    assert op.row_diff(stored, planned).count() == 0
