@@ -1,4 +1,4 @@
-"""Command line: `spark-submit -m` style entry for a full run."""
+"""Write the reporting datasets: `python -m pulse --help`."""
 
 from __future__ import annotations
 
@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--formats", nargs="+", default=["parquet", "csv"])
     parser.add_argument("--only", nargs="+", choices=list(DATASETS))
     parser.add_argument("--single-file", action="store_true")
+    parser.add_argument("--in-place", action="store_true",
+                        help="write folders straight to their place (object stores)")
     parser.add_argument("--legacy-dates", action="store_true")
     parser.add_argument("--shuffle-partitions", type=int)
     args = parser.parse_args(argv)
@@ -39,7 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     since = {"since": args.since} if args.since else {}
     run(
         tables, Params(as_of=args.as_of, **since), args.out, args.formats, args.only,
-        single_file=args.single_file,
+        single_file=args.single_file, in_place=args.in_place,
     )
 
 

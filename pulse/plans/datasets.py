@@ -1,7 +1,8 @@
 """The eight reporting datasets, each a lazy plan over the source tables and the parameters.
 
 Joins are ordered so that the largest table of a dataset is shuffled as rarely as possible, and
-every table is cut to the columns in use before it is joined.
+every table is cut to the columns in use before it is joined. The names of source and output
+columns are fixed values, shared with the writers of the tables and the readers of the datasets.
 """
 
 from __future__ import annotations

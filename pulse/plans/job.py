@@ -23,6 +23,7 @@ def run(
     only: Collection[str] | None = None,
     *,
     single_file: bool = False,
+    in_place: bool = False,
 ) -> dict[str, dict[str, str]]:
     """Write the datasets below `out` and return their paths by dataset and format.
 
@@ -50,6 +51,7 @@ def run(
                 "parquet",
                 single_file=single_file and keep,
                 order_by=dataset.order_by,
+                in_place=in_place,
             )
             require_rows(rows.get["n_rows"], name)
             stored[name] = spark.read.schema(df.schema).parquet(path)
@@ -64,6 +66,7 @@ def run(
                     "csv",
                     single_file=single_file,
                     order_by=dataset.order_by,
+                    in_place=in_place,
                 )
     finally:
         remove_path(spark, staging)

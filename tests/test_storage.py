@@ -106,6 +106,13 @@ def test_a_failed_write_keeps_the_old_output(spark, tmp_path):
     assert no_staging(tmp_path)
 
 
+def test_in_place_replaces_the_folder(spark, tmp_path):
+    for n in (5, 3):
+        path = write_dataset(spark.range(n), str(tmp_path), "ids", in_place=True)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["ids.parquet"]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_a_large_output_stays_a_whole_folder(spark, tmp_path, fmt):
     df = spark.range(1000).repartition(4).sort("id")
