@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: how a time reads in a CSV output, in UTC.
+CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS]'Z'"
+
+
 def timestamp_literal(moment: datetime) -> Column:
     """A naive UTC moment as a constant without time zone."""
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pulse.functions.calendar import CSV_TIME_FORMAT
+
 
 def read_any(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a Parquet or CSV file or folder, told apart by the end of its name. CSV columns are
     text unless a schema is given."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     if path.rstrip("/").endswith(".csv"):
-        return reader.option("header", True).csv(path)
+        return reader.options(header=True, timestampNTZFormat=CSV_TIME_FORMAT).csv(path)
     return reader.parquet(path)
 
 

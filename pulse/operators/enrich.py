@@ -29,12 +29,22 @@ def key_pairs(on: Keys) -> dict[str, str]:
     return {name: name for name in on}
 
 
+def _width_free(kind: T.DataType) -> T.DataType:
+    return T.LongType() if isinstance(kind, T.IntegralType) else kind
+
+
+def _hashable_alike(left: DataFrame, right: DataFrame, pairs: Mapping[str, str]) -> bool:
+    """Whether equal keys have equal hashes: one type on both sides, up to the width of integers,
+    and no floating point, where two zeros are equal."""
+    kinds = {
+        a: (_width_free(left.schema[a].dataType), _width_free(right.schema[b].dataType))
+        for a, b in pairs.items()
+    }
+    return all(x == y and not isinstance(x, T.FractionalType) for x, y in kinds.values())
+
+
 def _key_hash(df: DataFrame, keys: Iterable[str]) -> Column:
-    """A hash that is equal for equal keys of any integer width."""
-    integral = {name for name in keys if isinstance(df.schema[name].dataType, T.IntegralType)}
-    return F.xxhash64(
-        *(F.col(name).cast("bigint") if name in integral else F.col(name) for name in keys)
-    )
+    return F.xxhash64(*(F.col(key).cast(_width_free(df.schema[key].dataType)) for key in keys))
 
 
 def _join(
@@ -42,7 +52,7 @@ def _join(
 ) -> DataFrame:
     """Join and drop the right keys. `=` semantics: a null key matches nothing."""
     pairs = key_pairs(on)
-    if split_hot:
+    if split_hot and _hashable_alike(left, right, pairs):
         # The hash says nothing the keys do not say, but no side is partitioned by it yet.
         left = left.withColumn("__hash", _key_hash(left, pairs))
         right = right.withColumn("__hash", _key_hash(right, pairs.values()))
@@ -63,8 +73,7 @@ def require(
     """Inner join: rows of `left` without a partner are dropped.
 
     With `split_hot` both sides are shuffled for this join alone, even where the right side is
-    partitioned by the key already, being the result of a join or a grouping on it. The key
-    must have one type, up to the width of integers.
+    partitioned by the key already, being the result of a join or a grouping on it.
     """
     return _join(left, right, on, "inner", split_hot)
 

@@ -36,7 +36,7 @@ def top_breed(breeds: DataFrame) -> DataFrame:
     return first_per_key(
         breeds,
         ["animal_id"],
-        [F.col("numerator").desc_nulls_last(), F.col("breed").asc_nulls_last()],
+        [F.col("numerator").desc_nulls_last()],
         keep=["animal_id", "breed"],
     )
 
@@ -304,7 +304,7 @@ def user_directory(tables: Tables, params: Params) -> DataFrame:
     farm = first_per_key(
         tables["farm_user"],
         ["user_id"],
-        [F.col(name).asc_nulls_last() for name in farm_columns],
+        [F.col("farm_id").asc_nulls_last()],
         keep=["user_id", *farm_columns],
     )
     company = first_per_key(

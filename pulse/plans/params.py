@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 # The words written to the datasets.
 DEVICE_ACTIVE = "ativa"
@@ -31,10 +31,14 @@ class Words:
     parity_null: str | None = None
 
 
+def naive_utc(moment: datetime) -> datetime:
+    return moment.astimezone(UTC).replace(tzinfo=None) if moment.tzinfo else moment
+
+
 @dataclass(frozen=True)
 class Params:
-    """`as_of` and `since` are naive UTC times. `context_type` limits accesses to one kind of
-    context; by default the kind is not looked at."""
+    """`as_of` and `since` are UTC unless they carry another zone. `context_type` limits accesses
+    to one kind of context; by default the kind is not looked at."""
 
     as_of: datetime
     since: datetime = datetime(2025, 1, 1)
@@ -42,3 +46,7 @@ class Params:
     shift_hours: int = 3
     context_type: str | None = None
     words: Words = field(default_factory=Words)
+
+    def __post_init__(self) -> None:
+        for name in ("as_of", "since"):
+            object.__setattr__(self, name, naive_utc(getattr(self, name)))

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 from farm_fixture import PARAMS, ROWS, farm_tables
-from pulse.plans import DATASETS, build_dataset
+from pulse.plans import DATASETS, Params, build_dataset
 
 
 def rows(df, *columns):
@@ -93,7 +93,7 @@ def test_context_type_filter_is_optional(spark):
     log = [(7, 1, "farm", "2025-03-01 10:00:00", "a"), (7, 1, "company", "2025-03-01 10:00:00", "b")]
     tables = farm_tables(spark, user_activities=(columns, log))
     assert build_dataset("users_active", tables, PARAMS).count() == 2
-    only_farms = PARAMS.__class__(as_of=PARAMS.as_of, context_type="farm")
+    only_farms = Params(as_of=PARAMS.as_of, context_type="farm")
     assert rows(build_dataset("users_active", tables, only_farms), "page") == [("a",)]
 
 
@@ -172,3 +172,7 @@ def test_building_runs_no_job(spark):
     for name in DATASETS:
         build_dataset(name, tables, PARAMS)
     assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_times_with_a_zone_become_utc():
+    assert Params(as_of=datetime.fromisoformat("2025-03-10T09:00:00-03:00")).as_of == PARAMS.as_of

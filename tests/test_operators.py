@@ -51,6 +51,13 @@ def test_split_hot_changes_no_row(spark, sites):
         assert rows(split) == rows(plain)
 
 
+def test_split_hot_with_keys_of_two_types_stays_a_plain_join(spark, sites):
+    visits = table(spark, site=["1", "9"])
+    assert rows(op.require(visits, sites, {"site": "site_id"}, split_hot=True)) == [("1", "a")]
+    zeros = table(spark, x=[0.0]), table(spark, y=[-0.0])
+    assert op.require(*zeros, {"x": "y"}, split_hot=True).count() == 1
+
+
 def test_lookup_keeps_rows_and_prefixes_the_role(spark, sites):
     visits = table(spark, site_id=[1, 9, None])
     joined = op.lookup(visits, sites, "site_id", prefix="visited_")

@@ -91,6 +91,14 @@ def test_csv_has_a_header_and_tells_null_from_empty(spark, tmp_path):
     assert Path(path).read_text() == 'id,note\n1,"a,b"\n2,""\n3,\n'
 
 
+def test_csv_times_read_like_instants_in_utc(spark, tmp_path):
+    naive = spark.sql("select timestamp_ntz'2025-03-01 10:00:00' as t")
+    path = write_dataset(naive, str(tmp_path), "naive", "csv", single_file=True)
+    instant = naive.selectExpr("cast(t as timestamp) as t")
+    other = write_dataset(instant, str(tmp_path), "instant", "csv", single_file=True)
+    assert Path(path).read_text() == Path(other).read_text() == "t\n2025-03-01T10:00:00.000Z\n"
+
+
 def test_an_output_may_read_from_the_one_it_replaces(spark, tmp_path):
     path = write_dataset(spark.range(10), str(tmp_path), "ids")
     more = spark.read.parquet(path).selectExpr("id + 1 as id")

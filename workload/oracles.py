@@ -141,12 +141,14 @@ ORACLES = {
         select device_id, last_read,
           case when {FRESH} then 'active' else 'inactive' end status
         from (select l_partkey device_id,
-            case when l_partkey % 10 <> 0 then max(l_shipdate) end last_read
+            max(case when l_linestatus = 'F' and l_returnflag = 'A' then l_shipdate end) last_read
           from lineitem group by l_partkey) d""",
     "class_ladder": """
-        select o_orderkey,
-          case when k = 0 then 'none' when k = 1 then 'first' else 'multi' end class
-        from (select o_orderkey, nullif(o_custkey % 4, 3) k from orders) t""",
+        select l_orderkey, l_partkey,
+          case when k is null then 'unknown' when k = 0 then 'none' when k = 1 then 'first'
+            else 'multi' end class,
+          case when k = 0 then 'none' when k = 1 then 'first' else 'multi' end plain_class
+        from (select l_orderkey, l_partkey, nullif(l_linenumber - 1, 3) k from lineitem) t""",
     "translate_labels": f"""
         select event_id, event_type, coalesce(target, event_type) label
         from events left join ({FARM_SQL["page_labels"]}) m on m.source = event_type""",
@@ -157,10 +159,10 @@ ORACLES = {
     "snapshot_stamp": "select o_orderkey, '2001-08-01' extraction_date from orders",
     "safe_casts": """
         select event_id,
-          try_cast(case when event_id % 3 = 0 then '2024-02-03 04:05:06' else event_type end
+          try_cast(case when event_type = 'click' then '2024-02-03 04:05:06' else event_type end
             as timestamp) t,
-          try_cast(case event_id % 4 when 0 then 'true' when 1 then '0' when 2 then event_type end
-            as boolean) b
+          try_cast(case event_type when 'view' then 'true' when 'error' then '0'
+            when 'signup' then null else event_type end as boolean) b
         from events""",
     "null_safe_flag": f"""
         select user_id, manager_user_id, is_manager, count(*) n
@@ -182,7 +184,18 @@ ORACLES = {
           select o_orderkey key, 1 a, null b from orders
           union all select l_orderkey, null, 1 from lineitem) t
         group by key having count(a) <> count(b)""",
-    "ds_device_status": with_farm_tables(
+}
+
+# The datasets over the farm tables: (tables, query, named subqueries).
+FarmSql = tuple[list[str], str, dict[str, str]]
+
+
+def farm_sql(tables: list[str], query: str, **more: str) -> FarmSql:
+    return tables, query, more
+
+
+DATASETS: dict[str, FarmSql] = {
+    "ds_device_status": farm_sql(
         ["collars", "animal_collar", "animals", "farms"],
         f"""
         select c.id collar_id, c.code serial_coleira, c.last_read ultima_leitura,
@@ -193,7 +206,7 @@ ORACLES = {
           left join farms f on f.id = k.farm_id""",
         open_links=OPEN,
     ),
-    "ds_linked_devices": with_farm_tables(
+    "ds_linked_devices": farm_sql(
         ["collars", "animal_collar", "animals", "farms", "animal_breed"],
         f"""
         select k.animal_id, k.collar_id, k.created_at data_vinculacao, k.removal data_remocao,
@@ -205,7 +218,7 @@ ORACLES = {
           left join top_breed b on b.animal_id = a.id""",
         top_breed=TOP_BREED,
     ),
-    "ds_animals": with_farm_tables(
+    "ds_animals": farm_sql(
         ["animals", "farms", "animal_breed"],
         """
         select f.code farm, a.id animal_id, a.earring brinco, a.birth data_nascimento,
@@ -220,15 +233,15 @@ ORACLES = {
         where try_cast(f.demo as boolean) = false""",
         top_breed=TOP_BREED,
     ),
-    "ds_user_activity": with_farm_tables(
+    "ds_user_activity": farm_sql(
         ["user_activities", "users", "farms", "farm_user", "page_labels"],
         """
         select x.*, coalesce(p.target, x.page) page_traduzida
         from accesses x left join page_labels p on p.source = x.page""",
         accesses=MEMBER_ACCESSES,
     ),
-    "ds_site_state": with_farm_tables(STATE_TABLES, STATES),
-    "ds_access_by_month": with_farm_tables(
+    "ds_site_state": farm_sql(STATE_TABLES, STATES),
+    "ds_access_by_month": farm_sql(
         [*STATE_TABLES, "user_activities", "farm_user"],
         """
         select year_month, user_id,
@@ -242,7 +255,7 @@ ORACLES = {
         select x.user_id, strftime(x.acesso_timestamp, '%Y-%m') year_month, s.manager_user_id
         from accesses x left join farm_states s on s.code = x.farm_code""",
     ),
-    "ds_user_directory": with_farm_tables(
+    "ds_user_directory": farm_sql(
         ["users", "farm_user", "company_user"],
         """
         select user_id, name, farm_id, through_system, active, company_id from (
@@ -254,10 +267,15 @@ ORACLES = {
           where u.deleted_at is null) t
         where place = 1""",
     ),
-    "ds_sensor_list": with_farm_tables(
+    "ds_sensor_list": farm_sql(
         ["c_envs", "farms"],
         """
         select f.code farm_code, f.id farm_id, e.id ce_id
         from c_envs e join farms f on f.id = e.farm_id order by f.code, f.id, e.id""",
     ),
 }
+
+ORACLES |= {
+    key: with_farm_tables(tables, query, **more)
+    for key, (tables, query, more) in DATASETS.items()
+}

@@ -13,7 +13,7 @@ from pulse.functions import as_boolean, as_timestamp, month_key, not_before, shi
 from pulse.plans import DATASETS, build_dataset, source_tables
 from pulse.session import configure
 from pulse.sources import load_table, load_tables
-from workload.farm_tables import PARAMS, farm_tables, label_table, last_reads
+from workload.farm_tables import PARAMS, farm_tables, label_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,18 +166,23 @@ def zero_filled_metric(customer, orders):
 
 @over("lineitem")
 def recency_flag(lineitem):
-    devices = last_reads(lineitem).withColumn(
-        "last_read", F.when(F.col("device_id") % 10 != 0, F.col("last_read"))
+    # Null for parts none of whose closed lines was accepted back.
+    accepted = (F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A")
+    devices = lineitem.groupBy(F.col("l_partkey").alias("device_id")).agg(
+        F.max(F.when(accepted, F.col("l_shipdate"))).alias("last_read")
     )
     flag = op.recency_flag(devices, "last_read", AS_OF, WINDOW, "active", "inactive")
     return devices.withColumn("status", flag)
 
 
-@over("orders")
-def class_ladder(orders):
-    rank = F.nullif(F.col("o_custkey") % 4, F.lit(3))
-    return orders.select(
-        "o_orderkey", op.class_ladder(rank, {0: "none", 1: "first"}, "multi").alias("class")
+@over("lineitem")
+def class_ladder(lineitem):
+    rank = F.nullif(F.col("l_linenumber") - 1, F.lit(3))
+    return lineitem.select(
+        "l_orderkey",
+        "l_partkey",
+        op.class_ladder(rank, {0: "none", 1: "first"}, "multi", null_label="unknown").alias("class"),
+        op.class_ladder(rank, {0: "none", 1: "first"}, "multi").alias("plain_class"),
     )
 
 
@@ -204,13 +209,11 @@ def snapshot_stamp(orders):
 
 @over("events")
 def safe_casts(events):
-    kind = F.col("event_id") % 4
+    kind = F.col("event_type")
     text = events.select(
         "event_id",
-        F.when(F.col("event_id") % 3 == 0, "2024-02-03 04:05:06")
-        .otherwise(F.col("event_type"))
-        .alias("t"),
-        F.when(kind == 0, "true").when(kind == 1, "0").when(kind == 2, F.col("event_type"))
+        F.when(kind == "click", "2024-02-03 04:05:06").otherwise(kind).alias("t"),
+        F.when(kind == "view", "true").when(kind == "error", "0").when(kind != "signup", kind)
         .alias("b"),
     )
     return text.select(
