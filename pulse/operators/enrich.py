@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,21 +49,27 @@ def _key_hash(df: DataFrame, keys: Iterable[str]) -> Column:
 def _join(
     left: DataFrame, right: DataFrame, on: Keys, how: str, split_hot: bool = False
 ) -> DataFrame:
-    """Join and drop the right keys. `=` semantics: a null key matches nothing."""
+    """The columns of `left`, then those of `right` but for its keys. `=` semantics: a null key
+    matches nothing."""
     pairs = key_pairs(on)
+    brought = []
+    if how in ("inner", "left"):
+        brought = [name for name in right.columns if name not in pairs.values()]
+        clash = set(left.columns) & set(brought)
+        if clash:
+            raise ValueError(f"columns on both sides, rename them first: {sorted(clash)}")
     if split_hot and _hashable_alike(left, right, pairs):
         # The hash says nothing the keys do not say, but no side is partitioned by it yet.
         left = left.withColumn("__hash", _key_hash(left, pairs))
         right = right.withColumn("__hash", _key_hash(right, pairs.values()))
         return _join(left, right, {**pairs, "__hash": "__hash"}, how).drop("__hash")
-    taken = {right_key: f"__right_{right_key}" for right_key in pairs.values()}
-    right = right.withColumnsRenamed(taken)
-    if how in ("inner", "left"):
-        clash = set(left.columns) & set(right.columns)
-        if clash:
-            raise ValueError(f"columns on both sides, rename them first: {sorted(clash)}")
-    conditions: list[Column] = [F.col(a) == F.col(taken[b]) for a, b in pairs.items()]
-    return left.join(right, reduce(and_, conditions), how).drop(*taken.values())
+    renamed = {b: a for a, b in pairs.items() if a != b}
+    if renamed:
+        right = right.withColumnsRenamed(renamed)
+    joined = left.join(right, list(pairs), how)
+    # A join on names puts the keys first.
+    in_order = left.columns[: len(pairs)] == list(pairs)
+    return joined if in_order else joined.select(*left.columns, *brought)
 
 
 def require(

@@ -83,7 +83,7 @@ def test_attach_many_equals_a_left_join(spark, sites):
     visits = table(spark, site=[1, 1, 3, 9, None], who=["x", "y", "z", "w", "n"])
     attached = op.attach_many(spine, visits, {"site_id": "site"})
     left = op.lookup(spine, visits, {"site_id": "site"})
-    assert attached.columns == left.columns
+    assert attached.columns == left.columns == ["site_id", "name", "who"]
     assert rows(attached) == rows(left)
     assert len(rows(attached)) == 5
 

@@ -11,6 +11,9 @@ import __spark_entry__ as contract
 from farm_fixture import PARAMS, farm_tables
 from pulse import operators as op
 from pulse.plans import build_dataset, run
+from pulse.plans.datasets import accesses
+from workload.farm_tables import PARAMS as DRIVER_PARAMS
+from workload.farm_tables import farm_tables as driver_farm_tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -151,14 +154,30 @@ def test_no_cross_or_nested_loop_join(spark, name):
     assert "Python" not in plan and "BroadcastExchange" not in plan
 
 
+def exchanges_above(plan, marker):
+    """How often the rows of the scan whose line has `marker` are shuffled on their way up."""
+    lines = [line for line in plan.split("\n") if line.strip(" :")]
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    (scan,) = [n for n, line in enumerate(lines) if "FileScan" in line and marker in line]
+    count, level = 0, depth[scan]
+    for n in range(scan, -1, -1):
+        if depth[n] < level:
+            level = depth[n]
+            count += "Exchange" in lines[n]
+    return count
+
+
 def test_the_access_log_is_shuffled_once(spark):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = plan_of(contract.queries()["ds_user_activity"](spark, SF_DIR))
-    with_log = [line for line in plan.split("\n") if "FileScan" in line and "event_id" in line]
-    assert len(with_log) == 1
-    assert plan.count("Exchange hashpartitioning(user_id") + plan.count(
-        "Exchange hashpartitioning(context_id"
-    ) == 2  # the log, and the memberships by user
+        tables = driver_farm_tables(spark, SF_DIR)
+        plan = plan_of(accesses(tables, DRIVER_PARAMS))
+    assert exchanges_above(plan, "event_id") == 1
+
+
+def test_links_are_shuffled_by_animal_and_by_collar_only(spark):
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_of(contract.queries()["ds_linked_devices"](spark, SF_DIR))
+    assert exchanges_above(plan, "l_linestatus") == 2
 
 
 def test_filters_and_columns_reach_the_scan(spark):
