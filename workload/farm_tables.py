@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from datetime import datetime
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -257,16 +257,22 @@ FARM_TABLES: dict[str, Callable[[Base], DataFrame]] = {
 }
 
 
+@cache
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver's table: its files are listed once per session, no rows are kept."""
+    return load_table(spark, name, folder=sf_dir)
+
+
+@cache
+def farm_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return FARM_TABLES[name](partial(driver_table, spark, sf_dir))
+
+
 def farm_tables(
     spark: SparkSession, sf_dir: str, names: Iterable[str] | None = None
 ) -> dict[str, DataFrame]:
     """The named tables, or all of them."""
-
-    @cache
-    def base(name: str) -> DataFrame:
-        return load_table(spark, name, folder=sf_dir)
-
-    return {name: FARM_TABLES[name](base) for name in names or FARM_TABLES}
+    return {name: farm_table(spark, sf_dir, name) for name in names or FARM_TABLES}
 
 
 FARM_SQL = {

@@ -12,8 +12,7 @@ from pulse import operators as op
 from pulse.functions import as_boolean, as_timestamp, month_key, not_before, shift_hours, stamp
 from pulse.plans import DATASETS, build_dataset, source_tables
 from pulse.session import configure
-from pulse.sources import load_table, load_tables
-from workload.farm_tables import PARAMS, farm_tables, label_table
+from workload.farm_tables import PARAMS, driver_table, farm_tables, label_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +26,7 @@ def over(*names: str) -> Callable[[Callable[..., DataFrame]], Query]:
     def wrap(build: Callable[..., DataFrame]) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return build(*load_tables(spark, names, folder=sf_dir).values())
+            return build(*(driver_table(spark, sf_dir, name) for name in names))
 
         return query
 
