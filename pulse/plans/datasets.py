@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions import (
@@ -41,10 +41,18 @@ def top_breed(breeds: DataFrame) -> DataFrame:
     )
 
 
-def device_flag(df: DataFrame, name: str, params: Params) -> Column:
+def collar_state(collars: DataFrame, params: Params) -> DataFrame:
+    """Collars with their last reading and whether it is recent."""
     words = params.words
-    return recency_flag(
-        df, name, params.as_of, params.window, words.device_active, words.device_inactive
+    status = recency_flag(
+        collars, "last_read", params.as_of, params.window,
+        words.device_active, words.device_inactive,
+    )
+    return collars.select(
+        F.col("id").alias("collar_id"),
+        F.col("code").alias("serial_coleira"),
+        as_timestamp(collars, "last_read").alias("ultima_leitura"),
+        status.alias("status_coleira"),
     )
 
 
@@ -59,13 +67,7 @@ def device_status(tables: Tables, params: Params) -> DataFrame:
     # Farms are looked up on the link side: collars without a link carry no null farm to a join.
     farms = pick(tables["farms"], farm_id="id", farm_code="code")
     links = lookup(links, farms, "farm_id").drop("farm_id")
-    collars = tables["collars"]
-    collars = collars.select(
-        F.col("id").alias("collar_id"),
-        F.col("code").alias("serial_coleira"),
-        as_timestamp(collars, "last_read").alias("ultima_leitura"),
-        device_flag(collars, "last_read", params).alias("status_coleira"),
-    )
+    collars = collar_state(tables["collars"], params)
     return attach_many(collars, links, "collar_id").select(
         *collars.columns,
         link_state(F.col("animal_id"), params.words.linked, params.words.unlinked).alias(
@@ -79,7 +81,7 @@ def device_status(tables: Tables, params: Params) -> DataFrame:
 
 def linked_devices(tables: Tables, params: Params) -> DataFrame:
     """D2: one row per link, open or closed."""
-    links, collars = tables["animal_collar"], tables["collars"]
+    links = tables["animal_collar"]
     links = links.select(
         "animal_id",
         "collar_id",
@@ -90,19 +92,13 @@ def linked_devices(tables: Tables, params: Params) -> DataFrame:
             F.col("removal"), params.words.link_active, params.words.link_inactive
         ).alias("status_vinculo"),
     )
-    collars = collars.select(
-        F.col("id").alias("collar_id"),
-        F.col("code").alias("serial_coleira"),
-        as_timestamp(collars, "last_read").alias("ultima_leitura"),
-        device_flag(collars, "last_read", params).alias("status_coleira"),
-    )
     # Farm and breed are looked up per animal, so the links are shuffled by animal and by collar
     # only.
     herd = pick(tables["animals"], "farm_id", animal_id="id", brinco="earring")
     herd = lookup(herd, top_breed(tables["animal_breed"]), "animal_id")
     herd = require(herd, pick(tables["farms"], farm_id="id", farm="code"), "farm_id")
     linked = require(links, herd, "animal_id", split_hot=True)
-    return require(linked, collars, "collar_id").select(
+    return require(linked, collar_state(tables["collars"], params), "collar_id").select(
         "animal_id", "collar_id", "data_vinculacao", "data_remocao", "brinco", "farm",
         "serial_coleira", "ultima_leitura", "breed", "status_vinculo", "status_coleira",
         stamp(params.as_of).alias("extraction_date"),
@@ -287,7 +283,11 @@ def managed_accesses(activity: DataFrame, states: DataFrame) -> DataFrame:
 
 def access_by_month(activity: DataFrame, states: DataFrame) -> DataFrame:
     """D6: accesses per month and user to farms of their own and of others, for users who manage
-    an accessed farm."""
+    an accessed farm.
+
+    The accesses are read twice, the second time for their farm only; from a stored dataset that
+    is one column.
+    """
     merged = managed_accesses(activity, states)
     counts = split_counts(
         merged, ["year_month", "user_id"], "manager_acess", weight="n",

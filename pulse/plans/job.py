@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pulse.operators.profile import observed, require_rows
 from pulse.plans.datasets import DATASETS, build_dataset
 from pulse.plans.params import Params
+from pulse.session import configure
 from pulse.sinks.files import remove_path, write_dataset
 
 FOLDERS = {"parquet": "etl_parquet", "csv": "etl_csv"}
@@ -33,7 +34,7 @@ def run(
     unknown = set(formats) - set(FOLDERS) | set(only or ()) - set(DATASETS)
     if unknown:
         raise ValueError(f"unknown formats or datasets: {sorted(unknown)}")
-    spark = next(iter(tables.values())).sparkSession
+    spark = configure(next(iter(tables.values())).sparkSession)
     out = out.rstrip("/")
     staging = f"{out}/_staging_{uuid.uuid4().hex}"
     stored: dict[str, DataFrame] = {}

@@ -114,6 +114,16 @@ def test_a_failed_write_keeps_the_old_output(spark, tmp_path):
     assert no_staging(tmp_path)
 
 
+@pytest.mark.parametrize("single", [False, True])
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_an_empty_dataset_keeps_its_columns(spark, tmp_path, fmt, single):
+    df = spark.range(10).selectExpr("id", "id as n").filter("id < 0")
+    path = write_dataset(df, str(tmp_path), "none", fmt, single_file=single, order_by=["id"])
+    stored = op.read_any(spark, path)
+    assert (stored.columns, stored.count()) == (["id", "n"], 0)
+    assert Path(path).is_file() == single
+
+
 def test_in_place_replaces_the_folder(spark, tmp_path):
     for n in (5, 3):
         path = write_dataset(spark.range(n), str(tmp_path), "ids", in_place=True)
