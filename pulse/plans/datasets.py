@@ -259,11 +259,12 @@ def site_state(tables: Tables, params: Params) -> DataFrame:
     )
 
 
-def managed_accesses(activity: DataFrame, states: DataFrame) -> DataFrame:
-    """Accesses counted by month, user, manager of the accessed farm and owner flag.
+def access_by_month(activity: DataFrame, states: DataFrame) -> DataFrame:
+    """D6: accesses per month and user to farms of their own and of others, for users who manage
+    an accessed farm.
 
     Both sides are counted down to their keys before they are joined; the counts multiply to the
-    number of joined rows.
+    number of joined rows. The accesses are read a second time for the set of farms in them.
     """
     log = activity.groupBy(
         month_key(F.col("acesso_timestamp")).alias("year_month"), "user_id", "farm_code"
@@ -271,29 +272,18 @@ def managed_accesses(activity: DataFrame, states: DataFrame) -> DataFrame:
     managers = states.groupBy(F.col("code").alias("farm_code"), "manager_user_id").agg(
         F.count(F.lit(1)).alias("n_states")
     )
-    merged = lookup(log, managers, "farm_code")
-    return merged.select(
+    merged = lookup(log, managers, "farm_code").select(
         "year_month",
         "user_id",
-        "manager_user_id",
         flag_owner(F.col("manager_user_id"), F.col("user_id")).alias("manager_acess"),
         (F.col("n_accesses") * F.coalesce(F.col("n_states"), F.lit(1))).alias("n"),
     )
-
-
-def access_by_month(activity: DataFrame, states: DataFrame) -> DataFrame:
-    """D6: accesses per month and user to farms of their own and of others, for users who manage
-    an accessed farm.
-
-    The accesses are read twice, the second time for their farm only; from a stored dataset that
-    is one column.
-    """
-    merged = managed_accesses(activity, states)
     counts = split_counts(
         merged, ["year_month", "user_id"], "manager_acess", weight="n",
         when_true="Contagem_Manager_True", when_false="Contagem_Manager_False",
     )
-    return keep_members(counts, merged, {"user_id": "manager_user_id"})
+    of_accessed = keep_members(managers, activity, "farm_code")
+    return keep_members(counts, of_accessed, {"user_id": "manager_user_id"})
 
 
 def user_directory(tables: Tables, params: Params) -> DataFrame:
