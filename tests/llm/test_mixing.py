@@ -1,0 +1,90 @@
+"""Mixing against a plain reading of its rules."""
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from pulse.llm import mixing
+from pulse.llm.common import WORD
+from pulse.llm.queries import QUERIES
+
+from .conftest import SMALL
+
+
+def fill(sizes, weights=(1, 2, 3), most=3):
+    """Targets by sharing again and again what stopped sources can't take."""
+    names = sorted(sizes, key=lambda name: (name is None, (name or "").encode()))
+    weight = {name: weights[i % len(weights)] for i, name in enumerate(names)}
+    stopped, target = {}, {}
+    total = sum(sizes.values())
+    while len(stopped) < len(names):
+        left = total - sum(stopped.values())
+        share = sum(weight[name] for name in names if name not in stopped)
+        target = {n: left * weight[n] / share for n in names if n not in stopped}
+        over = {n: most * sizes[n] for n in target if target[n] > most * sizes[n]}
+        if not over:
+            break
+        stopped |= over
+    return stopped | {n: t for n, t in target.items() if n not in stopped}
+
+
+def rows_of(df):
+    return [row.asDict() for row in df.collect()]
+
+
+def check(rows, text_of_row):
+    sizes = defaultdict(int)
+    for row in rows:
+        assert row["size"] == len(re.findall(WORD, text_of_row(row) or ""))
+        sizes[row["source"]] += row["size"]
+    expected = fill(dict(sizes))
+    taken = defaultdict(int)
+    for row in rows:
+        assert row["source_size"] == sizes[row["source"]]
+        assert row["target"] == pytest.approx(expected[row["source"]])
+        assert 0 <= row["taken"] <= 3 * row["size"]
+        taken[row["source"]] += row["taken"]
+    for source, words in taken.items():
+        longest = max(row["size"] for row in rows if row["source"] == source)
+        assert abs(words - expected[source]) <= longest + 1e-6
+
+
+def test_targets_and_taken_words(docs):
+    rows = rows_of(mixing.mix_sources(docs))
+    check(rows, lambda row: row["text"])
+
+
+def test_stops_nulls_ties_and_repeats(make_docs, odd_texts):
+    table = [(i, text, "a") for i, text in enumerate(odd_texts)]
+    table += [(100 + i % 3, "same words here again", None) for i in range(9)]
+    table += [(200, "tiny one", "é"), (None, "no id here", "z"), (300, "", "empty")]
+    rows = rows_of(mixing.mix_sources(make_docs(table)))
+    assert len(rows) == len(table)
+    check(rows, lambda row: row["text"])
+    assert any(row["target"] == 3 * row["source_size"] > 0 for row in rows)
+
+
+def test_reruns_agree_and_copies_are_emitted(docs):
+    once = sorted((r["doc_id"], r["copies"]) for r in rows_of(mixing.mix_sources(docs)))
+    again = mixing.mix_sources(docs.repartition(7))
+    assert once == sorted((r["doc_id"], r["copies"]) for r in rows_of(again))
+    emitted = mixing.emit_copies(again, docs.columns)
+    assert emitted.columns == docs.columns
+    assert emitted.count() == sum(copies for _, copies in once)
+
+
+def test_empty_table(make_docs):
+    assert mixing.mix_sources(make_docs([])).collect() == []
+
+
+def test_clashing_columns(make_docs):
+    from pyspark.sql import functions as F
+
+    docs = make_docs([(1, "a b c", "x")]).withColumn("size", F.lit("mine"))
+    assert rows_of(mixing.mix_sources(docs))[0]["size"] == 3
+
+
+def test_query_columns(spark):
+    df = QUERIES["op1_mix_sources"](spark, SMALL)
+    assert df.columns == ["doc_id", "size", "source_size", "target", "taken"]

@@ -1,0 +1,110 @@
+"""Personal data against the expressions as stated, run by another engine."""
+
+import hashlib
+import re
+
+from pulse.llm import pii
+from pulse.llm.queries import QUERIES
+
+from .conftest import SMALL
+
+
+def passes_luhn(digits):
+    total = 0
+    for i, digit in enumerate(map(int, reversed(digits))):
+        digit *= 1 + i % 2
+        total += digit - 9 * (digit > 9)
+    return total % 10 == 0
+
+
+def digits(match):
+    return re.sub("[^0-9]", "", match)
+
+
+BASE = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    "ip": (
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        lambda m: all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.split(".")),
+    ),
+    "card": (
+        r"[0-9]([\x20-]?[0-9])+",
+        lambda m: 12 <= len(digits(m)) <= 19 and passes_luhn(digits(m)),
+    ),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15),
+}
+
+
+def base_spans(text):
+    spans = []
+    for rank, (kind, (pattern, check)) in enumerate(BASE.items()):
+        for match in re.finditer(pattern, text or ""):
+            if check(match.group()):
+                spans.append((match.start(), rank, match.end(), kind))
+    return sorted(spans)
+
+
+def found(df):
+    return [
+        (row["text"], [(s["start"], s["rank"], s["end"], s["kind"]) for s in row["spans"]])
+        for row in pii.find_pii(df).collect()
+    ]
+
+
+SAMPLES = [
+    "mail a.b@c.de-f.g_h@i.jk, a@b@c.d @x.y a@b.c-d.e@f.g a%b@c..d x@y.z",
+    "ip 1.2.3.4.5.6.7.8 256.1.1.1 1.1.1.001 0000255.0.0.0 9.9.9.9.",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1112 and 5500005555555559 5 5",
+    "call +1 (988) 555-2485, +49.30.123456-, +1((((, +12345678901234567, +1 2",
+    "😀 é +44 20 7946 0958 😀 é@é.com naïve@exämple.com q@w.er",
+    "4111 1111 1111 1111+1 988 555 2485@a.bc",
+    "iban DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432, DE89370400440532013001",
+    "phone: (212) 555-0187 or 212.555.0187; order (212) 555-0188",
+]
+
+
+def test_base_spans_stand_as_stated(make_docs, odd_texts):
+    # The plain expressions take quadratic time on the longest runs, so those stay out here.
+    texts = SAMPLES + [text for text in odd_texts if len(text or "") < 50_000]
+    for text, spans in found(make_docs([(i, text, "s") for i, text in enumerate(texts)])):
+        base = [span for span in spans if span[3] in pii.BASE_KINDS]
+        assert base == base_spans(text)
+
+
+def test_documents(docs):
+    results = found(docs)
+    assert any(spans for _, spans in results)
+    for text, spans in results:
+        assert [span for span in spans if span[3] in pii.BASE_KINDS] == base_spans(text)
+
+
+def test_long_runs_end(make_docs, odd_texts):
+    texts = ["a" * 200_000, "1" * 200_000, "+1" * 50_000, "a@b." + "c." * 100_000, "1-" * 90_000]
+    assert len(found(make_docs([(1, text, "s") for text in texts + odd_texts]))) == 5 + len(odd_texts)
+
+
+def test_method_adds_checked_accounts_and_grouped_numbers(make_docs):
+    results = found(make_docs([(i, text, "s") for i, text in enumerate(SAMPLES[-2:])]))
+    kinds = {text: [(text[s:e], kind) for s, _, e, kind in spans] for text, spans in results}
+    ibans = [m for m, kind in kinds[SAMPLES[-2]] if kind == "iban"]
+    assert ibans == ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+    assert ("(212) 555-0187", "tel") in kinds[SAMPLES[-1]]
+    alone = found(make_docs([(1, "order (212) 555-0188 now", "s")]))
+    assert alone[0][1] == []
+
+
+def test_masking(make_docs):
+    rows = [(1, "to a@b.co from 1.2.3.4 é", "s"), (2, "clean", "s"), (3, None, "s"), (4, "", "s")]
+    texts = [row["text"] for row in pii.mask_pii(make_docs(rows)).orderBy("doc_id").collect()]
+    assert texts == ["to <EMAIL> from <IP> é", "clean", None, ""]
+    assert pii.mask_pii(make_docs([])).collect() == []
+
+
+def test_query(spark, docs):
+    text = {row["doc_id"]: row["text"] for row in docs.collect()}
+    for row in QUERIES["op6_pii"](spark, SMALL).collect():
+        spans = base_spans(text[row["doc_id"]])
+        joined = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in spans)
+        assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        for kind in BASE:
+            assert row[f"n_{kind}"] == sum(span[3] == kind for span in spans)

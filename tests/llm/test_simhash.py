@@ -1,0 +1,143 @@
+"""Fingerprints bit by bit, links by comparing all pairs, components by search."""
+
+import random
+
+import pytest
+import xxhash
+
+from pulse.llm import simhash
+from pulse.llm.queries import QUERIES
+
+from .conftest import SMALL
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(
+        1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)
+    )
+
+
+def plain_roots(values):
+    """Smallest value reachable over links of three bits or fewer, by union over all pairs."""
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a in values:
+        for b in values:
+            if (a ^ b).bit_count() <= 3:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {v: find(v) for v in values}
+
+
+def expected(rows):
+    prints = [(doc_id, plain_fingerprint(text)) for doc_id, text in rows]
+    roots = plain_roots(sorted({fp for _, fp in prints}))
+    lowest = {}
+    for doc_id, fp in prints:
+        if doc_id is not None:
+            lowest[roots[fp]] = min(lowest.get(roots[fp], doc_id), doc_id)
+    return sorted(
+        (repr(doc_id), simhash.signed(fp), lowest.get(roots[fp])) for doc_id, fp in prints
+    )
+
+
+def got(df):
+    return sorted((repr(r["doc_id"]), r["fp"], r["component_id"]) for r in df.collect())
+
+
+def test_every_pair_within_three_bits_shares_a_cell():
+    random.seed(1)
+    masks = simhash.band_masks()
+    assert len(masks) == 20
+    for _ in range(3000):
+        a = random.getrandbits(64)
+        b = a
+        for bit in random.sample(range(64), 3):
+            b ^= 1 << bit
+        assert any((a ^ b) & mask == 0 for mask in masks)
+
+
+def test_embedding_distance_is_a_lower_bound(spark):
+    import numpy as np
+
+    random.seed(2)
+    a = [random.getrandbits(64) for _ in range(500)]
+    b = [x ^ (1 << random.randrange(64)) ^ (1 << random.randrange(64)) for x in a[:250]] + a[:250]
+    df = spark.createDataFrame([(simhash.signed(x),) for x in a + b], "fp long")
+    from pyspark.sql import functions as F
+
+    values = df.select("fp", simhash.embedding(F.col("fp")).alias("e")).collect()
+    for row in values:
+        fp, e = row["fp"] % 2**64, row["e"] % 2**64
+        for i in range(0, 64, 2):
+            assert (e >> i) & 3 == ((fp >> i) & 3).bit_count()
+    by_fp = {row["fp"] % 2**64: row["e"] % 2**64 for row in values}
+    for x, y in zip(a, b, strict=True):
+        counts = [np.array([by_fp[v]], np.uint64) for v in (x, y)]
+        plain = sum(
+            abs(((x >> i) & 3).bit_count() - ((y >> i) & 3).bit_count()) for i in range(0, 64, 2)
+        )
+        assert int(simhash.manhattan(*counts)[0]) == plain <= (x ^ y).bit_count()
+
+
+@pytest.mark.parametrize("cell_rows", [simhash.CELL_ROWS, 1])
+def test_chains_of_links(spark, cell_rows):
+    """Chains, crowds and lone values; with cells of one row every shared cell is posted."""
+    random.seed(7)
+    values = []
+    for _ in range(6):
+        v = random.getrandbits(64)
+        for _ in range(12):
+            values.append(v)
+            for bit in random.sample(range(64), random.randint(1, 4)):
+                v ^= 1 << bit
+    values += [random.getrandbits(64) for _ in range(30)] + [0, 1 << 63, (1 << 64) - 1]
+    roots = plain_roots(sorted(set(values)))
+    rows = [(i, simhash.signed(v)) for i, v in enumerate(values)]
+    prints = spark.createDataFrame(rows, "doc_id long, fp long")
+    result = {r["doc_id"]: r["component_id"] for r in simhash.component_ids(prints, cell_rows).collect()}
+    first = {}
+    for i, v in enumerate(values):
+        first.setdefault(roots[v], i)
+    assert result == {i: first[roots[v]] for i, v in enumerate(values)}
+
+
+def test_odd_texts_repeats_and_nulls(make_docs, odd_texts):
+    rows = [(i, text) for i, text in enumerate(odd_texts)]
+    rows += [(50, "one"), (50, "one"), (None, "lonely text of null id"), (None, "one"), (3, "one")]
+    found = simhash.simhash_components(make_docs([(i, t, "s") for i, t in rows]))
+    assert got(found) == expected(rows)
+
+
+def test_one_document_of_each_group_stays(make_docs):
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(9, base), (4, base), (4, base), (7, base + " end"), (1, "something else"), (None, base)]
+    kept = simhash.drop_near_duplicates(make_docs([(i, t, "s") for i, t in rows])).collect()
+    groups = {component for _, _, component in expected(rows)}
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(groups)
+    assert sum(r["doc_id"] is None for r in kept) == 1
+
+
+def test_empty_table(make_docs):
+    assert simhash.simhash_components(make_docs([])).collect() == []
+    assert simhash.drop_near_duplicates(make_docs([])).collect() == []
+
+
+def test_query(spark, docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    result = QUERIES["op9_simhash"](spark, SMALL).collect()
+    assert sorted(
+        (repr(r["doc_id"]), simhash.signed(int(r["fingerprint"], 16)), r["component_id"])
+        for r in result
+    ) == expected(rows)
+    assert all(len(r["fingerprint"]) == 16 for r in result)
