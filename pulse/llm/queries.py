@@ -6,12 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import bpe, mixing, pii, quality, simhash
+from pulse.llm import ann, bpe, html, licenses, lm, mixing, pii, quality, simhash, urls
 from pulse.llm.common import read_table
 from pulse.llm.sql import ORACLES
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +25,32 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urls.filter_urls(pages, rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.train(docs.where(~lm.held_out(F.col("doc_id"))))
+    return lm.score(docs, model)
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    extracted = html.extract_text(pages, html.train(pages))
+    return extracted.select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).select("doc_id", "digest", "license_id")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("spans")
@@ -46,6 +78,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -77,8 +114,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_url_filters": op2_url_filters,
+    "op3_class_lm": op3_class_lm,
+    "op4_html_text": op4_html_text,
+    "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_nearest": op8_nearest,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
     "pipeline": pipeline,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pulse.llm.license_texts import DIGESTS, TEXTS
+from pulse.llm.licenses import COPYRIGHT_LINE, NOT_WORD, RESERVED_LINE, SPELLINGS
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 MIX_SOURCES = rf"""
@@ -43,4 +46,62 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op1_mix_sources": MIX_SOURCES}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+
+URL_FILTERS = rf"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+         ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), parsed AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '{URL}', 1), ''), '{UPPER}', '{LOWER}') AS host,
+    coalesce(regexp_extract(url, '{URL}', 2), '') AS path
+  FROM pages
+), fitting AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, rule_verdict,
+    row_number() OVER (
+      PARTITION BY page_id, host, path ORDER BY length(rule_host || rule_path) DESC NULLS LAST
+    ) AS place
+  FROM parsed LEFT JOIN rules
+    ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
+FROM fitting WHERE place = 1
+"""
+
+
+def license_scan() -> str:
+    """The canonical form, step by step, and the known digests as values."""
+    spelled = "plain"
+    for other, chosen in SPELLINGS:
+        spelled = f"regexp_replace({spelled}, '\\b{other}\\b', '{chosen}', 'g')"
+    bodies = [(name, body) for name, _, body in TEXTS]
+    bodies += [(name, f"{title}\n\n{body}") for name, title, body in TEXTS if title]
+    bodies += [(name, f"The {title} ({name})\n\n{body}") for name, title, body in TEXTS if title]
+    values = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in bodies)
+    longer = "".join(f" UNION ALL SELECT '{d}', '{name}'" for d, name in DIGESTS.items())
+
+    def digest(text: str, rows: str, keep: str) -> str:
+        lower = f"translate({text}, '{UPPER}', '{LOWER}')"
+        lines = f"regexp_replace({lower}, '{COPYRIGHT_LINE}', '', 'g')"
+        lines = f"regexp_replace({lines}, '{RESERVED_LINE}', '', 'g')"
+        return (
+            f"SELECT sha256({spelled}) AS digest, {keep} FROM (SELECT {keep}, "
+            f"trim(regexp_replace({lines}, '{NOT_WORD}', ' ', 'g')) AS plain FROM {rows})"
+        )
+
+    return f"""
+WITH bodies(license_id, body) AS (VALUES {values}),
+listed AS ({digest("body", "bodies", "license_id")}{longer}),
+known AS (SELECT digest, min(license_id) AS license_id FROM listed GROUP BY digest),
+texts AS ({digest("coalesce(text, '')", "documents", "doc_id")})
+SELECT doc_id, digest, license_id FROM texts LEFT JOIN known USING (digest)
+"""
+
+
+ORACLES = {
+    "op1_mix_sources": MIX_SOURCES,
+    "op2_url_filters": URL_FILTERS,
+    "op5_licenses": license_scan(),
+}
