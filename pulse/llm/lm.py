@@ -242,23 +242,38 @@ class Model:
     moves: np.ndarray
     emission_base: np.ndarray
     looked_up: dict[bytes, int]
+    end_count: int
     n_tokens: int
     n_words: int
 
 
+def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The words above a frequency that at most `most` words pass, most frequent first.
+
+    Frequencies are counted by steps of a fraction of an octave, of which there are few hundred, so
+    that no task sends more words to the driver than are taken."""
+    level = F.floor(F.log2("n") * 8)
+    short = counts.where(F.length("word") <= MAX_WORD_BYTES).withColumn("level", level)
+    words, lowest = 0, None
+    for row in sorted(short.groupBy("level").count().collect(), reverse=True):
+        words += row["count"]
+        if words > most:
+            break
+        lowest = row["level"]
+    if lowest is None:
+        return {}
+    taken = short.where(F.col("level") >= lowest).select("word", "n").collect()
+    return dict(sorted(((bytes(w), n) for w, n in taken), key=lambda x: (-x[1], x[0])))
+
+
 def train(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> Model:
     """Learn from all documents given."""
     small_batches(docs.sparkSession)
     texts = docs.select(text_or_empty(text).alias("text"))
     counts = stored(word_counts(texts))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = (
-        counts.where(F.length("word") <= MAX_WORD_BYTES)
-        .orderBy(F.desc("n"), "word")
-        .limit(settings.lookup_words)
-        .collect()
-    )
-    looked_up = {bytes(row["word"]): row["n"] for row in frequent}
+    looked_up = frequent_words(counts, settings.lookup_words)
+    end_count = counts.where(F.col("word") == F.lit(END)).select("n").first()
     units = Units([word for word in looked_up if word != END], settings)
     shared = docs.sparkSession.sparkContext.broadcast(units)
 
@@ -284,6 +299,7 @@ def train(docs: DataFrame, text: str = "text", settings: Settings = Settings())
         np.log10(moves),
         np.log10(size + 0.5 * (kinds + 1)),
         looked_up,
+        end_count["n"] if end_count else 0,
         total[0],
         total[1],
     )
@@ -298,7 +314,14 @@ PARTS = (
 def score_parts(texts: DataFrame, model: Model) -> DataFrame:
     """Per document one row with what tasks know, and one row per word they can't look up."""
     shared = texts.sparkSession.sparkContext.broadcast(
-        (model.units, model.classes, model.moves, model.emission_base, model.looked_up)
+        (
+            model.units,
+            model.classes,
+            model.moves,
+            model.emission_base,
+            model.looked_up,
+            model.end_count,
+        )
     )
     schema = pa.schema(
         [
@@ -314,11 +337,10 @@ def score_parts(texts: DataFrame, model: Model) -> DataFrame:
     )
 
     def parts(batches):
-        units, classes, moves, emission_base, looked_up = shared.value
+        units, classes, moves, emission_base, looked_up, end_count = shared.value
         place = {word: i for i, word in enumerate(looked_up)}
         logs = np.log10(np.array(list(looked_up.values()), float) + 0.5)
         place_class = np.array([classes[units.of(word)] for word in looked_up], int)
-        end_count = looked_up.get(END, 0)
         for batch in batches:
             rows = []
             for doc_id, text_hash, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
