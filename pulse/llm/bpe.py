@@ -29,7 +29,7 @@ from pulse.llm.common import small_batches, text_or_empty
 
 PIECES_AT_ONCE = 1 << 16
 GROUP_CHARS = 1 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 600_000
 CACHED_PAIRS = 400_000
 UNRANKED = 1 << 40
 
@@ -166,22 +166,44 @@ class PrefixTable:
 
 
 class PieceIds:
-    """Packed ids of the pieces met so far; forgotten all at once when there are too many."""
+    """Packed ids of the pieces met lately, in two generations.
+
+    When the young generation is full it becomes the old one, and the old one is dropped; pieces
+    that come again move back, so that common pieces are never encoded twice."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
-
-    def pack(self, pieces: list[str]) -> bytes:
-        return b"".join(map(self.known.__getitem__, pieces))
-
-    def learn(self, pieces: set[str]) -> None:
+        self.old: dict[str, bytes] = {}
+
+    def pack(self, lines: list[list[str]]) -> list[bytes]:
+        """The packed ids of each list of pieces."""
+        found = [list(map(self.known.get, pieces)) for pieces in lines]
+        missing = {
+            piece
+            for pieces, ids in zip(lines, found, strict=True)
+            if None in ids
+            for piece, known in zip(pieces, ids, strict=True)
+            if known is None
+        }
+        if missing:
+            self.learn(missing)
+            known = self.known
+            for pieces, ids in zip(lines, found, strict=True):
+                if None in ids:
+                    ids[:] = [x or known[piece] for piece, x in zip(pieces, ids, strict=True)]
+        return list(map(b"".join, found))
+
+    def learn(self, missing: set[str]) -> None:
         """Encode new pieces in order, each by editing the table of the one before it."""
         if len(self.known) >= CACHED_PIECES:
-            self.known.clear()
-        known, ranks = self.known, self.vocabulary.ranks
+            self.old, self.known = self.known, {}
+        known, old, ranks = self.known, self.old, self.vocabulary.ranks
+        again = missing.intersection(old)
+        known.update(zip(again, map(old.__getitem__, again), strict=True))
         table = PrefixTable(self.vocabulary)
-        for data, piece in sorted((x.encode(), x) for x in pieces.difference(known)):
+        for piece in sorted(missing.difference(again)):
+            data = piece.encode()
             rank = ranks.get(data)
             if rank is None:
                 shared = len(commonprefix((table.data, data)))
@@ -204,9 +226,7 @@ def packed_ids(texts: list[str], known: PieceIds, pattern) -> list[bytes]:
         if len(group) == 1 and len(group[0]) > GROUP_CHARS:
             packed.append(b"".join(long_ids(group[0], known, pattern)))
             continue
-        found = [pattern.findall(text) for text in group]
-        known.learn(set().union(*found))
-        packed.extend(map(known.pack, found))
+        packed.extend(known.pack([pattern.findall(text) for text in group]))
     return packed
 
 
@@ -226,8 +246,7 @@ def groups_of(texts: list[str]):
 def long_ids(text: str, known: PieceIds, pattern):
     found = (match.group() for match in pattern.finditer(text))
     while pieces := list(islice(found, PIECES_AT_ONCE)):
-        known.learn(set(pieces))
-        yield known.pack(pieces)
+        yield from known.pack([pieces])
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "ids") -> DataFrame:
