@@ -419,14 +419,15 @@ def training_pages(pages: list[str], settings: Settings) -> list[tuple[np.ndarra
 
 
 def train(pages: DataFrame, page: str = "html", order: str = "page_id", settings: Settings = Settings()) -> Labeller | None:
-    """Fit on the sample: the first pages by a hash of their id. None if no page has text."""
-    sample = (
-        pages.where(F.length(page) > 0)
-        .select(F.xxhash64(order).alias("at"), order, page)
-        .orderBy("at", order)
-        .limit(settings.sample_pages)
-    )
-    examples = training_pages([row[page] for row in sample.collect()], settings)
+    """Fit on the sample: the first pages by a hash of their id. None if no page has text.
+
+    The hashes are picked first, so that no task sends pages that are not in the sample."""
+    keyed = pages.where(F.length(page) > 0).select(F.xxhash64(order).alias("at"), page)
+    first = keyed.select("at").distinct().orderBy("at").limit(settings.sample_pages).collect()
+    sample = keyed.where(F.col("at").isin([row["at"] for row in first]))
+    chosen = sample.groupBy("at").agg(F.min(page).alias("page")).collect() if first else []
+    chosen.sort(key=lambda row: row["at"])
+    examples = training_pages([row["page"] for row in chosen], settings)
     return fit(examples, settings) if examples else None
 
 
