@@ -30,6 +30,7 @@ from pulse.llm.common import small_batches, text_or_empty
 PIECES_AT_ONCE = 1 << 16
 GROUP_CHARS = 1 << 20
 CACHED_PIECES = 600_000
+CACHED_CHARS = 1 << 23
 CACHED_PAIRS = 400_000
 UNRANKED = 1 << 40
 
@@ -168,13 +169,15 @@ class PrefixTable:
 class PieceIds:
     """Packed ids of the pieces met lately, in two generations.
 
-    When the young generation is full it becomes the old one, and the old one is dropped; pieces
-    that come again move back, so that common pieces are never encoded twice."""
+    When the young generation is full, by pieces or by their characters, it becomes the old one, and
+    the old one is dropped; pieces that come again move back, so that common pieces are never encoded
+    twice."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.chars = 0
 
     def pack(self, lines: list[list[str]]) -> list[bytes]:
         """The packed ids of each list of pieces."""
@@ -196,8 +199,9 @@ class PieceIds:
 
     def learn(self, missing: set[str]) -> None:
         """Encode new pieces in order, each by editing the table of the one before it."""
-        if len(self.known) >= CACHED_PIECES:
-            self.old, self.known = self.known, {}
+        if len(self.known) >= CACHED_PIECES or self.chars >= CACHED_CHARS:
+            self.old, self.known, self.chars = self.known, {}, 0
+        self.chars += sum(map(len, missing))
         known, old, ranks = self.known, self.old, self.vocabulary.ranks
         again = missing.intersection(old)
         known.update(zip(again, map(old.__getitem__, again), strict=True))

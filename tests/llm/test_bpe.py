@@ -102,3 +102,14 @@ def test_query(spark, docs, library):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(packed(ids)).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(text[row["doc_id"]].encode()).hexdigest()
+
+
+def test_cache_is_bounded_by_characters(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHARS", 5000)
+    random.seed(8)
+    known, pattern = bpe.PieceIds(vocabulary), bpe.tools(TOKENIZER, PATTERN)[2]
+    texts = ["".join(random.choices("abcde", k=1500)) + " again" for _ in range(30)]
+    for text in texts:
+        assert bpe.packed_ids([text], known, pattern) == [packed(library.encode_ordinary(text))]
+        assert sum(map(len, known.known)) + sum(map(len, known.old)) < 20_000
+    assert " again" in known.known
