@@ -354,8 +354,9 @@ def score_parts(texts: DataFrame, model: Model) -> DataFrame:
                 counted = logs[at[found]].sum() + np.log10(end_count + 0.5)
                 moved = moves[line[:-1], line[1:]].sum() - emission_base[line[1:]].sum()
                 known = int(found.sum()) + (end_count > 0)
-                # A key of its own, which is no word, keeps these rows from meeting in one task.
-                key = b"\n%d" % text_hash
+                # A key of its own, which is no word, keeps these rows from meeting in one task,
+                # those of copies too.
+                key = f"\n{text_hash} {doc_id}".encode()
                 rows.append((doc_id, text_hash, key, 0, len(words) + 1, known, counted, moved))
                 rows.extend(
                     (doc_id, text_hash, word, n, None, None, None, None)
