@@ -201,8 +201,10 @@ class Labeller:
             self.weights[side + "_b"] = bias
         self.weights = {k: v.astype(np.float32) for k, v in self.weights.items()}
 
-    def run(self, side: str, x: np.ndarray, mask: np.ndarray):
-        """States of one direction over (time, page, input); padding keeps the state as it is."""
+    def run(self, side: str, x: np.ndarray, mask: np.ndarray, keep: bool):
+        """States of one direction over (time, page, input); padding keeps the state as it is.
+
+        What the gradients need of every step is kept on request only: pages may be long."""
         w, h = self.weights, self.hidden
         steps, pages = x.shape[:2]
         given = x @ w[side + "_x"] + w[side + "_b"]
@@ -217,22 +219,23 @@ class Labeller:
             m = mask[t][:, None]
             fresh = f * cell + i * g
             squashed = np.tanh(fresh)
-            saved.append((t, state, cell, i, f, o, g, squashed, m))
+            if keep:
+                saved.append((t, state, cell, i, f, o, g, squashed, m))
             cell = m * fresh + (1 - m) * cell
             state = m * (o * squashed) + (1 - m) * state
             states[t] = state
         return states, saved
 
-    def probabilities(self, x: np.ndarray, mask: np.ndarray):
-        fw, fw_saved = self.run("fw", x, mask)
-        bw, bw_saved = self.run("bw", x, mask)
+    def probabilities(self, x: np.ndarray, mask: np.ndarray, keep: bool = False):
+        fw, fw_saved = self.run("fw", x, mask, keep)
+        bw, bw_saved = self.run("bw", x, mask, keep)
         both = np.concatenate([fw, bw], axis=2)
         return sigmoid(both @ self.weights["out"] + self.weights["out_b"][0]), both, fw_saved, bw_saved
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy over all blocks."""
         h, w = self.hidden, self.weights
-        p, both, *saved = self.probabilities(x, mask)
+        p, both, *saved = self.probabilities(x, mask, keep=True)
         error = ((p - labels) * mask / mask.sum()).astype(np.float32)
         grads = {"out": np.einsum("tp,tph->h", error, both), "out_b": error.sum(keepdims=True)[0]}
         spread = error[:, :, None] * w["out"]
