@@ -9,7 +9,9 @@ its check is dropped and not tried again.
 
 The expressions are written so that a long run of characters is read once: quantifiers are
 possessive where giving back can't help, and an address starts only where a run of its characters
-starts or the last match ended. Long runs therefore cost linear time and no stack.
+starts or the last match ended. Long runs therefore cost linear time and no stack. Arrays of matches
+are folded in chunks, and stretches of text are taken from pieces of it, so that a text with very
+many matches does not cost the square of their number.
 
 Only DataFrame functions are used. Positions are code points, the end is exclusive.
 
@@ -19,6 +21,8 @@ repeated rows are judged each by itself; other columns pass through untouched.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +50,7 @@ CONTEXT_WORDS = {
     "tel": ["phone", "tel", "call", "mobile", "fax"],
 }
 CONTEXT_CHARS = 40
+PIECE_CHARS = 1024
 CONTEXT_LIFT = 0.35
 THRESHOLD = 0.6
 
@@ -109,47 +114,105 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, also where lambdas in `use` read it often."""
+    return F.transform(F.array(value), use)[0]
+
+
+def in_chunks(items: Column) -> Column:
+    """A non-empty array cut into about as many chunks as each has items.
+
+    A fold that appends to an array copies it at every step. Folding chunks, and then their
+    results, keeps long arrays from costing the square of their length."""
+
+    def chunks(items: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(items))).cast("int")
+        last = F.floor((F.size(items) - 1) / width).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last), lambda i: F.slice(items, i * width + 1, width)
+        )
+
+    return bound(items, chunks)
+
+
+def pieces_of(text: Column) -> Column:
+    """The text in pieces of PIECE_CHARS, so that no stretch is looked for from the text's start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+
+
+def stretch(pieces: Column, start: Column, length: Column) -> Column:
+    """The `length` characters from `start`, or as many as there are."""
+    first = F.floor(start / PIECE_CHARS).cast("int")
+    last = F.floor((start + length) / PIECE_CHARS).cast("int")
+    joined = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.substring(
+        joined, (start - first * PIECE_CHARS + 1).cast("int"), length.cast("int")
+    )
+
+
 def proposals(kind: str, text: Column) -> Column:
-    """Array of (start, end, match) of a kind's expression, in order."""
+    """Array of (start, end), in order, of what a kind's expression proposes and its check confirms.
+
+    The text must hold a match."""
     pattern = PATTERNS[kind]
-    gaps = F.split(text, pattern)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.lit(0).cast("bigint")
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
+    span_type = "struct<start:bigint,end:bigint>"
+    zero = F.lit(0).cast("bigint")
 
     def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + pair["gap"]
+        begin = state["at"] + F.length(pair["gap"])
         end = begin + F.length(pair["match"])
-        span = F.struct(
-            begin.cast("bigint").alias("start"),
-            end.cast("bigint").alias("end"),
-            pair["match"].alias("match"),
-        )
+        span = F.struct(begin.alias("start"), end.alias("end"))
+        found = F.when(
+            confirmed(kind, pair["match"]), F.concat(state["found"], F.array(span))
+        ).otherwise(state["found"])
+        return F.struct(end.alias("at"), found.alias("found"))
+
+    def add_chunk(state: Column, chunk: Column) -> Column:
+        moved = F.struct(state["at"].alias("base"), chunk["found"].alias("found"))
         return F.struct(
-            end.cast("bigint").alias("at"),
-            F.concat(state["found"], F.array(span)).alias("found"),
+            (state["at"] + chunk["at"]).alias("at"),
+            F.concat(state["chunks"], F.array(moved)).alias("chunks"),
         )
 
-    pairs = F.transform(
-        F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("g"), matches.alias("m")),
-        lambda pair: F.struct(F.length(pair["g"]).alias("gap"), pair["m"].alias("match")),
+    def spans(chunk: Column) -> Column:
+        return F.transform(
+            chunk["found"],
+            lambda span: F.struct(
+                (chunk["base"] + span["start"]).alias("start"),
+                (chunk["base"] + span["end"]).alias("end"),
+            ),
+        )
+
+    # The gap after the last match is left without one.
+    pairs = F.filter(
+        F.arrays_zip(
+            F.split(text, pattern).alias("gap"),
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
+        ),
+        lambda pair: pair["match"].isNotNull(),
+    )
+    none = F.array().cast(f"array<{span_type}>")
+    folded = F.transform(
+        in_chunks(pairs),
+        lambda chunk: F.aggregate(chunk, F.struct(zero.alias("at"), none.alias("found")), add),
     )
+    no_chunks = F.array().cast(f"array<struct<base:bigint,found:array<{span_type}>>>")
     return F.aggregate(
-        pairs,
-        F.struct(start.alias("at"), empty.alias("found")),
-        add,
-        lambda state: state["found"],
+        folded,
+        F.struct(zero.alias("at"), no_chunks.alias("chunks")),
+        add_chunk,
+        lambda state: F.flatten(F.transform(state["chunks"], spans)),
     )
 
 
-def context_score(kind: str, text: Column, span: Column) -> Column:
+def context_score(kind: str, pieces: Column, span: Column) -> Column:
     """The kind's score, lifted if a context word stands shortly before or after the span."""
     words = "|".join(CONTEXT_WORDS[kind])
     before = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
     near = F.concat_ws(
         " ",
-        F.substring(text, (before + 1).cast("int"), (span["start"] - before).cast("int")),
-        F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT_CHARS)),
+        stretch(pieces, before, span["start"] - before),
+        stretch(pieces, span["end"], F.lit(CONTEXT_CHARS)),
     )
     hit = near.rlike(rf"(?i)(?<![A-Za-z0-9])(?:{words})(?![A-Za-z0-9])")
     return F.lit(BASE_SCORE[kind]) + F.when(hit, F.lit(CONTEXT_LIFT)).otherwise(F.lit(0.0))
@@ -157,15 +220,18 @@ def context_score(kind: str, text: Column, span: Column) -> Column:
 
 def spans_of(kind: str, text: Column, threshold: float = THRESHOLD) -> Column:
     """Confirmed spans of a kind: (start, rank, end, kind, score)."""
-    found = F.filter(proposals(kind, text), lambda span: confirmed(kind, span["match"]))
-    scored = F.transform(
-        found,
-        lambda span: F.struct(
-            span["start"].alias("start"),
-            F.lit(KINDS.index(kind)).alias("rank"),
-            span["end"].alias("end"),
-            F.lit(kind).alias("kind"),
-            context_score(kind, text, span).alias("score"),
+    found = proposals(kind, text)
+    scored = bound(
+        pieces_of(text),
+        lambda pieces: F.transform(
+            found,
+            lambda span: F.struct(
+                span["start"].alias("start"),
+                F.lit(KINDS.index(kind)).alias("rank"),
+                span["end"].alias("end"),
+                F.lit(kind).alias("kind"),
+                context_score(kind, pieces, span).alias("score"),
+            ),
         ),
     )
     if kind in BASE_KINDS:
@@ -204,29 +270,52 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replaces every span by <KIND>; of overlapping spans the first one names the whole stretch."""
     column = F.col(text)
 
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        gap = F.substring(
-            column, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")
+    def mask_chunk(pieces: Column, chunk: Column, start: Column) -> Column:
+        """The text from `start`, where the spans before the chunk end, to the end of its spans."""
+
+        def step(state: Column, span: Column) -> Column:
+            gap = stretch(pieces, state["at"], span["start"] - state["at"])
+            tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
+            return F.struct(
+                F.greatest(state["at"], span["end"]).alias("at"),
+                F.when(
+                    span["start"] >= state["at"], F.concat(state["parts"], F.array(gap, tag))
+                )
+                .otherwise(state["parts"])
+                .alias("parts"),
+            )
+
+        nothing = F.array().cast("array<string>")
+        return F.aggregate(
+            chunk,
+            F.struct(start.alias("at"), nothing.alias("parts")),
+            step,
+            lambda state: F.array_join(state["parts"], ""),
         )
-        tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["parts"], F.array(gap, tag)))
-            .otherwise(state["parts"])
-            .alias("parts"),
+
+    def mask_chunks(pieces: Column, chunks: Column, ends: Column) -> Column:
+        zero = F.array(F.lit(0).cast("bigint"))
+        parts = F.transform(
+            chunks,
+            lambda chunk, i: mask_chunk(
+                pieces, chunk, F.array_max(F.concat(zero, F.slice(ends, 1, i)))
+            ),
         )
+        rest = F.substring(column, (F.array_max(ends) + 1).cast("int"), F.lit(2**31 - 1))
+        return F.concat(F.array_join(parts, ""), rest)
 
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts")
-    )
-    masked = F.aggregate(
-        F.col("_spans"),
-        start,
-        step,
-        lambda state: F.concat(
-            F.array_join(state["parts"], ""),
-            F.substring(column, (state["at"] + 1).cast("int"), F.lit(2**31 - 1)),
+    def chunk_ends(chunks: Column) -> Column:
+        return F.transform(
+            chunks, lambda chunk: F.array_max(F.transform(chunk, lambda span: span["end"]))
+        )
+
+    masked = bound(
+        pieces_of(column),
+        lambda pieces: bound(
+            in_chunks(F.col("_spans")),
+            lambda chunks: bound(
+                chunk_ends(chunks), lambda ends: mask_chunks(pieces, chunks, ends)
+            ),
         ),
     )
     found = find_pii(docs, text, "_spans")

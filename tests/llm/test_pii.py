@@ -108,3 +108,22 @@ def test_query(spark, docs):
         assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         for kind in BASE:
             assert row[f"n_{kind}"] == sum(span[3] == kind for span in spans)
+
+
+def test_texts_of_very_many_matches_keep_all(make_docs):
+    """Hundreds of thousands of characters with tens of thousands of matches, in folds of chunks."""
+    line = "row {0} mail u{0}@a.example tel (415) 555-{1:04d} host 10.0.{2}.7 pay 4111 1111 1111 1111 é😀"
+    text = " ".join(line.format(i, i % 10000, i % 256) for i in range(5000))
+    docs = make_docs([(i, t, "s") for i, t in enumerate((text, text[:1024], text[:1025]))])
+    results = dict(found(docs))
+    for whole, spans in results.items():
+        assert [span for span in spans if span[3] in pii.BASE_KINDS] == base_spans(whole)
+    tels = [text[s:e] for s, _, e, kind in results[text] if kind == "tel"]
+    assert tels == [f"(415) 555-{i % 10000:04d}" for i in range(5000)]
+    expected, at = [], 0
+    for start, _, end, kind in results[text]:
+        if start >= at:
+            expected += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, end)
+    masked = pii.mask_pii(docs.where("doc_id = 0")).first()["text"]
+    assert masked == "".join(expected) + text[at:]
