@@ -3,13 +3,17 @@
 A unit vector is rotated by sign flips and fast Hadamard transforms, three rounds per table; its
 bucket is the signed axis nearest to it, the coordinate of largest size. A query also looks into the
 buckets of its next largest coordinates. All it meets there is compared by the exact cosine, in
-double precision on the original vectors. The nearer a neighbour, the surer it shares a bucket: a
-query whose k-th neighbour found is below `sure_score` is compared with every vector, in blocks.
+double precision on the original vectors. The nearer a neighbour, the surer it shares a bucket, and
+the longer the vectors, the less sure: how many buckets a query needs follows from the score of its
+k-th neighbour found, which the true one is not below, and from the length. Pairs drawn at random
+give the number at which such a neighbour is met with probability `recall`; a query goes on, into
+up to four times its buckets a round, until it has looked into so many.
 
 Equal vectors count once: a vector keeps its `k` + 1 smallest ids, which are all that can be among
 the k nearest of anything. Buckets are cut into blocks of bounded size, and blocks of queries meet
 blocks of a bucket; each meeting gives only its k + 1 best. A query that meets fewer than k
-candidates also is compared with every vector.
+candidates is compared with every vector, in blocks, and so is one that would need as many buckets
+as hold all vectors once.
 
 Defined results: vectors that are null, empty, all zero, or hold a null or non-finite component take
 no part, as query or candidate; vectors meet only those of their own length; ties go to the smaller
@@ -19,6 +23,8 @@ vectors is a candidate with its nearest and, as a query, searches with each.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -33,8 +39,10 @@ SEED = 17
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 1024
 TIE = 1e-9
-# With the tables and probes above nine of ten neighbours at this cosine share a bucket.
-SURE_SCORE = 0.42
+RECALL = 0.95
+# Scores are rounded down to so many steps from 0 to 1 before the probes they need are looked up.
+STEPS = 50
+WHOLE = 1 << 30
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -74,6 +82,30 @@ def buckets(vectors: np.ndarray, tables: int, probes: int, seed: int) -> np.ndar
     return np.concatenate(found, axis=1).astype(np.int64)
 
 
+@lru_cache
+def probes_needed(size: int, tables: int, recall: float, seed: int = SEED) -> tuple[int, ...]:
+    """Probes a table, by steps of the score, that find a neighbour with that score with probability
+    `recall`, from random pairs of padded length `size`; WHOLE where they cost all comparisons."""
+    pairs = min(2000, max(250, (1 << 23) // size))
+    rng = np.random.default_rng(seed)
+    ranks = np.zeros((STEPS, size + 2))
+    for start in range(0, pairs, 250):
+        x, other = rng.normal(size=(2, min(250, pairs - start), size))
+        at = np.abs(x).argmax(axis=1)[:, None]
+        sign = np.sign(np.take_along_axis(x, at, axis=1))
+        for step in range(STEPS):
+            score = step / STEPS
+            y = score * x + np.sqrt(1 - score * score) * other
+            own = np.take_along_axis(y, at, axis=1) * sign
+            rank = np.where(own[:, 0] > 0, (np.abs(y) > own).sum(axis=1) + 1, size + 1)
+            ranks[step] += np.bincount(rank, minlength=size + 2)
+    met = 1 - (1 - ranks[:, 1:-1].cumsum(axis=1) / pairs) ** tables
+    enough = met >= recall
+    needed = np.where(enough.any(axis=1), enough.argmax(axis=1) + 1, WHOLE)
+    needed[needed * tables >= 2 * size] = WHOLE
+    return tuple(np.minimum.accumulate(needed).tolist())
+
+
 def by_length(arrays: pa.Array):
     """Positions and matrix of the rows of each length."""
     lengths = np.asarray(arrays.value_lengths())
@@ -83,16 +115,20 @@ def by_length(arrays: pa.Array):
         yield at, flat.astype(np.float64).reshape(len(at), length)
 
 
-def with_buckets(df: DataFrame, tables: int, probes: int, seed: int) -> DataFrame:
+def with_buckets(df: DataFrame, tables: int, start: Column, stop: Column, seed: int) -> DataFrame:
+    """A row for every bucket of the probes from `start` to before `stop`, in every table."""
+
     @F.arrow_udf("array<bigint>")
-    def hashed(vectors: pa.Array) -> pa.Array:
+    def hashed(vectors: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
         rows: list = [None] * len(vectors)
+        first, last = (np.asarray(bounds) for bounds in (starts, stops))
         for at, matrix in by_length(vectors):
-            for i, found in zip(at.tolist(), buckets(matrix, tables, probes, seed), strict=True):
-                rows[i] = found
+            found = buckets(matrix, tables, int(last[at].max()), seed).reshape(len(at), tables, -1)
+            for i, row in zip(at.tolist(), found, strict=True):
+                rows[i] = row[:, first[i] : last[i]].ravel()
         return pa.array(rows, pa.list_(pa.int64()))
 
-    return df.withColumn("bucket", F.explode(hashed("vector")))
+    return df.withColumn("bucket", F.explode(hashed("vector", start, stop)))
 
 
 def proper(vector: Column) -> Column:
@@ -181,18 +217,8 @@ def nearest(found: DataFrame, by: str, k: int) -> DataFrame:
     return once.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def search(
-    vectors: DataFrame,
-    is_query: Column,
-    k: int = 5,
-    vec_id: str = "vec_id",
-    vector: str = "embedding",
-    tables: int = TABLES,
-    probes: int = PROBES,
-    seed: int = SEED,
-    sure_score: float = SURE_SCORE,
-) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k nearest other rows of every row with `is_query`."""
+def prepared(vectors: DataFrame, is_query: Column, k: int, vec_id: str, vector: str):
+    """Index of distinct vectors; distinct query vectors; the vectors of every query id."""
     rows = vectors.where(proper(F.col(vector)) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("bigint").alias("vec_id"),
         F.col(vector).alias("vector"),
@@ -214,29 +240,94 @@ def search(
     queries = asked.select("vector").distinct().join(index, "vector").select(
         F.col("key").alias("query"), "vector", "dim"
     )
-    named = cut(asked.join(index.select("vector", "key"), "vector").select("query_id", "key"))
+    named = cut(
+        asked.join(index.select("vector", "key", "dim"), "vector").select("query_id", "key", "dim")
+    )
+    return index, queries, named
 
-    def answers(found: DataFrame) -> DataFrame:
-        best = nearest(found, "query", k + 1).select("query", "vec_id", "score")
-        other = named.join(best, F.col("key") == F.col("query")).where("query_id <> vec_id")
-        return nearest(other, "query_id", k)
 
-    first = cut(
-        answers(meet(with_buckets(queries, tables, probes, seed), with_buckets(index, tables, 1, seed), k + 1))
-    )
-    counts = named.select("query_id").distinct().join(
-        first.groupBy("query_id").agg(F.count("*").alias("got"), F.min("score").alias("least")),
-        "query_id",
-        "left",
-    )
-    unsure = F.coalesce("got", F.lit(0)) < k
-    short = counts.where(unsure | (F.col("least") < sure_score)).select("query_id")
+def answers(found: DataFrame, named: DataFrame, k: int) -> DataFrame:
+    """The k nearest other ids of every query id, from what its vectors found."""
+    best = nearest(found, "query", k + 1).select("query", "vec_id", "score")
+    other = named.join(best, F.col("key") == F.col("query")).where("query_id <> vec_id")
+    return nearest(other, "query_id", k)
+
+
+def padded_bits() -> Column:
+    """Vectors are padded to two to this power."""
+    return F.length(F.bin(F.col("dim").cast("bigint") - 1))
+
+
+def needs(named: DataFrame, first: DataFrame, k: int, tables: int, recall: float) -> DataFrame:
+    """named and `need`: the probes a table that every query's k-th score found asks for."""
+    bits = padded_bits()
+    step = F.least(F.floor(F.col("least") * STEPS), F.lit(STEPS - 1)).cast("int")
+    lengths = [row["bits"] for row in named.select(bits.alias("bits")).distinct().collect()]
+    by_score = [
+        F.when(bits == n, F.get(F.array(*map(F.lit, probes_needed(1 << n, tables, recall))), step))
+        for n in lengths
+    ]
+    unknown = (F.coalesce("got", F.lit(0)) < k) | (F.col("least") < 0)
+    got = first.groupBy("query_id").agg(F.count("*").alias("got"), F.min("score").alias("least"))
+    need = F.when(unknown, F.lit(WHOLE)).otherwise(F.coalesce(*by_score, F.lit(WHOLE)))
+    return named.join(got, "query_id", "left").withColumn("need", need)
+
+
+def from_buckets(
+    index: DataFrame,
+    queries: DataFrame,
+    named: DataFrame,
+    k: int,
+    tables: int = TABLES,
+    probes: int = PROBES,
+    seed: int = SEED,
+    recall: float = RECALL,
+) -> tuple[DataFrame, DataFrame]:
+    """Answers from the buckets alone, and the ids of the queries that those don't suffice for."""
+    hashed = with_buckets(index, tables, F.lit(0), F.lit(1), seed)
+
+    def look(asking: DataFrame, start: Column, stop: Column) -> DataFrame:
+        return cut(meet(with_buckets(asking, tables, start, stop, seed), hashed, k + 1))
+
+    found, done = look(queries, F.lit(0), F.lit(probes)), probes
+    while True:
+        first = cut(answers(found, named, k))
+        judged = cut(needs(named, first, k, tables, recall))
+        widest = F.pow(F.lit(2), padded_bits() + 1)
+        # A first score from few buckets may be low: those that seem to need all look further first.
+        further = F.when(
+            (F.col("got") >= k) & (F.col("need") > 4 * done) & (F.lit(4 * done * tables) < widest),
+            F.lit(4 * done),
+        ).otherwise(F.col("need"))
+        wanted = judged.where(F.col("need") > done).withColumn("stop", further)
+        more = wanted.where(F.col("stop") < WHOLE).groupBy("key").agg(F.max("stop").alias("stop"))
+        if more.isEmpty():
+            return first, wanted.select("query_id").distinct()
+        asking = queries.join(more.withColumnRenamed("key", "query"), "query")
+        found = found.unionByName(look(asking, F.lit(done), F.col("stop")))
+        done *= 4
+
+
+def search(
+    vectors: DataFrame,
+    is_query: Column,
+    k: int = 5,
+    vec_id: str = "vec_id",
+    vector: str = "embedding",
+    tables: int = TABLES,
+    probes: int = PROBES,
+    seed: int = SEED,
+    recall: float = RECALL,
+) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the k nearest other rows of every row with `is_query`."""
+    index, queries, named = prepared(vectors, is_query, k, vec_id, vector)
+    first, short = from_buckets(index, queries, named, k, tables, probes, seed, recall)
     again = queries.join(
         named.join(short, "query_id").select(F.col("key").alias("query")).distinct(), "query", "left_semi"
     )
     everywhere = F.lit(-1).cast("bigint")
     rest = answers(
-        meet(again.withColumn("bucket", everywhere), index.withColumn("bucket", everywhere), k + 1)
+        meet(again.withColumn("bucket", everywhere), index.withColumn("bucket", everywhere), k + 1), named, k
     ).join(short, "query_id", "left_semi")
     whole = first.join(short, "query_id", "left_anti").unionByName(rest)
     return whole.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

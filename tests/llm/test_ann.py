@@ -49,6 +49,36 @@ def test_recall_and_scores(spark):
             assert score == pytest.approx(a @ b / np.sqrt((a @ a) * (b @ b)), abs=1e-12)
 
 
+def recall_of_buckets(df, rows, asks):
+    """Recall of the answers from buckets alone, and the share of queries they don't suffice for."""
+    index, queries, named = ann.prepared(df, F.col("vec_id") % 50 == 0, 5, "vec_id", "embedding")
+    first, short = ann.from_buckets(index, queries, named, 5)
+    result, left = found(first), {r["query_id"] for r in short.collect()}
+    expected = {i: near for i, near in brute(rows, asks).items() if i not in left}
+    hits = sum(len({j for j, _ in result[i]} & {j for j, _ in near}) for i, near in expected.items())
+    asked = named.select("query_id").distinct().count()
+    return hits / max(1, sum(map(len, expected.values()))), len(left) / asked
+
+
+@pytest.mark.parametrize("dim", [64, 256, 768])
+def test_recall_from_buckets_by_length(spark, dim):
+    """Neighbours at cosine 0.42 to 0.5 among random vectors; the buckets give the answers."""
+    rng = np.random.default_rng(dim)
+    n, queries = 3000, 40
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(queries):
+        for j in range(1, 9):
+            side = x[50 * q + j] - (x[50 * q + j] @ x[50 * q]) * x[50 * q]
+            score = rng.uniform(0.42, 0.5)
+            x[50 * q + j] = score * x[50 * q] + np.sqrt(1 - score**2) * side / np.linalg.norm(side)
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x.astype(np.float32))]
+    rows = [(i, v) for i, v in rows if i % 50 or i < 50 * queries]
+    recall, short = recall_of_buckets(spark.createDataFrame(rows, SCHEMA), rows, lambda i: i % 50 == 0)
+    assert recall >= 0.9
+    assert short <= 0.1
+
+
 def test_odd_vectors_ties_and_copies(spark):
     rng = np.random.default_rng(4)
     base = [float(x) for x in rng.normal(size=8).astype(np.float32)]
