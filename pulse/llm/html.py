@@ -11,7 +11,8 @@ several ways, with other containers, menus, notices, sidebars, forms and reader
 of the sample, so that tag names are not all that the network learns.
 
 Markup is read by one regular expression in a single pass. Text in comments, scripts, styles, the
-head, form fields and the like is no block. Inline tags and line breaks do not end a block.
+head, form fields, drawings and the like is no block. Inline tags, formulas, embedded media with what
+they hold, and line breaks do not end a block.
 
 Defined results: a null or empty page has an empty text; a page without blocks too; broken or
 unclosed markup is read as far as it goes; equal pages give equal texts; without a marked page in the
@@ -36,19 +37,22 @@ from pulse.llm.common import small_batches, text_or_empty
 
 # Names of the HTML standard.
 SKIPPED = (
-    "script style noscript template head title textarea select option button svg math iframe object "
-    "canvas audio video datalist"
+    "script style noscript template head title textarea select option button iframe datalist"
 ).split()
 INLINE = (
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q "
-    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr input progress output"
+    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr input progress output "
+    "svg object canvas audio video picture source track param embed "
+    "math semantics annotation annotation-xml maction menclose merror mfrac mi mmultiscripts mn mo "
+    "mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd "
+    "mtext mtr munder munderover"
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 CLOSED_BY_NEXT = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|title)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"|<(?!svg(?:\s[^>]*)?/>)(script|style|noscript|template|textarea|svg|iframe|title)(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/a-zA-Z][^>]*+>"
     r"|[^<]++|<",

@@ -32,6 +32,35 @@ def test_broken_pages(page):
     assert len(texts(page)) <= 1
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ('<p>One <svg-icon name="x"></svg-icon> two.</p><p>Three.</p>', "One two. Three."),
+        ('<p>One <svg class="i"/> two.</p><p>Three.</p>', "One two. Three."),
+        ("<p>One <svg/> two.</p><p>Three.</p>", "One two. Three."),
+        ("<title-bar>One</title-bar><p>two.</p>", "One two."),
+        ('<p>One <svg class="i"><title>no</title><path d="M0"/></svg> two.</p>', "One two."),
+        ("<script/>no</script><style\n>no</style ><p>One</p>", "One"),
+    ],
+)
+def test_names_like_skipped_ones(page, expected):
+    assert " ".join(texts(page)) == expected
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<math><msup><mi>x</mi><mn>2</mn></msup></math>",
+        "<object data=a><param name=b>x2</object>",
+        "<canvas>x2</canvas>",
+        "<audio controls><source src=a>x2</audio>",
+        "<video><track src=a>x2</video>",
+    ],
+)
+def test_formulas_and_fallback_text_stay(inside):
+    assert texts(f"<p>So {inside} is it.</p>") == ["So x2 is it."]
+
+
 def test_long_pages_end():
     for page in ("<" * 20_000, "<a '" * 20_000, "<p>" * 20_000, "<!--" * 20_000, "x" * 500_000, "<div>a" * 20_000):
         html.blocks_of(page)
