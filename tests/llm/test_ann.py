@@ -79,6 +79,15 @@ def test_recall_from_buckets_by_length(spark, dim):
     assert short <= 0.1
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.1"])
+def test_recall_from_buckets(spark, size):
+    df = spark.read.parquet(SMALL.replace("sf0.001", size) + "/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    recall, short = recall_of_buckets(df, rows, lambda i: i % 50 == 0)
+    assert recall >= 0.9
+    assert short <= 0.1
+
+
 def test_odd_vectors_ties_and_copies(spark):
     rng = np.random.default_rng(4)
     base = [float(x) for x in rng.normal(size=8).astype(np.float32)]
