@@ -248,13 +248,18 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def component_ids(prints: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Adds component_id to rows with doc_id and fp: the smallest doc_id reachable."""
+def rooted_prints(prints: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(fp, first_id, root): each fingerprint's smallest doc_id, and the component's fingerprint."""
     groups = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(fingerprint_links(groups.select("fp"), cell_rows))
-    rooted = groups.join(roots, groups["fp"] == roots["node"], "left").select(
+    return groups.join(roots, groups["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
+
+
+def component_ids(prints: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Adds component_id to rows with doc_id and fp: the smallest doc_id reachable."""
+    rooted = rooted_prints(prints, cell_rows)
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(lowest, "root").select("fp", "component_id")
     return prints.join(named, "fp")
@@ -271,14 +276,24 @@ def simhash_components(
 def drop_near_duplicates(docs: DataFrame, text: str = "text", width: int = SHINGLE) -> DataFrame:
     """One document of every component stays, the one with the smallest doc_id.
 
-    Of repeated rows with that doc_id one stays. A row with a null doc_id stays: no component can
-    be named after it."""
-    found = simhash_components(docs, text, width)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
-    named = docs.join(stay, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
+    Of repeated rows with that doc_id one stays; rows that share a doc_id but are of different
+    components are told apart by their texts. A row with a null doc_id stays: no component can be
+    named after it."""
+    text_hash = F.xxhash64(text_or_empty(text))
+    named = docs.withColumn("_hash", text_hash)
+    prints = cut(
+        with_fingerprint(named.select("doc_id", "_hash", text), text, width=width).select(
+            "doc_id", "_hash", "fp"
+        )
+    )
+    first = F.min(F.struct("doc_id", "_hash")).alias("first")
+    rooted = prints.join(rooted_prints(prints).select("fp", "root"), "fp")
+    stay = rooted.where("doc_id is not null").groupBy("root").agg(first)
+    keys = ["doc_id", "_hash"]
+    order = Window.partitionBy(*keys).orderBy(*[c for c in docs.columns if c != "doc_id"])
+    kept = named.join(stay.select("first.*"), keys, "left_semi").withColumn("_row", F.row_number().over(order))
     return (
-        named.where("_row = 1")
+        kept.where("_row = 1")
         .select(*docs.columns)
         .unionByName(docs.where("doc_id is null"))
     )

@@ -128,6 +128,13 @@ def test_one_document_of_each_group_stays(make_docs):
     assert sum(r["doc_id"] is None for r in kept) == 1
 
 
+def test_one_row_of_each_group_stays_when_ids_repeat(make_docs):
+    first, second = (" ".join(f"{c}{i}" for i in range(400)) for c in "ab")
+    rows = [(5, first), (5, second), (6, first), (7, second), (5, first)]
+    kept = simhash.drop_near_duplicates(make_docs([(i, t, "s") for i, t in rows])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(5, first), (5, second)]
+
+
 def test_empty_table(make_docs):
     assert simhash.simhash_components(make_docs([])).collect() == []
     assert simhash.drop_near_duplicates(make_docs([])).collect() == []
