@@ -146,10 +146,10 @@ def test_first_per_key_limits_before_the_shuffle(spark, skewed):
     assert "WindowGroupLimit" in below
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_or_nested_loop_join(spark, name):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = plan_of(contract.queries()[name](spark, SF_DIR))
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "Python" not in plan and "BroadcastExchange" not in plan
 
