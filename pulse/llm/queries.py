@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.llm import ann, bpe, html, licenses, lm, mixing, pii, quality, simhash, urls
+from pulse.llm import (
+    ann,
+    bpe,
+    chat,
+    divergence,
+    html,
+    licenses,
+    lm,
+    mixing,
+    negatives,
+    pii,
+    quality,
+    simhash,
+    urls,
+)
 from pulse.llm.common import read_table
 from pulse.llm.sql import ORACLES
 
@@ -106,6 +120,51 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    planted = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    table = read_table(spark, sf_dir, "conversations").select(*columns)
+    examples = chat.format_chats(table.unionByName(planted))
+    lines = F.transform(
+        chat.read_turns(F.col("text")), lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))
+    )
+    read = examples.select(
+        "conv_id",
+        "n_turns",
+        chat.loss_text().alias("reply"),
+        F.when(F.col("whole"), F.struct(F.size(lines), F.sha2(F.array_join(lines, ""), 256))).alias("turns"),
+        F.length("text").alias("chars"),
+    )
+    replies = F.array_sort(F.collect_list(F.when(F.col("reply").isNotNull(), F.struct("n_turns", "reply"))))
+    joined = F.array_join(F.transform("replies", lambda one: one["reply"]), "")
+    grouped = read.groupBy("conv_id").agg(
+        F.max("turns").alias("turns"), replies.alias("replies"), F.sum("chars").alias("formatted_chars")
+    )
+    return grouped.withColumn("loss", joined).select(
+        "conv_id",
+        F.col("turns.col1").cast("bigint").alias("n_turns"),
+        F.col("turns.col2").alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -123,6 +182,9 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_chat_format": op12_chat_format,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pulse.llm.chat import Template
 from pulse.llm.license_texts import DIGESTS, TEXTS
 from pulse.llm.licenses import COPYRIGHT_LINE, NOT_WORD, RESERVED_LINE, SPELLINGS
 
@@ -100,8 +101,121 @@ SELECT doc_id, digest, license_id FROM texts LEFT JOIN known USING (digest)
 """
 
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(generate_series(1, len(a.v)), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), ranked AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (
+      PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
+
+def chat_format() -> str:
+    """Turns, replies and lengths from the table itself; the format adds marks and backslashes."""
+    template = Template()
+    plain = "coalesce(text, '')"
+    body = f"regexp_replace(replace({plain}, '\\', '\\\\'), '{template.control_pattern}', '\\1\\\\\\2', 'g')"
+    start, middle, end = template.other
+    named = f"regexp_replace(replace(role, '\\', '\\\\'), '{template.control_pattern}', '\\1\\\\\\2', 'g')"
+    marked = " ".join(
+        f"WHEN role = '{role}' THEN '{before}' || body || '{after}'"
+        for role, (before, after) in template.marks.items()
+    )
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT conv_id, turn, role, {plain} AS said,
+    CASE {marked} ELSE '{start}' || {named} || '{middle}' || body || '{end}' END AS piece
+  FROM (SELECT *, {body} AS body FROM said)
+), placed AS (
+  SELECT *, sum(length(piece)) OVER upto AS chars,
+    row_number() OVER upto = count(*) OVER (PARTITION BY conv_id) AS last
+  FROM marked
+  WINDOW upto AS (
+    PARTITION BY conv_id ORDER BY turn NULLS LAST, role, piece
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || said || chr(10), '' ORDER BY turn NULLS LAST, role, piece) AS turns,
+    coalesce(string_agg(said, '' ORDER BY turn NULLS LAST, role, piece)
+      FILTER (role = '{template.trained}'), '') AS loss,
+    CAST(sum(chars + {len(template.begin)}) FILTER (last OR role = '{template.trained}') AS BIGINT)
+      AS formatted_chars
+  FROM placed GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars
+FROM joined
+"""
+
+
+SOURCE_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), used AS (
+  SELECT d, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS c FROM used GROUP BY lang, term HAVING count(DISTINCT d) >= 30
+), vocabulary AS (
+  SELECT lang, count(*) AS v, sum(c) AS total FROM kept GROUP BY lang
+), pairs AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+  SELECT p.lang, p.source, k.term, k.c AS lang_c, coalesce(u.c, 0) AS c
+  FROM pairs p JOIN kept k ON p.lang = k.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS c FROM used GROUP BY lang, source, term) u
+    ON u.lang = p.lang AND u.source = p.source AND u.term = k.term
+), shares AS (
+  SELECT c.lang, c.source, c.term, c.c,
+    1 + (1000000000::HUGEINT * (c.c + 5)) // (sum(c.c) OVER (PARTITION BY c.lang, c.source) + 5 * v) AS p,
+    1 + (1000000000::HUGEINT * (c.lang_c + 5)) // (total + 5 * v) AS q
+  FROM counts c JOIN vocabulary USING (lang)
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, encode(term)) AS INTEGER) AS rank
+  FROM shares WHERE c > 0 AND p > q
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), every_pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM pairs a JOIN pairs b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+)
+SELECT lang, source, part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM every_pair
+UNION ALL SELECT * FROM terms WHERE rank <= 50
+"""
+
 ORACLES = {
     "op1_mix_sources": MIX_SOURCES,
     "op2_url_filters": URL_FILTERS,
     "op5_licenses": license_scan(),
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_chat_format": chat_format(),
+    "op13_source_divergence": SOURCE_DIVERGENCE,
 }
