@@ -49,8 +49,8 @@ class Template:
         for control in self.controls:
             if len(control) < 2 or "\\" in control or firsts.intersection(control[1:]):
                 raise ValueError(f"control string {control!r} can't be told from text")
-        if self.trained not in self.marks:
-            raise ValueError("the trained role needs marks")
+        if not self.marks.get(self.trained, ("",))[0]:
+            raise ValueError("the trained role needs a mark to begin with")
 
     @property
     def controls(self) -> list[str]:
@@ -67,9 +67,9 @@ class Template:
 
     @property
     def end_pattern(self) -> str:
-        """The place right after a turn's end."""
+        """Any turn's end."""
         ends = {end for _, end in self.marks.values()} | {self.other[2]}
-        return "(?<=" + "|".join(sorted(re.escape(end.strip()) for end in ends)) + ")"
+        return "|".join(sorted(map(re.escape, ends)))
 
 
 def escape(text: Column, template: Template) -> Column:
@@ -78,7 +78,8 @@ def escape(text: Column, template: Template) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"\\(\\?)", "$1")
+    plain = F.regexp_replace(text, r"\\(\\?)", "$1")
+    return F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
 
 
 def formatted_turn(role: Column, text: Column, template: Template) -> Column:
@@ -153,26 +154,25 @@ def loss_text(template: Template = Template()) -> Column:
 def read_turns(text: Column, template: Template = Template()) -> Column:
     """The turns of an example's text: an array of (role, text), as they were before formatting."""
 
-    def inside(piece: Column, before: int, after: int) -> Column:
-        return F.substring(piece, F.lit(before + 1), F.length(piece) - before - after)
+    def read(piece: Column) -> Column:
+        """One turn, up to its end."""
 
-    def turn(role: Column, body: Column) -> Column:
-        return F.struct(role.alias("role"), unescape(body).alias("text"))
+        def turn(role: Column, before: Column | int) -> Column:
+            start = before + 1 if isinstance(before, Column) else F.lit(before + 1)
+            body = F.substring(piece, start, F.length(piece))
+            return F.struct(role.alias("role"), unescape(body).alias("text"))
 
-    def read(piece: Column) -> Column:
-        before, after = template.marks[template.trained]
-        result = turn(F.lit(template.trained), inside(piece, len(before), len(after)))
-        for role, (before, after) in template.marks.items():
+        result = turn(F.lit(template.trained), len(template.marks[template.trained][0]))
+        for role, (before, _) in template.marks.items():
             if role != template.trained:
-                found = turn(F.lit(role), inside(piece, len(before), len(after)))
+                found = turn(F.lit(role), len(before))
                 result = F.when(F.startswith(piece, F.lit(before)), found).otherwise(result)
-        start, middle, end = template.other
-        named = F.substring_index(inside(piece, len(start), 0), middle, 1)
-        skipped = F.length(named) + len(start) + len(middle)
-        body = F.substring(piece, skipped + 1, F.length(piece) - skipped - len(end))
-        other = turn(unescape(named), body)
+        start, middle, _ = template.other
+        named = F.substring_index(F.substring(piece, F.lit(len(start) + 1), F.length(piece)), middle, 1)
+        other = turn(unescape(named), F.length(named) + len(start) + len(middle))
         return F.when(F.startswith(piece, F.lit(start)), other).otherwise(result)
 
     body = F.substring(text, F.lit(len(template.begin) + 1), F.length(text))
+    # Every turn begins with a mark; only after the last end there is nothing.
     pieces = F.filter(F.split(body, template.end_pattern), lambda piece: piece != "")
     return F.transform(pieces, read)

@@ -143,9 +143,9 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id",
         "n_turns",
         chat.loss_text().alias("reply"),
-        F.when(F.col("whole"), F.struct(F.size(lines), F.sha2(F.array_join(lines, ""), 256))).alias("turns"),
+        F.when(F.col("whole"), lines).alias("lines"),
         F.length("text").alias("chars"),
-    )
+    ).withColumn("turns", F.when(F.col("lines").isNotNull(), F.struct(F.size("lines"), F.sha2(F.array_join("lines", ""), 256))))
     replies = F.array_sort(F.collect_list(F.when(F.col("reply").isNotNull(), F.struct("n_turns", "reply"))))
     joined = F.array_join(F.transform("replies", lambda one: one["reply"]), "")
     grouped = read.groupBy("conv_id").agg(
