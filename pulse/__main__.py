@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--single-file", action="store_true")
     parser.add_argument("--in-place", action="store_true",
                         help="write folders straight to their place (object stores)")
+    parser.add_argument("--run-id", help="go on with the run of this name where it ended")
     parser.add_argument("--legacy-dates", action="store_true")
     parser.add_argument("--shuffle-partitions", type=int)
     args = parser.parse_args(argv)
@@ -41,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     since = {"since": args.since} if args.since else {}
     run(
         tables, Params(as_of=args.as_of, **since), args.out, args.formats, args.only,
-        single_file=args.single_file, in_place=args.in_place,
+        single_file=args.single_file, in_place=args.in_place, run_id=args.run_id,
     )
 
 

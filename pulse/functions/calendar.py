@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: how a time reads in a CSV output, in UTC.
 CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS]'Z'"
+# The same to the microsecond, for outputs that must read back as they were.
+EXACT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"
 
 
 def timestamp_literal(moment: datetime) -> Column:

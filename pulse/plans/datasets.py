@@ -18,8 +18,8 @@ from pulse.functions import (
 )
 from pulse.operators import (
     attach_many, attach_metrics, class_ladder, conditional_counts, cover, distinct_by,
-    distinct_split, first_per_key, flag_owner, keep_members, link_state, link_status, lookup,
-    open_links, recency_flag, require, require_chain, split_counts, translate_labels,
+    distinct_split, first_per_key, flag_owner, link_state, link_status, lookup, member_counts,
+    open_links, recency_flag, require, require_chain, translate_labels,
 )
 from pulse.plans.params import Params
 
@@ -264,7 +264,8 @@ def access_by_month(activity: DataFrame, states: DataFrame) -> DataFrame:
     an accessed farm.
 
     Both sides are counted down to their keys before they are joined; the counts multiply to the
-    number of joined rows. The accesses are read a second time for the set of farms in them.
+    number of joined rows. The joined rows give both the counts and the managers, so the accesses
+    are read once.
     """
     log = activity.groupBy(
         month_key(F.col("acesso_timestamp")).alias("year_month"), "user_id", "farm_code"
@@ -275,15 +276,14 @@ def access_by_month(activity: DataFrame, states: DataFrame) -> DataFrame:
     merged = lookup(log, managers, "farm_code").select(
         "year_month",
         "user_id",
+        "manager_user_id",
         flag_owner(F.col("manager_user_id"), F.col("user_id")).alias("manager_acess"),
         (F.col("n_accesses") * F.coalesce(F.col("n_states"), F.lit(1))).alias("n"),
     )
-    counts = split_counts(
-        merged, ["year_month", "user_id"], "manager_acess", weight="n",
+    return member_counts(
+        merged, ["year_month"], "user_id", "manager_user_id", "manager_acess", "n",
         when_true="Contagem_Manager_True", when_false="Contagem_Manager_False",
     )
-    of_accessed = keep_members(managers, activity, "farm_code")
-    return keep_members(counts, of_accessed, {"user_id": "manager_user_id"})
 
 
 def user_directory(tables: Tables, params: Params) -> DataFrame:

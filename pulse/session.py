@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Times are compared as UTC wall clock. Join skew is left to adaptive execution, and the force
@@ -45,3 +49,29 @@ def build_session(
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return configure(builder.getOrCreate(), legacy_dates)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: `spark.checkpoint.dir`.
+
+    Only where everything runs on one machine does a temporary folder do instead."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all machines share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, deleted when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only what exists can be marked.
+    files.mkdirs(location)
+    files.deleteOnExit(location)
+    return path

@@ -1,3 +1,3 @@
-from pulse.sinks.files import publish_single_file, write_dataset
+from pulse.sinks.files import csv_description, publish_single_file, write_dataset
 
-__all__ = ["publish_single_file", "write_dataset"]
+__all__ = ["csv_description", "publish_single_file", "write_dataset"]

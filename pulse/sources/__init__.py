@@ -1,3 +1,8 @@
-from pulse.sources.tables import load_table, load_tables, read_parquet, register_views
+from pulse.sources.tables import (
+    CountedTables, load_table, load_tables, named_views, read_parquet, register_views, sql_over,
+)
 
-__all__ = ["load_table", "load_tables", "read_parquet", "register_views"]
+__all__ = [
+    "CountedTables", "load_table", "load_tables", "named_views", "read_parquet", "register_views",
+    "sql_over",
+]

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pulse import operators as op
 from pulse.functions import (
@@ -319,3 +320,93 @@ def test_compare(spark, sites):
     assert op.schema_diff(sites, other) == (set(), {"more"})
     assert rows(op.row_diff(sites, other)) == [(2, "b", 1, 2), (3, "c", 1, 0)]
     assert op.row_diff(sites, sites).count() == 0
+
+
+# Profiles, samples, pivots, schemas
+
+
+def test_profile_of_many_columns(spark):
+    zero = spark.sql("""
+        select * from values (1, 0.0D, array('a, b'), 'x'), (1, -0.0D, array('a', 'b'), null),
+          (2, double('NaN'), null, ''), (null, double('NaN'), array(null), 'x') as t(a, b, c, d)""")
+    assert rows(op.column_profile(zero, ["a", "b", "c", "d"])) == [(4, 2, 2, 3, 2)]
+    assert set(rows(op.profile_rows(zero, ["a", "c", "d"]))) == {
+        ("a", 4, 1, 2, 2), ("c", 4, 1, 3, 1), ("d", 4, 1, 2, 2),
+    }
+    assert rows(op.column_profile(zero.limit(0), ["a", "b"])) == [(0, 0, 0)]
+    assert rows(op.column_profile(zero, [])) == [(4,)]
+    plan = op.column_profile(zero, ["a", "b", "c", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_profile_counts_like_count_distinct(spark):
+    df = spark.range(5000).selectExpr(
+        "id % 7 as a", "if(id % 3 = 0, null, id % 1000 / 8) as b", "cast(id % 11 as string) as c",
+        "timestamp_seconds(id % 13) as d", "struct(id % 3 as x, null as y) as e",
+    )
+    expected = df.agg(*(F.count_distinct(c) for c in df.columns)).first()
+    assert rows(op.column_profile(df, df.columns)) == [(5000, *expected)]
+
+
+def test_samples_do_not_depend_on_the_layout(spark):
+    df = spark.range(1000).selectExpr("id % 10 as kind", "id % 50 as value", "id", "map(1, id) as m")
+    top = [op.sample_rows(df.repartition(n), 7, [F.col("value").desc()]) for n in (1, 5)]
+    assert top[0].collect() == top[1].collect()
+    assert [row.id for row in top[0].collect()][:3] == [49, 99, 149]
+    assert "TakeOrderedAndProject" in top[0]._jdf.queryExecution().executedPlan().toString()
+    few = [op.sample_per_key(df.repartition(n), ["kind"], 2, [F.col("value").desc()]) for n in (1, 5)]
+    assert sorted(r.id for r in few[0].collect()) == sorted(r.id for r in few[1].collect())
+    assert few[0].count() == 20
+    plan = few[1]._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan[plan.index("Exchange hashpartitioning"):]
+
+
+def test_pivot_rules(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 5), (1, "a", 3), (1, "b", 1), (1, None, 9), (2, "z", 4), (None, "b", 2)],
+        "key int, kind string, n int",
+    )
+    assert set(rows(op.pivot_values(df, ["key"], "kind", ["a", "b"]))) == {(1, 2, 1), (2, 0, 0), (None, 0, 1)}
+    named = op.pivot_values(df, ["key"], "kind", {"a": "x", None: "empty"}, outside="other")
+    assert named.columns == ["key", "x", "empty", "other"]
+    assert set(rows(named)) == {(1, 2, 1, 1), (2, 0, 0, 1), (None, 0, 0, 1)}
+    sums = op.pivot_values(df, ["key"], "kind", ["a", "q"], op.sum_where("n"), fill=0)
+    assert set(rows(sums)) == {(1, 8, 0), (2, 0, 0), (None, 0, 0)}
+    first = op.pivot_values(df, ["key"], "kind", ["a", "b"], op.first_where("n"))
+    assert set(rows(first)) == {(1, 3, 1), (2, None, None), (None, None, 2)}
+    assert rows(op.pivot_values(df.filter("key = 1 and kind = 'a'"), ["key"], "kind", ["a"], outside="error")) == [(1, 2)]
+    with pytest.raises(Exception, match="unexpected kind: z"):
+        op.pivot_values(df.filter("key = 2"), ["key"], "kind", ["a"], outside="error").collect()
+    for bad in ({"outside": "keep"}, {"values": {"a": "key"}}):
+        with pytest.raises(ValueError):
+            op.pivot_values(df, ["key"], "kind", **({"values": ["a"]} | bad))
+    planned = op.pivot_values(df, ["key"], "kind", ["a"], outside="other")
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Expand" not in plan
+
+
+def test_schemas_are_compared_in_depth(spark):
+    left = spark.sql("select 1 as a, struct(1 as x, array(struct('s' as t)) as y) as b, map('k', 1) as m")
+    right = spark.sql("select 1L as a, struct(1 as x, array(struct(2 as t)) as y) as b, map('k', null) as m, 1 as z")
+    found = {path: status for path, _, _, status in op.schema_rows(left.schema, right.schema)}
+    assert found == {
+        "a": "type", "b": "same", "b.x": "same", "b.y": "same", "b.y[]": "same", "b.y[].t": "type",
+        "m": "same", "m[key]": "same", "m[value]": "type", "z": "right",
+    }
+    nullable = StructType.fromDDL("a int not null")
+    assert op.schema_rows(nullable, StructType.fromDDL("a int")) == [("a", "int", "int", "nullable")]
+    counts = {r.path: (r.n_left, r.n_right) for r in op.compare_columns(left, right).collect()}
+    assert counts["a"] == (1, 1) and counts["z"] == (None, 1) and counts["b.x"] == (None, None)
+
+
+def test_member_counts_are_those_of_members(spark):
+    df = spark.range(3000).selectExpr(
+        "id % 5 as month", "if(id % 11 = 0, null, id % 40) as user", "if(id % 7 = 0, null, id % 23 + 20) as owner",
+        "id % 3 as n",
+    ).withColumn("own", F.col("owner") == F.col("user"))
+    names = {"when_true": "t", "when_false": "f"}
+    expected = op.keep_members(
+        op.split_counts(df, ["month", "user"], "own", weight="n", **names), df, {"user": "owner"}
+    )
+    found = op.member_counts(df, ["month"], "user", "owner", "own", "n", **names)
+    assert sorted(rows(found)) == sorted(rows(expected)) != []

@@ -7,13 +7,13 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from farm_fixture import PARAMS, farm_tables
 from pulse import operators as op
 from pulse.plans import build_dataset, run
 from pulse.plans.datasets import accesses
 from workload.farm_tables import PARAMS as DRIVER_PARAMS
 from workload.farm_tables import farm_tables as driver_farm_tables
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -174,21 +174,26 @@ def test_the_access_log_is_shuffled_once(spark):
     assert exchanges_above(plan, "event_id") == 1
 
 
+def test_monthly_accesses_are_read_once(spark):
+    plan = plan_of(QUERIES["ds_access_by_month"](spark, SF_DIR))
+    assert sum("FileScan" in line and "event_id" in line for line in plan.split("\n")) == 1
+
+
 def test_links_are_shuffled_by_animal_and_by_collar_only(spark):
     with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = plan_of(contract.queries()["ds_linked_devices"](spark, SF_DIR))
+        plan = plan_of(QUERIES["ds_linked_devices"](spark, SF_DIR))
     assert exchanges_above(plan, "l_linestatus") == 2
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = contract.queries()["shift_and_month"](spark, SF_DIR)._jdf.queryExecution()
+    plan = QUERIES["shift_and_month"](spark, SF_DIR)._jdf.queryExecution()
     text = plan.executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in text
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in text
 
 
 def test_site_state_reads_each_metric_table_once(spark):
-    df = contract.queries()["ds_site_state"](spark, SF_DIR)
+    df = QUERIES["ds_site_state"](spark, SF_DIR)
     scans = [line for line in plan_of(df).split("\n") if "FileScan" in line]
     assert sum("o_orderpriority" in line for line in scans) == 1
     assert sum("p_partkey" in line for line in scans) == 1

@@ -1,16 +1,22 @@
 """Sources, sinks, the full run and the command line."""
 
+import shutil
+from dataclasses import replace
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql.types import StructType
 
 from farm_fixture import PARAMS, farm_tables
 from pulse import operators as op
 from pulse.__main__ import main
-from pulse.plans import DATASETS, build_dataset, run, source_tables
-from pulse.session import LEGACY_DATE_SETTINGS, configure
-from pulse.sinks import publish_single_file, write_dataset
-from pulse.sources import load_table, load_tables, read_parquet, register_views
+from pulse.plans import DATASETS, build_dataset, job, run, source_tables
+from pulse.session import LEGACY_DATE_SETTINGS, configure, scratch_path, shared_folder
+from pulse.sinks import files, paths, publish_single_file, write_dataset
+from pulse.sources import (
+    CountedTables, load_table, load_tables, named_views, read_parquet, register_views, sql_over,
+)
 
 
 @pytest.fixture(scope="module")
@@ -211,3 +217,250 @@ def test_command_line(spark, folder, tmp_path):
     assert op.row_diff(
         stored, build_dataset("users_active", farm_tables(spark), PARAMS)
     ).count() == 0
+
+
+# Replacing with a way back
+
+
+def failing(monkeypatch, fits):
+    """Let renames whose source fits fail, as a full or unreachable file system would."""
+    real = paths.rename_path
+
+    def rename(spark, source, target):
+        if fits(source):
+            raise OSError("no space")
+        real(spark, source, target)
+
+    for module in (paths, files):
+        monkeypatch.setattr(module, "rename_path", rename)
+
+
+@pytest.mark.parametrize("single", [False, True])
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_failed_move_brings_the_old_output_back(spark, tmp_path, monkeypatch, fmt, single):
+    old, new = spark.range(3), spark.range(7).selectExpr("id", "'x' as more")
+    path = write_dataset(old, str(tmp_path), "ids", fmt, single_file=single)
+    before = sorted(p.name for p in tmp_path.iterdir())
+    with monkeypatch.context() as patch:
+        failing(patch, lambda source: "_staging_" in source)
+        with pytest.raises(OSError, match="no space"):
+            write_dataset(new, str(tmp_path), "ids", fmt, single_file=single)
+    assert op.row_diff(old, op.read_any(spark, path)).count() == 0
+    assert sorted(p.name for p in tmp_path.iterdir()) == before
+    write_dataset(new, str(tmp_path), "ids", fmt, single_file=single)
+    assert op.row_diff(new, op.read_any(spark, path)).count() == 0
+
+
+def test_a_failed_setting_aside_leaves_the_old_output(spark, tmp_path, monkeypatch):
+    path = write_dataset(spark.range(3), str(tmp_path), "ids")
+    failing(monkeypatch, lambda source: source.endswith("ids.parquet"))
+    with pytest.raises(OSError):
+        write_dataset(spark.range(7), str(tmp_path), "ids")
+    assert spark.read.parquet(path).count() == 3
+    assert no_staging(tmp_path)
+
+
+def test_a_replacement_left_halfway_is_undone(spark, tmp_path):
+    path = write_dataset(spark.range(3), str(tmp_path), "ids")
+    Path(path).rename(paths.aside(path))
+    paths.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    # Here the new output had taken its place.
+    write_dataset(spark.range(4), str(tmp_path), "_old_ids")
+    paths.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["ids.parquet"]
+
+
+def test_a_folder_and_a_file_replace_each_other(spark, tmp_path):
+    for single, more in ((True, "1"), (False, "'a'"), (True, "true")):
+        df = spark.range(5).selectExpr("id", f"{more} as more")
+        path = write_dataset(df, str(tmp_path), "ids", "csv", single_file=single)
+        back = op.read_any(spark, path)
+        assert back.schema["more"].dataType == df.schema["more"].dataType
+        assert op.row_diff(df, back).count() == 0
+    names = sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc"))
+    assert names == ["_ids.csv_schema.json", "ids.csv"]
+
+
+def test_texts_beside_outputs(spark, tmp_path):
+    path = f"{tmp_path}/sub/x.json"
+    assert paths.read_text(spark, path) is None
+    for text in ("é\n" * 1000, ""):
+        paths.write_text(spark, path, text)
+        assert paths.read_text(spark, path) == text
+    assert [p.name for p in (tmp_path / "sub").iterdir() if not p.name.endswith(".crc")] == ["x.json"]
+
+
+# CSV there and back
+
+HARD_TEXTS = [
+    None, "", " ", " a ", "\t", '"', '""', 'a"b', "a,b", "\n", "a\nb", "\r", "a\r\nb\r", "\\", '\\"', "\\N",
+    "null", "#x", "'", "é日\U00010000", "a\x00b", "1", "true", '"a', 'a"', '",\n"',
+]
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_csv_reads_back_as_it_was(spark, tmp_path, single):
+    rows = [(n, text, text, HARD_TEXTS[-n]) for n, text in enumerate(HARD_TEXTS)]
+    df = spark.createDataFrame(rows, "id int, a string, b string, c string").selectExpr(
+        "*", "if(id % 3 = 0, null, id / 7) as d", "if(id % 4 = 0, null, id > 9) as flag",
+        "cast(id * 1.5 as decimal(12, 4)) as price", "date_add(date'2020-02-28', id) as day",
+        "if(id = 5, null, timestamp_ntz'1900-01-01 23:59:59.000001' + make_interval(0, 0, 0, id)) as naive",
+        "timestamp'2024-03-10 02:30:00.123456Z' as instant", "double('NaN') as nan", "-double('Infinity') as inf",
+    )
+    path = write_dataset(df, str(tmp_path), "hard", "csv", single_file=single, exact_times=True)
+    back = op.read_any(spark, path)
+    assert back.dtypes == df.dtypes
+    assert op.row_diff(df, back).count() == 0
+    assert back.count() == len(rows)
+
+
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_csv_of_one_column_keeps_its_nulls(spark, tmp_path, kind):
+    values = [None, "", "a", None] if kind == "string" else [None, 1, None]
+    df = spark.createDataFrame([(value,) for value in values], f"only {kind}")
+    path = write_dataset(df, str(tmp_path), "one", "csv")
+    assert op.row_diff(df, op.read_any(spark, path)).count() == 0
+
+
+def test_other_csv_files_have_text_columns(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n,\n')
+    back = op.read_any(spark, f"{tmp_path}/x.csv", multi_line=True)
+    assert sorted(back.collect(), key=str) == [("1", "two\nlines"), (None, None)]
+    typed = op.read_any(spark, f"{tmp_path}/x.csv", StructType.fromDDL("a int, b string"), multi_line=True)
+    assert typed.filter("a = 1").count() == 1
+
+
+# A run that is started again
+
+
+def writes(monkeypatch, fail_at=None):
+    """Names and formats written by a run; the write of `fail_at` fails."""
+    done = []
+    real = job.write_dataset
+
+    def write(df, folder, name, fmt="parquet", **options):
+        if (name, fmt) == fail_at:
+            raise OSError("lost")
+        done.append((name, fmt))
+        return real(df, folder, name, fmt, **options)
+
+    monkeypatch.setattr(job, "write_dataset", write)
+    return done
+
+
+def test_a_run_goes_on_where_it_ended(spark, tmp_path, monkeypatch):
+    tables = farm_tables(spark)
+    everything = {(d.file, fmt) for d in DATASETS.values() for fmt in ("parquet", "csv")}
+    with monkeypatch.context() as patch:
+        first = writes(patch, fail_at=("farm_states", "csv"))
+        with pytest.raises(OSError):
+            run(tables, PARAMS, str(tmp_path), run_id="d1")
+    with monkeypatch.context() as patch:
+        second = writes(patch)
+        found = run(tables, PARAMS, str(tmp_path), run_id="d1")
+    assert not set(first) & set(second)
+    assert set(first) | set(second) == everything
+    for name, dataset in DATASETS.items():
+        planned = build_dataset(name, tables, PARAMS)
+        assert list(found[name]) == ["parquet", "csv"]
+        for path in found[name].values():
+            assert op.row_diff(planned, op.read_any(spark, path, planned.schema)).count() == 0
+    with monkeypatch.context() as patch:
+        third = writes(patch)
+        assert run(tables, PARAMS, str(tmp_path), run_id="d1") == found
+    assert third == []
+
+
+def test_what_a_commit_depends_on(spark, tmp_path, monkeypatch):
+    tables, only = farm_tables(spark), ["c_env_list"]
+    done = writes(monkeypatch)
+
+    def again(params=PARAMS, **options):
+        done.clear()
+        run(tables, params, str(tmp_path), ["parquet"], only, **options)
+        return len(done)
+
+    assert again(run_id="a") == 1
+    assert again(run_id="a") == 0
+    assert again(run_id="a", single_file=True) == 1
+    assert again(run_id="b") == 1
+    # The output is of run b now.
+    assert again(run_id="a") == 1
+    assert again(replace(PARAMS, shift_hours=1), run_id="a") == 1
+    assert again() == 1
+    # Without an id the output was replaced, and nothing is marked.
+    assert again(run_id="a") == 1
+    shutil.rmtree(tmp_path / "etl_parquet")
+    assert again(run_id="a") == 1
+
+
+def test_a_failed_write_is_not_committed(spark, tmp_path, monkeypatch):
+    tables, only = farm_tables(spark), ["c_env_list"]
+    run(tables, PARAMS, str(tmp_path), ["csv"], only, run_id="a")
+    with monkeypatch.context() as patch:
+        writes(patch, fail_at=("c_env_list", "csv"))
+        with pytest.raises(OSError):
+            run(tables, PARAMS, str(tmp_path), ["csv"], only, run_id="b")
+    assert not list((tmp_path / "_committed").glob("*.json"))
+
+
+# Views and counted tables
+
+
+def test_views_of_two_uses_do_not_meet(spark):
+    one, two = spark.range(1), spark.range(2)
+    with named_views({"t": one}) as first, named_views({"t": two}) as second:
+        assert first["t"] != second["t"]
+        planned = spark.sql(f"select * from {first['t']}")
+        assert spark.table(second["t"]).count() == 2
+    assert planned.count() == 1
+    assert not spark.catalog.tableExists(first["t"])
+    assert sql_over({"a": one, "b": two}, "select count(*) n from {a} join {b} using (id)").first().n == 1
+
+
+def test_views_go_after_an_error(spark):
+    with pytest.raises(Exception):
+        sql_over({"t": spark.range(1)}, "select nothing from {t}")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("v_")]
+
+
+def test_counted_tables(spark, folder):
+    counted = CountedTables(load_tables(spark, ["users", "farms"], folder=folder))
+    for df in counted.tables.values():
+        df.write.format("noop").mode("overwrite").save()
+    rows = counted.check({"users": 3})
+    assert rows["users"] == 3 and rows["farms"] > 0
+    with pytest.raises(ValueError, match="users"):
+        counted.check({"users": 4})
+    with pytest.raises(ValueError, match="nowhere"):
+        counted.check({"nowhere": 1})
+    empty = CountedTables({"none": spark.range(0)})
+    empty.tables["none"].collect()
+    assert empty.check() == {"none": 0}
+    with pytest.raises(ValueError, match="empty"):
+        empty.check(strict=True)
+
+
+# The shared folder
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    def session(master, folder=None):
+        seen = []
+        context = SimpleNamespace(
+            master=master, setCheckpointDir=seen.append,
+            getCheckpointDir=lambda: seen[-1] if seen else None,
+        )
+        return SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": folder} if folder else {})
+
+    with pytest.raises(RuntimeError):
+        shared_folder(session("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        shared_folder(session("local-cluster[2,1,1024]"))
+    assert shared_folder(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert Path(shared_folder(session("local[4]"))).is_dir()
+    path = scratch_path(spark, "x")
+    assert path != scratch_path(spark, "x")
+    assert shared_folder(spark) in path

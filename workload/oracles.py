@@ -279,3 +279,93 @@ ORACLES |= {
     key: with_farm_tables(tables, query, **more)
     for key, (tables, query, more) in DATASETS.items()
 }
+
+PROFILED = {
+    "l_partkey": "l_partkey",
+    "l_suppkey": "l_suppkey",
+    "l_quantity": "l_quantity",
+    "l_returnflag": "case when l_linestatus = 'O' then l_returnflag end",
+    "l_shipdate": "l_shipdate",
+}
+
+ORACLES |= {
+    "wide_profile": " union all ".join(
+        f"""
+        select '{name}' "column", cast(sum(n) as bigint) n_rows,
+          cast(coalesce(sum(case when v is null then n end), 0) as bigint) n_null,
+          count(v) n_distinct, coalesce(max(case when v is not null then n end), 0) n_top
+        from (select {value} v, count(*) n from lineitem group by 1)"""
+        for name, value in PROFILED.items()
+    ),
+    "pivot_values": """
+        select user_id, count(case when kind = 'click' then 1 end) n_click,
+          count(case when kind = 'view' then 1 end) n_view,
+          count(case when kind = 'missing' then 1 end) n_missing,
+          count(case when kind is null then 1 end) n_null,
+          count(case when kind not in ('click', 'view', 'missing') then 1 end) other
+        from (select user_id, nullif(event_type, 'signup') kind from events) group by user_id""",
+    "pivot_first": """
+        select user_id,
+          arg_min(event_id, (ts, event_id)) filter (event_type = 'click') click,
+          arg_min(event_id, (ts, event_id)) filter (event_type = 'purchase') purchase
+        from events group by user_id""",
+    "sample_rows": """
+        select o_orderkey, o_custkey, o_totalprice from orders
+        order by o_totalprice desc nulls last, o_orderkey, o_custkey limit 20""",
+    "sample_per_key": """
+        select o_orderpriority, o_orderkey, o_totalprice from orders
+        qualify row_number() over (
+          partition by o_orderpriority order by o_totalprice desc nulls last, o_orderkey) <= 3""",
+    "schema_rows": """
+        select f.*, n_left, n_right from (values
+            ('key', 'bigint', 'int', 'type'), ('name', 'string', 'string', 'same'),
+            ('balance', 'double', null, 'left'), ('nation', null, 'int', 'right'),
+            ('more', 'struct', 'struct', 'same'), ('more.segment', 'string', 'string', 'same'),
+            ('more.codes', 'array', 'array', 'same'), ('more.codes[]', 'int', 'string', 'type')
+          ) f(path, left_type, right_type, status)
+          left join (
+            select unnest(['key', 'name', 'balance', 'more']) path,
+              unnest([count(c_custkey), count(c_name),
+                count(case when c_acctbal > 0 then 1 end), count(*)]) n_left
+            from customer) a using (path)
+          left join (
+            select unnest(['key', 'name', 'nation', 'more']) path,
+              unnest([count(s_suppkey), count(s_name), count(s_nationkey), count(*)]) n_right
+            from supplier) b using (path)""",
+    "view_sql": """
+        select c_mktsegment, o_orderstatus, count(*) n_orders, max(o_totalprice) top_price
+        from customer join orders on o_custkey = c_custkey
+        group by c_mktsegment, o_orderstatus""",
+    "observed_read": " union all ".join(
+        f"select '{name}' table_name, count(*) n_rows from {name}"
+        for name in ("customer", "orders", "lineitem")
+    ),
+    "sink_parquet": "select o_orderkey, o_custkey, o_totalprice from orders",
+    "csv_round_trip": r"""
+        select o_orderkey,
+          case o_orderkey % 7 when 1 then '' when 2 then 'a "quoted", word'
+            when 3 then 'two' || chr(10) || 'lines' || chr(13) || chr(10) when 4 then ' blanks '
+            when 5 then '\"' when 6 then o_orderpriority end note,
+          case when o_orderkey % 7 <> 0 then o_totalprice end price,
+          case when o_orderkey % 7 <> 1 then o_totalprice > 100000 end large,
+          cast(o_orderdate as date) "day",
+          cast(o_orderdate as timestamp) + to_microseconds(o_orderkey % 1000) moment
+        from orders""",
+}
+
+RUN_NAMES = {
+    "ds_device_status": "coleiras_reportando",
+    "ds_linked_devices": "coleiras_vinculadas",
+    "ds_animals": "animals",
+    "ds_user_activity": "users_active",
+    "ds_site_state": "farm_states",
+    "ds_access_by_month": "contagem_acessos",
+    "ds_user_directory": "users",
+    "ds_sensor_list": "c_env_list",
+}
+
+ORACLES["full_run"] = " union all ".join(
+    f"select '{name}' dataset, unnest(['parquet', 'csv']) format, n n_rows "
+    f"from (select count(*) n from ({ORACLES[key]}))"
+    for key, name in RUN_NAMES.items()
+)

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse import operators as op
 from pulse.functions import as_boolean, as_timestamp, month_key, not_before, shift_hours, stamp
-from pulse.plans import DATASETS, build_dataset, source_tables
-from pulse.session import configure
+from pulse.plans import DATASETS, build_dataset, run, source_tables
+from pulse.session import configure, scratch_path
+from pulse.sinks import write_dataset
+from pulse.sources import CountedTables, load_tables, sql_over
 from workload.farm_tables import PARAMS, driver_table, farm_tables, label_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,6 +292,140 @@ def row_diff(orders, lineitem):
     return op.row_diff(mine, theirs)
 
 
+@over("lineitem")
+def wide_profile(lineitem):
+    columns = ["l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"]
+    unsure = F.when(F.col("l_linestatus") == "O", F.col("l_returnflag"))
+    return op.profile_rows(lineitem.withColumn("l_returnflag", unsure), columns)
+
+
+@over("events")
+def pivot_values(events):
+    kind = F.when(F.col("event_type") != "signup", F.col("event_type"))
+    return op.pivot_values(
+        events.select("user_id", kind.alias("kind")),
+        ["user_id"],
+        "kind",
+        {"click": "n_click", "view": "n_view", "missing": "n_missing", None: "n_null"},
+        outside="other",
+    )
+
+
+@over("events")
+def pivot_first(events):
+    return op.pivot_values(
+        events, ["user_id"], "event_type", ["click", "purchase"], op.first_where("event_id", ["ts"])
+    )
+
+
+@over("orders")
+def sample_rows(orders):
+    columns = ["o_orderkey", "o_custkey", "o_totalprice"]
+    return op.sample_rows(orders.select(*columns), 20, [F.col("o_totalprice").desc_nulls_last()])
+
+
+@over("orders")
+def sample_per_key(orders):
+    columns = ["o_orderpriority", "o_orderkey", "o_totalprice"]
+    return op.sample_per_key(
+        orders.select(*columns), ["o_orderpriority"], 3, [F.col("o_totalprice").desc_nulls_last()]
+    )
+
+
+@over("customer", "supplier")
+def schema_rows(customer, supplier):
+    segment = F.col("c_mktsegment")
+    left = customer.select(
+        F.col("c_custkey").alias("key"),
+        F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("balance"),
+        F.struct(segment.alias("segment"), F.array(F.lit(1)).alias("codes")).alias("more"),
+    )
+    right = supplier.select(
+        F.col("s_suppkey").cast("int").alias("key"),
+        F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nation"),
+        F.struct(F.col("s_name").alias("segment"), F.array(F.lit("a")).alias("codes")).alias("more"),
+    )
+    return op.compare_columns(left, right)
+
+
+@over("customer", "orders")
+def view_sql(customer, orders):
+    return sql_over(
+        {"customer": customer, "orders": orders},
+        """
+        select c_mktsegment, o_orderstatus, count(*) n_orders, max(o_totalprice) top_price
+        from {customer} join {orders} on o_custkey = c_custkey
+        group by c_mktsegment, o_orderstatus""",
+    )
+
+
+def observed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts seen while the tables were copied, checked against the copies."""
+    configure(spark)
+    names = ["customer", "orders", "lineitem"]
+    counted = CountedTables(load_tables(spark, names, folder=sf_dir))
+    folder = scratch_path(spark, "observed")
+    for name, df in counted.tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    copies = {name: spark.read.parquet(f"{folder}/{name}.parquet").count() for name in names}
+    rows = ", ".join(f"('{name}', {n}L)" for name, n in counted.check(copies).items())
+    return spark.sql(f"select * from values {rows} as seen(table_name, n_rows)")
+
+
+def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published as a folder, then as one file that is made from the folder it replaces."""
+    configure(spark)
+    orders = driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    folder = scratch_path(spark, "sink")
+    path = write_dataset(orders, folder, "orders")
+    write_dataset(
+        spark.read.parquet(path), folder, "orders", single_file=True, order_by=["o_orderkey"]
+    )
+    return spark.read.parquet(path)
+
+
+@over("orders")
+def csv_round_trip(orders):
+    """All that CSV finds hard: nulls, nothing, quotes, line breaks, blanks, microseconds."""
+    spark = orders.sparkSession
+    key, kind = F.col("o_orderkey"), F.col("o_orderkey") % 7
+    note = (
+        F.when(kind == 1, "").when(kind == 2, 'a "quoted", word').when(kind == 3, "two\nlines\r\n")
+        .when(kind == 4, " blanks ").when(kind == 5, '\\"').when(kind == 6, F.col("o_orderpriority"))
+    )
+    rows = orders.select(
+        key,
+        note.alias("note"),
+        F.when(kind != 0, F.col("o_totalprice")).alias("price"),
+        F.when(kind != 1, F.col("o_totalprice") > 100_000).alias("large"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        (F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(secs=(key % 1000) / 1e6))
+        .alias("moment"),
+    )
+    path = write_dataset(rows, scratch_path(spark, "csv"), "orders", "csv", exact_times=True)
+    return op.read_any(spark, path)
+
+
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every dataset in both formats, by a run that is started a second time at the end."""
+    configure(spark)
+    must, may = source_tables(DATASETS)
+    tables = farm_tables(spark, sf_dir, must + may)
+    out = scratch_path(spark, "run")
+    run(tables, PARAMS, out, only=["users", "users_active"], run_id="once")
+    paths = run(tables, PARAMS, out, run_id="once")
+    counts = [
+        op.read_any(spark, path).agg(
+            F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for name, found in paths.items()
+        for fmt, path in found.items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def dataset_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -339,6 +476,17 @@ OPERATOR_QUERIES: dict[str, Query] = {
     "value_list": value_list,
     "ordered_list": ordered_list,
     "row_diff": row_diff,
+    "wide_profile": wide_profile,
+    "pivot_values": pivot_values,
+    "pivot_first": pivot_first,
+    "sample_rows": sample_rows,
+    "sample_per_key": sample_per_key,
+    "schema_rows": schema_rows,
+    "view_sql": view_sql,
+    "observed_read": observed_read,
+    "sink_parquet": sink_parquet,
+    "csv_round_trip": csv_round_trip,
+    "full_run": full_run,
 }
 
 QUERIES: dict[str, Query] = OPERATOR_QUERIES | {
