@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import small_batches, text_or_empty
+from pulse.llm.common import in_parts, text_or_empty
 
 PIECES_AT_ONCE = 1 << 16
 GROUP_CHARS = 1 << 20
@@ -257,20 +257,17 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: s
     """Adds the ids of every text, packed as little-endian unsigned 32-bit integers.
 
     `path` is read in every task and must be the same file on every machine."""
-    small_batches(docs.sparkSession)
-
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
         _, known, compiled = tools(path, pattern)
-        return pa.array(packed_ids(texts.to_pylist(), known, compiled), pa.binary())
+        packed = [ids for part in in_parts(texts) for ids in packed_ids(part, known, compiled)]
+        return pa.array(packed, pa.binary())
 
     return docs.withColumn(name, ids(text_or_empty(text)))
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Adds the bytes that packed ids stand for."""
-    small_batches(docs.sparkSession)
-
     @F.arrow_udf("binary")
     def decoded(packed: pa.Array) -> pa.Array:
         tokens = tools(path, pattern)[0].tokens
@@ -278,7 +275,8 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", name: str
             None
             if value is None
             else b"".join(map(tokens.__getitem__, np.frombuffer(value, "<u4").tolist()))
-            for value in packed.to_pylist()
+            for part in in_parts(packed)
+            for value in part
         ]
         return pa.array(texts, pa.binary())
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import small_batches, text_or_empty
+from pulse.llm.common import in_parts, text_or_empty
 
 # Names of the HTML standard.
 SKIPPED = (
@@ -464,13 +464,13 @@ def main_texts(pages: list[str], model: Labeller) -> list[str]:
 
 def extract_text(pages: DataFrame, model: Labeller | None, page: str = "html", name: str = "text") -> DataFrame:
     """Adds the main text of every page."""
-    small_batches(pages.sparkSession)
     if model is None:
         return pages.withColumn(name, F.lit(""))
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")
     def texts(batch: pa.Array) -> pa.Array:
-        return pa.array(main_texts(batch.to_pylist(), shared.value), pa.string())
+        found = [text for part in in_parts(batch) for text in main_texts(part, shared.value)]
+        return pa.array(found, pa.string())
 
     return pages.withColumn(name, texts(text_or_empty(page)))

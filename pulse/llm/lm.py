@@ -1,52 +1,64 @@
 """Class-based bigram language model: exchange clustering, transitions, emissions.
 
 Tokens are the words of a text, lower-cased in A-Z, then one end token. Word counts come from all
-training documents. The most frequent words each form a unit, every other word, known or not,
-belongs to the unit of its last letters; the end is a unit too. Exchange clustering moves units
-between classes: it starts from classes dealt by frequency, and in each round counts, over all
-training bigrams, how often every unit stands before and after every class, then moves half of
-the units, one after the other, each to the class that most raises the likelihood of the class
-bigrams. All statistics that reach the driver are bounded by units times classes.
+training documents. Classes are learned in two steps, both on counts over all training bigrams.
+
+First the most frequent words form a unit each, all other words units by their last letters; the end
+is a unit too. Exchange clustering moves units between classes: it starts from classes dealt by
+frequency, and in each round counts how often every unit stands before and after every class, then
+moves half of the units, one after the other, each to the class that most raises the likelihood of the
+class bigrams. Then every other word of the lookup table is moved by the same measure: how often it
+stands before and after every class is counted on Spark, and it joins the class where those neighbours
+are likeliest. Words beyond the table, and unseen ones, have the class of their last letters: a
+transition needs the classes of both its words in one task, and the table, whose size is bounded, is
+what a task can hold. The table takes the most frequent words, of equally frequent ones some by a hash, so
+it is full however flat the counts are.
 
 A text's score is the sum over its tokens of log10 P(class | class before) + log10 P(word | class).
-Transitions are smoothed by `transition_mass` per class. An emission is (c + 0.5) / (N + 0.5 (V + 1))
-with the count of the word and the size and distinct words of its class, so each class keeps mass for
-one unknown word, and both P sum to one.
+Transitions, counted in one more pass, are smoothed by `transition_mass` per class. An emission is
+(c + 0.5) / (N + 0.5 (V + 1)) with the count of the word and the size and distinct words of its class,
+so each class keeps mass for one unknown word, and both P sum to one.
 
-Scoring looks the most frequent words up in a table of bounded size in every task; the other words
-of a document go, counted, to a join with all word counts, and come back summed by document. No
-word that is frequent enough to be a hot key goes through that join.
+Scoring looks the words of the table up in every task; the other words of a document go, counted, to
+a join with all word counts, and come back summed by document. No word that is frequent enough to be
+a hot key goes through that join. Words of more than MAX_WORD_BYTES are named by a digest, so that
+none is too long to be held.
+
+All statistics that reach the driver are bounded by units, classes and the size of the table.
 
 Defined results: a null text counts as empty and consists of the end token; a null doc_id counts as
-empty text when it is hashed to training or held-out; rows that repeat a doc_id with its text
-score alike and all come back; without training documents every count is zero; no rows give none.
+empty text when it is hashed to training or held-out; ids may be of any type; rows that repeat a
+doc_id with its text score alike and all come back; without training documents every count is zero; no
+rows give none; other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from itertools import count
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import small_batches, stored, text_or_empty
+from pulse.llm.common import PART_ROWS, in_parts, stored, text_or_empty
 
 END = b"\n"
 MAX_WORD_BYTES = 64
 FLUSH_WORDS = 200_000
 FLUSH_PAIRS = 2_000_000
+HASH_BUCKETS = 4096
 
 
 @dataclass(frozen=True)
 class Settings:
     """Sizes of the model; all bound what tasks and the driver hold."""
 
-    lookup_words: int = 100_000
+    lookup_words: int = 200_000
     unit_words: int = 4096
     ending_units: int = 1024
     ending_bytes: int = 3
@@ -58,15 +70,52 @@ class Settings:
     def units(self) -> int:
         return 1 + self.unit_words + self.ending_units
 
+    def ending(self, word: bytes) -> int:
+        return zlib.crc32(word[-self.ending_bytes :]) % self.ending_units
+
+
+def short_name(word: bytes) -> bytes:
+    """A long word by its digest; the first byte occurs in no text, the last ones are its own."""
+    if len(word) <= MAX_WORD_BYTES:
+        return word
+    return b"\xff" + hashlib.sha256(word).digest() + word[-8:]
+
 
 def tokens(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+    words = text.encode().lower().split()
+    if max(map(len, words), default=0) > MAX_WORD_BYTES:
+        return list(map(short_name, words))
+    return words
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 1
 
 
+class Codes(dict):
+    """A number for every word: those given, and by its ending for any other, kept for a while."""
+
+    def __init__(self, given: dict[bytes, int], by_ending: list[int], settings: Settings):
+        super().__init__(given)
+        self.given, self.by_ending, self.settings = given, by_ending, settings
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > len(self.given) + FLUSH_WORDS:
+            self.clear()
+            self.update(self.given)
+        code = self[word] = self.by_ending[self.settings.ending(word)]
+        return code
+
+    def __reduce__(self):
+        return Codes, (self.given, self.by_ending, self.settings)
+
+    def line(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of a text's words between two of the end, which is number 0."""
+        numbers = np.zeros(len(words) + 2, np.int64)
+        numbers[1:-1] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return numbers
+
+
 def count_words(batches):
     counts: Counter = Counter()
 
@@ -79,11 +128,12 @@ def count_words(batches):
         return batch
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(tokens(text))
-            counts[END] += 1
-            if len(counts) > FLUSH_WORDS:
-                yield flush()
+        for part in in_parts(batch.column(0)):
+            for text in part:
+                counts.update(tokens(text))
+                counts[END] += 1
+                if len(counts) > FLUSH_WORDS:
+                    yield flush()
     yield flush()
 
 
@@ -93,66 +143,55 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Units:
-    """The unit of every possible word: its own, or that of its last letters."""
-
-    def __init__(self, words: list[bytes], settings: Settings):
-        self.settings = settings
-        self.own = {END: 0} | dict(zip(words[: settings.unit_words], count(1), strict=False))
-
-    def of(self, word: bytes) -> int:
-        unit = self.own.get(word)
-        if unit is None:
-            ending = zlib.crc32(word[-self.settings.ending_bytes :])
-            unit = 1 + self.settings.unit_words + ending % self.settings.ending_units
-        return unit
-
+def counted_keys(texts: DataFrame, codes: Codes, keys_of) -> DataFrame:
+    """(key, n): how often every key that `keys_of` makes of a text's line occurs, by task."""
+    shared = texts.sparkSession.sparkContext.broadcast(codes)
 
-def bigrams(texts: DataFrame, units: Units) -> DataFrame:
-    """(u, v, n): unit bigrams of all texts; a text starts and ends with the end unit."""
-    shared = texts.sparkSession.sparkContext.broadcast(units)
-    base = units.settings.units
-
-    def count_pairs(batches):
-        of, cache = shared.value.of, {}
+    def count(batches):
+        known = shared.value
         waiting: list[np.ndarray] = []
         size = 0
 
         def flush():
-            pairs, n = np.unique(np.concatenate(waiting), return_counts=True)
+            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
             waiting.clear()
-            arrays = [pa.array(pairs), pa.array(n.astype(np.int64))]
-            return pa.RecordBatch.from_arrays(arrays, ["pair", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                line = [0]
-                for word in tokens(text):
-                    unit = cache.get(word)
-                    if unit is None:
-                        if len(cache) > FLUSH_WORDS:
-                            cache.clear()
-                        unit = cache[word] = of(word)
-                    line.append(unit)
-                line.append(0)
-                ids = np.array(line, np.int64)
-                waiting.append(ids[:-1] * base + ids[1:])
-                size += len(line)
-                if size > FLUSH_PAIRS:
-                    yield flush()
-                    size = 0
+            for part in in_parts(batch.column(0)):
+                for text in part:
+                    keys = keys_of(known.line(tokens(text)))
+                    waiting.append(keys)
+                    size += len(keys)
+                    if size > FLUSH_PAIRS:
+                        yield flush()
+                        size = 0
         if waiting:
             yield flush()
 
-    return (
-        texts.mapInArrow(count_pairs, "pair bigint, n bigint")
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            F.floor(F.col("pair") / base).cast("int").alias("u"),
-            (F.col("pair") % base).cast("int").alias("v"),
-            "n",
-        )
+    return texts.mapInArrow(count, "key bigint, n bigint")
+
+
+def summed(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def own_units(words: list[bytes], settings: Settings) -> Codes:
+    """The unit of every word: its own, or that of its last letters."""
+    own = {END: 0} | {word: i for i, word in enumerate(words[: settings.unit_words], 1)}
+    first = 1 + settings.unit_words
+    return Codes(own, [first + i for i in range(settings.ending_units)], settings)
+
+
+def bigrams(texts: DataFrame, units: Codes) -> DataFrame:
+    """(u, v, n): unit bigrams of all texts; a text starts and ends with the end unit."""
+    base = units.settings.units
+
+    def pairs(line: np.ndarray) -> np.ndarray:
+        return line[:-1] * base + line[1:]
+
+    return summed(counted_keys(texts, units, pairs)).select(
+        F.floor(F.col("key") / base).cast("int").alias("u"), (F.col("key") % base).cast("int").alias("v"), "n"
     )
 
 
@@ -232,155 +271,252 @@ def cluster(pairs: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarra
     return classes, table
 
 
+def smoothed(table: np.ndarray, settings: Settings) -> np.ndarray:
+    """log10 of the transitions."""
+    mass = settings.transition_mass
+    sums = table.sum(axis=1, keepdims=True) + mass * settings.classes
+    return np.log10((table + mass) / sums)
+
+
+def likeliest(follow: np.ndarray, lead: np.ndarray, moves: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For rows of counts of the classes after and before a word, the class it does best in."""
+    gain = follow @ moves.T + lead @ moves - lead.sum(axis=1, keepdims=True) * size
+    gain[:, 0] = -np.inf
+    return gain.argmax(axis=1)
+
+
+def join_classes(
+    texts: DataFrame, words: list[bytes], classes: np.ndarray, table: np.ndarray, settings: Settings
+) -> np.ndarray:
+    """The class of every word of the lookup table, given those of the units.
+
+    Words without a unit join the class where the neighbours they have in the texts are likeliest."""
+    n, own = settings.classes, settings.unit_words
+    found = np.array(classes[1 : 1 + min(own, len(words))])
+    if len(words) <= own:
+        return found
+    by_ending = classes[1 + own :].tolist()
+    # A number is the word's place after the units, or 0, and the class it has so far.
+    given = {END: 0} | {word: int(classes[i]) for i, word in enumerate(words[:own], 1)}
+    given |= {word: i * n + by_ending[settings.ending(word)] for i, word in enumerate(words[own:], 1)}
+
+    def beside(line: np.ndarray) -> np.ndarray:
+        place, cls = np.divmod(line, n)
+        at = np.flatnonzero(place)
+        return np.concatenate([place[at] * 2 * n + cls[at + 1], place[at] * 2 * n + n + cls[at - 1]])
+
+    counted = counted_keys(texts, Codes(given, by_ending, settings), beside)
+    moves, size = smoothed(table, settings), np.log10(np.maximum(table.sum(axis=0), 1))
+
+    def best(batches):
+        """All counts of a place come to one task, which sums them up as they come."""
+        rows: dict[int, int] = {}
+        sides = np.zeros((1024, 2 * n))
+        for batch in batches:
+            keys, times = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            places, at = np.unique(keys // (2 * n), return_inverse=True)
+            row = np.array([rows.setdefault(place, len(rows)) for place in places.tolist()], int)
+            while len(rows) > len(sides):
+                sides = np.concatenate([sides, np.zeros_like(sides)])
+            np.add.at(sides, (row[at], keys % (2 * n)), times)
+        sides = sides[: len(rows)]
+        cls = likeliest(sides[:, :n], sides[:, n:], moves, size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(rows), pa.int64()), pa.array(cls.astype(np.int32))], ["place", "class"]
+        )
+
+    place = F.floor(F.col("key") / (2 * n))
+    joined = counted.repartition(place).mapInArrow(best, "place bigint, class int").toArrow()
+    more = np.array([by_ending[settings.ending(word)] for word in words[own:]])
+    more[joined.column(0).to_numpy() - 1] = joined.column(1).to_numpy()
+    return np.concatenate([found, more])
+
+
 @dataclass
 class Model:
     """What scoring needs in every task, and the full word counts as a table."""
 
     counts: DataFrame
-    units: Units
-    classes: np.ndarray
-    moves: np.ndarray
-    emission_base: np.ndarray
+    settings: Settings
     looked_up: dict[bytes, int]
+    word_classes: np.ndarray
+    ending_classes: np.ndarray
+    transitions: np.ndarray
+    sizes: np.ndarray
+    kinds: np.ndarray
     end_count: int
     n_tokens: int
     n_words: int
 
+    def codes(self) -> Codes:
+        """A number for every word: its place in the lookup table from 1, or 0, and its class."""
+        n = self.settings.classes
+        given = {word: i * n + int(c) for i, (word, c) in enumerate(zip(self.looked_up, self.word_classes, strict=True), 1)}
+        return Codes(given, self.ending_classes.tolist(), self.settings)
+
+    def class_of(self, word: bytes) -> int:
+        return self.codes()[short_name(word)] % self.settings.classes
+
 
 def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """The words above a frequency that at most `most` words pass, most frequent first.
-
-    Frequencies are counted by steps of a fraction of an octave, of which there are few hundred, so
-    that no task sends more words to the driver than are taken."""
-    level = F.floor(F.log2("n") * 8)
-    short = counts.where(F.length("word") <= MAX_WORD_BYTES).withColumn("level", level)
-    words, lowest = 0, None
-    for row in sorted(short.groupBy("level").count().collect(), reverse=True):
-        words += row["count"]
-        if words > most:
-            break
-        lowest = row["level"]
-    if lowest is None:
-        return {}
-    taken = short.where(F.col("level") >= lowest).select("word", "n").collect()
+    """At most `most` words, the most frequent ones, in order.
+
+    Frequencies are counted by steps of a fraction of an octave, of which there are few hundred, and
+    the step that crosses the bound by buckets of a hash of the word, so that no task sends more words
+    to the driver than are taken."""
+    words = counts.where(F.col("word") != F.lit(END)).withColumns(
+        {
+            "level": F.floor(F.log2("n") * 8),
+            "bucket": F.pmod(F.xxhash64("word"), F.lit(HASH_BUCKETS)),
+        }
+    )
+    room, wanted = most, F.lit(False)
+    for level, size in sorted(map(tuple, words.groupBy("level").count().collect()), reverse=True):
+        if size <= room:
+            room -= size
+            wanted = F.col("level") >= level
+            continue
+        last, crossing = 0, words.where(F.col("level") == level).groupBy("bucket").count()
+        for bucket, n in sorted(map(tuple, crossing.collect())):
+            if n > room:
+                break
+            room, last = room - n, bucket + 1
+        wanted = wanted | ((F.col("level") == level) & (F.col("bucket") < last))
+        break
+    taken = words.where(wanted).select("word", "n").collect()
     return dict(sorted(((bytes(w), n) for w, n in taken), key=lambda x: (-x[1], x[0])))
 
 
 def train(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> Model:
     """Learn from all documents given."""
-    small_batches(docs.sparkSession)
     texts = docs.select(text_or_empty(text).alias("text"))
     counts = stored(word_counts(texts))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    looked_up = frequent_words(counts, settings.lookup_words)
+    n_tokens, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     end_count = counts.where(F.col("word") == F.lit(END)).select("n").first()
-    units = Units([word for word in looked_up if word != END], settings)
-    shared = docs.sparkSession.sparkContext.broadcast(units)
-
-    @F.arrow_udf("int")
-    def unit_of(words: pa.Array) -> pa.Array:
-        return pa.array(list(map(shared.value.of, words.to_pylist())), pa.int32())
-
-    pairs = stored(bigrams(texts, units))
+    looked_up = frequent_words(counts, settings.lookup_words)
+    words = list(looked_up)
+    pairs = stored(bigrams(texts, own_units(words, settings)))
     classes, table = cluster(pairs, settings)
-    size, kinds = np.zeros(settings.classes), np.zeros(settings.classes)
-    per_unit = counts.groupBy(unit_of("word").alias("unit")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("kinds")
-    )
-    for row in per_unit.collect():
-        size[classes[row["unit"]]] += row["n"]
-        kinds[classes[row["unit"]]] += row["kinds"]
-    mass = settings.transition_mass
-    moves = (table + mass) / (table.sum(axis=1, keepdims=True) + mass * settings.classes)
-    return Model(
+    model = Model(
         counts,
-        units,
-        classes,
-        np.log10(moves),
-        np.log10(size + 0.5 * (kinds + 1)),
+        settings,
         looked_up,
+        join_classes(texts, words, classes, table, settings),
+        classes[1 + settings.unit_words :],
+        table,
+        np.zeros(settings.classes),
+        np.zeros(settings.classes),
         end_count["n"] if end_count else 0,
-        total[0],
-        total[1],
+        n_tokens,
+        n_words,
     )
+    n = settings.classes
 
-
-PARTS = (
-    "doc_id bigint, text_hash bigint, word binary, times bigint, "
-    "tokens bigint, known bigint, counted double, moved double"
-)
+    def moves(line: np.ndarray) -> np.ndarray:
+        cls = line % n
+        return cls[:-1] * n + cls[1:]
+
+    found = summed(counted_keys(texts, model.codes(), moves)).toArrow()
+    model.transitions = np.zeros((n, n))
+    model.transitions.ravel()[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    # Words beyond the table by their endings; those in the table move to their own class.
+    ending = F.crc32(F.substring("word", -settings.ending_bytes, settings.ending_bytes)) % settings.ending_units
+    by_ending = (
+        counts.where(F.col("word") != F.lit(END))
+        .groupBy(ending.cast("int").alias("ending"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+    )
+    for row in by_ending.collect():
+        model.sizes[model.ending_classes[row["ending"]]] += row["n"]
+        model.kinds[model.ending_classes[row["ending"]]] += row["kinds"]
+    for (word, times), cls in zip(looked_up.items(), model.word_classes.tolist(), strict=True):
+        for own, change in ((cls, 1), (model.ending_classes[settings.ending(word)], -1)):
+            model.sizes[own] += change * times
+            model.kinds[own] += change
+    model.sizes[0], model.kinds[0] = model.end_count, min(1, model.end_count)
+    return model
 
 
 def score_parts(texts: DataFrame, model: Model) -> DataFrame:
     """Per document one row with what tasks know, and one row per word they can't look up."""
+    emission_base = np.log10(model.sizes + 0.5 * (model.kinds + 1))
     shared = texts.sparkSession.sparkContext.broadcast(
         (
-            model.units,
-            model.classes,
-            model.moves,
-            model.emission_base,
-            model.looked_up,
+            model.codes(),
+            smoothed(model.transitions, model.settings),
+            emission_base,
+            np.log10(np.array([0, *model.looked_up.values()]) + 0.5),
             model.end_count,
         )
     )
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("text_hash", pa.int64()),
-            ("word", pa.binary()),
-            ("times", pa.int64()),
-            ("tokens", pa.int64()),
-            ("known", pa.int64()),
-            ("counted", pa.float64()),
-            ("moved", pa.float64()),
-        ]
-    )
+    classes = model.settings.classes
 
     def parts(batches):
-        units, classes, moves, emission_base, looked_up, end_count = shared.value
-        place = {word: i for i, word in enumerate(looked_up)}
-        logs = np.log10(np.array(list(looked_up.values()), float) + 0.5)
-        place_class = np.array([classes[units.of(word)] for word in looked_up], int)
+        codes, moves, base, logs, end_count = shared.value
         for batch in batches:
-            rows = []
-            for doc_id, text_hash, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = tokens(text)
-                at = np.array([place.get(word, -1) for word in words], int)
-                found = at >= 0
-                line = np.zeros(len(words) + 2, int)
-                line[1:-1][found] = place_class[at[found]]
-                others = [words[i] for i in np.flatnonzero(~found)]
-                line[1:-1][~found] = [classes[units.of(word)] for word in others]
-                counted = logs[at[found]].sum() + np.log10(end_count + 0.5)
-                moved = moves[line[:-1], line[1:]].sum() - emission_base[line[1:]].sum()
-                known = int(found.sum()) + (end_count > 0)
-                # A key of its own, which is no word, keeps these rows from meeting in one task,
-                # those of copies too.
-                key = f"\n{text_hash} {doc_id}".encode()
-                rows.append((doc_id, text_hash, key, 0, len(words) + 1, known, counted, moved))
-                rows.extend(
-                    (doc_id, text_hash, word, n, None, None, None, None)
-                    for word, n in Counter(others).items()
+            for start in range(0, batch.num_rows, PART_ROWS):
+                part = batch.slice(start, PART_ROWS)
+                rows = part.num_rows
+                values = np.zeros((2, rows))
+                sums = np.zeros((2, rows), np.int64)
+                others: list[bytes] = []
+                times: list[int] = []
+                owners = np.zeros(rows, np.int64)
+                for at, text in enumerate(part.column(2).to_pylist()):
+                    words = tokens(text)
+                    place, line = np.divmod(codes.line(words), classes)
+                    known = place[1:-1] > 0
+                    found = place[1:-1][known]
+                    sums[:, at] = len(words) + 1, len(found) + (end_count > 0)
+                    values[:, at] = (
+                        logs[found].sum() + np.log10(end_count + 0.5),
+                        moves[line[:-1], line[1:]].sum() - base[line[1:]].sum(),
+                    )
+                    rest = Counter(compress(words, (~known).tolist()))
+                    others.extend(rest)
+                    times.extend(rest.values())
+                    owners[at] = len(rest)
+                of = pa.array(np.concatenate([np.arange(rows), np.repeat(np.arange(rows), owners)]))
+                # A key of its own, which is no word, keeps a document's first row from meeting those of
+                # others in one task, its copies' too.
+                ids = zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True)
+                keys = [f"\n{text_hash} {doc_id}".encode() for text_hash, doc_id in ids]
+                blank = np.arange(rows + len(others)) >= rows
+
+                def own(column, blank=blank):
+                    whole = np.zeros(len(blank), column.dtype)
+                    whole[: len(column)] = column
+                    return pa.array(whole, mask=blank)
+
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(of),
+                        part.column(1).take(of),
+                        pa.array(keys + others, pa.binary()),
+                        pa.array(np.concatenate([np.zeros(rows, np.int64), np.array(times, np.int64)])),
+                        *map(own, sums),
+                        *map(own, values),
+                    ],
+                    ["doc_id", "text_hash", "word", "times", "tokens", "known", "counted", "moved"],
                 )
-            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return texts.mapInArrow(parts, PARTS)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(
+        parts,
+        f"doc_id {kind}, text_hash bigint, word binary, times bigint, tokens bigint, known bigint, "
+        "counted double, moved double",
+    )
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    small_batches(docs.sparkSession)
     column = text_or_empty(text)
     texts = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"),
-        F.xxhash64(column).alias("text_hash"),
-        column.alias("text"),
+        F.col(doc_id).alias("doc_id"), F.xxhash64(column).alias("text_hash"), column.alias("text")
     )
     times = F.col("times")
     looked = F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5)) * times
-    summed = (
+    summed_parts = (
         score_parts(texts, model)
         .join(model.counts, "word", "left")
         .groupBy("doc_id", "text_hash")
@@ -395,7 +531,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_
     rows = F.col("rows")
     n_tokens = F.col("tokens") / rows
     per_token = float(np.log10(model.n_tokens + 0.5 * (model.n_words + 1)))
-    return summed.select(
+    return summed_parts.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         n_tokens.cast("bigint").alias("n_tokens"),

@@ -8,17 +8,19 @@ of the id; the running sum of their expected copies, moved by one random offset
 a copy for every integer boundary it crosses. As the order is by size, the words taken differ
 from the target by no more than about the longest document.
 
-The running sum is position times rate, and positions are found without sorting a source in one
-task: counts per (source, size) and per hash bucket within it are summed first, then rows are
-numbered within a bucket.
+The running sum is position times rate. Documents are counted by source, size and a bucket of their id's
+hash; the counts, dealt by range of that order, are summed up in slices, so that a large source or a
+size that many documents share is numbered by many tasks. Rows are then numbered within a bucket. Sources
+are ranked, and stops summed up, in slices as well.
 
 Only DataFrame functions are used. The offset comes from a hash of the seed and the source, so
 reruns agree.
 
 Defined results: a null text has size 0 and is taken at its source's rate, which adds no words; a
 source without words has target 0 and gives no copies; a null source is a source of its own; of
-repeated rows each is a document; no rows give no rows. Other columns pass through; columns with
-the name of an output column are replaced.
+repeated rows each is a document; documents that share an id and a size stand in the order of a hash of
+the whole row, so that only rows equal in every column are interchangeable; no rows give no rows. Other
+columns pass through whatever their names; those with the name of an output column are replaced.
 """
 
 from __future__ import annotations
@@ -26,68 +28,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.llm.common import WORD, text_or_empty
+from pulse.llm.common import WORD, free_name, row_hash, stored, sums_before, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 BUCKET_DIGITS = 3
 SEED = "mix"
+ADDED = ["size", "source_size", "target", "copies", "taken"]
 
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
-def source_targets(sizes: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
-    """From (source_key, source_size), one row per source, its target and rate of copies.
+def source_targets(sources: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
+    """From (missing, name, source_size, rows), one row per source: target, rate of copies, and the
+    documents of the sources before it.
 
     A source stops if its share would pass `max_copies` times its size. Ordered by stop per
     weight, the stopped sources come first, so the level that the others reach is the first one
-    that does not pass the next source's stop. There are as many rows as sources."""
-    by_name = Window.orderBy("source_key")
-    weight = F.element_at(
-        F.array(*map(F.lit, weights)),
-        (F.row_number().over(by_name) - 1) % len(weights) + 1,
+    that does not pass the next source's stop."""
+    by_name = ["missing", "name"]
+    ranked = sums_before(
+        sources, by_name, {"place": F.lit(1).cast("bigint"), "rows_before": F.col("rows")}
     )
-    weighed = sizes.withColumn("weight", weight).withColumn(
-        "stop", F.col("source_size") * max_copies
+    weight = F.element_at(
+        F.array(*map(F.lit, weights)), (F.col("place") % len(weights)).cast("int") + 1
     )
-    everything = Window.partitionBy(F.lit(0))
-    ratio = F.col("stop").cast("double") / F.col("weight")
-    before = (
-        Window.orderBy("ratio", "source_key").rowsBetween(Window.unboundedPreceding, -1)
+    weighed = (
+        ranked.withColumn("weight", weight.cast("bigint"))
+        .withColumn("stop", F.col("source_size") * max_copies)
+        .withColumn("ratio", F.col("stop").cast("double") / F.col("weight"))
     )
-    none = F.lit(0).cast("bigint")
-    levels = (
-        weighed.withColumn("ratio", ratio)
-        .withColumn(
-            "left_size",
-            F.sum("source_size").over(everything) - F.coalesce(F.sum("stop").over(before), none),
-        )
-        .withColumn(
-            "left_weight",
-            F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), none),
-        )
-        .withColumn("level", F.col("left_size").cast("double") / F.col("left_weight"))
+    summed = sums_before(
+        weighed, ["ratio", *by_name], {"stops": F.col("stop"), "weights": F.col("weight")}
     )
-    ordered = Window.partitionBy(F.lit(0)).orderBy("ratio", "source_key").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    reached = F.when(F.col("level") <= F.col("ratio"), F.col("level"))
-    level = F.first(reached, ignorenulls=True).over(ordered)
-    target = F.least(level * F.col("weight"), F.col("stop").cast("double"))
+    summed = stored(summed)
+    size, total = summed.agg(F.sum("source_size"), F.sum("weight")).first()
+    left = (F.lit(size) - F.col("stops")).cast("double") / (F.lit(total) - F.col("weights"))
+    reached = summed.withColumn("level", left).where("level <= ratio")
+    level = reached.agg(F.min_by("level", F.struct("ratio", *by_name))).first()[0]
+    target = F.least(F.lit(level).cast("double") * F.col("weight"), F.col("stop").cast("double"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     return (
-        levels.withColumn("target", target)
+        summed.withColumn("target", target)
         .withColumn("rate", F.least(rate, F.lit(float(max_copies))))
-        .select("source_key", "source_size", "target", "rate")
+        .select(*by_name, "source_size", "target", "rate", "rows_before")
     )
 
 
-def source_offset(source_key: Column, seed: str = SEED) -> Column:
+def source_offset(missing: Column, name: Column, seed: str = SEED) -> Column:
     """A number in [0, 1) that depends on the seed and the source alone."""
-    name = F.coalesce(source_key["name"], F.lit(""))
-    digest = F.md5(F.concat(F.lit(seed), source_key["missing"].cast("string"), name))
+    digest = F.md5(F.concat(F.lit(seed), missing.cast("string"), name))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
@@ -101,69 +93,61 @@ def mix_sources(
     seed: str = SEED,
 ) -> DataFrame:
     """Adds size, source_size, target, copies and taken to every row."""
-    key = F.struct(F.col(source).isNull().cast("int").alias("missing"), F.col(source).alias("name"))
-    bucket = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, BUCKET_DIGITS)
-    added = ["size", "source_size", "target", "copies", "taken"]
-    sized = (
-        docs.select([F.col(c) for c in docs.columns if c not in added])
-        .withColumn("source_key", key)
-        .withColumn("size", word_count(text_or_empty(text)))
-        .withColumn("bucket", bucket)
-    )
-    buckets = sized.groupBy("source_key", "size", "bucket").agg(F.count("*").alias("rows"))
-    by_size = buckets.groupBy("source_key", "size").agg(F.sum("rows").alias("rows"))
-    sizes = by_size.groupBy("source_key").agg(
-        F.coalesce(F.sum(F.col("size") * F.col("rows")), F.lit(0)).alias("source_size")
+    names = ["missing", "name", "bucket", "tie", "place", "start", "rate"]
+    missing, name, bucket, tie, place, start, rate = (free_name(docs, n, *ADDED) for n in names)
+    kept = [c for c in docs.columns if c not in ADDED]
+    digits = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, BUCKET_DIGITS)
+    sized = docs.select(
+        *(F.col(f"`{c}`") for c in kept),
+        F.col(source).isNull().cast("int").alias(missing),
+        F.coalesce(F.col(source), F.lit("")).alias(name),
+        word_count(text_or_empty(text)).alias("size"),
+        digits.alias(bucket),
+        row_hash(docs).alias(tie),
     )
-    targets = source_targets(sizes, weights, max_copies)
-    earlier = Window.unboundedPreceding, -1
-    none = F.lit(0).cast("bigint")
-    size_starts = by_size.select(
-        "source_key",
-        "size",
-        F.coalesce(
-            F.sum("rows").over(
-                Window.partitionBy("source_key").orderBy("size").rowsBetween(*earlier)
-            ),
-            none,
-        ).alias("size_start"),
+    keys = [missing, name, "size", bucket]
+    buckets = stored(
+        sized.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, ("missing", "name", "size", "bucket"), strict=True)))
+        .agg(F.count("*").alias("rows"))
     )
-    bucket_starts = buckets.select(
-        "source_key",
-        "size",
-        "bucket",
-        F.coalesce(
-            F.sum("rows").over(
-                Window.partitionBy("source_key", "size").orderBy("bucket").rowsBetween(*earlier)
-            ),
-            none,
-        ).alias("bucket_start"),
+    sources = buckets.groupBy("missing", "name").agg(
+        F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("rows")
     )
+    targets = source_targets(sources, weights, max_copies)
+    order = ["missing", "name", "size", "bucket"]
     starts = (
-        bucket_starts.join(size_starts, ["source_key", "size"])
-        .join(targets, "source_key")
-        .withColumn("start", F.col("size_start") + F.col("bucket_start"))
-        .drop("size_start", "bucket_start")
+        sums_before(buckets, order, {"before": F.col("rows")})
+        .join(targets, ["missing", "name"])
+        .select(
+            F.col("missing").alias(missing),
+            F.col("name").alias(name),
+            "size",
+            F.col("bucket").alias(bucket),
+            (F.col("before") - F.col("rows_before")).alias(start),
+            F.col("rate").alias(rate),
+            "source_size",
+            "target",
+        )
     )
-    place = F.row_number().over(
-        Window.partitionBy("source_key", "size", "bucket").orderBy(doc_id)
+    numbered = sized.withColumn(
+        place, F.row_number().over(Window.partitionBy(*keys).orderBy(doc_id, tie))
     )
-    position = F.col("start") + F.col("_place")
-    offset = source_offset(F.col("source_key"), seed)
+    position = F.col(start) + F.col(place)
+    offset = source_offset(F.col(missing), F.col(name), seed)
 
     def passed(documents: Column) -> Column:
-        return F.floor(documents * F.col("rate") + offset)
+        return F.floor(documents * F.col(rate) + offset)
 
     return (
-        sized.withColumn("_place", place)
-        .join(starts, ["source_key", "size", "bucket"])
+        numbered.join(starts, keys)
         .withColumn("copies", (passed(position) - passed(position - 1)).cast("bigint"))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("source_key", "bucket", "start", "rate", "_place")
+        .select(*(F.col(f"`{c}`") for c in kept), *ADDED)
     )
 
 
 def emit_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Every row as often as the mix takes it."""
+    copy = free_name(mixed, "copy")
     copies = F.when(F.col("copies") > 0, F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return mixed.select(*columns, F.explode(copies).alias("_copy")).drop("_copy")
+    return mixed.select(*(F.col(f"`{c}`") for c in columns), F.explode(copies).alias(copy)).drop(copy)

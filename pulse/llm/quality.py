@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import small_batches, text_or_empty
+from pulse.llm.common import free_name, in_parts, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -144,12 +144,11 @@ def judge(text: str, rules: Rules) -> tuple:
 
 def quality_rules(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
     """Adds FIELDS to every row: base counts, `clean_text` without failing lines, the verdict."""
-    small_batches(docs.sparkSession)
     schema = ", ".join(f"{name}: {kind}" for name, kind in FIELDS.items())
 
     @F.arrow_udf(f"struct<{schema}>")
     def verdicts(texts: pa.Array) -> pa.Array:
-        rows = [judge(value, rules) for value in texts.to_pylist()]
+        rows = [judge(value, rules) for part in in_parts(texts) for value in part]
         columns = list(zip(*rows, strict=True)) or [()] * len(FIELDS)
         kinds = {"bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
         arrays = [
@@ -158,5 +157,6 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -
         ]
         return pa.StructArray.from_arrays(arrays, list(FIELDS))
 
-    judged = docs.withColumn("_verdict", verdicts(text_or_empty(text)))
-    return judged.withColumns({name: F.col(f"_verdict.{name}") for name in FIELDS}).drop("_verdict")
+    found = free_name(docs, "verdict")
+    judged = docs.withColumn(found, verdicts(text_or_empty(text)))
+    return judged.withColumns({name: F.col(f"{found}.{name}") for name in FIELDS}).drop(found)

@@ -35,7 +35,7 @@ URL_RULES = [
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -14,9 +14,14 @@ of its fingerprints is posted under all values that differ from it in up to two
 each value all are linked to one that differs in at most one bit. Those links are within three
 bits, and any two fingerprints within three bits meet that way, so the components are the same.
 
+Joins on a fingerprint, a cell or a node that may be hot shuffle both sides for themselves, so that
+adaptive execution can split the hot key.
+
 Defined results: a null text counts as empty, and a text without words has fingerprint zero, which
 links like any other; a null doc_id names no component unless its whole group has none, then the
-component is null; repeated rows come back as often as they were given; no rows give no rows.
+component is null; repeated rows come back as often as they were given; no rows give no rows; columns
+other than the id and the text are not read, but for `drop_near_duplicates`, which passes them through
+whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.llm.common import cut, small_batches, text_or_empty
+from pulse.llm.common import cut, free_name, in_parts, row_hash, text_or_empty
+from pulse.operators.enrich import lookup, require
 
 SEED = 42
 SHINGLE = 3
@@ -80,11 +86,9 @@ def with_fingerprint(
     docs: DataFrame, text: str = "text", name: str = "fp", width: int = SHINGLE
 ) -> DataFrame:
     """Adds the fingerprint of every row as a signed bigint."""
-    small_batches(docs.sparkSession)
-
     @F.arrow_udf("bigint")
     def fingerprints(texts: pa.Array) -> pa.Array:
-        values = [signed(fingerprint(value, width)) for value in texts.to_pylist()]
+        values = [signed(fingerprint(value, width)) for part in in_parts(texts) for value in part]
         return pa.array(values, pa.int64())
 
     return docs.withColumn(name, fingerprints(text_or_empty(text)))
@@ -181,7 +185,9 @@ def fingerprint_links(fps: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
         ).alias("grid", "cell"),
     )
     sizes = cells.groupBy("grid", "cell").count().where("count > 1")
-    shared = cut(cells.join(sizes, ["grid", "cell"]).select("grid", "cell", "fp", "count"))
+    shared = cut(
+        require(cells, sizes, ["grid", "cell"], split_hot=True).select("grid", "cell", "fp", "count")
+    )
     links = (
         shared.where(F.col("count") <= cell_rows)
         .select("grid", "cell", "fp")
@@ -225,7 +231,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("low"))
         large = (
-            both.join(least, "u")
+            require(both, least, "u", split_hot=True)
             .where("v > u")
             .select(F.col("v").alias("u"), F.least("low", "u").alias("v"))
             .union(least.where("low < u").select("u", F.col("low").alias("v")))
@@ -234,7 +240,7 @@ def components(links: DataFrame) -> DataFrame:
         large = cut(large)
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         small = (
-            large.join(low, "u")
+            require(large, low, "u", split_hot=True)
             .select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")), "low")
             .toDF("u", "v")
             .where("u <> v")
@@ -248,21 +254,20 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def rooted_prints(prints: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(fp, first_id, root): each fingerprint's smallest doc_id, and the component's fingerprint."""
-    groups = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+def with_roots(groups: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Adds to one row per fingerprint the root of its component, a fingerprint too."""
     roots = components(fingerprint_links(groups.select("fp"), cell_rows))
-    return groups.join(roots, groups["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    found = lookup(groups, roots.withColumnRenamed("node", "fp"), "fp")
+    return found.withColumn("root", F.coalesce("root", "fp"))
 
 
 def component_ids(prints: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Adds component_id to rows with doc_id and fp: the smallest doc_id reachable."""
-    rooted = rooted_prints(prints, cell_rows)
+    groups = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    rooted = with_roots(groups, cell_rows)
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(named, "fp")
+    named = require(rooted.select("fp", "root"), lowest, "root").select("fp", "component_id")
+    return require(prints, named, "fp", split_hot=True)
 
 
 def simhash_components(
@@ -276,24 +281,31 @@ def simhash_components(
 def drop_near_duplicates(docs: DataFrame, text: str = "text", width: int = SHINGLE) -> DataFrame:
     """One document of every component stays, the one with the smallest doc_id.
 
-    Of repeated rows with that doc_id one stays; rows that share a doc_id but are of different
-    components are told apart by their texts. A row with a null doc_id stays: no component can be
-    named after it."""
-    text_hash = F.xxhash64(text_or_empty(text))
-    named = docs.withColumn("_hash", text_hash)
-    prints = cut(
-        with_fingerprint(named.select("doc_id", "_hash", text), text, width=width).select(
-            "doc_id", "_hash", "fp"
-        )
+    Null ids come last, so a component without any id keeps one document as well. Of rows that
+    share the id, the one with the smallest hash of the whole row stays."""
+    tie, fp = free_name(docs, "tie"), "fp"
+    hashed = docs.withColumn(tie, row_hash(docs))
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(tie).alias("tie"))
+    ranked = hashed.select(F.col(text).alias("text"), rank.alias("rank"))
+    prints = with_fingerprint(ranked, "text", fp, width).select(fp, "rank")
+    groups = cut(prints.groupBy(fp).agg(F.min("rank").alias("rank")))
+    stay = with_roots(groups).groupBy("root").agg(F.min("rank").alias("rank"))
+    # Rows equal in every column are one; each task keeps one of them before the shuffle.
+    row = free_name(docs, "row", tie)
+    missing = free_name(docs, "missing", tie, row)
+    keys = [missing, "doc_id", tie]
+    order = Window.partitionBy(*keys).orderBy(F.lit(0))
+    single = (
+        hashed.withColumn(missing, F.col("doc_id").isNull())
+        .withColumn(row, F.row_number().over(order))
+        .where(F.col(row) == 1)
     )
-    first = F.min(F.struct("doc_id", "_hash")).alias("first")
-    rooted = prints.join(rooted_prints(prints).select("fp", "root"), "fp")
-    stay = rooted.where("doc_id is not null").groupBy("root").agg(first)
-    keys = ["doc_id", "_hash"]
-    order = Window.partitionBy(*keys).orderBy(*[c for c in docs.columns if c != "doc_id"])
-    kept = named.join(stay.select("first.*"), keys, "left_semi").withColumn("_row", F.row_number().over(order))
-    return (
-        kept.where("_row = 1")
-        .select(*docs.columns)
-        .unionByName(docs.where("doc_id is null"))
+    # A null id matches the null id of its rank.
+    theirs = free_name(docs, "first", *keys, row)
+    wanted = stay.select(F.col("rank").alias(theirs))
+    same = (
+        (F.col(missing) == F.col(f"{theirs}.missing"))
+        & F.col("doc_id").eqNullSafe(F.col(f"{theirs}.id"))
+        & (F.col(tie) == F.col(f"{theirs}.tie"))
     )
+    return single.join(wanted, same, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -28,7 +28,6 @@ from pulse.llm.common import cut, lower_ascii
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 MAX_RULES = 100_000
-BATCH_URLS = 10_000
 NONE = (None, None, None)
 
 
@@ -88,9 +87,7 @@ class RuleIndex:
 
 def decide(urls: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     """Adds `_best`, the deciding rule and its verdict, from host and path."""
-    spark = urls.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_URLS))
-    shared = spark.sparkContext.broadcast(RuleIndex(rules))
+    shared = urls.sparkSession.sparkContext.broadcast(RuleIndex(rules))
 
     @F.arrow_udf("struct<rule: string, verdict: string, host_length: int>")
     def best(hosts: pa.Array, paths: pa.Array) -> pa.Array:

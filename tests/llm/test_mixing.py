@@ -1,12 +1,14 @@
 """Mixing against a plain reading of its rules."""
 
+import random
 import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulse.llm import mixing
-from pulse.llm.common import WORD
+from pulse.llm.common import WORD, sums_before
 from pulse.llm.queries import QUERIES
 
 from .conftest import SMALL
@@ -79,10 +81,50 @@ def test_empty_table(make_docs):
 
 
 def test_clashing_columns(make_docs):
-    from pyspark.sql import functions as F
+    docs = make_docs([(1, "a b c", "x"), (2, "d", "y")])
+    names = ["start", "rate", "bucket", "source_key", "_place", "place", "missing", "name", "tie", "slice", "a.b"]
+    more = docs.selectExpr("*", "map(1, 'm') as m", *(f"'mine' as `{name}`" for name in [*names, "size", "copies"]))
+    mixed = mixing.mix_sources(more)
+    kept = [c for c in more.columns if c not in mixing.ADDED]
+    assert mixed.columns == [*kept, *mixing.ADDED]
+    for row in rows_of(mixed):
+        assert row["size"] == len(row["text"].split())
+        assert all(row[name] == "mine" for name in names)
+    emitted = mixing.emit_copies(mixed.withColumnRenamed("start", "copy"), ["doc_id", "copy", "a.b"])
+    assert emitted.columns == ["doc_id", "copy", "a.b"]
+
+
+def test_rows_that_share_id_and_size_are_told_apart_by_their_texts(make_docs):
+    table = [(i % 5, f"word{i} two three", "s") for i in range(60)] + [(i, "a b", "t") for i in range(100, 140)]
+    docs = make_docs(table)
+    results = [
+        sorted((r["text"], r["copies"]) for r in rows_of(mixing.mix_sources(df)))
+        for df in (docs.repartition(1), docs.repartition(9), docs.orderBy("text", ascending=False).repartition(4))
+    ]
+    assert results[0] == results[1] == results[2]
+
+
+def test_many_sources(make_docs):
+    table = [(i, "w " * (i % 17), None if i % 400 == 7 else f"host{i % 400:03}") for i in range(3000)]
+    rows = rows_of(mixing.mix_sources(make_docs(table)))
+    assert len(rows) == len(table)
+    check(rows, lambda row: row["text"])
+
+
+def test_sums_before(spark):
+    rng = random.Random(1)
+    rows = [(rng.randrange(9), i, rng.randrange(100)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a long, b long, slice long").repartition(7)
+    found = sums_before(df, ["a", "b"], {"before": F.col("slice"), "place": F.lit(1).cast("bigint")})
+    total = 0
+    for place, row in enumerate(sorted(found.collect(), key=lambda r: (r["a"], r["b"]))):
+        assert (row["before"], row["place"]) == (total, place)
+        total += row["slice"]
+
 
-    docs = make_docs([(1, "a b c", "x")]).withColumn("size", F.lit("mine"))
-    assert rows_of(mixing.mix_sources(docs))[0]["size"] == 3
+def test_native_and_no_window_over_all_rows(spark):
+    plan = QUERIES["op1_mix_sources"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
 def test_query_columns(spark):

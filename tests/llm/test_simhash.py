@@ -124,8 +124,35 @@ def test_one_document_of_each_group_stays(make_docs):
     rows = [(9, base), (4, base), (4, base), (7, base + " end"), (1, "something else"), (None, base)]
     kept = simhash.drop_near_duplicates(make_docs([(i, t, "s") for i, t in rows])).collect()
     groups = {component for _, _, component in expected(rows)}
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(groups)
-    assert sum(r["doc_id"] is None for r in kept) == 1
+    assert sorted(r["doc_id"] for r in kept) == sorted(groups)
+
+
+def test_null_ids_are_near_duplicates_too(make_docs):
+    first, second = (" ".join(f"{c}{i}" for i in range(400)) for c in "ab")
+    rows = [(None, first), (None, first), (None, first + " end"), (None, second), (3, second)]
+    kept = simhash.drop_near_duplicates(make_docs([(i, t, "s") for i, t in rows])).collect()
+    assert sorted((r["doc_id"] is None, r["text"][:2]) for r in kept) == [(False, "b0"), (True, "a0")]
+
+
+def test_clashing_names_and_maps(make_docs):
+    base = " ".join(f"w{i}" for i in range(50))
+    docs = make_docs([(1, base, "s"), (2, base, "s"), (2, base, "s"), (None, "x", "s")])
+    names = ["_hash", "hash", "tie", "row", "missing", "fp", "rank", "root", "TIE_", "a.b"]
+    more = docs.selectExpr("*", "map(1, doc_id) as m", *(f"'x' as `{name}`" for name in names))
+    kept = simhash.drop_near_duplicates(more)
+    assert kept.columns == more.columns
+    assert sorted((r["doc_id"] or 0, r["_hash"], r["a.b"]) for r in kept.collect()) == [(0, "x", "x"), (1, "x", "x")]
+    assert simhash.simhash_components(more).count() == 4
+
+
+def test_hot_joins_can_be_split(spark, docs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["op9_simhash"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    last = plan[plan.index("SortMergeJoin [fp"):]
+    assert last.split("\n")[2].strip(" :+-").startswith("Exchange hashpartitioning(fp")
 
 
 def test_one_row_of_each_group_stays_when_ids_repeat(make_docs):
