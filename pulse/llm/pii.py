@@ -2,9 +2,11 @@
 
 Kinds, in their fixed order: email, ip, card, phone, iban, tel. The first four are proposed by the
 base expressions and confirmed by their checks (octets up to 255, Luhn, digit counts). `iban` is
-confirmed by the remainder modulo 97. `tel`, a grouped number without a country prefix, has no
-checksum and stands only where a context word near it lifts its score to the threshold. Base spans
-stand whatever their score. Matches of a kind are leftmost and never overlap; a match that fails
+confirmed by the remainder modulo 97. `tel`, a number grouped as in North America, France, Spain or
+Germany without a country prefix, has no checksum and stands only where a context word near it lifts its
+score to the threshold. Context words are English, French, German and Spanish. Words shortly before a
+span that speak of another kind of number, or of an example, lower its score, so that an account number
+given as an example falls below the threshold. Base spans stand whatever their score. Matches of a kind are leftmost and never overlap; a match that fails
 its check is dropped and not tried again.
 
 The expressions are written so that a long run of characters is read once: quantifiers are
@@ -16,7 +18,8 @@ many matches does not cost the square of their number.
 Only DataFrame functions are used. Positions are code points, the end is exclusive.
 
 Defined results: a null or empty text has no spans; overlapping spans of different kinds all stand;
-repeated rows are judged each by itself; other columns pass through untouched.
+repeated rows are judged each by itself; other columns pass through untouched, a column
+with the name of the output is replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import text_or_empty
+from pulse.llm.common import free_name, text_or_empty
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "iban", "tel"]
@@ -37,21 +40,51 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "tel": r"(?<![A-Za-z0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![A-Za-z0-9.-])",
+    "tel": r"(?<![A-Za-z0-9+(.-])(?:"
+    r"(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}"
+    r"|0[1-9](?:[\x20.-][0-9]{2}){4}"
+    r"|[6-9][0-9]{2}(?:[\x20.-][0-9]{3}){2}"
+    r"|[6-9][0-9]{2}(?:[\x20.-][0-9]{2}){3}"
+    r"|0[1-9][0-9]{1,4}[\x20/-][0-9]{3,8}(?:[\x20-][0-9]{1,5})?"
+    r")(?![A-Za-z0-9]|[.-][0-9])",
 }
-# Score of a confirmed proposal by itself, and the words that lift it.
+# Score of a confirmed proposal by itself, and the words that lift it or lower it.
 BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "tel": 0.3}
+CALL_WORDS = (
+    "phone telephone tel call mobile cell fax hotline "
+    "téléphone tél appelez portable numéro "
+    "telefon telefonnummer anruf anrufen handy mobil rufnummer durchwahl "
+    "teléfono telefono llame llamar móvil celular"
+).split()
 CONTEXT_WORDS = {
-    "email": ["email", "e-mail", "mail", "contact"],
-    "ip": ["ip", "address", "host", "server"],
-    "card": ["card", "visa", "mastercard", "credit", "debit", "payment"],
-    "phone": ["phone", "tel", "call", "mobile", "fax"],
-    "iban": ["iban", "account", "bank", "transfer"],
-    "tel": ["phone", "tel", "call", "mobile", "fax"],
+    "email": "email e-mail mail contact courriel adresse kontakt correo contacto".split(),
+    "ip": "ip address host server adresse serveur hôte rechner dirección servidor".split(),
+    "card": (
+        "card visa mastercard credit debit payment carte paiement crédit "
+        "karte kreditkarte zahlung tarjeta crédito pago"
+    ).split(),
+    "phone": CALL_WORDS,
+    "iban": "iban account bank transfer compte banque virement konto überweisung cuenta banco transferencia".split(),
+    "tel": CALL_WORDS,
+}
+EXAMPLE_WORDS = "example sample dummy exemple beispiel muster ejemplo".split()
+NUMBER_WORDS = (
+    "order invoice isbn issn ticket tracking serial part version "
+    "commande facture référence bestellung rechnung artikelnummer seriennummer pedido factura referencia"
+).split()
+LOWERING_WORDS = {
+    "email": EXAMPLE_WORDS,
+    "ip": "version release build firmware".split(),
+    "card": [*EXAMPLE_WORDS, *NUMBER_WORDS],
+    "phone": [*EXAMPLE_WORDS, *NUMBER_WORDS],
+    "iban": EXAMPLE_WORDS,
+    "tel": [*EXAMPLE_WORDS, *NUMBER_WORDS],
 }
 CONTEXT_CHARS = 40
 PIECE_CHARS = 1024
+LOWERING_CHARS = 24
 CONTEXT_LIFT = 0.35
+CONTEXT_DROP = 0.35
 THRESHOLD = 0.6
 
 
@@ -205,17 +238,21 @@ def proposals(kind: str, text: Column) -> Column:
     )
 
 
+def holds_word(text: Column, words: list[str]) -> Column:
+    """Whether one of the words stands in a text by itself."""
+    return text.rlike(rf"(?iu)(?<![\p{{L}}0-9@.])(?:{'|'.join(words)})(?![\p{{L}}0-9])")
+
+
 def context_score(kind: str, pieces: Column, span: Column) -> Column:
-    """The kind's score, lifted if a context word stands shortly before or after the span."""
-    words = "|".join(CONTEXT_WORDS[kind])
+    """The kind's score, lifted if a context word stands shortly before or after the span, lowered if
+    a word right before it speaks of something else."""
     before = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-    near = F.concat_ws(
-        " ",
-        stretch(pieces, before, span["start"] - before),
-        stretch(pieces, span["end"], F.lit(CONTEXT_CHARS)),
-    )
-    hit = near.rlike(rf"(?i)(?<![A-Za-z0-9])(?:{words})(?![A-Za-z0-9])")
-    return F.lit(BASE_SCORE[kind]) + F.when(hit, F.lit(CONTEXT_LIFT)).otherwise(F.lit(0.0))
+    ahead = stretch(pieces, before, span["start"] - before)
+    near = F.concat_ws(" ", ahead, stretch(pieces, span["end"], F.lit(CONTEXT_CHARS)))
+    close = F.substring(ahead, -LOWERING_CHARS, LOWERING_CHARS)
+    lift = F.when(holds_word(near, CONTEXT_WORDS[kind]), CONTEXT_LIFT).otherwise(0.0)
+    drop = F.when(holds_word(close, LOWERING_WORDS[kind]), CONTEXT_DROP).otherwise(0.0)
+    return F.lit(BASE_SCORE[kind]) + lift - drop
 
 
 def spans_of(kind: str, text: Column, threshold: float = THRESHOLD) -> Column:
@@ -268,7 +305,7 @@ def spans_text(spans: Column) -> Column:
 
 def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replaces every span by <KIND>; of overlapping spans the first one names the whole stretch."""
-    column = F.col(text)
+    column, spans = F.col(text), free_name(docs, "found_spans")
 
     def mask_chunk(pieces: Column, chunk: Column, start: Column) -> Column:
         """The text from `start`, where the spans before the chunk end, to the end of its spans."""
@@ -312,13 +349,11 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     masked = bound(
         pieces_of(column),
         lambda pieces: bound(
-            in_chunks(F.col("_spans")),
+            in_chunks(F.col(spans)),
             lambda chunks: bound(
                 chunk_ends(chunks), lambda ends: mask_chunks(pieces, chunks, ends)
             ),
         ),
     )
-    found = find_pii(docs, text, "_spans")
-    return found.withColumn(
-        text, F.when(F.size("_spans") > 0, masked).otherwise(column)
-    ).drop("_spans")
+    found = find_pii(docs, text, spans)
+    return found.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(column)).drop(spans)

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import pytest
+
 from pulse.llm import pii
 from pulse.llm.queries import QUERIES
 
@@ -93,6 +95,42 @@ def test_method_adds_checked_accounts_and_grouped_numbers(make_docs):
     assert alone[0][1] == []
 
 
+@pytest.mark.parametrize(
+    "text, number",
+    [
+        ("Telefon (212) 555-0187 bitte", "(212) 555-0187"),
+        ("Téléphone : 01 23 45 67 89.", "01 23 45 67 89"),
+        ("Rufnummer 030 1234567, Durchwahl", "030 1234567"),
+        ("Handy 0171/1234567", "0171/1234567"),
+        ("Llame al 912 345 678 hoy", "912 345 678"),
+        ("teléfono 612 34 56 78", "612 34 56 78"),
+        ("order (212) 555-0187, phone below", None),
+        ("Rechnung 030 1234567, Telefon folgt", None),
+        ("see 01 23 45 67 89 there", None),
+        ("telefonieren 912 345 678", None),
+    ],
+)
+def test_context_in_four_languages_lifts_and_lowers(make_docs, text, number):
+    ((_, spans),) = found(make_docs([(1, text, "s")]))
+    assert [text[s:e] for s, _, e, kind in spans if kind == "tel"] == ([number] if number else [])
+
+
+def test_an_example_account_is_none(make_docs):
+    rows = [(1, "Beispiel: DE89370400440532013000", "s"), (2, "Konto DE89370400440532013000", "s")]
+    results = dict(found(make_docs(rows)))
+    assert [len(results[text]) for _, text, _ in rows] == [0, 1]
+
+
+def test_scores_and_clashing_names(make_docs):
+    texts = ["mail a@b.co", "a@b.co", "example a@b.co", "version 1.2.3.4", "server 1.2.3.4"]
+    docs = make_docs([(i, t, "s") for i, t in enumerate(texts)]).selectExpr("*", "1 as spans", "2 as _spans", "3 as pair")
+    scores = [round(r["spans"][0]["score"], 2) for r in pii.find_pii(docs).orderBy("doc_id").collect()]
+    assert scores == [1.25, 0.9, 0.55, 0.25, 0.95]
+    masked = pii.mask_pii(docs).orderBy("doc_id").collect()
+    assert [(r["spans"], r["_spans"], r["pair"]) for r in masked] == [(1, 2, 3)] * 5
+    assert masked[1]["text"] == "<EMAIL>"
+
+
 def test_masking(make_docs):
     rows = [(1, "to a@b.co from 1.2.3.4 é", "s"), (2, "clean", "s"), (3, None, "s"), (4, "", "s")]
     texts = [row["text"] for row in pii.mask_pii(make_docs(rows)).orderBy("doc_id").collect()]

@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+import pytest
+
 from pulse.llm import quality
 from pulse.llm.common import WORD
 from pulse.llm.queries import QUERIES
@@ -75,6 +77,64 @@ def test_failing_lines_are_removed(make_docs):
     assert row["clean_text"] == "\n".join([CLEAN[0], "", CLEAN[1]])
 
 
+@pytest.mark.parametrize(
+    "line, rule",
+    [
+        ("The boats were tied up until the water fell.", None),
+        ('She asked, "Will it rain?"', None),
+        ("(The desks were dry.)", None),
+        ("これは文です。", None),
+        ("He listed three reasons:", None),
+        ("Yes!", None),
+        ("eight words of a line that never ends", "unfinished"),
+        ("Chapter two", "unfinished"),
+        ("ein Satz ohne Ende, der hier einfach aufhört", "unfinished"),
+        ("Home About Us Products Contact Careers Press", "navigation"),
+        ("Home > Garden > Tools.", "navigation"),
+        ("Accueil · Nos produits · Contact", "navigation"),
+        ("« Previous article", "navigation"),
+        ("Next | Back", "navigation"),
+        ("Alle Rechte vorbehalten, Verlag am Fluss 2020.", "boilerplate"),
+        ("Tous droits réservés.", "boilerplate"),
+        ("© 2021 Todos los derechos reservados.", "boilerplate"),
+        ("Please read our Privacy Policy before you go on.", "boilerplate"),
+        ("word### of### symbols### here.", "noise"),
+        ("BUY!! NOW!! OR!! NEVER!!", "noise"),
+        ("go go go go go go.", "noise"),
+    ],
+)
+def test_rules_per_line(line, rule):
+    assert quality.failed_rule(line, line.encode().split(), quality.Rules()) == rule
+
+
+def test_documents_of_failing_lines_go(make_docs):
+    endless = "\n".join(f"line {i} has eight words and no mark" for i in range(30))
+    menu = "\n".join(f"Home{i} Shop{i} Press{i} About{i} Login{i}" for i in range(30))
+    notices = "\n".join(f"Alle Rechte vorbehalten, Heft Nummer {i} vom Verlag." for i in range(30))
+    mixed = "\n".join(CLEAN * 1) + "\n" + "Home About Us Products Contact"
+    assert kept(make_docs, endless, menu, notices, mixed) == [False, False, False, True]
+
+
+def test_counts_by_rule_and_clashing_names(make_docs):
+    text = "\n".join([*CLEAN, "Home | About | Contact", "no end here", "go go go go go.", "Cookie policy."])
+    docs = make_docs([(1, text, "s")]).selectExpr("*", "'x' as verdict", "'y' as _verdict", "'z' as kept")
+    row = quality.quality_rules(docs).first()
+    assert [row[f"n_{rule}_lines"] for rule in quality.RULES] == [1, 1, 1, 1]
+    assert (row["verdict"], row["_verdict"], row["kept"]) == ("x", "y", True)
+    assert row["clean_text"] == "\n".join(CLEAN)
+
+
+def test_labels_of_a_larger_table(spark):
+    folder = SMALL.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = quality.quality_rules(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id")
+    rows = judged.select("quality", "kept", "base_failed").collect()
+    good = [row["kept"] for row in rows if row["quality"] == 1 and not row["base_failed"]]
+    junk = [row["kept"] for row in rows if row["quality"] == 0]
+    assert len(good) > 3000 and sum(good) >= 0.998 * len(good)
+    assert len(junk) > 500 and sum(junk) <= 0.02 * len(junk)
+
+
 def test_labelled_documents(spark, docs):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     rows = quality.quality_rules(docs).join(labels, "doc_id").collect()
