@@ -6,18 +6,22 @@ the whole sequence of a page's blocks, so that what stands before and after a bl
 each the probability of belonging to the article. The text is the blocks above one half, in order.
 
 The network is trained by back-propagation on pages whose article is marked in the page itself
-(`article` or `main`), a sample of at most `sample_pages`. Each sampled page is also laid out anew in
-several ways, with other containers, menus, notices, sidebars, forms and reader comments made of text
-of the sample, so that tag names are not all that the network learns.
-
-Markup is read by one regular expression in a single pass. Text in comments, scripts, styles, the
-head, form fields, drawings and the like is no block. Inline tags, formulas, embedded media with what
-they hold, and line breaks do not end a block.
+(`article` or `main`), a sample of at most `sample_pages` of at most `sample_chars` characters. Menus,
+sidebars, forms, adverts, notices and reader comments inside the mark, known by their tags or names,
+are not article. Each sampled page is also laid out anew in several ways, with other containers,
+and with such parts around the article and inside it, made of text of the sample, so that tag names
+are not all that the network learns.
+
+Markup is read in a single pass that looks at every character a bounded number of times: what is
+looked for and not found once, such as the end of a tag, is not looked for again. A block keeps a link to
+its innermost container, which holds the hashed names of all around it. Text in comments, scripts,
+styles, the head, form fields, drawings and the like is no block. Inline tags, formulas, embedded media
+with what they hold, and line breaks do not end a block.
 
 Defined results: a null or empty page has an empty text; a page without blocks too; broken or
 unclosed markup is read as far as it goes; equal pages give equal texts; without a marked page in the
 sample the network is trained on made-up layouts of the sample's own text, and an empty table
-gives no rows and trains nothing.
+gives no rows and trains nothing. Other columns pass through, one with the name of the output is replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +30,9 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +56,22 @@ INLINE = (
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 CLOSED_BY_NEXT = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?!svg(?:\s[^>]*)?/>)(script|style|noscript|template|textarea|svg|iframe|title)(?=[\s/>])[^>]*+>.*?(?:</\1\s*+>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<[!?/a-zA-Z][^>]*+>"
-    r"|[^<]++|<",
-    re.S | re.I,
-)
+# Elements whose content is no markup, and others that are skipped if they are closed.
+RAW = "script style textarea title iframe".split()
+SKIPPED_IF_CLOSED = "svg template noscript".split()
+# Tags and names of what stands inside an article's mark without being article.
+NOT_ARTICLE = {
+    *"nav aside footer form dialog".split(),
+    *".nav .menu .navbar .navigation .breadcrumbs .toc .footer .copyright".split(),
+    *".sidebar .related .widget .recommended .trending .rail".split(),
+    *".cookie .consent .popup .newsletter .subscribe .modal .notice".split(),
+    *".ad .ads .advert .advertisement .sponsored .promo .promotion".split(),
+    *".comments .comment .discussion .replies .responses .respond .share .social".split(),
+}
+
+TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
+TAG_STOP = re.compile(r">|=\s*+([\"'])")
+END_OF = {name: re.compile(rf"</{name}\s*+>", re.I) for name in (*RAW, *SKIPPED_IF_CLOSED)}
 NAMES = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
 NAME_PARTS = re.compile(r"[A-Za-z]+")
 WHITE = " \t\n\x0b\x0c\r"
@@ -71,7 +85,8 @@ INPUT_SIZE = PATH_SIZE + WORD_SIZE + MEASURES
 @dataclass(frozen=True)
 class Settings:
     sample_pages: int = 200
-    layouts: int = 4
+    sample_chars: int = 200_000
+    layouts: int = 6
     blocks_a_page: int = 40
     hidden: int = 16
     epochs: int = 10
@@ -80,10 +95,131 @@ class Settings:
     seed: int = 11
 
 
-def blocks_of(page: str) -> list[tuple[str, tuple[str, ...], int]]:
-    """Leaf blocks in order: text, names of the tags around it, characters inside links."""
-    blocks: list[tuple[str, tuple[str, ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+def bucket(name: str, size: int, cache: dict) -> int:
+    known = cache.get(name)
+    if known is None:
+        if len(cache) > 200_000:
+            cache.clear()
+        known = cache[name] = zlib.crc32(name.encode()) % size
+    return known
+
+
+PATH_CACHE: dict[str, int] = {}
+WORD_CACHE: dict[str, int] = {}
+
+
+class Path:
+    """A container: the one around it, its names, the hashed names of both, and whether it is in the
+    article's mark (1), in something else inside that (2), or neither (0)."""
+
+    __slots__ = ("around", "own", "bits", "marked")
+
+    def __init__(self, around: Path | None, own: tuple[str, ...]):
+        self.around, self.own = around, own
+        self.bits = around.bits if around else 0
+        for name in own:
+            self.bits |= 1 << bucket(name, PATH_SIZE, PATH_CACHE)
+        marked = around.marked if around else 0
+        if not marked and own[0] in ("article", "main"):
+            marked = 2 if ".comment" in own else 1
+        elif marked == 1 and not NOT_ARTICLE.isdisjoint(own):
+            marked = 2
+        self.marked = marked
+
+    @classmethod
+    def of(cls, names: tuple[str, ...]) -> Path | None:
+        """From names outermost first, a container each; those with a dot belong to the one before."""
+        path, own = None, []
+        for name in names:
+            if name[0] != "." and own:
+                path, own = cls(path, tuple(own)), []
+            own.append(name)
+        return cls(path, tuple(own)) if own else path
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        parts, at = [], self
+        while at:
+            parts.append(at.own)
+            at = at.around
+        return tuple(name for own in reversed(parts) for name in own)
+
+
+class Block(NamedTuple):
+    """A leaf block: its text, its innermost container, characters inside links."""
+
+    text: str
+    path: Path | None
+    linked: int
+
+    @property
+    def in_article(self) -> bool:
+        return self.path is not None and self.path.marked == 1
+
+
+def markup(page: str):
+    """Texts, as (None, text), and tags, as (name, attributes), the name with a slash if it closes."""
+    at, size = 0, len(page)
+    # Up to here quotes in tags are not looked at: a tag that began before did not end outside them.
+    unquoted_to = 0
+    unclosed: set[str] = set()
+    while at < size:
+        start = page.find("<", at)
+        if start < 0:
+            yield None, page[at:]
+            return
+        if start > at:
+            yield None, page[at:start]
+        if page.startswith("<!--", start):
+            stop = page.find("-->", start + 4)
+            at = size if stop < 0 else stop + 3
+            continue
+        tag = TAG_NAME.match(page, start + 1)
+        if not tag and page[start + 1 : start + 2] not in ("!", "?", "/"):
+            yield None, "<"
+            at = start + 1
+            continue
+        at = tag.end() if tag else start + 1
+        stop = -1
+        if start >= unquoted_to:
+            look = at
+            while found := TAG_STOP.search(page, look):
+                if not found.group(1):
+                    stop = found.start()
+                    break
+                look = page.find(found.group(1), found.end()) + 1
+                if not look:
+                    break
+            if stop < 0:
+                unquoted_to = size
+        if stop < 0:
+            stop = page.find(">", at)
+        if stop < 0:
+            # No tag ends any more.
+            yield None, page[start:].partition("<!--")[0]
+            return
+        attributes, at = page[at:stop], stop + 1
+        if not tag:
+            continue
+        name = tag.group(2).lower()
+        if tag.group(1) or name not in END_OF:
+            yield tag.group(1) + name, attributes
+        elif name in RAW:
+            end = END_OF[name].search(page, at)
+            at = end.end() if end else size
+        elif not attributes.endswith("/") and name not in unclosed:
+            end = END_OF[name].search(page, at)
+            if end:
+                at = end.end()
+            else:
+                unclosed.add(name)
+
+
+def blocks_of(page: str) -> list[Block]:
+    """Leaf blocks in order."""
+    blocks: list[Block] = []
+    stack: list[tuple[str, Path]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = in_link = hidden = 0
 
@@ -92,42 +228,42 @@ def blocks_of(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                path = tuple(name for _, names in stack for name in names)
-                blocks.append((text, path, min(linked, len(text))))
+                path = stack[-1][1] if stack else None
+                blocks.append(Block(text, path, min(linked, len(text))))
             parts.clear()
         linked = 0
 
-    def close(at: int):
+    def close(to: int):
         nonlocal hidden
         end_block()
-        for tag, _ in stack[at:]:
+        for tag, _ in stack[to:]:
             hidden -= tag in SKIPPED
-        del stack[at:]
+            opened[tag] -= 1
+        del stack[to:]
 
-    for token in TOKEN.finditer(page):
-        raw = token.group()
-        tag = token.group(3)
+    for tag, content in markup(page):
         if tag is None:
-            if raw[0] != "<" or raw == "<":
-                if not hidden:
-                    text = html.unescape(raw)
-                    parts.append(text)
-                    linked += len(text) * (in_link > 0)
+            if not hidden:
+                text = html.unescape(content)
+                parts.append(text)
+                linked += len(text) * in_link
             continue
-        tag = tag.lower()
-        if tag in INLINE:
+        closing = tag[0] == "/"
+        tag = tag.lstrip("/")
+        if tag in INLINE or tag in END_OF:
             if tag == "br":
                 parts.append(" ")
             if tag == "a":
-                in_link = 0 if token.group(2) else 1
+                in_link = 0 if closing else 1
             continue
-        if token.group(2):
+        if closing:
             if tag == "body" or tag == "html":
                 continue
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] == tag:
-                    close(at)
-                    break
+            if opened[tag]:
+                to = len(stack) - 1
+                while stack[to][0] != tag:
+                    to -= 1
+                close(to)
             else:
                 end_block()
             continue
@@ -136,36 +272,25 @@ def blocks_of(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         elif tag == "body" and hidden:
             close(0)
         end_block()
-        if tag in VOID or token.group(4).endswith("/"):
+        if tag in VOID or content.endswith("/"):
             continue
         names = [tag]
-        for found in NAMES.findall(token.group(4)):
+        for found in NAMES.findall(content):
             names.extend("." + part.lower() for part in NAME_PARTS.findall("".join(found)))
-        stack.append((tag, tuple(names)))
+        stack.append((tag, Path(stack[-1][1] if stack else None, tuple(names))))
+        opened[tag] += 1
         hidden += tag in SKIPPED
     close(0)
     return blocks
 
 
-def bucket(name: str, size: int, cache: dict) -> int:
-    known = cache.get(name)
-    if known is None:
-        if len(cache) > 200_000:
-            cache.clear()
-        known = cache[name] = zlib.crc32(name.encode()) % size
-    return known
-
-
-PATH_CACHE: dict[str, int] = {}
-WORD_CACHE: dict[str, int] = {}
-
-
-def vectors(blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
+def vectors(blocks: list[Block]) -> np.ndarray:
     """One row of INPUT_SIZE per block."""
     rows = np.zeros((len(blocks), INPUT_SIZE), np.float32)
-    for row, (text, path, linked) in zip(rows, blocks, strict=True):
-        for name in path:
-            row[bucket(name, PATH_SIZE, PATH_CACHE)] = 1
+    bits = b"".join((path.bits if path else 0).to_bytes(PATH_SIZE // 8, "little") for _, path, _ in blocks)
+    paths = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
+    rows[:, :PATH_SIZE] = paths.reshape(-1, PATH_SIZE)
+    for row, (text, _, linked) in zip(rows, blocks, strict=True):
         words = text.split()
         hashed = np.bincount(
             [bucket(word.lower(), WORD_SIZE, WORD_CACHE) for word in words], minlength=WORD_SIZE
@@ -186,7 +311,7 @@ def vectors(blocks: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 class Labeller:
@@ -218,7 +343,8 @@ class Labeller:
         order = range(steps) if side == "fw" else range(steps - 1, -1, -1)
         for t in order:
             gates = given[t] + state @ w[side + "_h"]
-            i, f, o = (sigmoid(gates[:, k * h : (k + 1) * h]) for k in range(3))
+            opening = sigmoid(gates[:, : 3 * h])
+            i, f, o = opening[:, :h], opening[:, h : 2 * h], opening[:, 2 * h :]
             g = np.tanh(gates[:, 3 * h :])
             m = mask[t][:, None]
             fresh = f * cell + i * g
@@ -343,8 +469,8 @@ class Layouts:
         name = self.random.choice(names)
         return (name,) if name[0] != "." else (self.random.choice(["div", "section"]), name)
 
-    def part(self, names: list[str], kind: str) -> list[tuple]:
-        around = ("body", *self.container(names))
+    def part(self, names: list[str], kind: str, inside: tuple[str, ...] = ("body",)) -> list[tuple]:
+        around = (*inside, *self.container(names))
         rows = []
         if kind == "menu":
             for _ in range(self.random.randint(2, 8)):
@@ -358,7 +484,7 @@ class Layouts:
             rows.append((text, (*around, *self.random.choice([("p",), (), ("div",)])), 0))
         return rows
 
-    def page(self, article: list[str]) -> tuple[list[tuple], list[int]]:
+    def page(self, article: list[str]) -> tuple[list[Block], list[int]]:
         """Blocks and labels of one page around an article."""
         pick, blocks, labels = self.random, [], []
 
@@ -385,15 +511,17 @@ class Layouts:
             tail = pick.choice([("p",)] * 12 + [("blockquote", "p"), ("ul", "li"), ("div",), ("h2",), ("pre",), ("table", "tr", "td")])
             put([(text, (*around, *tail), 0)], 1)
             if pick.random() < 0.08:
-                inside = self.part(pick.choice([ADVERTS, SHARING, NOTICES, SIDES]), "line")
-                put([(t, (*around, *path[1:]), n) for t, path, n in inside])
+                put(self.part(pick.choice([ADVERTS, SHARING, NOTICES, SIDES]), "line", around))
+        for names, kind in ((SIDES, "menu"), (MENUS, "menu"), (FORMS, "line"), (COMMENTS, "prose"), (FOOTERS, "line")):
+            if pick.random() < 0.15:
+                put(self.part(names, kind, around))
         maybe(0.3, SHARING, pick.choice(["menu", "line"]))
         maybe(0.4, COMMENTS, "prose")
         maybe(0.3, SIDES, pick.choice(["menu", "prose"]))
         maybe(0.3, ADVERTS, "line")
         maybe(0.2, FORMS, "line")
         maybe(0.7, FOOTERS, pick.choice(["menu", "line", "line"]))
-        return blocks, labels
+        return [Block(text, Path.of(path), linked) for text, path, linked in blocks], labels
 
 
 def training_pages(pages: list[str], settings: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -401,7 +529,7 @@ def training_pages(pages: list[str], settings: Settings) -> list[tuple[np.ndarra
     marked, articles, others = [], [], []
     for page in pages:
         blocks = blocks_of(page)
-        labels = [int("article" in path or "main" in path) for _, path, _ in blocks]
+        labels = [int(block.in_article) for block in blocks]
         if any(labels):
             marked.append((blocks, labels))
         inside = [text for (text, _, _), label in zip(blocks, labels, strict=True) if label]
@@ -426,10 +554,11 @@ def training_pages(pages: list[str], settings: Settings) -> list[tuple[np.ndarra
 
 
 def train(pages: DataFrame, page: str = "html", order: str = "page_id", settings: Settings = Settings()) -> Labeller | None:
-    """Fit on the sample: the first pages by a hash of their id. None if no page has text.
+    """Fit on the sample: the first pages by a hash of their id, of those that are not too long for the
+    driver. None if no such page has text.
 
     The hashes are picked first, so that no task sends pages that are not in the sample."""
-    keyed = pages.where(F.length(page) > 0).select(F.xxhash64(order).alias("at"), page)
+    keyed = pages.where(F.length(page).between(1, settings.sample_chars)).select(F.xxhash64(order).alias("at"), page)
     first = keyed.select("at").distinct().orderBy("at").limit(settings.sample_pages).collect()
     sample = keyed.where(F.col("at").isin([row["at"] for row in first]))
     chosen = sample.groupBy("at").agg(F.min(page).alias("page")).collect() if first else []

@@ -1,5 +1,9 @@
 """Main text: parsing by hand, gradients by differences, held-out accuracy on marked pages."""
 
+import random
+import time
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -24,7 +28,8 @@ def test_blocks():
 
 def test_paths_and_links():
     blocks = html.blocks_of('<div class="side-bar top" id=x1><p><a href=#>abc</a> d</p></div>')
-    assert blocks == [("abc d", ("div", ".side", ".bar", ".top", ".x", "p"), 3)]
+    assert [(b.text, b.path.names, b.linked) for b in blocks] == [("abc d", ("div", ".side", ".bar", ".top", ".x", "p"), 3)]
+    assert html.Path.of(blocks[0].path.names).bits == blocks[0].path.bits
 
 
 @pytest.mark.parametrize("page", ["", " ", "<", "<p", "<p>", "</p></p>x", "<!--", "<script>", "<a b='", "&", "&#xZZ;"])
@@ -61,9 +66,87 @@ def test_formulas_and_fallback_text_stay(inside):
     assert texts(f"<p>So {inside} is it.</p>") == ["So x2 is it."]
 
 
-def test_long_pages_end():
-    for page in ("<" * 20_000, "<a '" * 20_000, "<p>" * 20_000, "<!--" * 20_000, "x" * 500_000, "<div>a" * 20_000):
-        html.blocks_of(page)
+LONG_PAGES = {
+    "open tags": "<a ",
+    "scripts": "<script ",
+    "titles": "<title ",
+    "drawings": "<svg x/ ",
+    "nested": "<div class='a b'>x",
+    "quotes": "<a b=\"",
+    "either quote": "<a b='\" ",
+    "closed drawings": "<svg>x",
+    "closed titles": "<title>x",
+    "templates": "<template><p>",
+    "ends": "<i></div>",
+    "deep and ends": "<div></p>",
+    "comments": "<!--",
+    "blanks": "<a b= ",
+    "signs": "<",
+    "names": "<p class='x y z' class=\"",
+    "paragraphs": "<p>a",
+    "entities": "&lt",
+}
+
+
+@pytest.mark.parametrize("name", list(LONG_PAGES))
+def test_long_pages_end(name, model):
+    """One megabyte of each, in the time and memory that a task has."""
+    unit = LONG_PAGES[name]
+    page = unit * (1_000_000 // len(unit))
+    tracemalloc.start()
+    began = time.process_time()
+    html.blocks_of(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Tracing memory slows this down severalfold.
+    assert time.process_time() - began < 15
+    assert peak < 200e6
+    began = time.process_time()
+    html.main_texts([page], model)
+    assert time.process_time() - began < 20
+
+
+def test_markup_edges():
+    assert texts("<p title='a>b' x=\"c>d\">in</p>") == ["in"]
+    assert texts("<p class=it's>one</p><p>don't stop</p>") == ["one", "don't stop"]
+    assert texts("a <b title=\"open>text</b> <p>more") == ["a text", "more"]
+    assert texts("<svg>never closed <p>still here") == ["never closed", "still here"]
+    assert texts("x <a href=1") == ["x <a href=1"]
+    assert texts("1 <2 and <!-- gone") == ["1 <2 and"]
+
+
+def test_parts_inside_the_mark_are_no_article():
+    page = (
+        "<main><h1>Title</h1><p>Text.</p><nav><a>Menu</a></nav><div class='comments'><article><p>Me too.</p>"
+        "</article></div><aside>Side</aside><form>Mail</form><p>End.</p></main><p>out</p>"
+        "<article class='comment'>no</article>"
+    )
+    assert [b.text for b in html.blocks_of(page) if b.in_article] == ["Title", "Text.", "End."]
+
+
+def test_menus_asides_and_comments_inside_main_go():
+    """Trained on pages that keep all of that inside their mark, the network leaves it out."""
+    rng = random.Random(5)
+    words = [f"word{i}" for i in range(300)]
+
+    def prose(n):
+        return " ".join(rng.choices(words, k=n)).capitalize() + "."
+
+    def page(seed):
+        body = "".join(f"<p>{prose(25)}</p>" for _ in range(rng.randint(3, 8)))
+        return (
+            f"<body><main><nav><ul><li><a href=1>{prose(1)}</a><li><a href=2>{prose(2)}</a></ul></nav><h1>{prose(5)}</h1>"
+            f"{body}<aside><p>{prose(12)}</p></aside><div class='comments'><p>{prose(15)}</p><p>{prose(9)}</p></div></main>"
+            f"<footer>{prose(4)}</footer></body>"
+        )
+
+    pages = [page(i) for i in range(150)]
+    settings = html.Settings()
+    model = html.fit(html.training_pages(pages, settings), settings)
+    fresh = [page(i) for i in range(60)]
+    expected = ["\n".join(b.text for b in html.blocks_of(p) if b.in_article) for p in fresh]
+    found = html.main_texts(fresh, model)
+    assert sum(a == b for a, b in zip(found, expected, strict=True)) >= 0.95 * len(fresh)
 
 
 def test_gradients():
@@ -100,7 +183,7 @@ def model(pages):
 
 
 def marked(page):
-    return "\n".join(text for text, path, _ in html.blocks_of(page) if "article" in path)
+    return "\n".join(block.text for block in html.blocks_of(page) if block.in_article)
 
 
 def test_query(spark, pages):
@@ -111,9 +194,11 @@ def test_query(spark, pages):
     assert sum(row["text"] == marked(page[row["page_id"]]) for row in rows) >= 0.98 * len(rows)
 
 
-def test_other_layouts(pages, model):
+def test_other_layouts(spark):
     """Pages of other layouts than those learned from: the seed is another one."""
-    articles = [[t for t, p, _ in html.blocks_of(r["html"]) if "article" in p] for r in pages.collect()]
+    pages = spark.read.parquet(SMALL.replace("sf0.001", "sf0.1") + "/pages.parquet").limit(400)
+    model = html.train(pages)
+    articles = [[b.text for b in html.blocks_of(r["html"]) if b.in_article] for r in pages.collect()]
     layouts = html.Layouts(999, articles, [])
     right = total = 0
     for article in articles:
@@ -121,7 +206,7 @@ def test_other_layouts(pages, model):
         found = model.probabilities(*html.padded([html.vectors(blocks)]))[0][:, 0] > 0.5
         right += int((found == np.array(labels)).sum())
         total += len(labels)
-    assert right >= 0.95 * total
+    assert right >= 0.97 * total
 
 
 def test_comments_and_notices_go(model):
@@ -137,6 +222,14 @@ def test_comments_and_notices_go(model):
     ]
 
 
+def test_sample_is_bounded_and_names_may_clash(spark, pages):
+    long = spark.createDataFrame([(-1, "<article>" + "x " * 200_000)], "page_id long, html string")
+    assert html.train(long) is None
+    more = pages.limit(20).selectExpr("*", "'a' as text", "'b' as at", "'c' as page")
+    rows = html.extract_text(more, html.train(more)).collect()
+    assert all((row["at"], row["page"]) == ("b", "c") and row["text"] != "a" for row in rows)
+
+
 def test_odd_rows(spark, model):
     rows = [(1, None), (2, ""), (3, "<p>"), (4, "plain"), (5, "<nav>" + "<a>x</a> " * 30_000), (5, "plain")]
     df = spark.createDataFrame(rows, "page_id long, html string")
