@@ -1,19 +1,22 @@
 """Nearest neighbours by cross-polytope hashing, then exact cosines.
 
-A unit vector is rotated by sign flips and fast Hadamard transforms, three rounds per table; its
-bucket is the signed axis nearest to it, the coordinate of largest size. A query also looks into the
-buckets of its next largest coordinates. All it meets there is compared by the exact cosine, in
-double precision on the original vectors. The nearer a neighbour, the surer it shares a bucket, and
-the longer the vectors, the less sure: how many buckets a query needs follows from the score of its
-k-th neighbour found, which the true one is not below, and from the length. Pairs drawn at random
-give the number at which such a neighbour is met with probability `recall`; a query goes on, into
-up to four times its buckets a round, until it has looked into so many.
+A unit vector is rotated by sign flips and fast Hadamard transforms, three rounds a time; its hash is
+the signed axis nearest to it, the coordinate of largest size. A table joins the hashes of several
+rotations to a bucket; how many follows from the number of vectors, so that buckets stay small as a table
+grows, and a query meets an ever smaller share of it. A query looks into its own bucket of each table and
+into others, in the order of how far their axes lag behind the nearest ones, squared and summed. All it
+meets there is compared by the exact cosine, in double precision on the original vectors.
+
+The nearer a neighbour, the surer it is met, and the longer the vectors, the less sure: how many buckets a
+query needs follows from the score of its k-th neighbour found, which the true one is not below, and from
+the length. Pairs drawn at random give the number at which such a neighbour is met with probability
+`recall`; a query goes on, into up to four times its buckets a round, until it has looked into so many.
 
 Equal vectors count once: a vector keeps its `k` + 1 smallest ids, which are all that can be among
-the k nearest of anything. Buckets are cut into blocks of bounded size, and blocks of queries meet
-blocks of a bucket; each meeting gives only its k + 1 best. A query that meets fewer than k
-candidates is compared with every vector, in blocks, and so is one that would need as many buckets
-as hold all vectors once.
+the k nearest of anything. Buckets are dealt into tiles of bounded size; a bucket that by itself is
+larger, or that very many queries look into, is cut into blocks that meet every part of its queries.
+Each tile gives only a query's k + 1 best. A query that meets fewer than k candidates is compared with
+every vector, in blocks, and so is one that would need as many buckets as there are vectors or buckets.
 
 Defined results: vectors that are null, empty, all zero, or hold a null or non-finite component take
 no part, as query or candidate; vectors meet only those of their own length; ties go to the smaller
@@ -31,15 +34,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.llm.common import cut
+from pulse.operators.enrich import lookup
 
-TABLES = 6
+TABLES = 8
 PROBES = 10
+PROBES_GROW = 6
 ROUNDS = 3
 SEED = 17
 BLOCK_ROWS = 8192
-BLOCK_QUERIES = 1024
+BLOCK_PROBES = 16384
+PAIRS_AT_ONCE = 1 << 15
 TIE = 1e-9
-RECALL = 0.95
+RECALL = 0.97
 # Scores are rounded down to so many steps from 0 to 1 before the probes they need are looked up.
 STEPS = 50
 WHOLE = 1 << 30
@@ -57,52 +63,104 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(d)
 
 
-def rotations(vectors: np.ndarray, tables: int, seed: int):
-    """Every table's pseudo-random rotation of the rows, padded to a power of two."""
+def padded_size(length: int) -> int:
+    """The power of two that vectors of this length are padded to."""
+    return 1 << max(1, (length - 1).bit_length())
+
+
+def joined_hashes(size: int, rows: int) -> int:
+    """How many hashes make a bucket: as many as leave about a row to four buckets."""
+    hashes = 1
+    while (2 * size) ** (hashes + 1) <= 4 * rows:
+        hashes += 1
+    return hashes
+
+
+def rotations(vectors: np.ndarray, count: int, seed: int):
+    """Pseudo-random rotations of the unit vectors of the rows, padded to a power of two."""
     n, d = vectors.shape
-    size = 1 << max(1, (d - 1).bit_length())
+    size = padded_size(d)
     padded = np.zeros((n, size))
     padded[:, :d] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, ROUNDS, size))
-    for table in signs:
+    signs = np.random.default_rng(seed).choice([-1.0, 1.0], (count, ROUNDS, size))
+    for flips in signs:
         turned = padded
-        for flip in table:
+        for flip in flips:
             turned = hadamard(turned * flip)
         yield turned
 
 
-def buckets(vectors: np.ndarray, tables: int, probes: int, seed: int) -> np.ndarray:
-    """(rows, tables * probes): table and signed axis of the nearest `probes` axes, as one number."""
-    found = []
-    for table, turned in enumerate(rotations(vectors, tables, seed)):
-        size = turned.shape[1]
-        axes = np.argsort(-np.abs(turned), axis=1, kind="stable")[:, :probes]
-        negative = np.take_along_axis(turned, axes, axis=1) < 0
-        found.append(table * 2 * size + 2 * axes + negative)
-    return np.concatenate(found, axis=1).astype(np.int64)
+def axes(turned: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest `most` signed axes of every row, nearest first, and how far they lag, squared."""
+    both = np.concatenate([turned, -turned], axis=1)
+    order = np.argsort(-both, axis=1, kind="stable")[:, :most]
+    sizes = np.take_along_axis(both, order, axis=1)
+    return order, (sizes[:, :1] - sizes) ** 2
+
+
+@lru_cache(maxsize=64)
+def low_ranks(hashes: int, most: int, size: int) -> np.ndarray:
+    """Ranks of axes, a row a choice of one per hash, among which the first `most` choices must be.
+
+    A choice is preceded by all with no larger rank anywhere: the product of ranks, from 1, is no
+    larger than its place."""
+    chosen = np.arange(min(most, 2 * size))[:, None]
+    for _ in range(hashes - 1):
+        room = most // np.prod(chosen + 1, axis=1)
+        counts = np.minimum(room, 2 * size)
+        starts = np.repeat(np.cumsum(counts) - counts, counts)
+        last = np.arange(counts.sum()) - starts
+        chosen = np.concatenate([np.repeat(chosen, counts, axis=0), last[:, None]], axis=1)
+    return chosen
+
+
+def buckets(vectors: np.ndarray, tables: int, hashes: int, probes: int, seed: int) -> np.ndarray:
+    """(rows, tables, probes): the first `probes` buckets of every table, its number included."""
+    size = padded_size(vectors.shape[1])
+    base = 2 * size
+    probes = min(probes, base**hashes)
+    turned = rotations(vectors, tables * hashes, seed)
+    ranks = low_ranks(hashes, probes, size)
+    found = np.zeros((len(vectors), tables, probes), np.int64)
+    for table in range(tables):
+        codes = np.zeros((len(vectors), len(ranks)), np.int64)
+        lags = np.zeros(codes.shape)
+        for rank in ranks.T:
+            order, lag = axes(next(turned), int(rank.max()) + 1)
+            codes = codes * base + order[:, rank]
+            lags += lag[:, rank]
+        first = np.argsort(lags, axis=1, kind="stable")[:, :probes]
+        found[:, table] = table * base**hashes + np.take_along_axis(codes, first, axis=1)
+    return found
 
 
 @lru_cache
-def probes_needed(size: int, tables: int, recall: float, seed: int = SEED) -> tuple[int, ...]:
+def probes_needed(
+    size: int, hashes: int, tables: int, rows: int, recall: float, seed: int = SEED
+) -> tuple[int, ...]:
     """Probes a table, by steps of the score, that find a neighbour with that score with probability
     `recall`, from random pairs of padded length `size`; WHOLE where they cost all comparisons."""
-    pairs = min(2000, max(250, (1 << 23) // size))
+    pairs = min(1000, max(200, (1 << 22) // (2 * size) ** max(1, hashes - 1)))
     rng = np.random.default_rng(seed)
-    ranks = np.zeros((STEPS, size + 2))
-    for start in range(0, pairs, 250):
-        x, other = rng.normal(size=(2, min(250, pairs - start), size))
-        at = np.abs(x).argmax(axis=1)[:, None]
-        sign = np.sign(np.take_along_axis(x, at, axis=1))
+    ranks = np.zeros((STEPS, pairs))
+    for pair in range(pairs):
+        x, other = rng.normal(size=(2, hashes, size))
+        lag = (np.abs(x).max(axis=1, keepdims=True) - np.concatenate([x, -x], axis=1)) ** 2
+        sums = np.zeros(1)
+        for line in lag[:-1]:
+            sums = (sums[:, None] + line).ravel()
+        sums.sort()
         for step in range(STEPS):
             score = step / STEPS
             y = score * x + np.sqrt(1 - score * score) * other
-            own = np.take_along_axis(y, at, axis=1) * sign
-            rank = np.where(own[:, 0] > 0, (np.abs(y) > own).sum(axis=1) + 1, size + 1)
-            ranks[step] += np.bincount(rank, minlength=size + 2)
-    met = 1 - (1 - ranks[:, 1:-1].cumsum(axis=1) / pairs) ** tables
-    enough = met >= recall
-    needed = np.where(enough.any(axis=1), enough.argmax(axis=1) + 1, WHOLE)
-    needed[needed * tables >= 2 * size] = WHOLE
+            at = np.abs(y).argmax(axis=1)[:, None]
+            own = np.where(np.take_along_axis(y, at, axis=1) > 0, at, at + size)
+            total = np.take_along_axis(lag, own, axis=1).sum()
+            ranks[step, pair] = np.searchsorted(sums, total - lag[-1]).sum() + 1
+    # Every table meets the neighbour by itself.
+    single = 1 - (1 - recall) ** (1 / tables)
+    needed = np.ceil(np.quantile(ranks, single, axis=1, method="higher")).astype(np.int64)
+    needed[needed * tables >= min((2 * size) ** hashes, max(rows, 2 * size))] = WHOLE
     return tuple(np.minimum.accumulate(needed).tolist())
 
 
@@ -115,17 +173,30 @@ def by_length(arrays: pa.Array):
         yield at, flat.astype(np.float64).reshape(len(at), length)
 
 
-def with_buckets(df: DataFrame, tables: int, start: Column, stop: Column, seed: int) -> DataFrame:
-    """A row for every bucket of the probes from `start` to before `stop`, in every table."""
+def with_buckets(
+    df: DataFrame, tables: int, hashes: dict[int, int], start: Column, stop: Column, seed: int
+) -> DataFrame:
+    """A row for every bucket of the probes from `start` to before `stop`, in every table.
+
+    `hashes` says how many make a bucket, by padded length."""
 
     @F.arrow_udf("array<bigint>")
     def hashed(vectors: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
         rows: list = [None] * len(vectors)
         first, last = (np.asarray(bounds) for bounds in (starts, stops))
         for at, matrix in by_length(vectors):
-            found = buckets(matrix, tables, int(last[at].max()), seed).reshape(len(at), tables, -1)
-            for i, row in zip(at.tolist(), found, strict=True):
-                rows[i] = row[:, first[i] : last[i]].ravel()
+            joined = hashes[padded_size(matrix.shape[1])]
+            # Rows that look into like many buckets share a run, of bounded size.
+            order = np.argsort(last[at], kind="stable")
+            done = 0
+            while done < len(at):
+                most = int(last[at[order[min(done + 255, len(at) - 1)]]])
+                few = order[done : done + max(1, min(256, (1 << 20) // (most * tables)))]
+                done += len(few)
+                most = int(last[at[few]].max())
+                found = buckets(matrix[few], tables, joined, most, seed)
+                for i, row in zip(at[few].tolist(), found, strict=True):
+                    rows[i] = row[:, first[i] : last[i]].ravel()
         return pa.array(rows, pa.list_(pa.int64()))
 
     return df.withColumn("bucket", F.explode(hashed("vector", start, stop)))
@@ -138,72 +209,128 @@ def proper(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(big, lambda x: x > 0)
 
 
+FOUND = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def matrix_of(table: pa.Table) -> np.ndarray:
+    return next(by_length(table.column("vector").combine_chunks()))[1]
+
+
+def found_table(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, FOUND, strict=True)], schema=FOUND)
+
+
 def best_of(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
-    """The `keep` nearest ids of a block for each query: query, vec_id, score."""
+    """The `keep` nearest ids of a tile for each query, of those in the buckets it looks into."""
+    if not queries.num_rows or not block.num_rows:
+        return FOUND.empty_table()
+    theirs = block.column("bucket").to_numpy()
+    if len(np.unique(theirs)) == 1:
+        return best_of_all(queries, block, keep)
+    order = np.argsort(theirs, kind="stable")
+    block, theirs = block.take(pa.array(order)), theirs[order]
+    asked = queries.column("bucket").to_numpy()
+    first, last = np.searchsorted(theirs, asked, "left"), np.searchsorted(theirs, asked, "right")
+    met = last > first
+    if not met.any():
+        return FOUND.empty_table()
+    queries, first, last = queries.filter(pa.array(met)), first[met], last[met]
+    keys = queries.column("query").to_numpy()
+    q, x = matrix_of(queries), matrix_of(block)
+    q_size, x_size = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
+    # One row for every query's meeting with a vector.
+    counts = last - first
+    asks = np.repeat(np.arange(len(keys)), counts)
+    meets = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+    scores = np.empty(len(asks))
+    for start in range(0, len(asks), PAIRS_AT_ONCE):
+        a, b = asks[start : start + PAIRS_AT_ONCE], meets[start : start + PAIRS_AT_ONCE]
+        scores[start : start + PAIRS_AT_ONCE] = (x[b] * q[a]).sum(axis=1) / (x_size[b] * q_size[a])
+    ids = block.column("ids").to_pylist()
+    # Of the vectors that a query meets, `keep` and those equal to the last of them can matter.
+    by_query = np.lexsort((-scores, keys[asks]))
+    owner, ranked = keys[asks][by_query], scores[by_query]
+    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    ends = np.append(starts[1:], len(owner))
+    out: list[tuple] = []
+    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+        bound = ranked[min(start + keep, end) - 1]
+        while end - start > keep and ranked[end - 1] < bound:
+            end = start + int(np.searchsorted(-ranked[start:end], -bound, "right"))
+        near = by_query[start:end]
+        found = sorted(
+            {(-s, i) for s, at in zip(scores[near].tolist(), meets[near].tolist(), strict=True) for i in ids[at]}
+        )
+        key = int(owner[start])
+        out.extend((key, vec_id, -s) for s, vec_id in found[:keep])
+    return found_table(out)
+
+
+def best_of_all(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
+    """The `keep` nearest ids of a block for each query."""
     out: list[tuple] = []
-    if queries.num_rows and block.num_rows:
-        q = next(by_length(queries.column("vector").combine_chunks()))[1]
-        x = next(by_length(block.column("vector").combine_chunks()))[1]
-        keys, ids = queries.column("query").to_pylist(), block.column("ids").to_pylist()
-        q_size, x_size = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
-        x_unit = (x / x_size[:, None]).T
-        for start in range(0, len(q), 256):
-            rough = (q[start : start + 256] / q_size[start : start + 256, None]) @ x_unit
-            least = rough.min(axis=1)
-            if keep < len(x):
-                least = np.partition(rough, len(x) - keep, axis=1)[:, len(x) - keep]
-            for row, (line, bound) in enumerate(zip(rough, least, strict=True), start):
-                near = np.flatnonzero(line >= bound - TIE)
-                score = (x[near] * q[row]).sum(axis=1) / (x_size[near] * q_size[row])
-                found = sorted(
-                    (-s, vec_id)
-                    for s, at in zip(score.tolist(), near.tolist(), strict=True)
-                    for vec_id in ids[at]
-                )
-                out.extend((keys[row], vec_id, -s) for s, vec_id in found[:keep])
-    columns = zip(*out, strict=True) if out else ((), (), ())
-    kinds = (pa.int64(), pa.int64(), pa.float64())
-    arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-    return pa.table(arrays, ["query", "vec_id", "score"])
-
-
-def meet(queries: DataFrame, index: DataFrame, keep: int) -> DataFrame:
-    """Best ids for queries in their buckets, block by block. Both have dim, bucket and vector."""
+    q, x = matrix_of(queries), matrix_of(block)
+    keys, ids = queries.column("query").to_pylist(), block.column("ids").to_pylist()
+    q_size, x_size = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
+    x_unit = (x / x_size[:, None]).T
+    for start in range(0, len(q), 256):
+        rough = (q[start : start + 256] / q_size[start : start + 256, None]) @ x_unit
+        least = rough.min(axis=1)
+        if keep < len(x):
+            least = np.partition(rough, len(x) - keep, axis=1)[:, len(x) - keep]
+        for row, (line, bound) in enumerate(zip(rough, least, strict=True), start):
+            near = np.flatnonzero(line >= bound - TIE)
+            score = (x[near] * q[row]).sum(axis=1) / (x_size[near] * q_size[row])
+            found = sorted(
+                (-s, vec_id) for s, at in zip(score.tolist(), near.tolist(), strict=True) for vec_id in ids[at]
+            )
+            out.extend((keys[row], vec_id, -s) for s, vec_id in found[:keep])
+    return found_table(out)
+
+
+def meet(queries: DataFrame, index: DataFrame, keep: int, slices: int) -> DataFrame:
+    """Best ids for queries in their buckets, tile by tile. Both have dim, bucket and vector.
+
+    `slices` is the number of tiles that the buckets are dealt into."""
     of = ["dim", "bucket"]
-    sizes = (
-        index.groupBy(*of)
-        .agg(F.count("*").alias("rows"))
-        .join(queries.groupBy(*of).agg(F.count("*").alias("asked")), of)
-        .select(
+    rows = index.groupBy(*of).agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK_ROWS)
+    asked = queries.groupBy(*of).agg(F.count("*").alias("asked")).where(F.col("asked") > BLOCK_PROBES)
+    many = cut(
+        rows.join(asked, of, "full").select(
             *of,
-            F.ceil(F.col("rows") / BLOCK_ROWS).alias("blocks"),
-            F.ceil(F.col("asked") / BLOCK_QUERIES).alias("parts"),
+            F.ceil(F.coalesce("rows", F.lit(1)) / BLOCK_ROWS).alias("blocks"),
+            F.ceil(F.coalesce("asked", F.lit(1)) / BLOCK_PROBES).alias("parts"),
         )
     )
+    place = F.pmod(F.xxhash64("bucket"), F.lit(slices))
     last = F.lit(1)
 
-    def numbers(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - last))
-
-    dealt_index = (
-        index.join(sizes, of)
-        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-        .withColumn("part", numbers("parts"))
-    )
-    dealt_queries = (
-        queries.join(sizes, of)
-        .withColumn("part", F.pmod(F.xxhash64("query"), F.col("parts")))
-        .withColumn("block", numbers("blocks"))
-    )
-    group = [*of, "block", "part"]
+    def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        """Tiles of a row: its own block or part of a crowded bucket, and all of the other side's."""
+        if crowded:
+            numbers = F.sequence(F.lit(0).cast("bigint"), F.col(other) - last)
+            alone = F.array(F.lit(0).cast("bigint"))
+            found = lookup(df, many, of, split_hot=True)
+            known = F.col("blocks").isNotNull()
+            return (
+                found.withColumn(f"{own}_at", F.when(known, F.pmod(F.xxhash64(key), F.col(own))).otherwise(0))
+                .withColumn(f"{other}_at", F.explode(F.when(known, numbers).otherwise(alone)))
+                .withColumn("place", F.when(known, -1 - F.abs(F.xxhash64("bucket") % (1 << 60))).otherwise(place))
+            )
+        zero = F.lit(0).cast("bigint")
+        return df.withColumns({"blocks_at": zero, "parts_at": zero, "place": place})
+
+    crowded = not many.isEmpty()
+    tile = ["dim", "place", "blocks_at", "parts_at"]
 
     def grouped(df: DataFrame, *columns: str):
         # Aliases tell the columns of the two sides, which share a source, apart.
-        return df.select(*(F.col(c).alias(c) for c in (*group, *columns))).groupBy(*group)
+        return df.select(*(F.col(c).alias(c) for c in (*tile, *columns))).groupBy(*tile)
 
     return (
-        grouped(dealt_queries, "query", "vector")
-        .cogroup(grouped(dealt_index, "ids", "vector"))
+        grouped(dealt(queries, "query", "parts", "blocks"), "query", "vector", "bucket")
+        .cogroup(grouped(dealt(index, "key", "blocks", "parts"), "ids", "vector", "bucket"))
         .applyInArrow(
             lambda q, x: best_of(q, x, keep), "query bigint, vec_id bigint, score double"
         )
@@ -255,57 +382,101 @@ def answers(found: DataFrame, named: DataFrame, k: int) -> DataFrame:
 
 def padded_bits() -> Column:
     """Vectors are padded to two to this power."""
-    return F.length(F.bin(F.col("dim").cast("bigint") - 1))
-
-
-def needs(named: DataFrame, first: DataFrame, k: int, tables: int, recall: float) -> DataFrame:
-    """named and `need`: the probes a table that every query's k-th score found asks for."""
-    bits = padded_bits()
-    step = F.least(F.floor(F.col("least") * STEPS), F.lit(STEPS - 1)).cast("int")
-    lengths = [row["bits"] for row in named.select(bits.alias("bits")).distinct().collect()]
-    by_score = [
-        F.when(bits == n, F.get(F.array(*map(F.lit, probes_needed(1 << n, tables, recall))), step))
-        for n in lengths
-    ]
-    unknown = (F.coalesce("got", F.lit(0)) < k) | (F.col("least") < 0)
-    got = first.groupBy("query_id").agg(F.count("*").alias("got"), F.min("score").alias("least"))
-    need = F.when(unknown, F.lit(WHOLE)).otherwise(F.coalesce(*by_score, F.lit(WHOLE)))
-    return named.join(got, "query_id", "left").withColumn("need", need)
+    return F.greatest(F.length(F.bin(F.col("dim").cast("bigint") - 1)), F.lit(1))
+
+
+def by_bits(values: dict[int, object]) -> Column:
+    """The value of a row's padded length, given by its power of two."""
+    cases = [F.when(padded_bits() == bits, value) for bits, value in values.items()]
+    return F.coalesce(*cases) if cases else F.lit(None).cast("int")
+
+
+class Index:
+    """Hashed vectors, with the number of hashes and of tiles that follow from how many there are."""
+
+    def __init__(self, index: DataFrame, tables: int, probes: int, seed: int, recall: float):
+        self.index, self.tables, self.seed, self.recall = index, tables, seed, recall
+        # Of padded lengths there are few.
+        counts = index.groupBy(padded_bits().alias("bits")).count().collect()
+        self.rows = {row["bits"]: row["count"] for row in counts}
+        self.hashes = {bits: joined_hashes(1 << bits, rows) for bits, rows in self.rows.items()}
+        self.first = {bits: probes * PROBES_GROW ** (n - 1) for bits, n in self.hashes.items()}
+        partitions = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        stored = tables * sum(self.rows.values())
+        self.slices = max(2 * partitions, -(-stored // BLOCK_ROWS))
+        self.hashed = self.with_buckets(index, F.lit(0), F.lit(1))
+
+    def with_buckets(self, df: DataFrame, start: Column, stop: Column) -> DataFrame:
+        hashes = {1 << bits: n for bits, n in self.hashes.items()}
+        return with_buckets(df, self.tables, hashes, start, stop, self.seed)
+
+    def first_probes(self) -> Column:
+        return by_bits({bits: F.lit(n) for bits, n in self.first.items()})
+
+    def needs(self, named: DataFrame, first: DataFrame, k: int) -> DataFrame:
+        """named and `need`: the probes a table that every query's k-th score found asks for."""
+        step = F.least(F.floor(F.col("least") * STEPS), F.lit(STEPS - 1)).cast("int")
+        steps = {
+            bits: F.get(
+                F.array(*map(F.lit, probes_needed(1 << bits, n, self.tables, self.rows[bits], self.recall))), step
+            )
+            for bits, n in self.hashes.items()
+        }
+        unknown = (F.coalesce("got", F.lit(0)) < k) | (F.col("least") < 0)
+        got = first.groupBy("query_id").agg(F.count("*").alias("got"), F.min("score").alias("least"))
+        need = F.when(unknown, F.lit(WHOLE)).otherwise(F.coalesce(by_bits(steps), F.lit(WHOLE)))
+        return named.join(got, "query_id", "left").withColumn("need", need)
+
+    def compared(self, queries: DataFrame, start: Column, stop: Column) -> int:
+        """How many comparisons the probes of queries cost."""
+        sizes = self.hashed.groupBy("dim", "bucket").agg(F.count("*").alias("rows"))
+        met = self.with_buckets(queries, start, stop).join(sizes, ["dim", "bucket"])
+        return met.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
 def from_buckets(
-    index: DataFrame,
-    queries: DataFrame,
-    named: DataFrame,
-    k: int,
-    tables: int = TABLES,
-    probes: int = PROBES,
-    seed: int = SEED,
-    recall: float = RECALL,
-) -> tuple[DataFrame, DataFrame]:
-    """Answers from the buckets alone, and the ids of the queries that those don't suffice for."""
-    hashed = with_buckets(index, tables, F.lit(0), F.lit(1), seed)
+    hashed: Index, queries: DataFrame, named: DataFrame, k: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Answers from the buckets alone, the ids of the queries that those don't suffice for, and the
+    probes a table that every query has looked into."""
 
     def look(asking: DataFrame, start: Column, stop: Column) -> DataFrame:
-        return cut(meet(with_buckets(asking, tables, start, stop, seed), hashed, k + 1))
+        return cut(meet(hashed.with_buckets(asking, start, stop), hashed.hashed, k + 1, hashed.slices))
 
-    found, done = look(queries, F.lit(0), F.lit(probes)), probes
+    looked = queries.withColumn("stop", hashed.first_probes())
+    found, grown = look(looked, F.lit(0), F.col("stop")), 1
     while True:
         first = cut(answers(found, named, k))
-        judged = cut(needs(named, first, k, tables, recall))
-        widest = F.pow(F.lit(2), padded_bits() + 1)
+        done = hashed.first_probes() * grown
+        judged = cut(hashed.needs(named, first, k).withColumn("done", done))
         # A first score from few buckets may be low: those that seem to need all look further first.
+        buckets_of = by_bits(
+            {
+                bits: F.lit(min((2 << bits) ** n, max(hashed.rows[bits], 2 << bits)))
+                for bits, n in hashed.hashes.items()
+            }
+        )
+        wide = F.col("done") * 4
         further = F.when(
-            (F.col("got") >= k) & (F.col("need") > 4 * done) & (F.lit(4 * done * tables) < widest),
-            F.lit(4 * done),
+            (F.col("got") >= k) & (F.col("need") > wide) & (wide * hashed.tables < buckets_of), wide
         ).otherwise(F.col("need"))
-        wanted = judged.where(F.col("need") > done).withColumn("stop", further)
-        more = wanted.where(F.col("stop") < WHOLE).groupBy("key").agg(F.max("stop").alias("stop"))
+        wanted = judged.where(F.col("need") > F.col("done")).withColumn("stop", further)
+        more = cut(
+            wanted.where(F.col("stop") < WHOLE)
+            .groupBy("key")
+            .agg(F.max("stop").alias("stop"), F.max("done").alias("start"))
+        )
         if more.isEmpty():
-            return first, wanted.select("query_id").distinct()
+            return first, wanted.select("query_id").distinct(), looked
         asking = queries.join(more.withColumnRenamed("key", "query"), "query")
-        found = found.unionByName(look(asking, F.lit(done), F.col("stop")))
-        done *= 4
+        found = found.unionByName(look(asking, F.col("start"), F.col("stop")))
+        looked = cut(
+            looked.withColumnRenamed("stop", "before")
+            .join(more.select(F.col("key").alias("query"), "stop"), "query", "left")
+            .withColumn("stop", F.coalesce("stop", "before"))
+            .drop("before")
+        )
+        grown *= 4
 
 
 def search(
@@ -321,13 +492,14 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest other rows of every row with `is_query`."""
     index, queries, named = prepared(vectors, is_query, k, vec_id, vector)
-    first, short = from_buckets(index, queries, named, k, tables, probes, seed, recall)
+    hashed = Index(index, tables, probes, seed, recall)
+    first, short, _ = from_buckets(hashed, queries, named, k)
     again = queries.join(
         named.join(short, "query_id").select(F.col("key").alias("query")).distinct(), "query", "left_semi"
     )
     everywhere = F.lit(-1).cast("bigint")
     rest = answers(
-        meet(again.withColumn("bucket", everywhere), index.withColumn("bucket", everywhere), k + 1), named, k
+        meet(again.withColumn("bucket", everywhere), index.withColumn("bucket", everywhere), k + 1, 1), named, k
     ).join(short, "query_id", "left_semi")
     whole = first.join(short, "query_id", "left_anti").unionByName(rest)
     return whole.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

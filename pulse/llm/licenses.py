@@ -7,7 +7,7 @@ respects have one digest.
 Defined results: a null or empty text has an empty canonical form, which is no licence; a text that
 holds more than the licence is none, since only whole texts count; repeated rows are looked up each
 by itself; other columns pass through, ones with the name of an output column are replaced. The
-known digests are a fixed list of a few entries, which bounds the side that is joined.
+known digests are a fixed list of a few dozen entries, so they are broadcast and no document is shuffled.
 """
 
 from __future__ import annotations
@@ -103,6 +103,5 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the digest of every text's canonical form and the licence it is, or null."""
     kept = [c for c in docs.columns if c not in ("digest", "license_id")]
     digested = docs.select(*kept, F.sha2(canonical(text_or_empty(text)), 256).alias("digest"))
-    return digested.join(known_licenses(docs.sparkSession), "digest", "left").select(
-        *kept, "digest", "license_id"
-    )
+    known = F.broadcast(known_licenses(docs.sparkSession))
+    return digested.join(known, "digest", "left").select(*kept, "digest", "license_id")

@@ -50,21 +50,22 @@ def test_recall_and_scores(spark):
 
 
 def recall_of_buckets(df, rows, asks):
-    """Recall of the answers from buckets alone, and the share of queries they don't suffice for."""
+    """Of the answers from buckets alone the recall; the share of queries that those don't suffice
+    for; and the share of the table that a query is compared with."""
     index, queries, named = ann.prepared(df, F.col("vec_id") % 50 == 0, 5, "vec_id", "embedding")
-    first, short = ann.from_buckets(index, queries, named, 5)
+    hashed = ann.Index(index, ann.TABLES, ann.PROBES, ann.SEED, ann.RECALL)
+    first, short, looked = ann.from_buckets(hashed, queries, named, 5)
     result, left = found(first), {r["query_id"] for r in short.collect()}
     expected = {i: near for i, near in brute(rows, asks).items() if i not in left}
     hits = sum(len({j for j, _ in result[i]} & {j for j, _ in near}) for i, near in expected.items())
     asked = named.select("query_id").distinct().count()
-    return hits / max(1, sum(map(len, expected.values()))), len(left) / asked
+    compared = hashed.compared(looked, F.lit(0), F.col("stop")) / (queries.count() * index.count())
+    return hits / max(1, sum(map(len, expected.values()))), len(left) / asked, compared
 
 
-@pytest.mark.parametrize("dim", [64, 256, 768])
-def test_recall_from_buckets_by_length(spark, dim):
-    """Neighbours at cosine 0.42 to 0.5 among random vectors; the buckets give the answers."""
-    rng = np.random.default_rng(dim)
-    n, queries = 3000, 40
+def clustered(n, dim, seed, queries):
+    """Random unit vectors; each of the first queries has eight neighbours at cosine 0.42 to 0.5."""
+    rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     for q in range(queries):
@@ -73,19 +74,60 @@ def test_recall_from_buckets_by_length(spark, dim):
             score = rng.uniform(0.42, 0.5)
             x[50 * q + j] = score * x[50 * q] + np.sqrt(1 - score**2) * side / np.linalg.norm(side)
     rows = [(i, [float(v) for v in row]) for i, row in enumerate(x.astype(np.float32))]
-    rows = [(i, v) for i, v in rows if i % 50 or i < 50 * queries]
-    recall, short = recall_of_buckets(spark.createDataFrame(rows, SCHEMA), rows, lambda i: i % 50 == 0)
+    return [(i, v) for i, v in rows if i % 50 or i < 50 * queries]
+
+
+@pytest.mark.parametrize("dim", [64, 256, 768])
+def test_recall_from_buckets_by_length(spark, dim):
+    """Neighbours at cosine 0.42 to 0.5 among random vectors; the buckets give the answers."""
+    rows = clustered(3000, dim, dim, 40)
+    recall, short, _ = recall_of_buckets(spark.createDataFrame(rows, SCHEMA), rows, lambda i: i % 50 == 0)
     assert recall >= 0.9
     assert short <= 0.1
 
 
-@pytest.mark.parametrize("size", ["sf0.001", "sf0.1"])
-def test_recall_from_buckets(spark, size):
+@pytest.mark.parametrize("size, most_short", [("sf0.001", 0.3), ("sf0.1", 0.1)])
+def test_recall_from_buckets(spark, size, most_short):
+    """Of 500 vectors with no near ones, some queries have to look at all."""
     df = spark.read.parquet(SMALL.replace("sf0.001", size) + "/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
-    recall, short = recall_of_buckets(df, rows, lambda i: i % 50 == 0)
+    recall, short, _ = recall_of_buckets(df, rows, lambda i: i % 50 == 0)
     assert recall >= 0.9
-    assert short <= 0.1
+    assert short <= most_short
+
+
+def test_the_share_compared_falls_as_rows_grow(spark):
+    shares = []
+    for n in (2000, 20_000):
+        rows = clustered(n, 64, n, 40)
+        recall, short, compared = recall_of_buckets(spark.createDataFrame(rows, SCHEMA), rows, lambda i: i % 50 == 0)
+        assert recall >= 0.9 and short <= 0.1
+        shares.append(compared)
+    assert shares[1] < 0.6 * shares[0]
+
+
+@pytest.mark.parametrize("hashes", [1, 2, 3])
+def test_probes_come_in_the_order_of_their_lag(hashes):
+    rng = np.random.default_rng(hashes)
+    x = rng.normal(size=(5, 4))
+    found = ann.buckets(x, 2, hashes, 40, 3)
+    turned = list(ann.rotations(x, 2 * hashes, 3))
+    base = 8
+    for row in range(5):
+        for table in range(2):
+            both = [np.concatenate([t[row], -t[row]]) for t in turned[table * hashes : (table + 1) * hashes]]
+            lags = {}
+            for choice in np.ndindex(*[base] * hashes):
+                code = table * base**hashes + int(np.ravel_multi_index(choice, [base] * hashes))
+                lags[code] = sum((b.max() - b[c]) ** 2 for b, c in zip(both, choice))
+            best = sorted(lags.values())[: found.shape[2]]
+            mine = found[row, table].tolist()
+            assert len(set(mine)) == len(mine)
+            assert np.allclose([lags[code] for code in mine], best)
+
+
+def test_hashes_grow_with_the_rows():
+    assert [ann.joined_hashes(64, n) for n in (0, 500, 2000, 10_000, 100_000, 1_000_000)] == [1, 1, 1, 2, 2, 3]
 
 
 def test_odd_vectors_ties_and_copies(spark):
@@ -101,7 +143,7 @@ def test_odd_vectors_ties_and_copies(spark):
 
 def test_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(ann, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(ann, "BLOCK_PROBES", 3)
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=4).astype(np.float32)]) for i in range(120)]
     df = spark.createDataFrame(rows, SCHEMA)

@@ -56,3 +56,15 @@ def test_queries_match_their_sql(spark, name):
     ours = sorted(tuple(r) for r in df.toPandas().astype(str).itertuples(index=False))
     theirs = duck.execute(ORACLES[name]).df()[df.columns].astype(str)
     assert ours == sorted(tuple(r) for r in theirs.itertuples(index=False))
+
+
+def test_no_document_is_shuffled(spark):
+    plan = QUERIES["op5_licenses"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    documents = plan[: plan.index("BroadcastExchange")]
+    assert "Exchange" not in documents.replace("BroadcastExchange", "") and "SortMergeJoin" not in plan
+
+
+def test_clashing_names(make_docs):
+    docs = make_docs([(1, MIT, "s")]).selectExpr("*", "'x' as digest", "'y' as body", "'z' as plain")
+    row = licenses.scan_licenses(docs).first()
+    assert (row["license_id"], row["body"], row["plain"]) == ("MIT", "y", "z")

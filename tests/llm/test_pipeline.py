@@ -1,0 +1,154 @@
+"""The pipeline on a made table against a plain version of its five stages."""
+
+import hashlib
+import math
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from pulse.llm import bpe, quality
+from pulse.llm.queries import PATTERN, QUERIES, TOKENIZER
+
+from .conftest import DOCUMENTS, SMALL
+from .test_mixing import fill
+from .test_pii import base_spans
+from .test_simhash import plain_fingerprint, plain_roots
+
+
+def made_rows():
+    """Prose of several sources with copies, near copies, empty texts, junk and personal data."""
+    pick = random.Random(8)
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("n", "r", "st")]
+
+    def prose(lines, least=8, most=20):
+        return "\n".join(
+            " ".join(pick.choices(words, k=pick.randint(least, most))).capitalize() + "." for _ in range(lines)
+        )
+
+    rows = []
+    for i in range(120):
+        rows.append((i, prose(pick.randint(3, 9)), pick.choice(["web", "web", "web", "book", None, "é"])))
+    texts = [text for _, text, _ in rows]
+    for i in range(120, 150):
+        rows.append((i, texts[i % 20], "copy"))
+    for i in range(150, 170):
+        long = prose(60)
+        rows.append((i, long, "web"))
+        rows.append((i + 20, long + " Bon.", "near"))
+    rows += [(300, None, "web"), (301, "", "web"), (302, " \n ", None), (303, "too short.", "web")]
+    rows += [(304, "\n".join(f"Menu{i} | Shop{i} | Login{i}" for i in range(9)), "web")]
+    rows += [(305, prose(5) + "\nHome | About | Contact\nAccept all cookies", "web")]
+    rows += [(306, prose(3) + "\nMail jo.doe@mail.example.org from 10.0.0.1, card 4111 1111 1111 1111.", "book")]
+    rows += [(307, prose(3) + "\nCall +49 30 1234 5678 today.", "book")]
+    rows += [(310, prose(4), "only")]
+    pick.shuffle(rows)
+    return rows
+
+
+def plain_version(rows, encoding):
+    """(doc_id, source, n_tokens, ids as hex) of every row that comes out, sorted."""
+    kept = []
+    for doc_id, text, source in rows:
+        judged = dict(zip(quality.FIELDS, quality.judge(text or "", quality.Rules()), strict=True))
+        if judged["kept"]:
+            kept.append((doc_id, judged["clean_text"] if judged["lost_words"] else text, source))
+    prints = {doc_id: plain_fingerprint(text) for doc_id, text, _ in kept}
+    roots = plain_roots(sorted(set(prints.values())))
+    stay = {}
+    for doc_id, fp in prints.items():
+        stay[roots[fp]] = min(stay.get(roots[fp], doc_id), doc_id)
+    masked = []
+    for doc_id, text, source in kept:
+        if stay[roots[prints[doc_id]]] != doc_id:
+            continue
+        parts, at = [], 0
+        for start, _, end, kind in base_spans(text):
+            if start >= at:
+                parts += [text[at:start], f"<{kind.upper()}>"]
+            at = max(at, end)
+        masked.append((doc_id, "".join(parts) + text[at:], source))
+    sizes, groups = defaultdict(int), defaultdict(list)
+    for doc_id, text, source in masked:
+        size = len(text.split())
+        sizes[source] += size
+        groups[source].append((size, hashlib.md5(str(doc_id).encode()).hexdigest()[:3], doc_id, text))
+    targets, out = fill(dict(sizes)), []
+    for source, group in groups.items():
+        rate = min(targets[source] / sizes[source], 3.0)
+        name = f"mix{int(source is None)}{source or ''}"
+        shift = int(hashlib.md5(name.encode()).hexdigest()[:8], 16) / 2**32
+        for place, (_, _, doc_id, text) in enumerate(sorted(group), 1):
+            copies = math.floor(place * rate + shift) - math.floor((place - 1) * rate + shift)
+            ids = np.array(encoding.encode_ordinary(text), "<u4").tobytes()
+            out += [(doc_id, source or "", len(ids) // 4, ids.hex())] * copies
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    ranks = bpe.Vocabulary.load(TOKENIZER).ranks
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def table(spark, folder, rows):
+    full = [(i, text, "en", source, len(text or "")) for i, text, source in rows]
+    df = spark.createDataFrame(full, DOCUMENTS)
+    df.repartition(4).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def got(df):
+    rows = df.collect()
+    assert all(row["exact"] for row in rows)
+    return sorted((r["doc_id"], r["source"] or "", r["n_tokens"], bytes(r["ids"]).hex()) for r in rows)
+
+
+def test_against_the_plain_version(spark, tmp_path, encoding):
+    rows = made_rows()
+    expected = plain_version(rows, encoding)
+    assert 50 < len({row[0] for row in expected}) < 150
+    assert got(corpus_pipeline.run(spark, table(spark, tmp_path, rows))) == expected
+
+
+def test_the_given_documents(spark, docs, encoding):
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    found = got(QUERIES["pipeline"](spark, SMALL))
+    expected = plain_version(rows, encoding)
+    # The method adds spans to the base kinds; nothing else may differ.
+    assert [row[:2] for row in found] == [row[:2] for row in expected]
+    assert sum(a == b for a, b in zip(found, expected, strict=True)) >= 0.99 * len(expected)
+
+
+def test_stages_keep_rows_and_columns(spark, tmp_path):
+    rows = made_rows()
+    docs = spark.read.parquet(table(spark, tmp_path, rows) + "/documents.parquet")
+    more = docs.selectExpr("*", "1 as slice", "2 as tie", "3 as fp", "'x' as verdict", "4 as place", "map(1, 2) as m")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, SMALL)
+        assert out.columns == more.columns, name
+        assert {tuple(r) for r in out.select("slice", "tie", "fp", "verdict", "place").distinct().collect()} == {
+            (1, 2, 3, "x", 4)
+        }
+        assert out.where("n_chars <> length(text)").count() == 0
+
+
+def test_lines_that_fail_are_gone(spark, tmp_path):
+    docs = spark.read.parquet(table(spark, tmp_path, made_rows()) + "/documents.parquet")
+    (row,) = corpus_pipeline.quality_stage(spark, docs, SMALL).where("doc_id = 305").collect()
+    assert "cookies" not in row["text"] and "Home" not in row["text"] and row["n_chars"] == len(row["text"])
+
+
+def test_repeated_and_null_ids(spark, tmp_path):
+    base, other, third = (text for _, text, _ in sorted(made_rows(), key=lambda r: -len(r[1] or ""))[:6:2])
+    rows = [(5, base, "a"), (5, other, "a"), (5, base, "a"), (None, base, "b"), (None, other, None)]
+    rows += [(None, other, "c"), (None, third, "d"), (None, third, "d")]
+    found = corpus_pipeline.run(spark, table(spark, tmp_path, rows)).select("doc_id", "source").distinct().collect()
+    assert sorted((r["doc_id"] or 0, r["source"]) for r in found) == [(0, "d"), (5, "a")]
+
+
+def test_empty_table(spark, tmp_path):
+    assert corpus_pipeline.run(spark, table(spark, tmp_path, [])).collect() == []
