@@ -50,7 +50,7 @@ from pulse.llm.common import PART_ROWS, in_parts, stored, text_or_empty
 END = b"\n"
 MAX_WORD_BYTES = 64
 FLUSH_WORDS = 200_000
-FLUSH_PAIRS = 2_000_000
+FLUSH_PAIRS = 4_000_000
 HASH_BUCKETS = 4096
 
 
@@ -82,10 +82,8 @@ def short_name(word: bytes) -> bytes:
 
 
 def tokens(text: str) -> list[bytes]:
-    words = text.encode().lower().split()
-    if max(map(len, words), default=0) > MAX_WORD_BYTES:
-        return list(map(short_name, words))
-    return words
+    """The words of a text; long ones have their short names where words are counted or looked up."""
+    return text.encode().lower().split()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -100,6 +98,8 @@ class Codes(dict):
         self.given, self.by_ending, self.settings = given, by_ending, settings
 
     def __missing__(self, word: bytes) -> int:
+        if len(word) > MAX_WORD_BYTES:
+            return self[short_name(word)]
         if len(self) > len(self.given) + FLUSH_WORDS:
             self.clear()
             self.update(self.given)
@@ -130,7 +130,10 @@ def count_words(batches):
     for batch in batches:
         for part in in_parts(batch.column(0)):
             for text in part:
-                counts.update(tokens(text))
+                words = tokens(text)
+                if max(map(len, words), default=0) > MAX_WORD_BYTES:
+                    words = map(short_name, words)
+                counts.update(words)
                 counts[END] += 1
                 if len(counts) > FLUSH_WORDS:
                     yield flush()
@@ -143,8 +146,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def counted_keys(texts: DataFrame, codes: Codes, keys_of) -> DataFrame:
-    """(key, n): how often every key that `keys_of` makes of a text's line occurs, by task."""
+def counted_keys(texts: DataFrame, codes: Codes, keys_of, few: int | None = None) -> DataFrame:
+    """(key, n): how often every key that `keys_of` makes of a text's line occurs, by task. With
+    `few`, all keys are below that."""
     shared = texts.sparkSession.sparkContext.broadcast(codes)
 
     def count(batches):
@@ -153,7 +157,12 @@ def counted_keys(texts: DataFrame, codes: Codes, keys_of) -> DataFrame:
         size = 0
 
         def flush():
-            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
+            if few:
+                n = np.bincount(np.concatenate(waiting), minlength=few)
+                keys = np.flatnonzero(n)
+                n = n[keys]
+            else:
+                keys, n = np.unique(np.concatenate(waiting), return_counts=True)
             waiting.clear()
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
 
@@ -416,7 +425,7 @@ def train(docs: DataFrame, text: str = "text", settings: Settings = Settings())
         cls = line % n
         return cls[:-1] * n + cls[1:]
 
-    found = summed(counted_keys(texts, model.codes(), moves)).toArrow()
+    found = summed(counted_keys(texts, model.codes(), moves, n * n)).toArrow()
     model.transitions = np.zeros((n, n))
     model.transitions.ravel()[found.column(0).to_numpy()] = found.column(1).to_numpy()
     # Words beyond the table by their endings; those in the table move to their own class.
@@ -473,7 +482,7 @@ def score_parts(texts: DataFrame, model: Model) -> DataFrame:
                         moves[line[:-1], line[1:]].sum() - base[line[1:]].sum(),
                     )
                     rest = Counter(compress(words, (~known).tolist()))
-                    others.extend(rest)
+                    others.extend(map(short_name, rest))
                     times.extend(rest.values())
                     owners[at] = len(rest)
                 of = pa.array(np.concatenate([np.arange(rows), np.repeat(np.arange(rows), owners)]))
