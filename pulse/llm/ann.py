@@ -13,9 +13,9 @@ the length. Pairs drawn at random give the number at which such a neighbour is m
 `recall`; a query goes on, into up to four times its buckets a round, until it has looked into so many.
 
 Equal vectors count once: a vector keeps its `k` + 1 smallest ids, which are all that can be among
-the k nearest of anything. Buckets are dealt into tiles of bounded size; a bucket that by itself is
-larger, or that very many queries look into, is cut into blocks that meet every part of its queries.
-Each tile gives only a query's k + 1 best. A query that meets fewer than k candidates is compared with
+the k nearest of anything. Buckets are dealt into places of about equal size, where a query comes once
+with all the buckets it looks into there. A place that holds a crowded bucket is cut into blocks, its
+queries into parts, and every block meets every part; each meeting gives only a query's k + 1 best. A query that meets fewer than k candidates is compared with
 every vector, in blocks, and so is one that would need as many buckets as there are vectors or buckets.
 
 Defined results: vectors that are null, empty, all zero, or hold a null or non-finite component take
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.llm.common import cut
-from pulse.operators.enrich import lookup
+from pulse.operators.enrich import require
 
 TABLES = 8
 PROBES = 10
@@ -42,13 +42,15 @@ PROBES_GROW = 6
 ROUNDS = 3
 SEED = 17
 BLOCK_ROWS = 8192
-BLOCK_PROBES = 16384
+PLACE_ROWS = 4096
+BLOCK_QUERIES = 4096
 PAIRS_AT_ONCE = 1 << 15
 TIE = 1e-9
 RECALL = 0.97
 # Scores are rounded down to so many steps from 0 to 1 before the probes they need are looked up.
 STEPS = 50
 WHOLE = 1 << 30
+EVERYWHERE = -1
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -173,33 +175,32 @@ def by_length(arrays: pa.Array):
         yield at, flat.astype(np.float64).reshape(len(at), length)
 
 
-def with_buckets(
-    df: DataFrame, tables: int, hashes: dict[int, int], start: Column, stop: Column, seed: int
-) -> DataFrame:
-    """A row for every bucket of the probes from `start` to before `stop`, in every table.
-
-    `hashes` says how many make a bucket, by padded length."""
-
-    @F.arrow_udf("array<bigint>")
-    def hashed(vectors: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
-        rows: list = [None] * len(vectors)
-        first, last = (np.asarray(bounds) for bounds in (starts, stops))
-        for at, matrix in by_length(vectors):
-            joined = hashes[padded_size(matrix.shape[1])]
-            # Rows that look into like many buckets share a run, of bounded size.
-            order = np.argsort(last[at], kind="stable")
-            done = 0
-            while done < len(at):
-                most = int(last[at[order[min(done + 255, len(at) - 1)]]])
-                few = order[done : done + max(1, min(256, (1 << 20) // (most * tables)))]
-                done += len(few)
-                most = int(last[at[few]].max())
-                found = buckets(matrix[few], tables, joined, most, seed)
-                for i, row in zip(at[few].tolist(), found, strict=True):
-                    rows[i] = row[:, first[i] : last[i]].ravel()
-        return pa.array(rows, pa.list_(pa.int64()))
-
-    return df.withColumn("bucket", F.explode(hashed("vector", start, stop)))
+def bucket_lists(
+    vectors: pa.Array, starts: np.ndarray, stops: np.ndarray, tables: int, hashes: dict[int, int], seed: int
+):
+    """For every vector its buckets, those from `starts` to before `stops` of every table."""
+    rows: list = [None] * len(vectors)
+    for at, matrix in by_length(vectors):
+        joined = hashes[padded_size(matrix.shape[1])]
+        # Rows that look into like many buckets share a run, of bounded size.
+        order = np.argsort(stops[at], kind="stable")
+        done = 0
+        while done < len(at):
+            most = int(stops[at[order[min(done + 255, len(at) - 1)]]])
+            few = order[done : done + max(1, min(256, (1 << 20) // (most * tables)))]
+            done += len(few)
+            found = buckets(matrix[few], tables, joined, int(stops[at[few]].max()), seed)
+            for i, row in zip(at[few].tolist(), found, strict=True):
+                rows[i] = row[:, starts[i] : stops[i]].ravel()
+    return rows
+
+
+def by_place(found: np.ndarray, places: int) -> list[tuple[int, np.ndarray]]:
+    """Buckets by the place they are in."""
+    place = found % places
+    order = np.argsort(place, kind="stable")
+    cuts = np.flatnonzero(np.diff(place[order])) + 1
+    return [(int(part[0] % places), part) for part in np.split(found[order], cuts)]
 
 
 def proper(vector: Column) -> Column:
@@ -226,23 +227,29 @@ def best_of(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
     if not queries.num_rows or not block.num_rows:
         return FOUND.empty_table()
     theirs = block.column("bucket").to_numpy()
-    if len(np.unique(theirs)) == 1:
+    if theirs[0] == EVERYWHERE:
         return best_of_all(queries, block, keep)
     order = np.argsort(theirs, kind="stable")
     block, theirs = block.take(pa.array(order)), theirs[order]
-    asked = queries.column("bucket").to_numpy()
+    lists = queries.column("buckets").combine_chunks()
+    asks_of = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
+    asked = lists.flatten().to_numpy()
     first, last = np.searchsorted(theirs, asked, "left"), np.searchsorted(theirs, asked, "right")
     met = last > first
     if not met.any():
         return FOUND.empty_table()
-    queries, first, last = queries.filter(pa.array(met)), first[met], last[met]
+    asks_of, first, last = asks_of[met], first[met], last[met]
     keys = queries.column("query").to_numpy()
     q, x = matrix_of(queries), matrix_of(block)
     q_size, x_size = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
     # One row for every query's meeting with a vector.
     counts = last - first
-    asks = np.repeat(np.arange(len(keys)), counts)
+    asks = np.repeat(asks_of, counts)
     meets = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+    # A vector that is met in several tables counts once.
+    _, own, vector = np.unique(block.column("key").to_numpy(), return_index=True, return_inverse=True)
+    once = np.unique(asks * len(own) + vector[meets])
+    asks, meets = once // len(own), own[once % len(own)]
     scores = np.empty(len(asks))
     for start in range(0, len(asks), PAIRS_AT_ONCE):
         a, b = asks[start : start + PAIRS_AT_ONCE], meets[start : start + PAIRS_AT_ONCE]
@@ -289,48 +296,39 @@ def best_of_all(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
     return found_table(out)
 
 
-def meet(queries: DataFrame, index: DataFrame, keep: int, slices: int) -> DataFrame:
-    """Best ids for queries in their buckets, tile by tile. Both have dim, bucket and vector.
+def meet(queries: DataFrame, index: DataFrame, sizes: DataFrame, keep: int) -> DataFrame:
+    """Best ids for queries in their buckets, tile by tile.
 
-    `slices` is the number of tiles that the buckets are dealt into."""
-    of = ["dim", "bucket"]
-    rows = index.groupBy(*of).agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK_ROWS)
-    asked = queries.groupBy(*of).agg(F.count("*").alias("asked")).where(F.col("asked") > BLOCK_PROBES)
-    many = cut(
-        rows.join(asked, of, "full").select(
-            *of,
-            F.ceil(F.coalesce("rows", F.lit(1)) / BLOCK_ROWS).alias("blocks"),
-            F.ceil(F.coalesce("asked", F.lit(1)) / BLOCK_PROBES).alias("parts"),
+    `queries` has dim, place, query, vector and buckets; `index` dim, place, bucket, ids, key and
+    vector, and `sizes` its rows by dim and place."""
+    of = ["dim", "place"]
+    many = queries.select("query").distinct().count() > BLOCK_QUERIES
+    asked = queries.groupBy(*of).agg(F.count("*").alias("asked")) if many else None
+    parts = F.ceil(F.col("asked") / BLOCK_QUERIES) if many else F.lit(1).cast("bigint")
+    cuts = cut(
+        (sizes.join(asked, of) if many else sizes).select(
+            *of, F.ceil(F.col("rows") / BLOCK_ROWS).alias("blocks"), parts.alias("parts")
         )
     )
-    place = F.pmod(F.xxhash64("bucket"), F.lit(slices))
-    last = F.lit(1)
 
     def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        """Tiles of a row: its own block or part of a crowded bucket, and all of the other side's."""
-        if crowded:
-            numbers = F.sequence(F.lit(0).cast("bigint"), F.col(other) - last)
-            alone = F.array(F.lit(0).cast("bigint"))
-            found = lookup(df, many, of, split_hot=True)
-            known = F.col("blocks").isNotNull()
-            return (
-                found.withColumn(f"{own}_at", F.when(known, F.pmod(F.xxhash64(key), F.col(own))).otherwise(0))
-                .withColumn(f"{other}_at", F.explode(F.when(known, numbers).otherwise(alone)))
-                .withColumn("place", F.when(known, -1 - F.abs(F.xxhash64("bucket") % (1 << 60))).otherwise(place))
-            )
-        zero = F.lit(0).cast("bigint")
-        return df.withColumns({"blocks_at": zero, "parts_at": zero, "place": place})
+        """Tiles of a row: its own block or part of its place, and all of the other side's."""
+        numbers = F.sequence(F.lit(0).cast("bigint"), F.col(other) - F.lit(1))
+        return (
+            require(df, cuts, of, split_hot=True)
+            .withColumn(f"{own}_at", F.pmod(F.xxhash64(key), F.col(own)))
+            .withColumn(f"{other}_at", F.explode(numbers))
+        )
 
-    crowded = not many.isEmpty()
-    tile = ["dim", "place", "blocks_at", "parts_at"]
+    tile = [*of, "blocks_at", "parts_at"]
 
     def grouped(df: DataFrame, *columns: str):
         # Aliases tell the columns of the two sides, which share a source, apart.
         return df.select(*(F.col(c).alias(c) for c in (*tile, *columns))).groupBy(*tile)
 
     return (
-        grouped(dealt(queries, "query", "parts", "blocks"), "query", "vector", "bucket")
-        .cogroup(grouped(dealt(index, "key", "blocks", "parts"), "ids", "vector", "bucket"))
+        grouped(dealt(queries, "query", "parts", "blocks"), "query", "vector", "buckets")
+        .cogroup(grouped(dealt(index, "key", "blocks", "parts"), "ids", "key", "vector", "bucket"))
         .applyInArrow(
             lambda q, x: best_of(q, x, keep), "query bigint, vec_id bigint, score double"
         )
@@ -401,14 +399,35 @@ class Index:
         self.rows = {row["bits"]: row["count"] for row in counts}
         self.hashes = {bits: joined_hashes(1 << bits, rows) for bits, rows in self.rows.items()}
         self.first = {bits: probes * PROBES_GROW ** (n - 1) for bits, n in self.hashes.items()}
-        partitions = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        stored = tables * sum(self.rows.values())
-        self.slices = max(2 * partitions, -(-stored // BLOCK_ROWS))
-        self.hashed = self.with_buckets(index, F.lit(0), F.lit(1))
-
-    def with_buckets(self, df: DataFrame, start: Column, stop: Column) -> DataFrame:
+        self.places = max(1, -(-tables * sum(self.rows.values()) // PLACE_ROWS))
         hashes = {1 << bits: n for bits, n in self.hashes.items()}
-        return with_buckets(df, self.tables, hashes, start, stop, self.seed)
+
+        @F.arrow_udf("array<bigint>")
+        def own(vectors: pa.Array) -> pa.Array:
+            starts = np.zeros(len(vectors), int)
+            found = bucket_lists(vectors, starts, starts + 1, tables, hashes, seed)
+            return pa.array(found, pa.list_(pa.int64()))
+
+        @F.arrow_udf("array<struct<place: bigint, buckets: array<bigint>>>")
+        def probed(vectors: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
+            found = bucket_lists(vectors, np.asarray(starts), np.asarray(stops), tables, hashes, seed)
+            lists = [by_place(row, places) for row in found]
+            kind = pa.struct([("place", pa.int64()), ("buckets", pa.list_(pa.int64()))])
+            rows = [[{"place": place, "buckets": few} for place, few in line] for line in lists]
+            return pa.array(rows, pa.list_(kind))
+
+        places, self.probed = self.places, probed
+        coded = cut(index.withColumn("codes", own("vector")))
+        self.hashed = coded.withColumn("bucket", F.explode("codes")).withColumn(
+            "place", F.pmod("bucket", F.lit(self.places).cast("bigint"))
+        )
+        self.sizes = cut(self.hashed.groupBy("dim", "place").agg(F.count("*").alias("rows")))
+
+    def probes(self, df: DataFrame, start: Column, stop: Column) -> DataFrame:
+        """A row for every place that the probes from `start` to before `stop` of a query lie in."""
+        return df.withColumn("found", F.explode(self.probed("vector", start, stop))).select(
+            "query", "dim", "vector", "found.*"
+        )
 
     def first_probes(self) -> Column:
         return by_bits({bits: F.lit(n) for bits, n in self.first.items()})
@@ -430,7 +449,8 @@ class Index:
     def compared(self, queries: DataFrame, start: Column, stop: Column) -> int:
         """How many comparisons the probes of queries cost."""
         sizes = self.hashed.groupBy("dim", "bucket").agg(F.count("*").alias("rows"))
-        met = self.with_buckets(queries, start, stop).join(sizes, ["dim", "bucket"])
+        probes = self.probes(queries, start, stop).withColumn("bucket", F.explode("buckets"))
+        met = probes.join(sizes, ["dim", "bucket"])
         return met.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
@@ -441,7 +461,7 @@ def from_buckets(
     probes a table that every query has looked into."""
 
     def look(asking: DataFrame, start: Column, stop: Column) -> DataFrame:
-        return cut(meet(hashed.with_buckets(asking, start, stop), hashed.hashed, k + 1, hashed.slices))
+        return cut(meet(hashed.probes(asking, start, stop), hashed.hashed, hashed.sizes, k + 1))
 
     looked = queries.withColumn("stop", hashed.first_probes())
     found, grown = look(looked, F.lit(0), F.col("stop")), 1
@@ -497,9 +517,10 @@ def search(
     again = queries.join(
         named.join(short, "query_id").select(F.col("key").alias("query")).distinct(), "query", "left_semi"
     )
-    everywhere = F.lit(-1).cast("bigint")
-    rest = answers(
-        meet(again.withColumn("bucket", everywhere), index.withColumn("bucket", everywhere), k + 1, 1), named, k
-    ).join(short, "query_id", "left_semi")
+    everywhere, zero = F.lit(EVERYWHERE).cast("bigint"), F.lit(0).cast("bigint")
+    asking = again.withColumns({"buckets": F.array(everywhere), "place": zero})
+    asked = index.withColumns({"bucket": everywhere, "place": zero})
+    sizes = asked.groupBy("dim", "place").agg(F.count("*").alias("rows"))
+    rest = answers(meet(asking, asked, sizes, k + 1), named, k).join(short, "query_id", "left_semi")
     whole = first.join(short, "query_id", "left_anti").unionByName(rest)
     return whole.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
