@@ -15,7 +15,8 @@ the length. Pairs drawn at random give the number at which such a neighbour is m
 Equal vectors count once: a vector keeps its `k` + 1 smallest ids, which are all that can be among
 the k nearest of anything. Buckets are dealt into places of about equal size, where a query comes once
 with all the buckets it looks into there. A place that holds a crowded bucket is cut into blocks, its
-queries into parts, and every block meets every part; each meeting gives only a query's k + 1 best. A query that meets fewer than k candidates is compared with
+queries into parts, and every block meets every part; each meeting gives only a query's k + 1 best,
+and once a query knows k neighbours, only what is no farther than the last of them. A query that meets fewer than k candidates is compared with
 every vector, in blocks, and so is one that would need as many buckets as there are vectors or buckets.
 
 Defined results: vectors that are null, empty, all zero, or hold a null or non-finite component take
@@ -41,8 +42,8 @@ PROBES = 10
 PROBES_GROW = 6
 ROUNDS = 3
 SEED = 17
-BLOCK_ROWS = 8192
-PLACE_ROWS = 4096
+BLOCK_ROWS = 16384
+PLACE_ROWS = 8192
 BLOCK_QUERIES = 4096
 PAIRS_AT_ONCE = 1 << 15
 TIE = 1e-9
@@ -51,6 +52,8 @@ RECALL = 0.97
 STEPS = 50
 WHOLE = 1 << 30
 EVERYWHERE = -1
+# Below every cosine.
+ANY = -2.0
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -254,6 +257,10 @@ def best_of(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
     for start in range(0, len(asks), PAIRS_AT_ONCE):
         a, b = asks[start : start + PAIRS_AT_ONCE], meets[start : start + PAIRS_AT_ONCE]
         scores[start : start + PAIRS_AT_ONCE] = (x[b] * q[a]).sum(axis=1) / (x_size[b] * q_size[a])
+    near = scores >= queries.column("least").to_numpy()[asks] - TIE
+    asks, meets, scores = asks[near], meets[near], scores[near]
+    if not len(asks):
+        return FOUND.empty_table()
     ids = block.column("ids").to_pylist()
     # Of the vectors that a query meets, `keep` and those equal to the last of them can matter.
     by_query = np.lexsort((-scores, keys[asks]))
@@ -299,8 +306,8 @@ def best_of_all(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
 def meet(queries: DataFrame, index: DataFrame, sizes: DataFrame, keep: int) -> DataFrame:
     """Best ids for queries in their buckets, tile by tile.
 
-    `queries` has dim, place, query, vector and buckets; `index` dim, place, bucket, ids, key and
-    vector, and `sizes` its rows by dim and place."""
+    `queries` has dim, place, query, vector, buckets and the least score that matters; `index` dim,
+    place, bucket, ids, key and vector, and `sizes` its rows by dim and place."""
     of = ["dim", "place"]
     many = queries.select("query").distinct().count() > BLOCK_QUERIES
     asked = queries.groupBy(*of).agg(F.count("*").alias("asked")) if many else None
@@ -327,7 +334,7 @@ def meet(queries: DataFrame, index: DataFrame, sizes: DataFrame, keep: int) -> D
         return df.select(*(F.col(c).alias(c) for c in (*tile, *columns))).groupBy(*tile)
 
     return (
-        grouped(dealt(queries, "query", "parts", "blocks"), "query", "vector", "buckets")
+        grouped(dealt(queries, "query", "parts", "blocks"), "query", "least", "vector", "buckets")
         .cogroup(grouped(dealt(index, "key", "blocks", "parts"), "ids", "key", "vector", "bucket"))
         .applyInArrow(
             lambda q, x: best_of(q, x, keep), "query bigint, vec_id bigint, score double"
@@ -426,7 +433,7 @@ class Index:
     def probes(self, df: DataFrame, start: Column, stop: Column) -> DataFrame:
         """A row for every place that the probes from `start` to before `stop` of a query lie in."""
         return df.withColumn("found", F.explode(self.probed("vector", start, stop))).select(
-            "query", "dim", "vector", "found.*"
+            "query", "dim", "vector", "least", "found.*"
         )
 
     def first_probes(self) -> Column:
@@ -463,7 +470,7 @@ def from_buckets(
     def look(asking: DataFrame, start: Column, stop: Column) -> DataFrame:
         return cut(meet(hashed.probes(asking, start, stop), hashed.hashed, hashed.sizes, k + 1))
 
-    looked = queries.withColumn("stop", hashed.first_probes())
+    looked = queries.withColumns({"stop": hashed.first_probes(), "least": F.lit(ANY)})
     found, grown = look(looked, F.lit(0), F.col("stop")), 1
     while True:
         first = cut(answers(found, named, k))
@@ -484,7 +491,11 @@ def from_buckets(
         more = cut(
             wanted.where(F.col("stop") < WHOLE)
             .groupBy("key")
-            .agg(F.max("stop").alias("stop"), F.max("done").alias("start"))
+            .agg(
+                F.max("stop").alias("stop"),
+                F.max("done").alias("start"),
+                F.min(F.coalesce("least", F.lit(ANY))).alias("least"),
+            )
         )
         if more.isEmpty():
             return first, wanted.select("query_id").distinct(), looked
@@ -518,7 +529,7 @@ def search(
         named.join(short, "query_id").select(F.col("key").alias("query")).distinct(), "query", "left_semi"
     )
     everywhere, zero = F.lit(EVERYWHERE).cast("bigint"), F.lit(0).cast("bigint")
-    asking = again.withColumns({"buckets": F.array(everywhere), "place": zero})
+    asking = again.withColumns({"buckets": F.array(everywhere), "place": zero, "least": F.lit(ANY)})
     asked = index.withColumns({"bucket": everywhere, "place": zero})
     sizes = asked.groupBy("dim", "place").agg(F.count("*").alias("rows"))
     rest = answers(meet(asking, asked, sizes, k + 1), named, k).join(short, "query_id", "left_semi")
