@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Batches of rows that go to Python are bounded by bytes, so that long texts fit in a worker.
+BATCH_SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
 LEGACY_DATE_SETTINGS = {
     "spark.sql.parquet.datetimeRebaseModeInRead": "LEGACY",
     "spark.sql.parquet.int96RebaseModeInWrite": "LEGACY",
@@ -25,12 +28,20 @@ LEGACY_DATE_SETTINGS = {
 
 def configure(spark: SparkSession, legacy_dates: bool = False) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
-    settings = RUNTIME_SETTINGS | (LEGACY_DATE_SETTINGS if legacy_dates else {})
+    settings = RUNTIME_SETTINGS | BATCH_SETTINGS | (LEGACY_DATE_SETTINGS if legacy_dates else {})
     for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
 
 
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """The one setting that Python functions over texts need, always the same, in a session that is
+    otherwise left as it is."""
+    for key, value in BATCH_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(
     app: str = "pulse",
     *,
