@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from pulse.session import scratch_path, shared_folder
+from pulse.session import bound_batches, scratch_path, shared_folder
 
 # Words are runs of anything but ASCII white space; bytes.split() in Python cuts the same runs.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -88,4 +88,5 @@ def sums_before(df: DataFrame, order: list[str], sums: dict[str, Column]) -> Dat
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the driver, in a session whose batches are bounded."""
+    return bound_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
