@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from pulse.llm import bpe, mixing, pii, quality, simhash
 from pulse.llm.common import read_table
 from pulse.llm.queries import PATTERN, TOKENIZER
-from pulse.session import scratch_path
+from pulse.session import bound_batches, scratch_path
 from pulse.sinks.paths import remove_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, without the lines that the rules remove."""
+    bound_batches(spark)
     judged = quality.quality_rules(docs).where("kept")
     text = F.when(F.col("lost_words") > 0, F.col("clean_text")).otherwise(F.col("text"))
     cleaned = {"text": text, "n_chars": F.length(text).cast("bigint")}
@@ -37,6 +38,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate group the document with the smallest id."""
+    bound_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
@@ -53,6 +55,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids of every row; `exact` tells whether decoding gives the text back."""
+    bound_batches(spark)
     decoded = bpe.decode(bpe.encode(docs, TOKENIZER, PATTERN), TOKENIZER, PATTERN)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return decoded.select(
