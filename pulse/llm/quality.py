@@ -248,5 +248,6 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -
         return pa.StructArray.from_arrays(arrays, list(FIELDS))
 
     found = free_name(docs, "verdict")
-    judged = docs.withColumn(found, verdicts(text_or_empty(text)))
+    # Said to be nondeterministic, or a filter on the verdict would run it a second time.
+    judged = docs.withColumn(found, verdicts.asNondeterministic()(text_or_empty(text)))
     return judged.withColumns({name: F.col(f"{found}.{name}") for name in FIELDS}).drop(found)

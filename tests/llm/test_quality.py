@@ -143,6 +143,12 @@ def test_labelled_documents(spark, docs):
     assert junk and sum(junk) <= 0.1 * len(junk)
 
 
+def test_a_filter_on_the_verdict_judges_once(docs):
+    judged = quality.quality_rules(docs).where("kept").select("text", "clean_text", "lost_words")
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_empty_table(make_docs):
     assert quality.quality_rules(make_docs([])).collect() == []
 
