@@ -18,7 +18,7 @@ RUNTIME_SETTINGS = {
 }
 
 # Batches of rows that go to Python are bounded by bytes, so that long texts fit in a worker.
-BATCH_SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+BATCH_SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 19)}
 
 LEGACY_DATE_SETTINGS = {
     "spark.sql.parquet.datetimeRebaseModeInRead": "LEGACY",
