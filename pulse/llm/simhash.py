@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.llm.common import cut, free_name, in_parts, row_hash, text_or_empty
@@ -290,22 +290,23 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", width: int = SHING
     prints = with_fingerprint(ranked, "text", fp, width).select(fp, "rank")
     groups = cut(prints.groupBy(fp).agg(F.min("rank").alias("rank")))
     stay = with_roots(groups).groupBy("root").agg(F.min("rank").alias("rank"))
-    # Rows equal in every column are one; each task keeps one of them before the shuffle.
+    # Rows equal in every column are one; each task keeps one of them before the shuffle. Ids are
+    # compared as texts with a mark for null, so that the join needs no shuffle beyond the window's.
     row = free_name(docs, "row", tie)
     missing = free_name(docs, "missing", tie, row)
-    keys = [missing, "doc_id", tie]
+    name = free_name(docs, "name", tie, row, missing)
+    keys = [missing, name, tie]
+
+    def as_text(doc_id: Column) -> Column:
+        return F.coalesce(doc_id.cast("string"), F.lit(""))
+
     order = Window.partitionBy(*keys).orderBy(F.lit(0))
     single = (
-        hashed.withColumn(missing, F.col("doc_id").isNull())
+        hashed.withColumns({missing: F.col("doc_id").isNull(), name: as_text(F.col("doc_id"))})
         .withColumn(row, F.row_number().over(order))
         .where(F.col(row) == 1)
     )
-    # A null id matches the null id of its rank.
-    theirs = free_name(docs, "first", *keys, row)
-    wanted = stay.select(F.col("rank").alias(theirs))
-    same = (
-        (F.col(missing) == F.col(f"{theirs}.missing"))
-        & F.col("doc_id").eqNullSafe(F.col(f"{theirs}.id"))
-        & (F.col(tie) == F.col(f"{theirs}.tie"))
+    wanted = stay.select(
+        F.col("rank.missing").alias(missing), as_text(F.col("rank.id")).alias(name), F.col("rank.tie").alias(tie)
     )
-    return single.join(wanted, same, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return single.join(wanted, keys, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
