@@ -156,6 +156,33 @@ def test_a_single_file_keeps_its_order(spark, tmp_path):
     assert stored == [(row.id, row.kind) for row in df.collect()]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_single_file_is_sorted_in_slices(spark, tmp_path, monkeypatch, fmt):
+    monkeypatch.setattr(files, "SORTED_ROWS", 100, raising=False)
+    saved, save = {}, files._save
+
+    def spy(df, path, *more):
+        save(df, path, *more)
+        name = path.rsplit("/", 1)[1]
+        saved[name] = df._jdf.queryExecution().executedPlan().toString()
+        if name == "slices":
+            parts = spark.read.parquet(path).groupBy("_metadata.file_name").count()
+            saved["sizes"] = [row["count"] for row in parts.collect()]
+
+    monkeypatch.setattr(files, "_save", spy)
+    # A third of the rows have one key; one key is null.
+    df = spark.range(0, 2000, 1, 4).selectExpr(
+        "case when id % 3 = 0 then 7 when id <> 1 then 2000 - id end as key", "id as __place"
+    )
+    path = write_dataset(df, str(tmp_path), "ids", fmt, single_file=True, order_by=["key"])
+    assert Path(path).is_file()
+    assert "Sort" not in saved["one"]
+    assert sum(saved["sizes"]) == 2000 and max(saved["sizes"]) < 400
+    rows = [(row.key, row["__place"]) for row in op.read_any(spark, path).collect()]
+    assert [key for key, _ in rows] == sorted((key for key, _ in rows), key=lambda x: x or -1)
+    assert sorted(rows, key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
 def test_publishing_needs_one_part(spark, tmp_path):
     spark.range(10).repartition(2).write.parquet(f"{tmp_path}/two")
     with pytest.raises(FileNotFoundError):
