@@ -6,6 +6,9 @@ before it. Two tokens form a valid pair if merging their joined bytes gives just
 last tokens back from the end gives the encoding. As the entry of a prefix does not depend on what
 follows, bytes can be appended, or replaced from any place on, by computing the entries after it.
 
+New pieces of ordinary length are sorted and get their tables together, a prefix length at a time:
+prefixes that neighbours share are computed once, and numpy takes the same step for all the others.
+
 Texts are cut into pieces by the tokenizer's pattern. A piece that is a token itself is that token.
 
 Defined results: a null text counts as empty and gives no ids; text that names special tokens is
@@ -32,6 +35,9 @@ GROUP_CHARS = 1 << 20
 CACHED_PIECES = 600_000
 CACHED_CHARS = 1 << 23
 CACHED_PAIRS = 400_000
+TABLES_AT_ONCE = 1 << 14
+TABLE_BYTES = 64
+PAIR_SLOT_BITS = 21
 UNRANKED = 1 << 40
 
 
@@ -166,6 +172,111 @@ class PrefixTable:
         return ids[::-1]
 
 
+class PrefixTables:
+    """The last token of every prefix of many short byte strings at once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        # Every ending of a token is a node; a node's child is the ending with one byte before it.
+        number = {ending: i for i, ending in enumerate(sorted(vocabulary.endings, key=len), 1)}
+        number[b""] = 0
+        self.ranks = np.full(len(number), -1, np.int64)
+        links = np.empty(len(number) - 1, np.int64)
+        for ending, i in number.items():
+            if i:
+                self.ranks[i] = vocabulary.endings[ending]
+                links[i - 1] = number[ending[1:]] << 8 | ending[0]
+        self.children = np.argsort(links) + 1
+        self.links = links[self.children - 1]
+        n_ranks = max(vocabulary.tokens) + 1
+        self.n_ranks = n_ranks
+        self.lengths = np.zeros(n_ranks, np.int64)
+        for rank, token in vocabulary.tokens.items():
+            self.lengths[rank] = len(token)
+        # Answers met lately, by pair of tokens; a pair may take the slot of another.
+        self.pair_keys = np.full(1 << PAIR_SLOT_BITS, -1, np.int64)
+        self.pair_valid = np.zeros(1 << PAIR_SLOT_BITS, bool)
+
+    def _valid(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left * self.n_ranks + right
+        slots = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIR_SLOT_BITS)
+        valid, missed = self.pair_valid[slots], self.pair_keys[slots] != keys
+        if missed.any():
+            new, place = np.unique(keys[missed], return_inverse=True)
+            pairs, valid_pair = self.vocabulary.pairs, self.vocabulary.valid_pair
+            found = []
+            for pair in map(divmod, new.tolist(), [self.n_ranks] * len(new)):
+                known = pairs.get(pair)
+                found.append(valid_pair(*pair) if known is None else known)
+            valid[missed] = found = np.array(found, bool)[place]
+            # Where two of these pairs want one slot, none gets it.
+            self.pair_keys[slots[missed]] = keys[missed]
+            self.pair_valid[slots[missed]] = found
+            lost = self.pair_keys[slots[missed]] != keys[missed]
+            self.pair_keys[slots[missed][lost]] = -1
+        return valid
+
+    def last_tokens(self, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """By prefix length and string, for sorted strings of these lengths in the rows of `data`."""
+        n, width = data.shape
+        unlike = np.ones((n, width + 1), bool)
+        unlike[1:, :width] = data[1:] != data[:-1]
+        shared = unlike.argmax(1)
+        shared[1:] = np.minimum(shared[1:], np.minimum(lengths[1:], lengths[:-1]))
+        last, rows = np.zeros((width + 1, n), np.int64), np.arange(n)
+        for end in range(1, width + 1):
+            own = (lengths >= end) & (shared < end)
+            here, node = np.flatnonzero(own), np.zeros(own.sum(), np.int64)
+            for start in range(end - 1, -1, -1):
+                link = node << 8 | data[here, start]
+                at = np.minimum(np.searchsorted(self.links, link), len(self.links) - 1)
+                if (self.links[at] != link).any():
+                    raise ValueError(f"no token ends at byte {end}")
+                node = self.children[at]
+                rank = self.ranks[node]
+                token = np.flatnonzero(rank >= 0)
+                right = rank[token]
+                if start:
+                    fits = self._valid(last[start, here[token]], right)
+                else:
+                    fits = np.array([self.vocabulary.reachable(x) for x in right.tolist()], bool)
+                done = token[fits]
+                last[end, here[done]] = rank[done]
+                more = np.ones(len(here), bool)
+                more[done] = False
+                here, node = here[more], node[more]
+                if not len(here):
+                    break
+            if len(here):
+                raise ValueError(f"no token ends at byte {end}")
+            # A shared prefix has the entry of the row that it was computed for.
+            last[end] = last[end, np.maximum.accumulate(np.where(own, rows, 0))]
+        return last
+
+    def encode(self, strings: list[bytes]) -> list[bytes]:
+        """Packed ids of sorted strings, none of them empty."""
+        lengths = np.array(list(map(len, strings)))
+        width = int(lengths.max())
+        flat = b"".join(string.ljust(width, b"\0") for string in strings)
+        data = np.frombuffer(flat, np.uint8).reshape(-1, width)
+        last = self.last_tokens(data, lengths)
+        steps, rows, ends = [], np.arange(len(strings)), lengths
+        while len(rows):
+            ids = last[ends, rows]
+            steps.append((rows, ids))
+            ends = ends - self.lengths[ids]
+            rows, ends = rows[ends > 0], ends[ends > 0]
+        counts = np.zeros(len(strings), np.int64)
+        for rows, _ in steps:
+            counts[rows] += 1
+        stops = np.cumsum(counts)
+        packed = np.empty(stops[-1], "<u4")
+        for step, (rows, ids) in enumerate(steps, 1):
+            packed[stops[rows] - step] = ids
+        whole, bounds = packed.tobytes(), (stops * 4).tolist()
+        return [whole[a:b] for a, b in zip([0, *bounds], bounds, strict=False)]
+
+
 class PieceIds:
     """Packed ids of the pieces met lately, in two generations.
 
@@ -175,6 +286,7 @@ class PieceIds:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.tables = PrefixTables(vocabulary)
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.chars = 0
@@ -198,7 +310,8 @@ class PieceIds:
         return list(map(b"".join, found))
 
     def learn(self, missing: set[str]) -> None:
-        """Encode new pieces in order, each by editing the table of the one before it."""
+        """Encode new pieces in order: together, or if long each by editing the table of the one
+        before it."""
         if len(self.known) >= CACHED_PIECES or self.chars >= CACHED_CHARS:
             self.old, self.known, self.chars = self.known, {}, 0
         self.chars += sum(map(len, missing))
@@ -206,15 +319,24 @@ class PieceIds:
         again = missing.intersection(old)
         known.update(zip(again, map(old.__getitem__, again), strict=True))
         table = PrefixTable(self.vocabulary)
+        short: list[str] = []
+        strings: list[bytes] = []
+        # Sorted by code points is sorted by bytes.
         for piece in sorted(missing.difference(again)):
             data = piece.encode()
             rank = ranks.get(data)
-            if rank is None:
+            if rank is not None:
+                known[piece] = rank.to_bytes(4, "little")
+            elif len(data) <= TABLE_BYTES:
+                short.append(piece)
+                strings.append(data)
+            else:
                 shared = len(commonprefix((table.data, data)))
                 table.replace(shared, len(table.data), data[shared:])
                 known[piece] = np.array(table.encode(), "<u4").tobytes()
-            else:
-                known[piece] = rank.to_bytes(4, "little")
+        for start in range(0, len(short), TABLES_AT_ONCE):
+            part = slice(start, start + TABLES_AT_ONCE)
+            known.update(zip(short[part], self.tables.encode(strings[part]), strict=True))
 
 
 @lru_cache(maxsize=2)

@@ -113,3 +113,34 @@ def test_cache_is_bounded_by_characters(vocabulary, library, monkeypatch):
         assert bpe.packed_ids([text], known, pattern) == [packed(library.encode_ordinary(text))]
         assert sum(map(len, known.known)) + sum(map(len, known.old)) < 20_000
     assert " again" in known.known
+
+
+def test_tables_of_many_strings_agree_with_one(vocabulary, monkeypatch):
+    # So few slots that pairs take each other's.
+    monkeypatch.setattr(bpe, "PAIR_SLOT_BITS", 4)
+    random.seed(9)
+    stems = [bytes(random.choices(b"thenatio \x00\xff", k=random.randint(0, 9))) for _ in range(60)]
+    strings = sorted({
+        random.choice(stems) + bytes(random.choices(b"thens\x00\xc3", k=random.randint(1, 12)))
+        for _ in range(1500)
+    })
+    tables = bpe.PrefixTables(vocabulary)
+    for some in (strings, strings[::7], strings[:1]):
+        assert tables.encode(some) == [packed(bpe.PrefixTable(vocabulary, x).encode()) for x in some]
+    with pytest.raises(ValueError):
+        bpe.PrefixTables(bpe.Vocabulary({b"a": 0, b"ab": 1})).encode([b"ab", b"ba"])
+
+
+def test_short_pieces_get_their_tables_together(vocabulary, library, monkeypatch):
+    def alone(self, more):
+        assert not more or len(self.data + more) > bpe.TABLE_BYTES
+
+    monkeypatch.setattr(bpe, "TABLES_AT_ONCE", 40)
+    random.seed(10)
+    known, pattern = bpe.PieceIds(vocabulary), bpe.tools(TOKENIZER, PATTERN)[2]
+    text = " ".join("".join(random.choices("thenatioü", k=random.randint(1, 30))) for _ in range(300))
+    expected = packed(library.encode_ordinary(text + "x" * 200))
+    assert bpe.packed_ids([text + "x" * 200], known, pattern) == [expected]
+    monkeypatch.setattr(bpe.PrefixTable, "append", alone)
+    known = bpe.PieceIds(vocabulary)
+    assert bpe.packed_ids([text], known, pattern) == [packed(library.encode_ordinary(text))]
