@@ -6,6 +6,7 @@ import json
 import logging
 import uuid
 from collections.abc import Collection, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from pulse.operators.profile import observed, require_rows
 from pulse.plans.commits import Commits
 from pulse.plans.datasets import DATASETS, build_dataset
 from pulse.plans.params import Params
-from pulse.session import configure
+from pulse.session import configure, hashed_joins
 from pulse.sinks.files import write_dataset
 from pulse.sinks.paths import remove_path
 
@@ -37,7 +38,9 @@ def run(
     """Write the datasets below `out` and return their paths by dataset and format.
 
     A dataset is computed once, into Parquet. The CSV copy and the datasets built on it read
-    that table, so a lost executor costs no recomputation of the joins and nothing is cached.
+    that table, so a lost executor costs no recomputation of the joins and nothing is cached. The
+    copies are written one after the other beside the datasets that follow, on cores these leave
+    idle; no dataset is begun after a copy has failed.
 
     With a `run_id` every output is marked once it is in place. A run that is started again under
     the same id, with the same parameters and layout, skips what is marked and reads it where other
@@ -56,49 +59,59 @@ def run(
     staging = f"{out}/_staging_{uuid.uuid4().hex}"
     stored: dict[str, DataFrame] = {}
     paths: dict[str, dict[str, str]] = {}
+    copier = ThreadPoolExecutor(1)
+    copies: list[Future] = []
+
+    def copy(name: str) -> None:
+        order_by = DATASETS[name].order_by
+        # Part files are read back in no set order.
+        df = stored[name].sort(*order_by) if order_by else stored[name]
+        commits.open(name, "csv")
+        path = write_dataset(
+            df, f"{out}/{FOLDERS['csv']}", DATASETS[name].file, "csv", order_by=order_by, **layout
+        )
+        commits.close(name, "csv", path)
+        paths[name]["csv"] = path
+
     try:
-        for name, dataset in DATASETS.items():
-            if only is not None and name not in only:
-                continue
-            done = {fmt: commits.path_of(name, fmt) for fmt in formats}
-            paths[name] = {fmt: path for fmt, path in done.items() if path}
-            if done.get("parquet"):
-                stored[name] = spark.read.parquet(done["parquet"])
-            if all(done.values()):
-                log.info("%s: committed by an earlier start", name)
-                continue
-            keep = "parquet" in formats
-            if name not in stored:
-                df, rows = observed(build_dataset(name, tables, params, stored), name)
-                if keep:
-                    commits.open(name, "parquet")
-                path = write_dataset(
-                    df,
-                    f"{out}/{FOLDERS['parquet']}" if keep else staging,
-                    dataset.file,
-                    "parquet",
-                    single_file=single_file and keep,
-                    order_by=dataset.order_by,
-                    in_place=in_place,
-                )
-                require_rows(rows.get["n_rows"], name)
-                stored[name] = spark.read.schema(df.schema).parquet(path)
-                if keep:
-                    commits.close(name, "parquet", path)
-                    paths[name]["parquet"] = path
-            if "csv" in formats and "csv" not in paths[name]:
-                # Part files are read back in no set order.
-                copy = stored[name].sort(*dataset.order_by) if dataset.order_by else stored[name]
-                commits.open(name, "csv")
-                paths[name]["csv"] = write_dataset(
-                    copy,
-                    f"{out}/{FOLDERS['csv']}",
-                    dataset.file,
-                    "csv",
-                    order_by=dataset.order_by,
-                    **layout,
-                )
-                commits.close(name, "csv", paths[name]["csv"])
+        with hashed_joins(spark):
+            for name, dataset in DATASETS.items():
+                if only is not None and name not in only:
+                    continue
+                for begun in copies:
+                    if begun.done():
+                        begun.result()
+                done = {fmt: commits.path_of(name, fmt) for fmt in formats}
+                paths[name] = {fmt: path for fmt, path in done.items() if path}
+                if done.get("parquet"):
+                    stored[name] = spark.read.parquet(done["parquet"])
+                if all(done.values()):
+                    log.info("%s: committed by an earlier start", name)
+                    continue
+                keep = "parquet" in formats
+                if name not in stored:
+                    df, rows = observed(build_dataset(name, tables, params, stored), name)
+                    if keep:
+                        commits.open(name, "parquet")
+                    path = write_dataset(
+                        df,
+                        f"{out}/{FOLDERS['parquet']}" if keep else staging,
+                        dataset.file,
+                        "parquet",
+                        single_file=single_file and keep,
+                        order_by=dataset.order_by,
+                        in_place=in_place,
+                    )
+                    require_rows(rows.get["n_rows"], name)
+                    stored[name] = spark.read.schema(df.schema).parquet(path)
+                    if keep:
+                        commits.close(name, "parquet", path)
+                        paths[name]["parquet"] = path
+                if "csv" in formats and "csv" not in paths[name]:
+                    copies.append(copier.submit(copy, name))
+            for begun in copies:
+                begun.result()
     finally:
+        copier.shutdown(cancel_futures=True)
         remove_path(spark, staging)
     return paths

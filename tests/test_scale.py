@@ -11,6 +11,7 @@ from farm_fixture import PARAMS, farm_tables
 from pulse import operators as op
 from pulse.plans import build_dataset, run
 from pulse.plans.datasets import accesses
+from pulse.session import hashed_joins
 from workload.farm_tables import PARAMS as DRIVER_PARAMS
 from workload.farm_tables import farm_tables as driver_farm_tables
 from workload.queries import QUERIES
@@ -138,6 +139,22 @@ def test_hot_keys_are_split(spark, skewed, name):
     assert not Counter(HOT_JOINS[name]) - Counter(split)
 
 
+@pytest.mark.parametrize("name", ["coleiras_vinculadas", "farm_states"])
+def test_hot_keys_are_split_where_a_run_hashes(spark, skewed, name):
+    expected = build_dataset(name, skewed, PARAMS)
+    with settings(spark, AT_SCALE), hashed_joins(spark):
+        df = build_dataset(name, skewed, PARAMS)
+        n = df.count()
+        n = df.count()
+        result = df.groupBy(*df.columns).count()
+        result.collect()
+        joins = re.findall(r"(\w+Join)(\(skew=true\))? \[(\w+)#", plan_of(result))
+    split = [key for _, skew, key in joins if skew]
+    assert not Counter(HOT_JOINS[name]) - Counter(split)
+    assert "ShuffledHashJoin" in {kind for kind, *_ in joins}
+    assert n == expected.count()
+
+
 def test_first_per_key_limits_before_the_shuffle(spark, skewed):
     df = op.first_per_key(skewed["animal_breed"], ["animal_id"], [F.col("numerator").desc()])
     df.collect()
