@@ -10,6 +10,8 @@ New pieces of ordinary length are sorted and get their tables together, a prefix
 prefixes that neighbours share are computed once, and numpy takes the same step for all the others.
 
 Texts are cut into pieces by the tokenizer's pattern. A piece that is a token itself is that token.
+Python's own engine cuts texts of the basic plane, as it is faster than `regex`: the classes that only
+`regex` knows are spelled out for it.
 
 Defined results: a null text counts as empty and gives no ids; text that names special tokens is
 ordinary text; repeated rows are encoded each by itself; other columns pass through untouched.
@@ -18,6 +20,8 @@ ordinary text; repeated rows are encoded each by itself; other columns pass thro
 from __future__ import annotations
 
 import base64
+import re
+from collections.abc import Iterable
 from functools import lru_cache
 from itertools import islice
 from os.path import commonprefix
@@ -39,6 +43,12 @@ TABLES_AT_ONCE = 1 << 14
 TABLE_BYTES = 64
 PAIR_SLOT_BITS = 21
 UNRANKED = 1 << 40
+BASIC_PLANE = "".join(map(chr, range(1 << 16)))
+BEYOND = re.compile(r"[^\u0000-\uffff]")
+# Classes that Python's own engine lacks or reads in another way, and the parts of a pattern that,
+# but for these classes, both engines read alike.
+CLASS = r"\\p\{\w+\}|\\s"
+PART = rf"\[\^?(?:{CLASS}|[^\\\[\]^&|~-])+\]|{CLASS}|\\S|\(\?[:=!]|[^\\\[\]^$.({{}}]"
 
 
 class Vocabulary:
@@ -47,6 +57,7 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.by_rank = pa.array(map(self.tokens.get, range(max(self.tokens) + 1)), pa.large_binary())
         # Every ending of a token, with the token's rank where the ending is a token itself.
         self.endings = {
             token[i:]: ranks.get(token[i:], -1) for token in ranks for i in range(len(token))
@@ -122,6 +133,21 @@ class Vocabulary:
             self.pairs[left, right] = known
         return known
 
+    def decode(self, packed: list[bytes]) -> list[bytes]:
+        """The bytes that packed ids stand for."""
+        sizes = np.array(list(map(len, packed)), np.int64)
+        if (sizes % 4).any():
+            raise ValueError("packed ids have four bytes each")
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        if not len(ids):
+            return [b""] * len(packed)
+        found = self.by_rank.take(pa.array(ids))
+        if found.null_count:
+            raise KeyError("no token has this id")
+        _, starts, data = found.buffers()
+        stops = np.frombuffer(starts, np.int64)[np.cumsum(sizes // 4)].tolist()
+        return [data[a:b].to_pybytes() for a, b in zip([0, *stops], stops, strict=False)]
+
 
 class PrefixTable:
     """The last token of every prefix of some bytes."""
@@ -277,6 +303,16 @@ class PrefixTables:
         return [whole[a:b] for a, b in zip([0, *bounds], bounds, strict=False)]
 
 
+class Kept(dict):
+    """Packed ids by piece. A piece that it lacks gives None, and is noted."""
+
+    def __init__(self):
+        self.lacked: list[str] = []
+
+    def __missing__(self, piece: str) -> None:
+        self.lacked.append(piece)
+
+
 class PieceIds:
     """Packed ids of the pieces met lately, in two generations.
 
@@ -287,36 +323,29 @@ class PieceIds:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.tables = PrefixTables(vocabulary)
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known, self.old = Kept(), Kept()
         self.chars = 0
 
-    def pack(self, lines: list[list[str]]) -> list[bytes]:
+    def pack(self, lines: Iterable[list[str]]) -> list[bytes]:
         """The packed ids of each list of pieces."""
-        found = [list(map(self.known.get, pieces)) for pieces in lines]
-        missing = {
-            piece
-            for pieces, ids in zip(lines, found, strict=True)
-            if None in ids
-            for piece, known in zip(pieces, ids, strict=True)
-            if known is None
-        }
-        if missing:
-            self.learn(missing)
-            known = self.known
-            for pieces, ids in zip(lines, found, strict=True):
-                if None in ids:
-                    ids[:] = [x or known[piece] for piece, x in zip(pieces, ids, strict=True)]
+        known = self.known
+        found = [list(map(known.__getitem__, pieces)) for pieces in lines]
+        lacked, known.lacked = known.lacked, []
+        if lacked:
+            self.learn(set(lacked))
+            ids = map(self.known.__getitem__, lacked)
+            found = [[x or next(ids) for x in line] for line in found]
         return list(map(b"".join, found))
 
     def learn(self, missing: set[str]) -> None:
         """Encode new pieces in order: together, or if long each by editing the table of the one
         before it."""
         if len(self.known) >= CACHED_PIECES or self.chars >= CACHED_CHARS:
-            self.old, self.known, self.chars = self.known, {}, 0
+            self.old, self.known, self.chars = self.known, Kept(), 0
         self.chars += sum(map(len, missing))
         known, old, ranks = self.known, self.old, self.vocabulary.ranks
-        again = missing.intersection(old)
+        # Not missing.intersection(old), which goes through all that is kept.
+        again = set(filter(old.__contains__, missing))
         known.update(zip(again, map(old.__getitem__, again), strict=True))
         table = PrefixTable(self.vocabulary)
         short: list[str] = []
@@ -339,10 +368,51 @@ class PieceIds:
             known.update(zip(short[part], self.tables.encode(strings[part]), strict=True))
 
 
+def members(name: str) -> str:
+    """The basic plane's members of a class of `regex`, as ranges."""
+    runs = regex.findall(f"(?:{name})+", BASIC_PLANE)
+    return "".join(f"\\u{ord(run[0]):04x}-\\u{ord(run[-1]):04x}" for run in runs)
+
+
+def spelled_out(pattern: str) -> str | None:
+    """The pattern for Python's own engine, over texts of the basic plane; None if the engines could
+    read its parts differently."""
+    ranges = {name: members(name) for name in (r"\s", *re.findall(CLASS, pattern))}
+    if not re.fullmatch(f"(?:{PART})*", pattern) or not all(ranges.values()):
+        return None
+
+    def spelled(part: re.Match) -> str:
+        if part[0] == r"\S":
+            return f"[^{ranges[r'\s']}]"
+        if part[0] in ranges:
+            return f"[{ranges[part[0]]}]"
+        return re.sub(CLASS, lambda name: ranges[name[0]], part[0])
+
+    return re.sub(PART, spelled, pattern)
+
+
+class Cutter:
+    """Cuts texts into the matches of a pattern."""
+
+    def __init__(self, pattern: str):
+        self.full = regex.compile(pattern)
+        plain = spelled_out(pattern)
+        self.plain = self.full if plain is None else re.compile(plain)
+
+    def _engine(self, text: str):
+        return self.plain if text.isascii() or not BEYOND.search(text) else self.full
+
+    def findall(self, text: str) -> list[str]:
+        return self._engine(text).findall(text)
+
+    def finditer(self, text: str):
+        return self._engine(text).finditer(text)
+
+
 @lru_cache(maxsize=2)
 def tools(path: str, pattern: str):
     vocabulary = Vocabulary.load(path)
-    return vocabulary, PieceIds(vocabulary), regex.compile(pattern)
+    return vocabulary, PieceIds(vocabulary), Cutter(pattern)
 
 
 def packed_ids(texts: list[str], known: PieceIds, pattern) -> list[bytes]:
@@ -352,7 +422,7 @@ def packed_ids(texts: list[str], known: PieceIds, pattern) -> list[bytes]:
         if len(group) == 1 and len(group[0]) > GROUP_CHARS:
             packed.append(b"".join(long_ids(group[0], known, pattern)))
             continue
-        packed.extend(known.pack([pattern.findall(text) for text in group]))
+        packed.extend(known.pack(map(pattern.findall, group)))
     return packed
 
 
@@ -392,14 +462,10 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", name: str
     """Adds the bytes that packed ids stand for."""
     @F.arrow_udf("binary")
     def decoded(packed: pa.Array) -> pa.Array:
-        tokens = tools(path, pattern)[0].tokens
-        texts = [
-            None
-            if value is None
-            else b"".join(map(tokens.__getitem__, np.frombuffer(value, "<u4").tolist()))
-            for part in in_parts(packed)
-            for value in part
-        ]
+        vocabulary, texts = tools(path, pattern)[0], []
+        for part in in_parts(packed):
+            found = iter(vocabulary.decode([value for value in part if value is not None]))
+            texts.extend(None if value is None else next(found) for value in part)
         return pa.array(texts, pa.binary())
 
     return docs.withColumn(name, decoded(F.col(ids)))

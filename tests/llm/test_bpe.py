@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -144,3 +145,64 @@ def test_short_pieces_get_their_tables_together(vocabulary, library, monkeypatch
     monkeypatch.setattr(bpe.PrefixTable, "append", alone)
     known = bpe.PieceIds(vocabulary)
     assert bpe.packed_ids([text], known, pattern) == [packed(library.encode_ordinary(text))]
+
+
+def test_new_pieces_leave_the_kept_ones_alone(vocabulary, library):
+    class Looked(bpe.Kept):
+        def __iter__(self):
+            raise AssertionError("goes through all that is kept")
+
+    known, pattern = bpe.PieceIds(vocabulary), bpe.tools(TOKENIZER, PATTERN)[2]
+    known.old = Looked()
+    known.old.update({" qvzkept": packed(library.encode_ordinary(" qvzkept"))})
+    text = "qvzfirst qvzkept qvzthird qvzfirst"
+    for _ in range(2):
+        assert bpe.packed_ids([text, "", text], known, pattern) == [
+            packed(library.encode_ordinary(x)) for x in (text, "", text)
+        ]
+    assert " qvzkept" in known.known and not known.known.lacked
+
+
+def test_both_engines_cut_alike():
+    cutter = bpe.tools(TOKENIZER, PATTERN)[2]
+    assert isinstance(cutter.plain, re.Pattern)
+    assert cutter._engine("aé漢￿") is cutter.plain and cutter._engine("a😀") is cutter.full
+    every = [chr(i) for i in range(1 << 16) if not 0xD800 <= i < 0xE000]
+    random.seed(11)
+    texts = [f"a{c}{c} {c}1{c}  {c}'s{c}" for c in every]
+    texts += ["".join(random.choices(every, k=40)) for _ in range(2000)]
+    texts += ["".join(random.choices("ab1 \n\t\x1c\x85 'stve.é²", k=40)) for _ in range(5000)]
+    for text in texts:
+        found = cutter.findall(text)
+        assert found == cutter.full.findall(text) == [match.group() for match in cutter.finditer(text)]
+
+
+@pytest.mark.parametrize("pattern", [
+    r"(?i:'s)|\p{L}+", r"\w+|\s+", r"[a-z]+|\p{N}{1,3}", r".|\p{L}", r"[^\S\n]+|x", r"\p{Deseret}|\s", r"^\s",
+])
+def test_patterns_that_the_engines_may_read_differently(pattern):
+    cutter = bpe.Cutter(pattern)
+    assert bpe.spelled_out(pattern) is None and cutter.plain is cutter.full
+
+
+def test_decoding_many_together(vocabulary):
+    random.seed(12)
+    ranks = list(vocabulary.tokens)
+    lines = [random.choices(ranks, k=random.choice([0, 0, 1, 2, 50])) for _ in range(300)]
+    for some in (lines, lines[:1], [[]], []):
+        assert vocabulary.decode(list(map(packed, some))) == [
+            b"".join(map(vocabulary.tokens.get, ids)) for ids in some
+        ]
+    gap = bpe.Vocabulary({b"a": 0, b"b": 2})
+    assert gap.decode([packed([2, 0]), b"", packed([2])]) == [b"ba", b"", b"b"]
+    for wrong in ([packed([1])], [packed([3])], [b"ab", b"cd"]):
+        with pytest.raises((KeyError, IndexError, ValueError)):
+            gap.decode(wrong)
+
+
+def test_decoding_keeps_nulls(spark):
+    ids = [packed([5, 6]), None, b"", packed([300])]
+    rows = spark.createDataFrame(list(enumerate(ids)), "k int, ids binary")
+    tokens = bpe.Vocabulary.load(TOKENIZER).tokens
+    got = {row["k"]: row["decoded"] for row in bpe.decode(rows, TOKENIZER, PATTERN).collect()}
+    assert got == {0: tokens[5] + tokens[6], 1: None, 2: b"", 3: tokens[300]}
