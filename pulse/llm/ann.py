@@ -2,22 +2,26 @@
 
 A unit vector is rotated by sign flips and fast Hadamard transforms, three rounds a time; its hash is
 the signed axis nearest to it, the coordinate of largest size. A table joins the hashes of several
-rotations to a bucket; how many follows from the number of vectors, so that buckets stay small as a table
-grows, and a query meets an ever smaller share of it. A query looks into its own bucket of each table and
-into others, in the order of how far their axes lag behind the nearest ones, squared and summed. All it
-meets there is compared by the exact cosine, in double precision on the original vectors.
+rotations to a bucket; how many follows from the number of vectors, so that a query meets an ever smaller
+share of a table as it grows. A query looks into its own bucket of each table and into others, in the order
+of how far their axes lag behind the nearest ones, squared and summed.
+
+No table holds copies of the vectors. They are dealt into blocks once, coded in a byte a component with their
+buckets of all tables; a task has one block and all queries, or a large part of them. The queries that look
+into a bucket are compared with all of its rows at once, by a matrix product of codes. How far a code is from
+its vector bounds the error, so what may be near enough is known for sure, and only that is compared by the
+exact cosine, in double precision on the original vectors.
 
 The nearer a neighbour, the surer it is met, and the longer the vectors, the less sure: how many buckets a
 query needs follows from the score of its k-th neighbour found, which the true one is not below, and from
 the length. Pairs drawn at random give the number at which such a neighbour is met with probability
-`recall`; a query goes on, into up to four times its buckets a round, until it has looked into so many.
+`recall`. Queries first look into few buckets, which gives that score; those that seem to need all look into
+four times as many, again and again. Then all look into the buckets they need, for what is no farther than
+that score.
 
 Equal vectors count once: a vector keeps its `k` + 1 smallest ids, which are all that can be among
-the k nearest of anything. Buckets are dealt into places of about equal size, where a query comes once
-with all the buckets it looks into there. A place that holds a crowded bucket is cut into blocks, its
-queries into parts, and every block meets every part; each meeting gives only a query's k + 1 best,
-and once a query knows k neighbours, only what is no farther than the last of them. A query that meets fewer than k candidates is compared with
-every vector, in blocks, and so is one that would need as many buckets as there are vectors or buckets.
+the k nearest of anything. A query that meets fewer than k candidates is compared with every vector, in
+blocks, and so is one that would need as many buckets as there are vectors or buckets.
 
 Defined results: vectors that are null, empty, all zero, or hold a null or non-finite component take
 no part, as query or candidate; vectors meet only those of their own length; ties go to the smaller
@@ -27,14 +31,16 @@ vectors is a candidate with its nearest and, as a query, searches with each.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from pulse.llm.common import cut
+from pulse.llm.common import cut, stored
 from pulse.operators.enrich import require
 
 TABLES = 8
@@ -42,29 +48,55 @@ PROBES = 10
 PROBES_GROW = 6
 ROUNDS = 3
 SEED = 17
+# Queries that are compared with all vectors.
 BLOCK_ROWS = 16384
-PLACE_ROWS = 8192
 BLOCK_QUERIES = 4096
+# Queries that look into buckets: the rows and queries of a tile, and the rows below which a small table is
+# not cut further, nor into more than TILES.
+TILE_ROWS = 1 << 20
+TILE_QUERIES = 1 << 19
+PLACE_ROWS = 4096
+TILES = 6
+# Rows that go into one packed row, of at most so many values.
+PACK_ROWS = 1 << 14
+PACK_VALUES = 1 << 20
+# Buckets of fewer rows than this on average are compared pair by pair.
+FEW_ROWS = 4
+# More than half precision and single precision sums move the product of two unit vectors.
+ROUGH = 6e-4
+# From the third hash of a bucket on, so many rows count as one.
+CROWD = 64
+# So many values tell a batch of queries how far the axes of a hash lag.
+BATCH_LAGS = 1 << 23
+# So many hashes of equal vectors are looked up in every task.
+FEW_AGAIN = 1 << 14
 PAIRS_AT_ONCE = 1 << 15
 TIE = 1e-9
 RECALL = 0.97
 # Scores are rounded down to so many steps from 0 to 1 before the probes they need are looked up.
 STEPS = 50
 WHOLE = 1 << 30
-EVERYWHERE = -1
 # Below every cosine.
 ANY = -2.0
 
 
+@lru_cache
+def hadamard_matrix(size: int) -> np.ndarray:
+    matrix = np.ones((1, 1))
+    while len(matrix) < size:
+        matrix = np.block([[matrix, matrix], [matrix, -matrix]])
+    return matrix
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Rows times the normalised Hadamard matrix; their length is a power of two."""
     n, d = x.shape
     half = 1
     while half < d:
-        pairs = x.reshape(n, d // (2 * half), 2, half)
-        x = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2)
+        size = min(64, d // half)
+        x = hadamard_matrix(size) @ x.reshape(n, d // (half * size), size, half)
+        half *= size
         x = x.reshape(n, d)
-        half *= 2
     return x / np.sqrt(d)
 
 
@@ -81,24 +113,44 @@ def joined_hashes(size: int, rows: int) -> int:
     return hashes
 
 
-def rotations(vectors: np.ndarray, count: int, seed: int):
-    """Pseudo-random rotations of the unit vectors of the rows, padded to a power of two."""
-    n, d = vectors.shape
-    size = padded_size(d)
-    padded = np.zeros((n, size))
-    padded[:, :d] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    signs = np.random.default_rng(seed).choice([-1.0, 1.0], (count, ROUNDS, size))
-    for flips in signs:
+def bucket_hashes(size: int, rows: int) -> int:
+    """How many hashes make a bucket. Rows are compared bucket by bucket, so that a third hash pays only
+    where the buckets of two are crowds."""
+    return min(joined_hashes(size, rows), max(2, joined_hashes(size, rows // CROWD)))
+
+
+def turned_by_rounds(padded: np.ndarray, count: int, seed: int, first: int = 0) -> Iterator[np.ndarray]:
+    signs = np.random.default_rng(seed).choice([-1.0, 1.0], (count, ROUNDS, padded.shape[1]))
+    for flips in signs[first:]:
         turned = padded
         for flip in flips:
             turned = hadamard(turned * flip)
         yield turned
 
 
+@lru_cache(maxsize=8)
+def turning(size: int, count: int, seed: int) -> list[np.ndarray]:
+    """The rotations of short vectors, each as one matrix."""
+    return list(turned_by_rounds(np.eye(size), count, seed))
+
+
+def rotations(vectors: np.ndarray, count: int, seed: int, first: int = 0):
+    """Pseudo-random rotations, from `first` to before `count`, of the unit vectors of the rows, padded to a
+    power of two."""
+    n, d = vectors.shape
+    size = padded_size(d)
+    padded = np.zeros((n, size))
+    padded[:, :d] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    if size > 256:
+        yield from turned_by_rounds(padded, count, seed, first)
+    else:
+        yield from (padded @ matrix for matrix in turning(size, count, seed)[first:])
+
+
 def axes(turned: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The nearest `most` signed axes of every row, nearest first, and how far they lag, squared."""
     both = np.concatenate([turned, -turned], axis=1)
-    order = np.argsort(-both, axis=1, kind="stable")[:, :most]
+    order = both.argmax(axis=1)[:, None] if most == 1 else np.argsort(-both, axis=1, kind="stable")[:, :most]
     sizes = np.take_along_axis(both, order, axis=1)
     return order, (sizes[:, :1] - sizes) ** 2
 
@@ -178,6 +230,17 @@ def by_length(arrays: pa.Array):
         yield at, flat.astype(np.float64).reshape(len(at), length)
 
 
+def in_runs(stops: np.ndarray, tables: int) -> Iterator[np.ndarray]:
+    """Positions of rows that look into like many buckets, a run of bounded size at a time."""
+    order = np.argsort(stops, kind="stable")
+    done = 0
+    while done < len(order):
+        most = int(stops[order[min(done + 255, len(order) - 1)]])
+        few = order[done : done + max(1, min(256, (1 << 20) // (most * tables)))]
+        done += len(few)
+        yield few
+
+
 def bucket_lists(
     vectors: pa.Array, starts: np.ndarray, stops: np.ndarray, tables: int, hashes: dict[int, int], seed: int
 ):
@@ -185,35 +248,52 @@ def bucket_lists(
     rows: list = [None] * len(vectors)
     for at, matrix in by_length(vectors):
         joined = hashes[padded_size(matrix.shape[1])]
-        # Rows that look into like many buckets share a run, of bounded size.
-        order = np.argsort(stops[at], kind="stable")
-        done = 0
-        while done < len(at):
-            most = int(stops[at[order[min(done + 255, len(at) - 1)]]])
-            few = order[done : done + max(1, min(256, (1 << 20) // (most * tables)))]
-            done += len(few)
+        for few in in_runs(stops[at], tables):
             found = buckets(matrix[few], tables, joined, int(stops[at[few]].max()), seed)
             for i, row in zip(at[few].tolist(), found, strict=True):
                 rows[i] = row[:, starts[i] : stops[i]].ravel()
     return rows
 
 
-def by_place(found: np.ndarray, places: int) -> list[tuple[int, np.ndarray]]:
-    """Buckets by the place they are in."""
-    place = found % places
-    order = np.argsort(place, kind="stable")
-    cuts = np.flatnonzero(np.diff(place[order])) + 1
-    return [(int(part[0] % places), part) for part in np.split(found[order], cuts)]
+def radii(vectors: np.ndarray, stops: np.ndarray, tables: int, hashes: int, seed: int) -> np.ndarray:
+    """(rows, tables): how far, squared and summed, the last of the first `stops` buckets lags."""
+    size = padded_size(vectors.shape[1])
+    stops = np.minimum(stops, (2 * size) ** hashes)
+    found = np.empty((len(vectors), tables))
+    for few in in_runs(stops, tables):
+        turned = rotations(vectors[few], tables * hashes, seed)
+        ranks = low_ranks(hashes, int(stops[few].max()), size)
+        last = stops[few] - 1
+        for table in range(tables):
+            lags = np.zeros((len(few), len(ranks)))
+            for rank in ranks.T:
+                lags += axes(next(turned), int(rank.max()) + 1)[1][:, rank]
+            lags.partition(np.unique(last), axis=1)
+            found[few, table] = lags[np.arange(len(few)), last]
+    return found
 
 
 def proper(vector: Column) -> Column:
     """Whether a vector takes part."""
-    big = F.transform(vector, lambda x: F.abs(x.cast("double")))
-    fine = F.forall(big, lambda x: x.isNotNull() & (x < float("inf")) & ~F.isnan(x))
-    return vector.isNotNull() & fine & F.exists(big, lambda x: x > 0)
+    values = vector.cast("array<double>")
+    most, least, infinite = F.array_max(values), F.array_min(values), F.lit(float("inf"))
+    # Not a number is above infinity; where a null is, a value that is not found may be anywhere.
+    fine = (most < infinite) & (least > -infinite) & F.coalesce(~F.array_contains(values, infinite), F.lit(False))
+    return vector.isNotNull() & fine & ((most > 0) | (least < 0))
 
 
 FOUND = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+NEAR = pa.schema([("query", pa.int64()), ("key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+BYTES = pa.binary()
+TYPES = {pa.int32(): "int", pa.int64(): "bigint", pa.float64(): "double", BYTES: "binary"}
+ROWS_PACKED = pa.schema(
+    [("dim", pa.int32()), ("block", pa.int64())]
+    + [(name, BYTES) for name in ("keys", "firsts", "coarse", "scales", "slacks", "codes")]
+)
+QUERIES_PACKED = pa.schema(
+    [("dim", pa.int32()), ("part", pa.int64())]
+    + [(name, BYTES) for name in ("queries", "leasts", "halves", "radii")]
+)
 
 
 def matrix_of(table: pa.Table) -> np.ndarray:
@@ -225,65 +305,288 @@ def found_table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, FOUND, strict=True)], schema=FOUND)
 
 
-def best_of(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
-    """The `keep` nearest ids of a tile for each query, of those in the buckets it looks into."""
-    if not queries.num_rows or not block.num_rows:
-        return FOUND.empty_table()
-    theirs = block.column("bucket").to_numpy()
-    if theirs[0] == EVERYWHERE:
-        return best_of_all(queries, block, keep)
-    order = np.argsort(theirs, kind="stable")
-    block, theirs = block.take(pa.array(order)), theirs[order]
-    lists = queries.column("buckets").combine_chunks()
-    asks_of = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
-    asked = lists.flatten().to_numpy()
-    first, last = np.searchsorted(theirs, asked, "left"), np.searchsorted(theirs, asked, "right")
-    met = last > first
-    if not met.any():
-        return FOUND.empty_table()
-    asks_of, first, last = asks_of[met], first[met], last[met]
-    keys = queries.column("query").to_numpy()
-    q, x = matrix_of(queries), matrix_of(block)
-    q_size, x_size = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
-    # One row for every query's meeting with a vector.
-    counts = last - first
-    asks = np.repeat(asks_of, counts)
-    meets = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
-    # A vector that is met in several tables counts once.
-    _, own, vector = np.unique(block.column("key").to_numpy(), return_index=True, return_inverse=True)
-    once = np.unique(asks * len(own) + vector[meets])
-    asks, meets = once // len(own), own[once % len(own)]
-    scores = np.empty(len(asks))
-    for start in range(0, len(asks), PAIRS_AT_ONCE):
-        a, b = asks[start : start + PAIRS_AT_ONCE], meets[start : start + PAIRS_AT_ONCE]
-        scores[start : start + PAIRS_AT_ONCE] = (x[b] * q[a]).sum(axis=1) / (x_size[b] * q_size[a])
-    near = scores >= queries.column("least").to_numpy()[asks] - TIE
-    asks, meets, scores = asks[near], meets[near], scores[near]
-    if not len(asks):
-        return FOUND.empty_table()
-    ids = block.column("ids").to_pylist()
-    # Of the vectors that a query meets, `keep` and those equal to the last of them can matter.
-    by_query = np.lexsort((-scores, keys[asks]))
-    owner, ranked = keys[asks][by_query], scores[by_query]
-    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    ends = np.append(starts[1:], len(owner))
-    out: list[tuple] = []
-    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-        bound = ranked[min(start + keep, end) - 1]
-        while end - start > keep and ranked[end - 1] < bound:
-            end = start + int(np.searchsorted(-ranked[start:end], -bound, "right"))
-        near = by_query[start:end]
-        found = sorted(
-            {(-s, i) for s, at in zip(scores[near].tolist(), meets[near].tolist(), strict=True) for i in ids[at]}
-        )
-        key = int(owner[start])
-        out.extend((key, vec_id, -s) for s, vec_id in found[:keep])
-    return found_table(out)
+def ddl(kind: pa.Schema) -> str:
+    return ", ".join(f"{field.name} {TYPES[field.type]}" for field in kind)
+
+
+def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of a task by the length of their vectors, many at a time."""
+
+    def cut_up(held: list[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+        table = pa.Table.from_batches(held)
+        dims = table.column("dim").to_numpy()
+        for dim in np.unique(dims).tolist():
+            yield dim, table.take(pa.array(np.flatnonzero(dims == dim)))
+
+    held: list[pa.RecordBatch] = []
+    rows = values = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        values += int(np.asarray(batch.column("dim")).sum())
+        if rows >= PACK_ROWS or values >= PACK_VALUES:
+            yield from cut_up(held)
+            held, rows, values = [], 0, 0
+    if held:
+        yield from cut_up(held)
+
+
+def dealt(dim: int, group: np.ndarray, kind: pa.Schema, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A packed row for every group that rows of these columns belong to."""
+    order = np.argsort(group, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(group[order])) + 1)
+    packed = [[np.ascontiguousarray(column[part]).tobytes() for part in parts] for column in columns]
+    groups = [int(group[part[0]]) for part in parts]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(x, field.type) for x, field in zip([[dim] * len(parts), groups, *packed], kind, strict=True)],
+        schema=kind,
+    )
+
+
+def unpacked(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in table.column(name)])
+
+
+def unit(matrix: np.ndarray) -> np.ndarray:
+    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+
+
+def code_type(size: int, hashes: int) -> np.dtype:
+    """The smallest type that the buckets of a table fit in."""
+    return np.min_scalar_type((2 * size) ** hashes - 1)
+
+
+def row_packer(tables: int, hashes: dict[int, int], blocks: dict[int, int], seed: int):
+    """Packs rows of key, first, dim and vector: a byte a component, how far that is off, and buckets."""
+
+    def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, table in packs(batches):
+            size = padded_size(dim)
+            keys, matrix = table.column("key").to_numpy(), unit(matrix_of(table))
+            codes = np.empty((len(keys), tables), code_type(size, hashes[size]))
+            for at in range(0, len(keys), 2048):
+                found = buckets(matrix[at : at + 2048], tables, hashes[size], 1, seed)[:, :, 0]
+                codes[at : at + 2048] = found % (2 * size) ** hashes[size]
+            scales = np.abs(matrix).max(axis=1).astype(np.float32) / np.float32(127)
+            coarse = np.clip(np.rint(matrix / scales[:, None]), -127, 127).astype(np.int8)
+            slacks = np.linalg.norm(matrix - coarse * scales[:, None].astype(float), axis=1).astype(np.float32)
+            firsts = table.column("first").to_numpy()
+            yield from dealt(dim, keys % blocks[size], ROWS_PACKED, keys, firsts, coarse, scales, slacks, codes)
+
+    return packer
+
+
+def query_packer(tables: int, hashes: dict[int, int], parts: int, seed: int):
+    """Packs rows of query, dim, vector, least and stop: half precision, and how far they look."""
+
+    def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for dim, table in packs(batches):
+            keys, stops = table.column("query").to_numpy(), table.column("stop").to_numpy().astype(np.int64)
+            halves = unit(matrix_of(table)).astype(np.float16)
+            far = radii(halves.astype(float), stops, tables, hashes[padded_size(dim)], seed)
+            leasts = table.column("least").to_numpy().astype(np.float64)
+            yield from dealt(dim, keys % parts, QUERIES_PACKED, keys, leasts, halves, far.astype(np.float32))
+
+    return packer
+
+
+class Table:
+    """The rows of a block in the order of their buckets in one table."""
+
+    def __init__(self, block: Block, table: int):
+        codes = block.codes[:, table]
+        self.order = np.argsort(codes, kind="stable").astype(np.int32)
+        self.codes = codes[self.order].astype(np.int64)
+        self.scales, self.slacks = block.scales[self.order], block.slacks[self.order]
+        place = np.empty_like(self.order)
+        place[self.order] = np.arange(len(place), dtype=np.int32)
+        self.coarse = np.empty((len(place), block.dim), np.int8)
+        done = 0
+        for rows in block.coarse:
+            self.coarse[place[done : done + len(rows)]] = rows
+            done += len(rows)
+        self.base, self.hashes = block.base, block.hashes
+
+
+class Look:
+    """A batch of queries that look into the buckets of a table.
+
+    They note what may score `least`; with `most`, of a crowded bucket not many more than these. `lags` has an
+    array a hash of how far every axis lags, squared, axes by queries."""
+
+    def __init__(
+        self, table: Table, lags: list[np.ndarray], vectors: np.ndarray, least: np.ndarray, most: int | None
+    ):
+        self.table, self.lags, self.vectors, self.most = table, lags, vectors, most
+        self.low = least.astype(np.float32) - np.float32(ROUGH)
+        self.wide = np.concatenate([vectors, -self.low[:, None], np.ones((len(least), 1), np.float32)], axis=1)
+        # Queries, rows and rough scores.
+        self.hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def singly(self, who: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        """Each of these queries meets its own run of rows."""
+        table, counts = self.table, last - first
+        ends = np.cumsum(counts)
+        start = 0
+        while start < len(who):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] - counts[start] + PAIRS_AT_ONCE, "right")))
+            few = counts[start:stop]
+            asks = np.repeat(who[start:stop], few)
+            rows = np.arange(few.sum()) + np.repeat(first[start:stop] - np.cumsum(few) + few, few)
+            scores = np.einsum("ij,ij->i", self.vectors[asks], table.coarse[rows].astype(np.float32))
+            scores *= table.scales[rows]
+            near = np.flatnonzero(scores >= self.low[asks] - table.slacks[rows])
+            self.hits.append((asks[near].astype(np.int32), table.order[rows[near]], scores[near]))
+            start = stop
+
+    def within(self, radius: np.ndarray, level: int, who: np.ndarray, first: int, last: int, prefix: int) -> None:
+        """Every bucket of the rows `first` to before `last`, which share the axes of the hashes before, that
+        lags no farther than `radius`."""
+        table, lag = self.table, self.lags[level]
+        axis = table.codes[first:last] // table.base ** (table.hashes - level - 1) - prefix * table.base
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(axis)) + 1])
+        there, starts, ends = axis[starts], first + starts, first + np.append(starts[1:], len(axis))
+        if level + 1 < table.hashes:
+            for at, start, end in zip(there.tolist(), starts.tolist(), ends.tolist(), strict=True):
+                lagging = lag[at] if len(who) == lag.shape[1] else lag[at, who]
+                go = np.flatnonzero(lagging <= radius)
+                if len(go):
+                    left = radius[go] - lagging[go]
+                    self.within(left, level + 1, who[go], start, end, prefix * table.base + at)
+            return
+        near = (lag[there] if len(there) < table.base else lag).take(who, axis=1) <= radius
+        asks = near.ravel().nonzero()[0]
+        cuts = np.searchsorted(asks, np.arange(len(there) + 1) * len(who))
+        if last - first < FEW_ROWS * len(there):
+            at = np.repeat(np.arange(len(there)), np.diff(cuts))
+            self.singly(who[asks - at * len(who)], starts[at], ends[at])
+            return
+        # How far a score is above what a query wants, if all that the codes are off is in its favour.
+        mine = self.wide[who]
+        theirs = np.empty((last - first, mine.shape[1]), np.float32)
+        np.multiply(table.coarse[first:last], table.scales[first:last, None], out=theirs[:, :-2])
+        theirs[:, -2], theirs[:, -1] = 1, table.slacks[first:last]
+        for i, (one, other, start, end) in enumerate(
+            zip(cuts[:-1].tolist(), cuts[1:].tolist(), (starts - first).tolist(), (ends - first).tolist(), strict=True)
+        ):
+            if one == other:
+                continue
+            # All of these queries meet all rows of the bucket.
+            here = asks[one:other] - i * len(who)
+            above = mine.take(here, axis=0) @ theirs[start:end].T
+            if self.most is not None and end - start > self.most:
+                above[above < np.partition(above, -self.most, axis=1)[:, -self.most, None]] = -1
+            if above.max() >= 0:
+                some = (above.max(axis=1) >= 0).nonzero()[0]
+                at, row = (above[some] >= 0).nonzero()
+                asking, rows = who[here[some[at]]], first + start + row
+                scores = above[some[at], row] + self.low[asking] - table.slacks[rows]
+                self.hits.append((asking.astype(np.int32), table.order[rows], scores))
+
+
+class Block:
+    """The packed rows of a block, and the queries that come to it in batches."""
+
+    def __init__(self, rows: pa.Table, queries: pa.Table, dim: int, tables: int, hashes: int, seed: int):
+        self.dim, self.tables, self.hashes, self.seed, size = dim, tables, hashes, seed, padded_size(dim)
+        self.base = 2 * size
+        self.coarse = [np.frombuffer(x.as_buffer(), np.int8).reshape(-1, dim) for x in rows.column("coarse")]
+        self.scales, self.slacks = unpacked(rows, "scales", np.float32), unpacked(rows, "slacks", np.float32)
+        self.codes = unpacked(rows, "codes", code_type(size, hashes)).reshape(-1, tables)
+        self.keys, self.least = unpacked(queries, "queries", np.int64), unpacked(queries, "leasts", np.float64)
+        self.halves = unpacked(queries, "halves", np.float16).reshape(-1, dim)
+        step = max(256, BATCH_LAGS // self.base)
+        self.batches = [slice(start, start + step) for start in range(0, len(self.keys), step)]
+
+    def lags(self, vectors: np.ndarray, table: int) -> list[np.ndarray]:
+        lags = []
+        first = table * self.hashes
+        if self.base <= 512:
+            padded = np.zeros((self.base // 2, len(vectors)), np.float32)
+            padded[: self.dim] = vectors.T
+            matrices = turning(self.base // 2, self.tables * self.hashes, self.seed)
+            lines = (matrix.T.astype(np.float32) @ padded for matrix in matrices[first:])
+        else:
+            turned = rotations(vectors, self.tables * self.hashes, self.seed, first)
+            lines = (line.T.astype(np.float32, order="C") for line in turned)
+        for turned in lines:
+            most = np.abs(turned).max(axis=0)
+            lags.append(np.concatenate([(most - turned) ** 2, (most + turned) ** 2]))
+            if len(lags) == self.hashes:
+                break
+        return lags
+
+    def look(self, radius: np.ndarray, tables: int, most: int | None, crowds: bool = False) -> list[list]:
+        """What every batch meets in the first tables, as far as (queries, tables) of `radius` says: all that
+        may score the least, or of a query the first `most`, which then raise its least."""
+        hits: list[list] = [[] for _ in self.batches]
+        for number in range(tables):
+            table = Table(self, number)
+            for batch, mine in zip(self.batches, hits, strict=True):
+                vectors = self.halves[batch].astype(np.float32)
+                # What rounding may add to a sum of lags.
+                far = radius[batch, number] + np.float32(1e-5)
+                looking = Look(table, self.lags(vectors, number), vectors, self.least[batch], most if crowds else None)
+                looking.within(far, 0, np.arange(len(far)), 0, len(table.codes), 0)
+                mine += looking.hits
+                if most is not None and mine:
+                    who, rows, scores = self.found(mine, most)
+                    mine[:] = [(who, rows, scores + self.slacks[rows] + ROUGH)]
+                    last = place_in_run(who) == most - 1
+                    whose = batch.start + who[last]
+                    self.least[whose] = np.maximum(self.least[whose], scores[last])
+        return hits
+
+    def found(self, hits: list, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries, rows and the scores these have at least, each pair once; of a query, the first `most`."""
+        if not hits:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        who, rows, scores = (np.concatenate(x) for x in zip(*hits, strict=True))
+        _, once = np.unique(who.astype(np.int64) * len(self.slacks) + rows, return_index=True)
+        who, rows = who[once], rows[once]
+        scores = scores[once] - self.slacks[rows].astype(float) - ROUGH
+        if most is not None:
+            order = np.lexsort((-scores, who))
+            order = order[place_in_run(who[order]) < most]
+            who, rows, scores = who[order], rows[order], scores[order]
+        return who, rows, scores
+
+
+def place_in_run(values: np.ndarray) -> np.ndarray:
+    """How many of the values before are of the same run of equal ones."""
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
+    return np.arange(len(values)) - np.repeat(starts, np.diff(np.append(starts, len(values))))
+
+
+def near_in_tile(
+    queries: pa.Table, rows: pa.Table, tables: int, hashes: dict[int, int], seed: int, most: int | None
+) -> pa.Table:
+    """What queries meet in a block, each with a score that it is not below: of every query the first
+    `most`, or without that all that may score its least."""
+    if not queries.num_rows or not rows.num_rows:
+        return NEAR.empty_table()
+    dim = rows.column("dim")[0].as_py()
+    block = Block(rows, queries, dim, tables, hashes[padded_size(dim)], seed)
+    radius = unpacked(queries, "radii", np.float32).reshape(-1, tables)
+    block.least = block.least.copy()
+    if most is not None and (block.least == ANY).any():
+        # Its own buckets tell a query which scores are worth noting.
+        block.look(np.zeros_like(radius), min(2, tables), most, crowds=True)
+    keys, firsts = unpacked(rows, "keys", np.int64), unpacked(rows, "firsts", np.int64)
+    out = []
+    for batch, hits in zip(block.batches, block.look(radius, tables, most), strict=True):
+        who, at, scores = block.found(hits, most)
+        out.append((block.keys[batch.start + who], keys[at], firsts[at], scores))
+    return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], schema=NEAR)
 
 
 def best_of_all(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
     """The `keep` nearest ids of a block for each query."""
     out: list[tuple] = []
+    if not queries.num_rows or not block.num_rows:
+        return FOUND.empty_table()
     q, x = matrix_of(queries), matrix_of(block)
     keys, ids = queries.column("query").to_pylist(), block.column("ids").to_pylist()
     q_size, x_size = np.sqrt((q * q).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
@@ -303,45 +606,50 @@ def best_of_all(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
     return found_table(out)
 
 
-def meet(queries: DataFrame, index: DataFrame, sizes: DataFrame, keep: int) -> DataFrame:
-    """Best ids for queries in their buckets, tile by tile.
-
-    `queries` has dim, place, query, vector, buckets and the least score that matters; `index` dim,
-    place, bucket, ids, key and vector, and `sizes` its rows by dim and place."""
-    of = ["dim", "place"]
-    many = queries.select("query").distinct().count() > BLOCK_QUERIES
-    asked = queries.groupBy(*of).agg(F.count("*").alias("asked")) if many else None
-    parts = F.ceil(F.col("asked") / BLOCK_QUERIES) if many else F.lit(1).cast("bigint")
+def meet_all(queries: DataFrame, index: DataFrame, keep: int) -> DataFrame:
+    """Best ids for queries among all vectors of their length, block by block."""
+    sizes = index.groupBy("dim").agg(F.count("*").alias("rows"))
+    asked = queries.groupBy("dim").agg(F.count("*").alias("asked"))
     cuts = cut(
-        (sizes.join(asked, of) if many else sizes).select(
-            *of, F.ceil(F.col("rows") / BLOCK_ROWS).alias("blocks"), parts.alias("parts")
+        sizes.join(asked, "dim").select(
+            "dim",
+            F.ceil(F.col("rows") / BLOCK_ROWS).alias("blocks"),
+            F.ceil(F.col("asked") / BLOCK_QUERIES).alias("parts"),
         )
     )
 
-    def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        """Tiles of a row: its own block or part of its place, and all of the other side's."""
+    def dealt_out(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        """Tiles of a row: its own block or part, and all of the other side's."""
         numbers = F.sequence(F.lit(0).cast("bigint"), F.col(other) - F.lit(1))
         return (
-            require(df, cuts, of, split_hot=True)
+            require(df, cuts, ["dim"], split_hot=True)
             .withColumn(f"{own}_at", F.pmod(F.xxhash64(key), F.col(own)))
             .withColumn(f"{other}_at", F.explode(numbers))
         )
 
-    tile = [*of, "blocks_at", "parts_at"]
+    tile = ["dim", "blocks_at", "parts_at"]
 
     def grouped(df: DataFrame, *columns: str):
         # Aliases tell the columns of the two sides, which share a source, apart.
         return df.select(*(F.col(c).alias(c) for c in (*tile, *columns))).groupBy(*tile)
 
     return (
-        grouped(dealt(queries, "query", "parts", "blocks"), "query", "least", "vector", "buckets")
-        .cogroup(grouped(dealt(index, "key", "blocks", "parts"), "ids", "key", "vector", "bucket"))
+        grouped(dealt_out(queries, "query", "parts", "blocks"), "query", "vector")
+        .cogroup(grouped(dealt_out(index, "key", "blocks", "parts"), "ids", "vector"))
         .applyInArrow(
-            lambda q, x: best_of(q, x, keep), "query bigint, vec_id bigint, score double"
+            lambda q, x: best_of_all(q, x, keep), "query bigint, vec_id bigint, score double"
         )
     )
 
 
+@F.arrow_udf(DoubleType())
+def cosine(first: pa.Array, second: pa.Array) -> pa.Array:
+    scores = np.empty(len(first))
+    for (at, a), (_, b) in zip(by_length(first), by_length(second), strict=True):
+        scores[at] = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+    return pa.array(scores)
+
+
 def nearest(found: DataFrame, by: str, k: int) -> DataFrame:
     """The first k of every query, ranked; an id met in several buckets counts once."""
     once = found.groupBy(by, "vec_id").agg(F.max("score").alias("score"))
@@ -355,25 +663,43 @@ def prepared(vectors: DataFrame, is_query: Column, k: int, vec_id: str, vector:
         F.col(vec_id).cast("bigint").alias("vec_id"),
         F.col(vector).alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
+        F.xxhash64(vector).alias("_hash"),
     )
+    # Only vectors whose hash comes again can be equal to others; where these are few, the rest are not
+    # shuffled.
+    again = stored(rows.groupBy("_hash").count().where("count > 1").select("_hash"))
+    single, several = rows.where(F.lit(False)), rows
+    if again.count() <= FEW_AGAIN:
+        single, several = rows.join(again, "_hash", "left_anti"), rows.join(again, "_hash", "left_semi")
+    alone = single.select("vector", F.array("vec_id").alias("ids"), "asks", F.lit(True).alias("alone"))
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
-    distinct = rows.groupBy("vector", "vec_id").agg(F.max("asks").alias("asks"))
-    distinct = cut(distinct)
-    index = cut(
+    distinct = cut(several.groupBy("vector", "vec_id").agg(F.max("asks").alias("asks")))
+    asked = distinct.where("asks").select("vector", F.col("vec_id").alias("query_id"))
+    copies = cut(
         distinct.select("vector", "vec_id")
         .withColumn("_place", place)
         .where(F.col("_place") <= k + 1)
         .groupBy("vector")
         .agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+        .join(asked.select("vector").distinct().withColumn("asks", F.lit(True)), "vector", "left")
+        .select("vector", "ids", F.coalesce("asks", F.lit(False)).alias("asks"), F.lit(False).alias("alone"))
+    )
+    # This is read again from the input where it is needed.
+    index = (
+        alone.unionByName(copies)
         .withColumn("key", F.xxhash64("vector", F.col("ids")[0]))
         .withColumn("dim", F.size("vector"))
     )
-    asked = distinct.where("asks").select("vector", F.col("vec_id").alias("query_id"))
-    queries = asked.select("vector").distinct().join(index, "vector").select(
-        F.col("key").alias("query"), "vector", "dim"
-    )
+    asking = cut(index.where("asks"))
+    queries = asking.select(F.col("key").alias("query"), "vector", "dim")
     named = cut(
-        asked.join(index.select("vector", "key", "dim"), "vector").select("query_id", "key", "dim")
+        asking.where("alone")
+        .select(F.col("ids")[0].alias("query_id"), "key", "dim")
+        .unionByName(
+            asked.join(asking.where("not alone").select("vector", "key", "dim"), "vector").select(
+                "query_id", "key", "dim"
+            )
+        )
     )
     return index, queries, named
 
@@ -404,38 +730,48 @@ class Index:
         # Of padded lengths there are few.
         counts = index.groupBy(padded_bits().alias("bits")).count().collect()
         self.rows = {row["bits"]: row["count"] for row in counts}
-        self.hashes = {bits: joined_hashes(1 << bits, rows) for bits, rows in self.rows.items()}
+        self.hashes = {bits: bucket_hashes(1 << bits, rows) for bits, rows in self.rows.items()}
         self.first = {bits: probes * PROBES_GROW ** (n - 1) for bits, n in self.hashes.items()}
-        self.places = max(1, -(-tables * sum(self.rows.values()) // PLACE_ROWS))
-        hashes = {1 << bits: n for bits, n in self.hashes.items()}
-
-        @F.arrow_udf("array<bigint>")
-        def own(vectors: pa.Array) -> pa.Array:
-            starts = np.zeros(len(vectors), int)
-            found = bucket_lists(vectors, starts, starts + 1, tables, hashes, seed)
-            return pa.array(found, pa.list_(pa.int64()))
-
-        @F.arrow_udf("array<struct<place: bigint, buckets: array<bigint>>>")
-        def probed(vectors: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
-            found = bucket_lists(vectors, np.asarray(starts), np.asarray(stops), tables, hashes, seed)
-            lists = [by_place(row, places) for row in found]
-            kind = pa.struct([("place", pa.int64()), ("buckets", pa.list_(pa.int64()))])
-            rows = [[{"place": place, "buckets": few} for place, few in line] for line in lists]
-            return pa.array(rows, pa.list_(kind))
-
-        places, self.probed = self.places, probed
-        coded = cut(index.withColumn("codes", own("vector")))
-        self.hashed = coded.withColumn("bucket", F.explode("codes")).withColumn(
-            "place", F.pmod("bucket", F.lit(self.places).cast("bigint"))
+        self.blocks = {
+            bits: max(-(-rows // TILE_ROWS), min(TILES, -(-rows // PLACE_ROWS))) for bits, rows in self.rows.items()
+        }
+        self.by_size = {1 << bits: n for bits, n in self.hashes.items()}
+        packer = row_packer(tables, self.by_size, {1 << bits: n for bits, n in self.blocks.items()}, seed)
+        rows = index.select("key", F.col("ids")[0].alias("first"), "dim", "vector")
+        self.packed = cut(rows.mapInArrow(packer, ddl(ROWS_PACKED)))
+
+    def met(self, asking: DataFrame, keep: int, most: bool) -> DataFrame:
+        """(query, key, vec_id, score) of what queries meet in the first `stop` buckets of every table, a
+        score that it is not below, and the smallest id of the vector: all that may score `least`, or
+        with `most` only some of the first `keep`, which for vectors in many blocks are few a block."""
+        parts = max(1, -(-asking.count() // TILE_QUERIES))
+        tables, hashes, seed = self.tables, self.by_size, self.seed
+        few = min(keep, 2 + 2 * keep // max(self.blocks.values(), default=1)) if most else None
+        packed = asking.select("query", "dim", "vector", "least", "stop").mapInArrow(
+            query_packer(tables, hashes, parts, seed), ddl(QUERIES_PACKED)
         )
-        self.sizes = cut(self.hashed.groupBy("dim", "place").agg(F.count("*").alias("rows")))
-
-    def probes(self, df: DataFrame, start: Column, stop: Column) -> DataFrame:
-        """A row for every place that the probes from `start` to before `stop` of a query lie in."""
-        return df.withColumn("found", F.explode(self.probed("vector", start, stop))).select(
-            "query", "dim", "vector", "least", "found.*"
+        zero = F.lit(0).cast("bigint")
+        blocks = by_bits({bits: F.lit(n).cast("bigint") for bits, n in self.blocks.items()})
+        asks = packed.withColumn("block", F.explode(F.sequence(zero, blocks - 1)))
+        rows = self.packed.withColumn("part", F.explode(F.sequence(zero, F.lit(parts - 1).cast("bigint"))))
+        tile = ["dim", "block", "part"]
+        return (
+            asks.groupBy(*tile)
+            .cogroup(rows.groupBy(*tile))
+            .applyInArrow(lambda q, x: near_in_tile(q, x, tables, hashes, seed, few), ddl(NEAR))
         )
 
+    def scored(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:
+        """(query, vec_id, score) with the exact score, for every id of the vectors met."""
+        asked = queries.select("query", F.col("vector").alias("asked"))
+        both = pairs.select("query", "key").join(asked, "query").join(self.index.select("key", "ids", "vector"), "key")
+        exact = both.select("query", "ids", cosine("asked", "vector").alias("score"))
+        return exact.select("query", F.explode("ids").alias("vec_id"), "score")
+
+    def few_probes(self) -> Column:
+        """Probes a table that give a first score."""
+        return by_bits({bits: F.lit(-(-n // 4)) for bits, n in self.first.items()})
+
     def first_probes(self) -> Column:
         return by_bits({bits: F.lit(n) for bits, n in self.first.items()})
 
@@ -455,10 +791,17 @@ class Index:
 
     def compared(self, queries: DataFrame, start: Column, stop: Column) -> int:
         """How many comparisons the probes of queries cost."""
-        sizes = self.hashed.groupBy("dim", "bucket").agg(F.count("*").alias("rows"))
-        probes = self.probes(queries, start, stop).withColumn("bucket", F.explode("buckets"))
-        met = probes.join(sizes, ["dim", "bucket"])
-        return met.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        tables, hashes, seed = self.tables, self.by_size, self.seed
+
+        @F.arrow_udf("array<bigint>")
+        def looked(vectors: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
+            found = bucket_lists(vectors, np.asarray(starts), np.asarray(stops), tables, hashes, seed)
+            return pa.array(found, pa.list_(pa.int64()))
+
+        own = self.index.select("dim", F.explode(looked("vector", F.lit(0), F.lit(1))).alias("bucket"))
+        sizes = own.groupBy("dim", "bucket").agg(F.count("*").alias("rows"))
+        probes = queries.select("dim", F.explode(looked("vector", start, stop)).alias("bucket"))
+        return probes.join(sizes, ["dim", "bucket"]).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
 def from_buckets(
@@ -467,47 +810,60 @@ def from_buckets(
     """Answers from the buckets alone, the ids of the queries that those don't suffice for, and the
     probes a table that every query has looked into."""
 
-    def look(asking: DataFrame, start: Column, stop: Column) -> DataFrame:
-        return cut(meet(hashed.probes(asking, start, stop), hashed.hashed, hashed.sizes, k + 1))
 
-    looked = queries.withColumns({"stop": hashed.first_probes(), "least": F.lit(ANY)})
-    found, grown = look(looked, F.lit(0), F.col("stop")), 1
+    def best(found: DataFrame) -> DataFrame:
+        return cut(nearest(found, "query", k + 1).select("query", "vec_id", "score"))
+
+    def further(known: DataFrame, stops: DataFrame) -> DataFrame:
+        after = stops.select(F.col("query").alias("key"), "stop")
+        return known.join(after, "key", "left").select(*named.columns, F.coalesce("stop", "done").alias("done"))
+
+    buckets_of = by_bits(
+        {
+            bits: F.lit(min((2 << bits) ** n, max(hashed.rows[bits], 2 << bits)))
+            for bits, n in hashed.hashes.items()
+        }
+    )
+    known = named.withColumn("done", hashed.few_probes())
+    # Its own copies a query knows already.
+    found = hashed.index.where("asks and not alone").select(
+        F.col("key").alias("query"), F.explode("ids").alias("vec_id"), F.lit(1 - ROUGH).alias("score")
+    )
+    asking = queries.withColumns({"stop": hashed.few_probes(), "least": F.lit(ANY)})
     while True:
-        first = cut(answers(found, named, k))
-        done = hashed.first_probes() * grown
-        judged = cut(hashed.needs(named, first, k).withColumn("done", done))
+        more = hashed.met(asking, k + 1, most=True).select("query", "vec_id", "score")
+        found = best(found.unionByName(more))
+        judged = cut(hashed.needs(known, answers(found, named, k), k))
         # A first score from few buckets may be low: those that seem to need all look further first.
-        buckets_of = by_bits(
-            {
-                bits: F.lit(min((2 << bits) ** n, max(hashed.rows[bits], 2 << bits)))
-                for bits, n in hashed.hashes.items()
-            }
-        )
         wide = F.col("done") * 4
-        further = F.when(
-            (F.col("got") >= k) & (F.col("need") > wide) & (wide * hashed.tables < buckets_of), wide
-        ).otherwise(F.col("need"))
-        wanted = judged.where(F.col("need") > F.col("done")).withColumn("stop", further)
-        more = cut(
-            wanted.where(F.col("stop") < WHOLE)
-            .groupBy("key")
-            .agg(
-                F.max("stop").alias("stop"),
-                F.max("done").alias("start"),
-                F.min(F.coalesce("least", F.lit(ANY))).alias("least"),
-            )
+        low = (F.col("got") >= k) & (F.col("need") > wide * 4) & (wide * hashed.tables < buckets_of)
+        wider = cut(
+            judged.where(low)
+            .groupBy(F.col("key").alias("query"))
+            .agg(F.max(wide).alias("stop"), F.min("least").alias("least"))
         )
-        if more.isEmpty():
-            return first, wanted.select("query_id").distinct(), looked
-        asking = queries.join(more.withColumnRenamed("key", "query"), "query")
-        found = found.unionByName(look(asking, F.col("start"), F.col("stop")))
-        looked = cut(
-            looked.withColumnRenamed("stop", "before")
-            .join(more.select(F.col("key").alias("query"), "stop"), "query", "left")
-            .withColumn("stop", F.coalesce("stop", "before"))
-            .drop("before")
+        if wider.isEmpty():
+            break
+        asking, known = queries.join(wider, "query"), further(known, wider)
+    most = F.greatest("done", hashed.first_probes())
+    stop = F.when(F.col("need") < WHOLE, F.greatest(F.col("need"), most)).otherwise(most)
+    wanted, exact = judged.where(F.col("got") >= k).withColumn("stop", stop), None
+    while True:
+        stops = cut(
+            wanted.groupBy(F.col("key").alias("query")).agg(F.max("stop").alias("stop"), F.min("least").alias("least"))
         )
-        grown *= 4
+        if exact is not None and stops.isEmpty():
+            break
+        known = further(known, stops)
+        scored = hashed.scored(cut(hashed.met(queries.join(stops, "query"), k + 1, most=False)), queries)
+        exact = best(scored if exact is None else exact.unionByName(scored))
+        first = cut(answers(exact, named, k))
+        judged = cut(hashed.needs(known, first, k))
+        # Exact scores are above those that a query was known to reach, so that it may need fewer buckets.
+        wanted = judged.where((F.col("need") > F.col("done")) & (F.col("need") < WHOLE)).withColumn("stop", F.col("need"))
+    short = judged.where(F.col("need") > F.col("done")).select("query_id").distinct()
+    looked = queries.join(known.groupBy(F.col("key").alias("query")).agg(F.max("done").alias("stop")), "query")
+    return first, short, looked
 
 
 def search(
@@ -525,13 +881,12 @@ def search(
     index, queries, named = prepared(vectors, is_query, k, vec_id, vector)
     hashed = Index(index, tables, probes, seed, recall)
     first, short, _ = from_buckets(hashed, queries, named, k)
-    again = queries.join(
-        named.join(short, "query_id").select(F.col("key").alias("query")).distinct(), "query", "left_semi"
-    )
-    everywhere, zero = F.lit(EVERYWHERE).cast("bigint"), F.lit(0).cast("bigint")
-    asking = again.withColumns({"buckets": F.array(everywhere), "place": zero, "least": F.lit(ANY)})
-    asked = index.withColumns({"bucket": everywhere, "place": zero})
-    sizes = asked.groupBy("dim", "place").agg(F.count("*").alias("rows"))
-    rest = answers(meet(asking, asked, sizes, k + 1), named, k).join(short, "query_id", "left_semi")
-    whole = first.join(short, "query_id", "left_anti").unionByName(rest)
+    if short.isEmpty():
+        whole = first
+    else:
+        again = queries.join(
+            named.join(short, "query_id").select(F.col("key").alias("query")).distinct(), "query", "left_semi"
+        )
+        rest = answers(meet_all(again, index, k + 1), named, k).join(short, "query_id", "left_semi")
+        whole = first.join(short, "query_id", "left_anti").unionByName(rest)
     return whole.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
