@@ -53,7 +53,7 @@ BLOCK_ROWS = 16384
 BLOCK_QUERIES = 4096
 # Queries that look into buckets: the rows and queries of a tile, and the rows below which a small table is
 # not cut further, nor into more than TILES.
-TILE_ROWS = 1 << 20
+TILE_ROWS = 3 << 18
 TILE_QUERIES = 1 << 19
 PLACE_ROWS = 4096
 TILES = 6
@@ -62,12 +62,18 @@ PACK_ROWS = 1 << 14
 PACK_VALUES = 1 << 20
 # Buckets of fewer rows than this on average are compared pair by pair.
 FEW_ROWS = 4
-# More than half precision and single precision sums move the product of two unit vectors.
-ROUGH = 6e-4
+# So many products at once, and so many finds until the best of them are sorted out.
+PRODUCTS = 1 << 20
+CROWDED = 32
+FINDS = 1 << 19
+# More than single precision moves the product of two unit vectors.
+ROUGH = 1e-4
+# Steps of the second byte in one of the first, which is off by half a step at most.
+FINER = 254
 # From the third hash of a bucket on, so many rows count as one.
 CROWD = 64
 # So many values tell a batch of queries how far the axes of a hash lag.
-BATCH_LAGS = 1 << 23
+BATCH_LAGS = 1 << 22
 # So many hashes of equal vectors are looked up in every task.
 FEW_AGAIN = 1 << 14
 PAIRS_AT_ONCE = 1 << 15
@@ -288,11 +294,11 @@ BYTES = pa.binary()
 TYPES = {pa.int32(): "int", pa.int64(): "bigint", pa.float64(): "double", BYTES: "binary"}
 ROWS_PACKED = pa.schema(
     [("dim", pa.int32()), ("block", pa.int64())]
-    + [(name, BYTES) for name in ("keys", "firsts", "coarse", "scales", "slacks", "codes")]
+    + [(name, BYTES) for name in ("keys", "firsts", "coarse", "scales", "slacks", "codes", "fine", "rests")]
 )
 QUERIES_PACKED = pa.schema(
     [("dim", pa.int32()), ("part", pa.int64())]
-    + [(name, BYTES) for name in ("queries", "leasts", "halves", "radii")]
+    + [(name, BYTES) for name in ("queries", "leasts", "vectors", "radii")]
 )
 
 
@@ -359,7 +365,8 @@ def code_type(size: int, hashes: int) -> np.dtype:
 
 
 def row_packer(tables: int, hashes: dict[int, int], blocks: dict[int, int], seed: int):
-    """Packs rows of key, first, dim and vector: a byte a component, how far that is off, and buckets."""
+    """Packs rows of key, first, dim and vector: a byte a component, how far that is off, buckets, and another
+    byte a component for what is left, with how far both are off."""
 
     def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for dim, table in packs(batches):
@@ -371,23 +378,27 @@ def row_packer(tables: int, hashes: dict[int, int], blocks: dict[int, int], seed
                 codes[at : at + 2048] = found % (2 * size) ** hashes[size]
             scales = np.abs(matrix).max(axis=1).astype(np.float32) / np.float32(127)
             coarse = np.clip(np.rint(matrix / scales[:, None]), -127, 127).astype(np.int8)
-            slacks = np.linalg.norm(matrix - coarse * scales[:, None].astype(float), axis=1).astype(np.float32)
+            left = matrix - coarse * scales[:, None].astype(float)
+            steps = scales[:, None].astype(float) / FINER
+            fine = np.clip(np.rint(left / steps), -127, 127).astype(np.int8)
+            slacks, rests = (np.linalg.norm(x, axis=1).astype(np.float32) for x in (left, left - fine * steps))
             firsts = table.column("first").to_numpy()
-            yield from dealt(dim, keys % blocks[size], ROWS_PACKED, keys, firsts, coarse, scales, slacks, codes)
+            columns = (keys, firsts, coarse, scales, slacks, codes, fine, rests)
+            yield from dealt(dim, keys % blocks[size], ROWS_PACKED, *columns)
 
     return packer
 
 
 def query_packer(tables: int, hashes: dict[int, int], parts: int, seed: int):
-    """Packs rows of query, dim, vector, least and stop: half precision, and how far they look."""
+    """Packs rows of query, dim, vector, least and stop: single precision, and how far they look."""
 
     def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for dim, table in packs(batches):
             keys, stops = table.column("query").to_numpy(), table.column("stop").to_numpy().astype(np.int64)
-            halves = unit(matrix_of(table)).astype(np.float16)
-            far = radii(halves.astype(float), stops, tables, hashes[padded_size(dim)], seed)
+            vectors = unit(matrix_of(table)).astype(np.float32)
+            far = radii(vectors, stops, tables, hashes[padded_size(dim)], seed)
             leasts = table.column("least").to_numpy().astype(np.float64)
-            yield from dealt(dim, keys % parts, QUERIES_PACKED, keys, leasts, halves, far.astype(np.float32))
+            yield from dealt(dim, keys % parts, QUERIES_PACKED, keys, leasts, vectors, far.astype(np.float32))
 
     return packer
 
@@ -413,18 +424,30 @@ class Table:
 class Look:
     """A batch of queries that look into the buckets of a table.
 
-    They note what may score `least`; with `most`, of a crowded bucket not many more than these. `lags` has an
-    array a hash of how far every axis lags, squared, axes by queries."""
+    They note what may score `least`; with `most`, only the best of that. `lags` has an array a hash of how far
+    every axis lags, squared, axes by queries."""
 
-    def __init__(
-        self, table: Table, lags: list[np.ndarray], vectors: np.ndarray, least: np.ndarray, most: int | None
-    ):
-        self.table, self.lags, self.vectors, self.most = table, lags, vectors, most
+    def __init__(self, block: Block, table: Table, lags: list[np.ndarray], batch: slice, most: int | None):
+        self.block, self.table, self.lags, self.batch, self.most = block, table, lags, batch, most
+        self.vectors, least = block.vectors[batch], block.least[batch]
         self.low = least.astype(np.float32) - np.float32(ROUGH)
-        self.wide = np.concatenate([vectors, -self.low[:, None], np.ones((len(least), 1), np.float32)], axis=1)
+        self.noted, self.full = 0, FINDS
+        self.wide = np.concatenate([self.vectors, -self.low[:, None], np.ones((len(least), 1), np.float32)], axis=1)
         # Queries, rows and rough scores.
         self.hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
+    def note(self, who: np.ndarray, rows: np.ndarray, scores: np.ndarray) -> None:
+        if not len(who):
+            return
+        self.hits.append((who.astype(np.int32), self.table.order[rows], scores))
+        self.noted += len(who)
+        if self.noted > self.full:
+            self.hits = self.block.best(self.hits, self.batch, self.most)
+            self.noted = sum(len(x[0]) for x in self.hits)
+            self.full = self.noted + FINDS
+            self.low = self.block.least[self.batch].astype(np.float32) - np.float32(ROUGH)
+            self.wide[:, -2] = -self.low
+
     def singly(self, who: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
         """Each of these queries meets its own run of rows."""
         table, counts = self.table, last - first
@@ -438,7 +461,7 @@ class Look:
             scores = np.einsum("ij,ij->i", self.vectors[asks], table.coarse[rows].astype(np.float32))
             scores *= table.scales[rows]
             near = np.flatnonzero(scores >= self.low[asks] - table.slacks[rows])
-            self.hits.append((asks[near].astype(np.int32), table.order[rows[near]], scores[near]))
+            self.note(asks[near], rows[near], scores[near])
             start = stop
 
     def within(self, radius: np.ndarray, level: int, who: np.ndarray, first: int, last: int, prefix: int) -> None:
@@ -475,83 +498,137 @@ class Look:
                 continue
             # All of these queries meet all rows of the bucket.
             here = asks[one:other] - i * len(who)
-            above = mine.take(here, axis=0) @ theirs[start:end].T
-            if self.most is not None and end - start > self.most:
+            for at in range(0, len(here), 1 << 14):
+                few = here[at : at + (1 << 14)]
+                some = max(1, PRODUCTS // len(few))
+                for row in range(start, end, some):
+                    self.meet(who, few, mine, theirs, first, row, min(row + some, end))
+
+    def meet(
+        self, who: np.ndarray, here: np.ndarray, mine: np.ndarray, theirs: np.ndarray, first: int, start: int, end: int
+    ) -> None:
+        asked = mine.take(here, axis=0)
+        above = asked @ theirs[start:end].T
+        if above.max() < 0:
+            return
+        best = above.max(axis=1)
+        some = (best >= 0).nonzero()[0]
+        if len(some) * 2 > len(here) and end - start > CROWDED:
+            # A crowd that the codes do not tell apart.
+            if self.most is not None:
                 above[above < np.partition(above, -self.most, axis=1)[:, -self.most, None]] = -1
-            if above.max() >= 0:
-                some = (above.max(axis=1) >= 0).nonzero()[0]
-                at, row = (above[some] >= 0).nonzero()
-                asking, rows = who[here[some[at]]], first + start + row
-                scores = above[some[at], row] + self.low[asking] - table.slacks[rows]
-                self.hits.append((asking.astype(np.int32), table.order[rows], scores))
+            else:
+                above += self.finer(who[here], asked, theirs, first, start, end)
+        at, row = (above[some] >= 0).nonzero()
+        asking, rows = who[here[some[at]]], first + start + row
+        slacks = self.table.slacks[rows]
+        self.note(asking, rows, above[some[at], row] - asked[some[at], -2] - slacks)
+
+    def finer(self, who: np.ndarray, asked: np.ndarray, theirs: np.ndarray, first: int, start: int, end: int):
+        """What the second bytes and what these queries know by now add to how far scores are above."""
+        block, table = self.block, self.table
+        rows = table.order[first + start : first + end]
+        fine = block.fine[rows] * (table.scales[first + start : first + end, None] / np.float32(FINER))
+        added = asked[:, :-2] @ fine.T
+        added += block.rests[rows] - theirs[start:end, -1]
+        added -= (self.low[who] + asked[:, -2])[:, None]
+        return added
 
 
 class Block:
     """The packed rows of a block, and the queries that come to it in batches."""
 
-    def __init__(self, rows: pa.Table, queries: pa.Table, dim: int, tables: int, hashes: int, seed: int):
+    def __init__(
+        self, rows: pa.Table, queries: pa.Table, dim: int, tables: int, hashes: int, seed: int, keep: int
+    ):
         self.dim, self.tables, self.hashes, self.seed, size = dim, tables, hashes, seed, padded_size(dim)
-        self.base = 2 * size
+        self.base, self.keep = 2 * size, keep
+        if "fine" in rows.column_names:
+            self.fine = unpacked(rows, "fine", np.int8).reshape(-1, dim)
+            self.rests = unpacked(rows, "rests", np.float32)
         self.coarse = [np.frombuffer(x.as_buffer(), np.int8).reshape(-1, dim) for x in rows.column("coarse")]
+        self.starts = np.cumsum([0, *map(len, self.coarse)])
         self.scales, self.slacks = unpacked(rows, "scales", np.float32), unpacked(rows, "slacks", np.float32)
         self.codes = unpacked(rows, "codes", code_type(size, hashes)).reshape(-1, tables)
-        self.keys, self.least = unpacked(queries, "queries", np.int64), unpacked(queries, "leasts", np.float64)
-        self.halves = unpacked(queries, "halves", np.float16).reshape(-1, dim)
+        self.firsts = unpacked(rows, "firsts", np.int64)
+        self.keys, self.least = unpacked(queries, "queries", np.int64), unpacked(queries, "leasts", np.float64).copy()
+        self.vectors = unpacked(queries, "vectors", np.float32).reshape(-1, dim)
         step = max(256, BATCH_LAGS // self.base)
         self.batches = [slice(start, start + step) for start in range(0, len(self.keys), step)]
 
     def lags(self, vectors: np.ndarray, table: int) -> list[np.ndarray]:
-        lags = []
-        first = table * self.hashes
+        first, lags = table * self.hashes, []
         if self.base <= 512:
             padded = np.zeros((self.base // 2, len(vectors)), np.float32)
             padded[: self.dim] = vectors.T
             matrices = turning(self.base // 2, self.tables * self.hashes, self.seed)
-            lines = (matrix.T.astype(np.float32) @ padded for matrix in matrices[first:])
+            lines = (matrix.T.astype(np.float32) @ padded for matrix in matrices[first : first + self.hashes])
         else:
-            turned = rotations(vectors, self.tables * self.hashes, self.seed, first)
+            turned = rotations(vectors, first + self.hashes, self.seed, first)
             lines = (line.T.astype(np.float32, order="C") for line in turned)
-        for turned in lines:
-            most = np.abs(turned).max(axis=0)
-            lags.append(np.concatenate([(most - turned) ** 2, (most + turned) ** 2]))
-            if len(lags) == self.hashes:
-                break
+        for line in lines:
+            most = np.abs(line).max(axis=0)
+            lags.append(np.concatenate([(most - line) ** 2, (most + line) ** 2]))
         return lags
 
-    def look(self, radius: np.ndarray, tables: int, most: int | None, crowds: bool = False) -> list[list]:
+    def look(self, radius: np.ndarray, tables: int, most: int | None) -> list[list]:
         """What every batch meets in the first tables, as far as (queries, tables) of `radius` says: all that
-        may score the least, or of a query the first `most`, which then raise its least."""
+        may be among the best that score the least, or of a query the first `most`; these raise its least."""
         hits: list[list] = [[] for _ in self.batches]
         for number in range(tables):
             table = Table(self, number)
             for batch, mine in zip(self.batches, hits, strict=True):
-                vectors = self.halves[batch].astype(np.float32)
+                looking = Look(self, table, self.lags(self.vectors[batch], number), batch, most)
                 # What rounding may add to a sum of lags.
                 far = radius[batch, number] + np.float32(1e-5)
-                looking = Look(table, self.lags(vectors, number), vectors, self.least[batch], most if crowds else None)
                 looking.within(far, 0, np.arange(len(far)), 0, len(table.codes), 0)
                 mine += looking.hits
-                if most is not None and mine:
-                    who, rows, scores = self.found(mine, most)
-                    mine[:] = [(who, rows, scores + self.slacks[rows] + ROUGH)]
-                    last = place_in_run(who) == most - 1
-                    whose = batch.start + who[last]
-                    self.least[whose] = np.maximum(self.least[whose], scores[last])
+                if most is not None or sum(len(x[0]) for x in mine) > FINDS:
+                    mine[:] = self.best(mine, batch, most)
         return hits
 
-    def found(self, hits: list, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Queries, rows and the scores these have at least, each pair once; of a query, the first `most`."""
+    def finer(self, vectors: np.ndarray, who: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Scores by both bytes of a component."""
+        scores = np.empty(len(who))
+        chunks = np.searchsorted(self.starts, rows, "right") - 1
+        order = np.argsort(chunks, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(chunks[order])) + 1):
+            chunk = int(chunks[part[0]])
+            for at in range(0, len(part), PAIRS_AT_ONCE):
+                few = part[at : at + PAIRS_AT_ONCE]
+                theirs = self.coarse[chunk][rows[few] - self.starts[chunk]] + self.fine[rows[few]] * np.float32(1 / FINER)
+                scores[few] = np.einsum("ij,ij->i", vectors[who[few]], theirs) * self.scales[rows[few]]
+        return scores
+
+    def best(self, hits: list, batch: slice, most: int | None) -> list:
+        """Of hits those that matter, each pair once, which raise the least of their queries."""
         if not hits:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+            return []
         who, rows, scores = (np.concatenate(x) for x in zip(*hits, strict=True))
         _, once = np.unique(who.astype(np.int64) * len(self.slacks) + rows, return_index=True)
-        who, rows = who[once], rows[once]
-        scores = scores[once] - self.slacks[rows].astype(float) - ROUGH
-        if most is not None:
-            order = np.lexsort((-scores, who))
-            order = order[place_in_run(who[order]) < most]
-            who, rows, scores = who[order], rows[order], scores[order]
-        return who, rows, scores
+        who, rows, scores = who[once], rows[once], scores[once]
+        if not len(who):
+            return []
+        off = self.slacks[rows] + ROUGH
+        if most is None:
+            scores, off = self.finer(self.vectors[batch], who, rows), self.rests[rows] + ROUGH
+        order = np.lexsort((off - scores, who))
+        who, rows, scores, off = who[order], rows[order], scores[order], off[order]
+        if most is None:
+            # Several vectors may share an id: the last of `keep` ids bounds what can matter.
+            ids, which = np.unique(self.firsts[rows], return_inverse=True)
+            new = np.sort(np.unique(who.astype(np.int64) * len(ids) + which, return_index=True)[1])
+            last = new[place_in_run(who[new]) == self.keep - 1]
+        else:
+            few = place_in_run(who) < most
+            who, rows, scores, off = who[few], rows[few], scores[few], off[few]
+            last = np.flatnonzero(place_in_run(who) == most - 1)
+        whose = batch.start + who[last]
+        self.least[whose] = np.maximum(self.least[whose], (scores - off)[last])
+        if most is None:
+            good = scores + off >= self.least[batch.start + who]
+            who, rows, scores = who[good], rows[good], scores[good]
+        return [(who, rows, scores)]
 
 
 def place_in_run(values: np.ndarray) -> np.ndarray:
@@ -561,25 +638,26 @@ def place_in_run(values: np.ndarray) -> np.ndarray:
 
 
 def near_in_tile(
-    queries: pa.Table, rows: pa.Table, tables: int, hashes: dict[int, int], seed: int, most: int | None
+    queries: pa.Table, rows: pa.Table, tables: int, hashes: dict[int, int], seed: int, keep: int, most: int | None
 ) -> pa.Table:
     """What queries meet in a block, each with a score that it is not below: of every query the first
-    `most`, or without that all that may score its least."""
+    `most`, or without that all that may be among the `keep` first ids and score its least."""
     if not queries.num_rows or not rows.num_rows:
         return NEAR.empty_table()
     dim = rows.column("dim")[0].as_py()
-    block = Block(rows, queries, dim, tables, hashes[padded_size(dim)], seed)
+    block = Block(rows, queries, dim, tables, hashes[padded_size(dim)], seed, keep)
     radius = unpacked(queries, "radii", np.float32).reshape(-1, tables)
-    block.least = block.least.copy()
     if most is not None and (block.least == ANY).any():
         # Its own buckets tell a query which scores are worth noting.
-        block.look(np.zeros_like(radius), min(2, tables), most, crowds=True)
-    keys, firsts = unpacked(rows, "keys", np.int64), unpacked(rows, "firsts", np.int64)
-    out = []
+        block.look(np.zeros_like(radius), min(2, tables), most)
+    keys = unpacked(rows, "keys", np.int64)
+    out = [NEAR.empty_table()]
     for batch, hits in zip(block.batches, block.look(radius, tables, most), strict=True):
-        who, at, scores = block.found(hits, most)
-        out.append((block.keys[batch.start + who], keys[at], firsts[at], scores))
-    return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], schema=NEAR)
+        for who, at, scores in block.best(hits, batch, most):
+            # A score it is not below.
+            sure = scores - block.slacks[at].astype(float) - ROUGH
+            out.append(pa.table([block.keys[batch.start + who], keys[at], block.firsts[at], sure], schema=NEAR))
+    return pa.concat_tables(out)
 
 
 def best_of_all(queries: pa.Table, block: pa.Table, keep: int) -> pa.Table:
@@ -753,12 +831,13 @@ class Index:
         zero = F.lit(0).cast("bigint")
         blocks = by_bits({bits: F.lit(n).cast("bigint") for bits, n in self.blocks.items()})
         asks = packed.withColumn("block", F.explode(F.sequence(zero, blocks - 1)))
-        rows = self.packed.withColumn("part", F.explode(F.sequence(zero, F.lit(parts - 1).cast("bigint"))))
+        # What only tells near ones from each other is not shuffled where that is not asked.
+        rows = (self.packed.drop("fine", "rests") if most else self.packed).withColumn("part", F.explode(F.sequence(zero, F.lit(parts - 1).cast("bigint"))))
         tile = ["dim", "block", "part"]
         return (
             asks.groupBy(*tile)
             .cogroup(rows.groupBy(*tile))
-            .applyInArrow(lambda q, x: near_in_tile(q, x, tables, hashes, seed, few), ddl(NEAR))
+            .applyInArrow(lambda q, x: near_in_tile(q, x, tables, hashes, seed, keep, few), ddl(NEAR))
         )
 
     def scored(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:

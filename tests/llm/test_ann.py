@@ -166,3 +166,28 @@ def test_rotation_keeps_lengths():
     for turned in ann.rotations(x, 2, 1):
         assert turned.shape == (5, 16)
         assert np.allclose(np.linalg.norm(turned, axis=1), 1)
+
+
+def test_vectors_are_dealt_into_blocks_once(spark):
+    """However many tables there are, the index goes to tasks as less than its vectors take."""
+    rows = clustered(3000, 64, 3, 10)
+    index, _, _ = ann.prepared(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, 5, "vec_id", "embedding")
+    packed = ann.Index(index, 16, ann.PROBES, ann.SEED, ann.RECALL).packed.collect()
+    assert sum(len(row["keys"]) // 8 for row in packed) == len(rows)
+    assert sum(len(value) for row in packed for value in row if isinstance(value, bytes)) < 4 * 64 * len(rows)
+
+
+def test_crowds_of_near_copies_in_tiles(spark, monkeypatch):
+    """Vectors that the first byte of a component does not tell apart, in many small tiles and products."""
+    for name, value in {"TILE_ROWS": 300, "TILE_QUERIES": 9, "PRODUCTS": 512, "FINDS": 100, "BATCH_LAGS": 1}.items():
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1000, 16))
+    x[:700] = x[0] + 0.02 * rng.normal(size=(700, 16))
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x.astype(np.float32))]
+    result = found(ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0))
+    expected = brute(rows, lambda i: i % 50 == 0)
+    assert set(result) == set(expected)
+    near = [i for i in expected if i < 700]
+    hits = sum(len({j for j, _ in result[i]} & {j for j, _ in expected[i]}) for i in near)
+    assert hits >= 0.9 * 5 * len(near)
